@@ -7,6 +7,7 @@ import shutil
 import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -40,7 +41,18 @@ def materialise(df: DataFrame, partition_by: str | None = None) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def importable(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it, wherever they were started.
+
+    On a cluster the package comes with ``--py-files`` or is installed, and this path is only one more entry.
+    """
+    root, path = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment.get("PYTHONPATH", "")
+    if root not in path.split(":"):
+        spark.sparkContext.environment["PYTHONPATH"] = f"{root}:{path}".rstrip(":")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    importable(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -8,10 +8,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, simhash
+from . import bpe, decontaminate, html_text, licenses, media, quality, simhash, token_files, warc
 from .common import table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
+WORD_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
+
+
+def op1_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return media.round_trip(table(spark, sf_dir, "documents"))
 
 
 def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,10 +24,89 @@ def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.format_string("%016x", "fp").alias("fingerprint"), "component_id")
 
 
+def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
+def op4_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.summary(licenses.scan(table(spark, sf_dir, "documents")))
+
+
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ids = bpe.encode(table(spark, sf_dir, "documents"), VOCABULARY, public_tokenizers.PATTERN)
     return bpe.digests(bpe.decode(ids, VOCABULARY, public_tokenizers.PATTERN))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_simhash_near_dedup, op7_byte_level_bpe)}
-ORACLES: dict[str, str] = {}
+def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.summary(decontaminate.scan(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
+
+
+def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.round_trip(table(spark, sf_dir, "documents"), WORD_VOCABULARY)
+
+
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    f.__name__: f
+    for f in (
+        op1_media_columns,
+        op2_simhash_near_dedup,
+        op3_html_extraction,
+        op4_license_scans,
+        op5_quality_classifier,
+        op7_byte_level_bpe,
+        op8_benchmark_decontamination,
+        op9_token_files,
+        op10_warc,
+    )
+}
+#: DuckDB twins; the other queries can't be expressed in SQL and are held against brute force in tests/llm.
+ORACLES: dict[str, str] = {
+    "op8_benchmark_decontamination": r"""
+        with words as (
+            select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+            from documents
+        ), item_words as (
+            select item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+            from benchmark
+        ), windows as (
+            select distinct item_id, least(len(w), 10) as n, array_to_string(list_slice(w, i, i + least(len(w), 10) - 1), ' ') as gram
+            from (select item_id, w, unnest(range(1, greatest(len(w) - 10, 0) + 2)) as i from item_words where len(w) > 0)
+        ), sizes as (
+            select distinct n from windows
+        ), grams as (
+            select doc_id, i, n, array_to_string(list_slice(w, i, i + n - 1), ' ') as gram
+            from (select doc_id, w, n, unnest(range(1, len(w) - n + 2)) as i from words, sizes where len(w) >= n)
+        ), found as (
+            select doc_id, item_id, i, n from grams join windows using (n, gram)
+        ), hit as (
+            select doc_id, count(distinct p) as n_hit from (select doc_id, unnest(range(i, i + n)) as p from found) group by doc_id
+        ), items as (
+            select doc_id, count(*) as n_items, string_agg(item, ',' order by item) as list
+            from (select distinct doc_id, cast(item_id as varchar) as item from found) group by doc_id
+        )
+        select doc_id, cast(len(w) as bigint) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+               sha256(coalesce(list, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+        from words left join hit using (doc_id) left join items using (doc_id)
+    """,
+    "op10_warc": """
+        with p as (
+            select page_id, encode(coalesce(html, '')) as payload from pages
+        ), d as (
+            select page_id, octet_length(payload) as payload_bytes, sha256(payload) as payload_digest from p
+        ), f as (
+            select *, case when payload_bytes >= 100 then min(page_id) over (partition by payload_digest) end as first_id from d
+        )
+        select page_id, cast(payload_bytes as bigint) as payload_bytes, payload_digest,
+               case when page_id <> first_id then 'revisit' else 'response' end as record_type,
+               case when page_id <> first_id then first_id end as refers_to
+        from f
+    """,
+}
