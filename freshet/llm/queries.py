@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, html_text, licenses, media, quality, simhash, token_files, warc
+from . import bpe, decontaminate, html_text, licenses, line_dedup, media, quality, simhash, token_files, warc
 from .common import table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -36,6 +36,11 @@ def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return line_dedup.summary(docs, line_dedup.removed_lines(docs))
+
+
 def op7_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ids = bpe.encode(table(spark, sf_dir, "documents"), VOCABULARY, public_tokenizers.PATTERN)
     return bpe.digests(bpe.decode(ids, VOCABULARY, public_tokenizers.PATTERN))
@@ -61,6 +66,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op3_html_extraction,
         op4_license_scans,
         op5_quality_classifier,
+        op6_line_dedup,
         op7_byte_level_bpe,
         op8_benchmark_decontamination,
         op9_token_files,
