@@ -49,14 +49,14 @@ def series_of(obs: DataFrame) -> DataFrame:
 
 def expand_capabilities(stations: DataFrame, column: str = "observed_variables") -> DataFrame:
     """``station_id, variable_code``: a row for each entry of a list separated by ``,``, ``;`` or ``|``; ``none`` has none."""
-    parts = F.transform(F.split(F.lower(F.col(column)), r"[,;\|]"), F.trim)
+    parts = F.transform(F.split(F.lower(F.col(column)), r"[,;\|]"), lambda x: F.trim(x))
     names = F.array_distinct(F.filter(parts, lambda x: (x != "") & (x != "none")))
     return stations.select("station_id", F.explode(names).alias("variable_code"))
 
 
 def capability_errors(stations: DataFrame, allowed: list[str], column: str = "observed_variables") -> DataFrame:
     """Stations whose list names a variable twice, an unknown one, or ``none`` beside others, with the reason."""
-    parts = F.filter(F.transform(F.split(F.lower(F.col(column)), r"[,;\|]"), F.trim), lambda x: x != "")
+    parts = F.filter(F.transform(F.split(F.lower(F.col(column)), r"[,;\|]"), lambda x: F.trim(x)), lambda x: x != "")
     reason = (
         F.when(F.size(parts) > F.size(F.array_distinct(parts)), "repeated")
         .when(F.array_contains(parts, "none") & (F.size(parts) > 1), "none_with_others")
@@ -129,6 +129,6 @@ def fetch_summary(results: DataFrame) -> DataFrame:
     return results.agg(
         F.count_if(~F.col("failed") & (F.col("rows") > 0)).alias("ok"),
         F.count_if(~F.col("failed") & (F.col("rows") == 0)).alias("no_data"),
-        F.count_if("failed").alias("error"),
+        F.count_if(F.col("failed")).alias("error"),
         F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"),
     )

@@ -24,7 +24,7 @@ def station_availability(stations: DataFrame, values: DataFrame, required: list[
 def grid_contract(cells: DataFrame) -> DataFrame:
     """One row for each asset and rule: intervals that follow each other, unique cells, equal spacing of both axes."""
     follow = gaps(cells).select(*result("contiguous", F.col("asset_id"), F.col("gaps") == 0, F.concat(F.col("gaps").cast("string"), F.lit(" gaps"))))
-    twice = cells.groupBy("asset_id", "start_utc", "end_utc", "iy", "ix").count().groupBy("asset_id").agg(F.count_if("count > 1").alias("n"))
+    twice = cells.groupBy("asset_id", "start_utc", "end_utc", "iy", "ix").count().groupBy("asset_id").agg(F.count_if(F.col("count") > 1).alias("n"))
     unique = twice.select(*result("unique_cells", F.col("asset_id"), F.col("n") == 0, F.concat(F.col("n").cast("string"), F.lit(" repeated"))))
     out = follow.union(unique)
     for name in ("lat", "lon"):
@@ -40,7 +40,7 @@ def model_contract(output: DataFrame) -> DataFrame:
     per = output.groupBy("scenario_id").agg(
         F.count_if(~F.col("prev_flag").isin(0, 1)).alias("odd"), F.max(F.when(F.col("prev_flag") == 0, F.col("dt"))).alias("current"), F.min(F.when(F.col("prev_flag") == 1, F.col("dt"))).alias("forecast")
     )
-    twice = output.groupBy(*keys, "dt").count().groupBy("scenario_id").agg(F.count_if("count > 1").alias("n"))
+    twice = output.groupBy(*keys, "dt").count().groupBy("scenario_id").agg(F.count_if(F.col("count") > 1).alias("n"))
     segments = per.select(*result("segments", F.col("scenario_id"), F.col("odd") == 0, F.lit("unknown segment")))
     order = per.select(*result("segment_order", F.col("scenario_id"), F.coalesce(F.col("current") < F.col("forecast"), F.lit(True)), F.lit("forecast before current")))
     return segments.union(order).union(twice.select(*result("unique_times", F.col("scenario_id"), F.col("n") == 0, F.lit("repeated times"))))

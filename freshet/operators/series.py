@@ -141,11 +141,11 @@ def accumulated_rain(series: DataFrame, stored: DataFrame, stations: DataFrame,
 
 
 def rainfall_labels(catalog: DataFrame, accumulations: DataFrame) -> DataFrame:
-    """``station_id, label``: the accumulation cut to one decimal, or ``-``."""
+    """``station_id, label``: the accumulation (to six decimals) cut to one decimal, or ``-``."""
     from ..functions.text import one_decimal
 
     joined = catalog.select("station_id").join(accumulations, "station_id", "left")
-    return joined.select("station_id", F.coalesce(F.format_string("%.1f", one_decimal(F.col("rain"))), F.lit("-")).alias("label"))
+    return joined.select("station_id", F.when(F.col("rain").isNull(), "-").otherwise(F.format_string("%.1f", one_decimal(F.round("rain", 6)))).alias("label"))
 
 
 def network_summary(catalog: DataFrame) -> DataFrame:

@@ -263,7 +263,7 @@ def jo19_scenario_comparison(v):
 
 
 @query(f"""with {PREFERRED}, a as (select station_id, sum(value) as rain from stored join preferred using (series_id) where variable_code = 'rain' and observed_at > timestamp '{START}' and observed_at <= timestamp '{CUTOFF}' and value is not null group by 1)
-    select station_id, coalesce(printf('%.1f', floor(rain * 10) / 10), '-') as label from station left join a using (station_id)""")
+    select station_id, coalesce(printf('%.1f', floor(round(rain, 6) * 10) / 10), '-') as label from station left join a using (station_id)""")
 def jo20_rainfall_labels(v):
     return S.rainfall_labels(v("station"), S.rainfall_accumulations(v("series"), v("stored"), ts(START), ts(CUTOFF)))
 

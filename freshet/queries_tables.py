@@ -41,9 +41,12 @@ def sc1_station_inventory(v):
     return scans.stations_of(inventory(v))
 
 
-@query("select 'ana:1' as key, 'repeated' as reason where false")
+@query(f"select concat('ana:', {_CODE}) as key, 'repeated' as reason from station where user_id % 10 = 0 union all select cast(mini_id as varchar), 'mini' from station where user_id % 10 = 0")
 def sc1_inventory_errors(v):
-    return scans.inventory_errors(scans.stations_of(inventory(v)))
+    """Every tenth station stands twice in the inventory."""
+    rows = inventory(v)
+    twice = rows.where("cast(station_code as bigint) % 10 = 0")
+    return scans.inventory_errors(scans.stations_of(rows.unionByName(twice)))
 
 
 @query(f"select distinct concat('ana:', {_CODE}) as station_id, trim(unnest(string_split_regex({_LIST}, '[,;|]'))) as variable_code from station where user_id % 4 <> 0")
@@ -214,9 +217,9 @@ def sk7_packed_output(v):
     return sinks.unpacked(v("orders").sparkSession.read.parquet(path)).select("scenario_id", "variable_code", "mini_id", "dt", "prev_flag", "value")
 
 
-@query("select variable_code, count(*) as n from model_output where round_even(value / 0.001, 0) > 2147483647 group by 1")
+@query("select variable_code, count(*) as n from model_output where round_even(value * 100 / 0.001, 0) > 2147483647 group by 1")
 def sk7_pack_errors(v):
-    return sinks.pack_errors(v("model_output"))
+    return sinks.pack_errors(v("model_output").withColumn("value", F.col("value") * 100))
 
 
 @query("select asset_id, iy, ix, cast(start_utc as varchar) as start_utc, cast(end_utc as varchar) as end_utc, round(lat, 6) as lat, round(lon, 6) as lon, round(value, 6) as value from cell where asset_id = 'asset0'")
