@@ -460,21 +460,42 @@ def zero_block(axis: DataFrame, minis: DataFrame) -> DataFrame:
 def observed_working_grid(values: DataFrame, stations: DataFrame, grid: DataFrame, axis: DataFrame, k: int = 5, power: float = 2.0) -> DataFrame:
     """``end_utc, iy, ix, value`` of every step of the axis: inverse distances to the stations with a value at that step.
 
-    All steps are done together: neighbours are ranked for each cell and step among the stations that have a value
-    then. A step without any is missing in all cells.
+    All steps are done together. A cell's four times k nearest stations usually hold the k nearest that have a value at
+    each step; cells where they don't, at some step that has more stations, go on with four times as many. A step
+    without any value is missing in all cells.
     """
     rain = values.where(_finite(F.col("value"))).select("station_id", F.col("observed_at").alias("end_utc"), "value").join(axis.select("end_utc"), "end_utc", "left_semi")
-    at = rain.join(stations.select("station_id", "lat", "lon"), "station_id")
-    targets = grid.select(F.concat_ws(":", "iy", "ix").alias("cell"), "iy", "ix", "lat", "lon")
-    # as many candidates as there are stations in the worst case: a cell's stations by distance, once for all steps
-    near = nearest(targets.select(F.col("cell").alias("target_id"), "lat", "lon"), at.select(F.col("station_id").alias("source_id"), "lat", "lon").distinct(), 1 << 30)
-    rows = near.join(rain.withColumnRenamed("station_id", "source_id"), "source_id")
-    ranked = rows.withColumn("n", F.row_number().over(Window.partitionBy("target_id", "end_utc").orderBy("distance", "source_id"))).where(F.col("n") <= k)
+    at = materialise(rain.join(stations.select("station_id", "lat", "lon"), "station_id"))
+    sources = materialise(at.select(F.col("station_id").alias("source_id"), "lat", "lon").distinct())
+    steps = materialise(at.groupBy("end_utc").agg(F.count_distinct("station_id").alias("have")))
+    targets = grid.select(F.concat_ws(":", "iy", "ix").alias("target_id"), "iy", "ix", "lat", "lon")
+    open_, wide, n, parts = targets.select("target_id", "lat", "lon"), 4 * k, sources.count(), []
+    while n:
+        near = nearest(open_, sources, wide)
+        rows = near.join(at.select(F.col("station_id").alias("source_id"), "end_utc", "value"), "source_id")
+        order = Window.partitionBy("target_id", "end_utc").orderBy("distance", "source_id")
+        ranked = materialise(rows.withColumn("n", F.row_number().over(order)).where(F.col("n") <= k))
+        if wide >= n:
+            parts.append(ranked)
+            break
+        pairs = near.select("target_id").distinct().withColumn("k", F.lit(1)).join(steps.withColumn("k", F.lit(1)), "k")
+        got = pairs.join(ranked.groupBy("target_id", "end_utc").agg(F.count("*").alias("got")), ["target_id", "end_utc"], "left")
+        short = materialise(got.where(F.coalesce("got", F.lit(0)) < F.least(F.lit(k), F.col("have"))).select("target_id").distinct())
+        parts.append(ranked.join(short, "target_id", "left_anti"))
+        open_ = open_.join(short, "target_id", "left_semi")
+        if short.isEmpty():
+            break
+        wide *= 4
+    times = axis.agg(F.collect_set("end_utc").alias("times")).withColumn("k", F.lit(1))
+    canvas = targets.withColumn("k", F.lit(1)).join(times, "k").select(F.explode("times").alias("end_utc"), "target_id", "iy", "ix")
+    if not parts:
+        return canvas.select("end_utc", "iy", "ix", F.lit(None).cast("double").alias("value"))
+    every = parts[0]
+    for part in parts[1:]:
+        every = every.unionByName(part)
     here, some, weight = F.col("distance") == 0, F.col("distance") > 0, 1.0 / F.pow("distance", F.lit(power))
     value = F.coalesce(F.avg(F.when(here, F.col("value"))), F.sum(F.when(some, F.col("value") * weight)) / F.sum(F.when(some, weight)))
-    found = ranked.groupBy("target_id", "end_utc").agg(value.alias("value"))
-    times = axis.agg(F.collect_set("end_utc").alias("times")).withColumn("k", F.lit(1))
-    canvas = targets.withColumn("k", F.lit(1)).join(times, "k").select(F.explode("times").alias("end_utc"), F.col("cell").alias("target_id"), "iy", "ix")
+    found = every.groupBy("target_id", "end_utc").agg(value.alias("value"))
     return canvas.join(found, ["target_id", "end_utc"], "left").select("end_utc", "iy", "ix", "value")
 
 
