@@ -26,6 +26,7 @@ DROPPED = frozenset(
 BLOCK = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre section summary table caption tbody td tfoot th thead tr ul".split()
 )
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Elements that the start of a key's element ends.
 _CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}, "tbody": {"tr", "td", "th", "thead", "tbody"}, "tfoot": {"tr", "td", "th", "thead", "tbody"}}
 _SCOPE = frozenset("ul ol dl table html body article section main div td th".split())
@@ -54,13 +55,14 @@ class Node:
 
 @dataclass(slots=True)
 class Container:
-    """What stands directly or deeper in an element: characters of text, of links, paragraphs, commas."""
+    """What stands directly or deeper in an element: characters of text, of links, of headings, and paragraphs."""
 
     path: str
     parent: int
     depth: int
     chars: int = 0
     link_chars: int = 0
+    heading_chars: int = 0
     paragraphs: int = 0
     first: int = 0
     after: int = 0
@@ -114,13 +116,14 @@ def parse(html: str) -> Page:
             text = " ".join("".join(pieces).split())
             pieces.clear()
             if text:
-                at = stack[-1].container
+                at, heading = stack[-1].container, stack[-1].tag in HEADINGS
                 links, link_part = min(link_part, len(text)), 0
                 page.blocks.append(text)
                 while at >= 0:
                     c = page.containers[at]
                     c.chars += len(text)
                     c.link_chars += links
+                    c.heading_chars += len(text) if heading else 0
                     c.paragraphs += in_paragraph
                     c.after = len(page.blocks)
                     at = c.parent
@@ -205,12 +208,12 @@ def parse(html: str) -> Page:
         anchors = 0
         name, junk = general_name(tag, m[3])
         top = stack[-1]
-        heading = tag in ("h1", "h2", "h3", "h4", "h5", "h6")
+        heading = tag in HEADINGS
         inside = bool(_ARTICLE.search(top.path))
         dropped = (top.dropped and not (heading and inside and top.tag == "header")) or tag in DROPPED or junk or tag == "header"
         path = f"{top.path}>{name}" if top.path else name
         container = top.container
-        if not dropped and tag not in ("p", "h1", "h2", "h3", "h4", "h5", "h6", "hr"):
+        if not dropped and not heading and tag not in ("p", "hr"):
             page.containers.append(Container(path, top.container, len(stack), first=len(page.blocks), after=len(page.blocks)))
             container = len(page.containers) - 1
         stack.append(Node(tag, path, dropped, container))
@@ -220,10 +223,11 @@ def parse(html: str) -> Page:
 
 
 def scores(page: Page) -> list[tuple[str, float]]:
-    """(path, score) of the containers that hold text: what isn't links counts, paragraphs more, close around it most.
+    """(path, score) of the containers that hold text, the best first.
 
-    The score of a container is its text outside links, less what its best child has unless that is only a part of it;
-    ``article`` and ``main`` get three times as much.
+    Text outside links counts, less the more of it there is in links, more with paragraphs and, a little, with depth;
+    ``article`` and ``main`` count three times, ``body`` half. A container whose parent adds nothing but headings stands
+    for that parent, so that an article keeps its title.
     """
     best: dict[str, float] = {}
     for c in page.containers[1:]:
@@ -235,6 +239,12 @@ def scores(page: Page) -> list[tuple[str, float]]:
             elif last in ("body", "html"):
                 own *= 0.5
             own *= 1.0 + 0.02 * min(c.depth, 10)
+            while c.parent > 0:
+                up = page.containers[c.parent]
+                more = up.chars - c.chars
+                if not more or more != up.heading_chars - c.heading_chars or up.path.rsplit(">", 1)[-1] in ("body", "html"):
+                    break
+                c = up
             best[c.path] = best.get(c.path, 0.0) + own
     return sorted(best.items(), key=lambda x: (-x[1], x[0]))
 

@@ -191,6 +191,13 @@ def test_main_text(spark):
     assert {r.host: r.path for r in html_text.winning_paths(pages).collect()}["a.example"] == "html>body>article.post"
 
 
+def test_an_article_keeps_its_title():
+    body = '<div class="wrap"><div class="post"><h1>The title</h1><div class="text"><p>' + "long text here. " * 300 + '</p></div></div><div class="teasers"><a href=x>a link</a></div></div>'
+    page = html_text.parse(f"<body>{body}")
+    path = html_text.scores(page)[0][0]
+    assert path == "body>div.wrap>div.post" and html_text.text_at(page, path).startswith("The title\nlong text")
+
+
 @pytest.mark.parametrize("html", ["<", "<<<>", "<p", "</p></p>", "<!--", "<script>", "<a href='", "&#0;&#x110000;&", "<table><tr><td>a<td>b<tr><td>c", "<p>" * 3000, "<div>" * 3000 + "x"])
 def test_odd_markup(html):
     page = html_text.parse(html)
@@ -270,7 +277,7 @@ def brute_lines(rows):
 
 @pytest.mark.parametrize("first", [1, 8])
 def test_lines_against_brute_force(spark, monkeypatch, first):
-    monkeypatch.setattr(line_dedup, "FIRST", first)
+    monkeypatch.setattr(line_dedup, "FIRST", first)  # 1: later rounds happen
     random.seed(first)
     words = [f"w{i}" for i in range(50)]
     base = [[random.choice(words) for _ in range(random.randint(1, 90))] for _ in range(12)]
