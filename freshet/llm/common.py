@@ -68,12 +68,12 @@ def text_slices(ids: list, texts: list, max_chars: int = SLICE_CHARS) -> Iterato
         yield ids[start:], texts[start:]
 
 
-def id_and_text(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[list, list]]:
+def id_and_text(batches: Iterable[pa.RecordBatch], max_chars: int = SLICE_CHARS) -> Iterator[tuple[list, list]]:
     """(ids, texts) in slices of bounded size; a null text is empty."""
     for batch in batches:
         ids = batch.column(0).to_pylist()
         texts = [x or "" for x in batch.column(1).to_pylist()]
-        yield from text_slices(ids, texts)
+        yield from text_slices(ids, texts, max_chars)
 
 
 def utf8(text: str) -> bytes:

@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterable, Iterator
 from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -18,13 +16,26 @@ from .common import id_and_text, materialise, select_id_text, utf8
 SIMILARITY = Fraction(4, 5)
 #: Words whose frequency decides their order; all others are rare and ordered by their hash.
 FREQUENT = 1 << 16
-#: Words and lines that a worker remembers.
-CACHE, LINES = 500_000, 1_000_000
+#: Lines that a task remembers, and different words that it counts before it sends them on.
+LINES, COUNTED = 1_000_000, 2_000_000
+#: Characters of a slice of texts, and bytes that are hashed at once.
+SLICE, HASHED = 1_000_000, 1 << 20
+#: Lines of at most so many words have a sketch of 64 bits, longer ones of 128.
+NARROW = 64
+#: Earlier lines that a line and word keep at first where the closest one's sketch differs in less than a quarter of what
+#: it may; up to a half these times as many, else these times as many again.
+FIRST, MORE = 8, 8
+#: Words to which a later round may be limited by broadcast; beyond, it takes all words.
+LATER_WORDS = 1_000_000
+#: Rows that are compared at once.
+ROWS = 100_000
+#: Bits of the filter of documents whose lines are needed: what is broadcast is at most 2 MB at any size.
+FILTER_BITS = 1 << 23
 #: Longest run of lines that is compared by shifts of the whole batch; longer ones go block by block.
 SHORT_RUN, BLOCK = 48, 1024
 
-POSTING = "token int, doc_id long, line int, size int, pos int, s1 long, s2 long"
-CANDIDATE = "doc_id long, line int, other_id long, other_line int, more boolean"
+POSTING = "key long, doc_id long, place long, s1 long, s2 long"
+CANDIDATE = "doc_id long, line int, other_id long, other_line int, nth int, more boolean, word int"
 
 
 def least_overlap(a, b, similarity: Fraction = SIMILARITY):
@@ -48,47 +59,100 @@ def similar(a: set[bytes], b: set[bytes], similarity: Fraction = SIMILARITY) ->
     return bool(both) and both * similarity.denominator >= similarity.numerator * (len(a) + len(b) - both)
 
 
-def _word_hash(word: bytes) -> int:
-    return xxhash.xxh3_64_intdigest(word)
+_SPACE = np.zeros(256, bool)
+_SPACE[[9, 10, 11, 12, 13, 32]] = True
+#: Odd bases of two polynomial hashes, and their inverses modulo 2 ** 64.
+_BASES = tuple((np.uint64(b), np.uint64(pow(b, -1, 1 << 64))) for b in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F))
+_powers: dict[int, np.ndarray] = {}
+
+
+def _power(base: np.uint64, n: int) -> np.ndarray:
+    """base ** 0 to base ** n, modulo 2 ** 64."""
+    have = _powers.get(int(base))
+    if have is None or len(have) <= n:
+        have = np.full(n + 1, base, np.uint64)
+        have[0] = 1
+        have = _powers[int(base)] = np.multiply.accumulate(have)
+    return have
+
+
+def word_hashes(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(where each word begins, its 64-bit hash) of a text's bytes, in order.
+
+    A word's hash mixes two polynomials of its bytes, taken as differences of running sums, so that no word is touched
+    by itself. Bytes are taken in blocks that end at white space.
+    """
+    starts, hashes, begin, n = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)], 0, len(text)
+    while begin < n:
+        end = min(begin + HASHED, n)
+        while end < n and not _SPACE[text[end - 1]]:
+            after = np.flatnonzero(_SPACE[text[end : end + HASHED]])
+            end = end + int(after[0]) + 1 if len(after) else min(end + HASHED, n)
+        part = text[begin:end]
+        inside = np.zeros(len(part) + 2, np.int8)
+        inside[1:-1] = ~_SPACE[part]
+        edge = np.diff(inside)
+        first, last = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+        total = np.zeros(len(first), np.uint64)
+        for base, inverse in _BASES:
+            sums = np.zeros(len(part) + 1, np.uint64)
+            np.cumsum((part.astype(np.uint64) + np.uint64(1)) * _power(base, len(part))[: len(part)], out=sums[1:])
+            total = _mix(total, 0xFF51AFD7ED558CCD) + (sums[last] - sums[first]) * _power(inverse, len(part))[first]
+        starts.append(first + begin)
+        hashes.append(_mix(total, 0xC4CEB9FE1A85EC53))
+        begin = end
+    return np.concatenate(starts), np.concatenate(hashes)
+
+
+def _bytes(texts: list[str]) -> np.ndarray:
+    """The texts' lower-cased bytes, a line end after each."""
+    return np.frombuffer(b"\n".join([*(utf8(t).lower() for t in texts), b""]), np.uint8)
 
 
 def frequent_words(docs: DataFrame, most: int = FREQUENT) -> list[int]:
     """Hashes of the ``most`` most frequent words of all texts, rarest first.
 
-    A word that a task meets only once isn't sent on from there. Order decides how many candidates there are, never the
-    result: any order of words that all tasks share is right.
+    A word that a slice of texts (about a million characters) has only once isn't counted there. Order decides how many
+    candidates there are, never the result: any order of words that all tasks share is right.
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def out(counts: Counter) -> pa.RecordBatch:
-            kept = [(w, n) for w, n in counts.items() if n > 1]
-            hashes = np.array([_word_hash(w) for w, _ in kept], np.uint64).view(np.int64)
-            return pa.RecordBatch.from_arrays([pa.array(hashes), pa.array([n for _, n in kept], pa.int64())], ["word", "n"])
-
-        counts: Counter = Counter()
-        for _, texts in id_and_text(batches):
-            for text in texts:
-                counts.update(utf8(text).lower().split())
-            if len(counts) > CACHE:
-                yield out(counts)
-                counts = Counter()
-        yield out(counts)
+        def merged() -> tuple[np.ndarray, np.ndarray]:
+            words, at = np.unique(np.concatenate([w for w, _ in held]), return_inverse=True)
+            counts = np.bincount(at, weights=np.concatenate([n for _, n in held])).astype(np.int64)
+            return words, counts
+
+        held: list[tuple[np.ndarray, np.ndarray]] = [(np.zeros(0, np.uint64), np.zeros(0, np.int64))]
+        for _, texts in id_and_text(batches, SLICE):
+            words, counts = np.unique(word_hashes(_bytes(texts))[1], return_counts=True)
+            held.append((words[counts > 1], counts[counts > 1]))
+            if sum(len(w) for w, _ in held) > COUNTED:
+                held = [merged()]
+                if len(held[0][0]) > COUNTED // 2:
+                    yield pa.RecordBatch.from_arrays([pa.array(held[0][0].view(np.int64)), pa.array(held[0][1])], ["word", "n"])
+                    held = [(np.zeros(0, np.uint64), np.zeros(0, np.int64))]
+        words, counts = merged()
+        yield pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), pa.array(counts)], ["word", "n"])
 
     sent = select_id_text(docs).mapInArrow(run, "word long, n long")
     top = sent.groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(most).collect()
     return [r.word & (2**64 - 1) for r in reversed(top)]
 
 
-class WordOrder(dict):
+class WordOrder:
     """Place of each word in the shared order: rare words by their hash, then frequent ones, rarest first."""
 
     def __init__(self, frequent: list[int]) -> None:
-        super().__init__()
-        self.rank = {h: (1 << 63) + i for i, h in enumerate(frequent)}
-
-    def __missing__(self, word: bytes) -> int:
-        h = _word_hash(word)
-        place = self[word] = self.rank.get(h, h >> 1)
+        hashes = np.array(frequent, np.uint64)
+        at = np.argsort(hashes)
+        self.hashes, self.ranks = hashes[at], at.astype(np.uint64) + np.uint64(1 << 63)
+
+    def __call__(self, hashes: np.ndarray) -> np.ndarray:
+        place = hashes >> np.uint64(1)
+        if len(self.hashes):
+            at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+            known = self.hashes[at] == hashes
+            place[known] = self.ranks[at[known]]
         return place
 
 
@@ -101,20 +165,18 @@ class Lines:
     """Sets of words of the lines of some texts as arrays: sorted places in the order, and where each line's begin."""
 
     def __init__(self, ids: list, texts: list[str], order: WordOrder) -> None:
-        if len(order) > CACHE:
-            order.clear()
-        doc, line, sizes, places = [], [], [], []
-        for key, text in zip(ids, texts, strict=True):
-            if key is None:
-                continue
-            for i, words in enumerate(lines_of(text)):
-                if words:
-                    doc.append(key)
-                    line.append(i)
-                    sizes.append(len(words))
-                    places.append(np.fromiter(map(order.__getitem__, words), np.uint64, len(words)))
-        self.doc, self.line = np.array(doc, np.int64), np.array(line, np.int32)
-        flat = np.concatenate(places) if places else np.zeros(0, np.uint64)
+        mine = [i for i, key in enumerate(ids) if key is not None]
+        raw = _bytes([texts[i] for i in mine])
+        start, hashes = word_hashes(raw)
+        ends = np.flatnonzero(raw == 10)
+        number = np.searchsorted(ends, start)  # of the line among all
+        per_doc = np.array([texts[i].count("\n") + 1 for i in mine], np.int64)
+        of_doc = np.repeat(np.arange(len(mine)), per_doc)
+        within = np.arange(len(of_doc)) - np.repeat(np.cumsum(per_doc) - per_doc, per_doc)
+        filled, sizes = np.unique(number, return_counts=True)
+        doc = np.array([ids[i] for i in mine], np.int64)[of_doc[filled]]
+        self.doc, self.line = doc, within[filled].astype(np.int32)
+        flat = order(hashes)
         owner = np.repeat(np.arange(len(doc)), sizes)
         at = np.lexsort((flat, owner))
         flat, owner = flat[at], owner[at]
@@ -128,25 +190,29 @@ class Lines:
         bit = np.uint64(1) << (spread & np.uint64(63))
         high = (spread >> np.uint64(6)) & np.uint64(1) == 1
         if len(doc):
-            self.s1 = np.bitwise_xor.reduceat(np.where(high, np.uint64(0), bit), self.start).view(np.int64)
-            self.s2 = np.bitwise_xor.reduceat(np.where(high, bit, np.uint64(0)), self.start).view(np.int64)
+            s1 = np.bitwise_xor.reduceat(np.where(high, np.uint64(0), bit), self.start)
+            s2 = np.bitwise_xor.reduceat(np.where(high, bit, np.uint64(0)), self.start)
+            narrow = self.size <= NARROW  # their two halves are folded into one
+            self.s1, self.s2 = np.where(narrow, s1 ^ s2, s1).view(np.int64), np.where(narrow, np.uint64(0), s2).view(np.int64)
             self.sign = list(zip(np.add.reduceat(spread, self.start).tolist(), np.add.reduceat(_mix(spread, 0x94D049BB133111EB), self.start).tolist(), strict=True))
         else:
             self.s1 = self.s2 = np.zeros(0, np.int64)
             self.sign = []
 
 
-def postings(docs: DataFrame, frequent: list[int], similarity: Fraction = SIMILARITY) -> DataFrame:
+def postings(docs: DataFrame, frequent: list[int], similarity: Fraction = SIMILARITY, only: list[int] | None = None) -> DataFrame:
     """A row for each word in a line's prefix, with the line's place and size, the word's position, and the sketch.
 
-    A line whose set of words its task has met before, at an earlier place, is a match without more: it has one row
-    with ``pos`` -1.
+    Packed in pairs: ``key`` is word and position, ``place`` line number and size. A line whose set of words its task
+    has met before, at an earlier place, is a match without more: it has one row with a size of 0. With ``only``, rows
+    of these words alone.
     """
     shared = docs.sparkSession.sparkContext.broadcast(frequent)
+    words = None if only is None else docs.sparkSession.sparkContext.broadcast(only)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         order, seen = WordOrder(shared.value), {}
-        for ids, texts in id_and_text(batches):
+        for ids, texts in id_and_text(batches, SLICE):
             part = Lines(ids, texts, order)
             again = np.zeros(len(part.doc), bool)
             for i, (sign, place) in enumerate(zip(part.sign, zip(part.doc.tolist(), part.line.tolist(), strict=True), strict=True)):
@@ -160,9 +226,12 @@ def postings(docs: DataFrame, frequent: list[int], similarity: Fraction = SIMILA
             count = np.where(again, 1, prefix_length(part.size.astype(np.int64), similarity))
             row = np.repeat(np.arange(len(part.doc)), count)
             pos = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
-            token = (_mix(part.words[part.start[row] + pos], 0x9E3779B97F4A7C15) >> np.uint64(32)).astype(np.uint32).view(np.int32)
-            pos = np.where(again[row], -1, pos).astype(np.int32)
-            columns = (token, part.doc[row], part.line[row], part.size[row], pos, part.s1[row], part.s2[row])
+            token = (_mix(part.words[part.start[row] + pos], 0x9E3779B97F4A7C15) >> np.uint64(32)).astype(np.int64) - (1 << 31)
+            size = np.where(again, 0, part.size)[row]
+            if words is not None:
+                kept = np.isin(token, np.array(words.value, np.int64)) & (size > 0)
+                row, token, pos, size = row[kept], token[kept], pos[kept], size[kept]
+            columns = (token << 32 | pos, part.doc[row], part.line[row].astype(np.int64) << 32 | size, part.s1[row], part.s2[row])
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], [c.split()[0] for c in POSTING.split(", ")])
 
     return select_id_text(docs).mapInArrow(run, POSTING)
@@ -172,165 +241,201 @@ class _Run:
     """Rows of the same words, in order of place."""
 
     def __init__(self, columns: list[np.ndarray], similarity: Fraction) -> None:
-        self.token, self.doc, self.line, self.size, self.pos, s1, s2 = columns
-        self.size, self.pos = self.size.astype(np.int64), self.pos.astype(np.int64)
+        key, self.doc, place, s1, s2 = columns
+        self.token, self.pos = key >> 32, key & 0xFFFFFFFF
+        self.line, self.size = (place >> 32).astype(np.int32), place & 0xFFFFFFFF
         self.s1, self.s2, self.similarity = s1.view(np.uint64), s2.view(np.uint64), similarity
 
-    def passes(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-        """Whether lines i and earlier lines j may be similar by length, position and sketch."""
+    def passes(self, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(i, j, how far apart) of the lines i and earlier lines j that may be similar by length, position and sketch.
+
+        How far: the bits in which the sketches differ, in 128ths of what similar sets may differ in.
+        """
         a, b = self.size[i], self.size[j]
         shared = least_overlap(a, b, self.similarity)
-        low, high = np.minimum(a, b), np.maximum(a, b)
-        ok = low * self.similarity.denominator >= high * self.similarity.numerator
+        ok = np.minimum(a, b) * self.similarity.denominator >= np.maximum(a, b) * self.similarity.numerator
         ok &= np.minimum(a - self.pos[i], b - self.pos[j]) >= shared
-        ok &= (self.doc[i] != self.doc[j]) | (self.line[i] != self.line[j])
-        differ = np.bitwise_count(self.s1[i] ^ self.s1[j]).astype(np.int64) + np.bitwise_count(self.s2[i] ^ self.s2[j])
-        return ok & (differ <= a + b - 2 * shared)
+        at = np.flatnonzero(ok)
+        i, j, a, b, shared = i[at], j[at], a[at], b[at], shared[at]
+        one, two = self.s1[i] ^ self.s1[j], self.s2[i] ^ self.s2[j]
+        folded = np.minimum(a, b) <= NARROW  # a narrow sketch is held against the other's two halves folded into one
+        one, two = np.where(folded, one ^ two, one), np.where(folded, np.uint64(0), two)
+        differ = np.bitwise_count(one).astype(np.int64) + np.bitwise_count(two)
+        may = a + b - 2 * shared
+        ok = (differ <= may) & ((self.doc[i] != self.doc[j]) | (self.line[i] != self.line[j]))
+        return i[ok], j[ok], (128 * differ[ok] // (may[ok] + 1)).astype(np.int64)
+
+    @staticmethod
+    def best(i: np.ndarray, j: np.ndarray, far: np.ndarray, most: int) -> tuple[np.ndarray, ...]:
+        """(i, j, far, number, whether there are more): for each i the closest j, ``most`` of them where one is close."""
+        at = np.lexsort((j, far, i))
+        i, j, far = i[at], j[at], far[at]
+        first = np.flatnonzero(np.concatenate([[True], i[1:] != i[:-1]])) if len(i) else np.zeros(0, int)
+        counts = np.diff(np.append(first, len(i)))
+        nth = np.arange(len(i)) - np.repeat(first, counts)
+        limit = most * np.array([1, MORE, MORE * MORE])[(far[first] >= 32).astype(int) + (far[first] >= 64)]
+        kept = nth < np.repeat(limit, counts)
+        return i[kept], j[kept], far[kept], nth[kept], np.repeat(counts > limit, counts)[kept]
 
-    def candidates(self, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(line, earlier line, whether there are more) for the first ``most`` earlier lines that pass, for each line."""
+    def candidates(self, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(line, earlier line, its number from 0, whether there are more) of the closest earlier lines that pass, for each line."""
         n = len(self.token)
         starts = np.flatnonzero(np.concatenate([[True], self.token[1:] != self.token[:-1]])) if n else np.zeros(0, int)
         sizes = np.diff(np.append(starts, n))
         begin = np.repeat(starts, sizes)
-        left, right = [np.zeros(0, int)], [np.zeros(0, int)]
-        rows = np.flatnonzero(np.repeat(sizes <= SHORT_RUN, sizes))
+        none = np.zeros(0, int)
+        found, extra = [(none, none, none)], [none]
+        rows = np.flatnonzero(np.repeat((sizes > 1) & (sizes <= SHORT_RUN), sizes))
         for d in range(1, SHORT_RUN):
             rows = rows[rows - d >= begin[rows]]
             if not len(rows):
                 break
-            ok = self.passes(rows, rows - d)
-            left.append(rows[ok])
-            right.append(rows[ok] - d)
+            found.append(self.passes(rows, rows - d))
         for start, size in zip(starts[sizes > SHORT_RUN], sizes[sizes > SHORT_RUN], strict=True):
             for at in range(start, start + size, BLOCK):
                 block = np.arange(at, min(at + BLOCK, start + size))
-                found = np.zeros(len(block), int)
+                kept, open_ = (none, none, none), np.ones(len(block), bool)
                 for other in range(start, at + len(block), BLOCK):
-                    earlier = np.arange(other, min(other + BLOCK, start + size))
-                    todo = np.flatnonzero(found <= most)  # one more than wanted tells that there are more
+                    # a row with enough close lines needs no others; they are more, if it should come to that
+                    todo, earlier = block[open_], np.arange(other, min(other + BLOCK, start + size))
                     if not len(todo):
                         break
-                    i, j = (x.ravel() for x in np.meshgrid(block[todo], earlier, indexing="ij"))
-                    keep = j < i
-                    i, j = i[keep], j[keep]
-                    ok = self.passes(i, j)
-                    left.append(i[ok])
-                    right.append(j[ok])
-                    found += np.bincount(i[ok] - at, minlength=len(block))
-        i, j = np.concatenate(left), np.concatenate(right)
-        at = np.lexsort((j, i))
-        i, j = i[at], j[at]
-        first = np.flatnonzero(np.concatenate([[True], i[1:] != i[:-1]])) if len(i) else np.zeros(0, int)
-        counts = np.diff(np.append(first, len(i)))
-        nth = np.arange(len(i)) - np.repeat(first, counts)
-        kept = nth < most
-        return i[kept], j[kept], np.repeat(counts > most, counts)[kept]
+                    i, j = (x.ravel() for x in np.meshgrid(todo, earlier, indexing="ij"))
+                    new = self.passes(i[j < i], j[j < i])
+                    *kept, _, more = self.best(*(np.concatenate([x, y]) for x, y in zip(kept, new, strict=True)), most)
+                    extra.append(np.unique(kept[0][more]))
+                    close = np.bincount(kept[0][kept[2] < 32] - at, minlength=len(block)) >= most
+                    last = other + BLOCK >= at + len(block)
+                    if not last:
+                        extra.append(block[open_ & close])
+                    open_ &= ~close
+                found.append(tuple(kept))
+        i, j, _, nth, more = self.best(*(np.concatenate([f[k] for f in found]) for k in range(3)), most)
+        return i, j, nth.astype(np.int32), more | np.isin(i, np.concatenate(extra))
 
 
 def _matcher(most: int, similarity: Fraction):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def out(columns: list[np.ndarray]) -> pa.RecordBatch:
-            sure = np.flatnonzero(columns[4] < 0)
-            live = _Run([c[columns[4] >= 0] for c in columns], similarity)
-            i, j, more = live.candidates(most)
-            none = np.zeros(len(sure), bool)
-            doc, line = np.concatenate([live.doc[i], columns[1][sure]]), np.concatenate([live.line[i], columns[2][sure]])
-            void = np.concatenate([np.zeros(len(i), bool), ~none])
-            other = pa.array(np.concatenate([live.doc[j], columns[1][sure]]), mask=void)
-            other_line = pa.array(np.concatenate([live.line[j], columns[2][sure]]), mask=void)
-            return pa.RecordBatch.from_arrays([pa.array(doc), pa.array(line), other, other_line, pa.array(np.concatenate([more, none]))], ["doc_id", "line", "other_id", "other_line", "more"])
-
-        rest: list[list[np.ndarray]] = []
+            sure = columns[2] & 0xFFFFFFFF == 0
+            live, done = _Run([c[~sure] for c in columns], similarity), _Run([c[sure] for c in columns], similarity)
+            i, j, nth, more = live.candidates(most)
+            n = len(done.doc)
+            void = np.concatenate([np.zeros(len(i), bool), np.ones(n, bool)])
+            other = pa.array(np.concatenate([live.doc[j], done.doc]), mask=void)
+            other_line = pa.array(np.concatenate([live.line[j], done.line]), mask=void)
+            own = (np.concatenate([live.doc[i], done.doc]), np.concatenate([live.line[i], done.line]))
+            word = np.concatenate([live.token[i], done.token]).astype(np.int32)
+            rest = (np.concatenate([nth, np.zeros(n, np.int32)]), np.concatenate([more, np.zeros(n, bool)]), word)
+            return pa.RecordBatch.from_arrays([*map(pa.array, own), other, other_line, *map(pa.array, rest)], [c.split()[0] for c in CANDIDATE.split(", ")])
+
+        held: list[list[np.ndarray]] = []
+        rows = 0
         for batch in batches:
-            columns = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
-            if not len(columns[0]):
-                continue
-            cut = int(np.searchsorted(columns[0], columns[0][-1]))  # the last word may go on in the next batch
-            if rest and (cut or rest[-1][0][-1] != columns[0][0]):
-                yield out([np.concatenate([*(r[k] for r in rest), columns[k][:cut]]) for k in range(7)])
-                rest = []
-            elif cut:
-                yield out([c[:cut] for c in columns])
-            rest.append([c[cut:] for c in columns])
-        if rest:
-            yield out([np.concatenate([r[k] for r in rest]) for k in range(7)])
+            held.append([c.to_numpy(zero_copy_only=False) for c in batch.columns])
+            rows += batch.num_rows
+            if rows >= ROWS:
+                columns = [np.concatenate([h[k] for h in held]) for k in range(5)]
+                token = columns[0] >> 32
+                cut = int(np.searchsorted(token, token[-1]))  # the last word may go on in the next batch
+                if cut:
+                    yield out([c[:cut] for c in columns])
+                held, rows = [[c[cut:] for c in columns]], rows - cut
+        if rows:
+            yield out([np.concatenate([h[k] for h in held]) for k in range(5)])
 
     return run
 
 
 def candidates(posted: DataFrame, most: int, similarity: Fraction = SIMILARITY) -> DataFrame:
-    """Each line's first ``most`` possible earlier matches at every word, ``more`` where there are others.
+    """Each line's ``most`` closest possible earlier matches at every word, numbered, ``more`` where there are others.
 
     ``other_id`` is null for a line that is a match already. Rows of a word arrive in order of place and are compared in
-    numpy blocks; at most ``most`` rows for a line and word leave, however many lines share it.
+    numpy blocks; a bounded number of rows for a line and word leaves, however many lines share it.
     """
-    dealt = posted.repartition("token").sortWithinPartitions("token", "doc_id", "line")
+    word = F.shiftright("key", 32)
+    dealt = posted.repartition(word).sortWithinPartitions(word, "doc_id", "place", "key")
     return dealt.mapInArrow(_matcher(most, similarity), CANDIDATE)
 
 
+def _only(docs: DataFrame, places: DataFrame) -> DataFrame:
+    """The documents that may be among the places', by a bit filter of fixed size; never loses one that is."""
+    bit = F.pmod(F.xxhash64(F.col("doc_id").cast("long")), F.lit(FILTER_BITS))
+    words = places.select(F.shiftright(bit, 6).alias("w"), F.expr(f"shiftleft(1L, cast(pmod(xxhash64(cast(doc_id as bigint)), {FILTER_BITS}) & 63 as int))").alias("b"))
+    mask = words.groupBy("w").agg(F.bit_or("b").alias("mask"))
+    tested = docs.select("doc_id", "text", F.shiftright(bit, 6).alias("w"), bit.bitwiseAND(F.lit(63)).cast("int").alias("i"))
+    return tested.join(F.broadcast(mask), "w").where(F.expr("shiftrightunsigned(mask, i) & 1 = 1")).select("doc_id", "text")
+
+
 def _texts(docs: DataFrame, places: DataFrame) -> DataFrame:
-    """``doc_id, line, text`` of the lines at the given places."""
+    """``doc_id, line, late, early, text`` of the lines at the given places ``doc_id, line, late, early``."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
             for key, text, wanted in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 lines = utf8(text or "").lower().split(b"\n")
-                out += [(key, i, lines[i]) for i in wanted if i < len(lines)]
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate((pa.int64(), pa.int32(), pa.binary()))], ["doc_id", "line", "text"])
+                out += [(key, w["line"], w["late"], w["early"], lines[w["line"]]) for w in wanted if w["line"] < len(lines)]
+            kinds = (pa.int64(), pa.int32(), pa.bool_(), pa.bool_(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate(kinds)], ["doc_id", "line", "late", "early", "text"])
 
-    wanted = places.groupBy("doc_id").agg(F.collect_set("line").alias("wanted"))
-    return select_id_text(docs).join(wanted, "doc_id").select("doc_id", "text", "wanted").mapInArrow(run, "doc_id long, line int, text binary")
+    wanted = places.groupBy("doc_id").agg(F.collect_set(F.struct("line", "late", "early")).alias("wanted"))
+    mine = _only(select_id_text(docs), places).join(wanted, "doc_id")
+    return mine.select("doc_id", "text", "wanted").mapInArrow(run, "doc_id long, line int, late boolean, early boolean, text binary")
 
 
 def _verified(docs: DataFrame, pairs: DataFrame, similarity: Fraction) -> DataFrame:
-    """``doc_id, line, matched`` of each line of the pairs: whether one of its pairs is similar, by the words themselves."""
+    """``doc_id, line`` of each later line of the pairs that is similar to one of its earlier lines, by the words themselves."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             a, b = (batch.column(i).to_pylist() for i in (2, 3))
-            matched = [similar(set(x.split()), set(y.split()), similarity) for x, y in zip(a, b, strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(matched, pa.bool_())], ["doc_id", "line", "matched"])
+            matched = pa.array([similar(set(x.split()), set(y.split()), similarity) for x, y in zip(a, b, strict=True)], pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column(i).filter(matched) for i in (0, 1)], ["doc_id", "line"])
 
-    here, there = ["doc_id", "line"], ["other_id", "other_line"]
-    places = pairs.select(*here).union(pairs.select(*there)).distinct()
+    late = pairs.select("doc_id", "line", F.lit(True).alias("late"), F.lit(False).alias("early"))
+    early = pairs.select("other_id", "other_line", F.lit(False), F.lit(True))
+    places = materialise(late.union(early).groupBy("doc_id", "line").agg(F.bool_or("late").alias("late"), F.bool_or("early").alias("early")))
     texts = materialise(_texts(docs, places))
-    both = pairs.join(texts.withColumnRenamed("text", "a"), here).join(texts.select(F.col("doc_id").alias("other_id"), F.col("line").alias("other_line"), F.col("text").alias("b")), there)
-    return both.select("doc_id", "line", "a", "b").mapInArrow(run, "doc_id long, line int, matched boolean")
+    there = ["other_id", "other_line"]
+    a = texts.where("late").select("doc_id", "line", F.col("text").alias("a"))
+    b = texts.where("early").select(F.col("doc_id").alias("other_id"), F.col("line").alias("other_line"), F.col("text").alias("b"))
+    both = pairs.join(b, there).join(a, ["doc_id", "line"])
+    return both.select("doc_id", "line", "a", "b").mapInArrow(run, "doc_id long, line int").distinct()
 
 
 def removed_lines(docs: DataFrame, similarity: Fraction = SIMILARITY) -> DataFrame:
     """``doc_id, line`` of every line whose set of words is similar to that of a line at an earlier place.
 
     Places are ordered by doc_id and line number; a match counts whether it goes itself or not. All lines with a word
-    take part, whatever their length. Each line is held against its first possible match; where that fails and there
-    are others, against eight times as many, until every line is settled, so that no pair is lost and no group of alike
-    lines is written out as pairs. Documents with null ids and blank lines take no part; rows that share a doc_id are one
-    document, whose lines don't match themselves.
+    take part, whatever their length. Each line is held against its closest possible match at every word; where none is
+    one, against the next ones, and where there are still others, against eight times as many, until every line is
+    settled: no pair is lost, and no group of alike lines is written out as pairs. Documents with null ids and blank
+    lines take no part; rows that share a doc_id are one document, whose lines don't match themselves.
     """
-    most = 1
-    posted = postings(docs, frequent_words(docs), similarity)
-    done, open_ = [], None
+    place, most = ["doc_id", "line"], FIRST
+    frequent = frequent_words(docs)
+    found = materialise(candidates(postings(docs, frequent, similarity), most, similarity))
+    gone = found.where("other_id is null").select(*place).distinct()
+    possible, tried = found.where("other_id is not null"), "nth = 0"
     while True:
-        found = candidates(posted, most, similarity)
-        if open_ is not None:
-            found = found.where("other_id is not null").join(open_, ["doc_id", "line"], "left_semi")
-        found = materialise(found)
-        if open_ is None:
-            done.append(found.where("other_id is null").select("doc_id", "line"))
-        pairs = found.where("other_id is not null").groupBy("doc_id", "line", "other_id", "other_line").agg(F.max("more").alias("more"))
-        pairs = materialise(pairs)
-        checked = materialise(_verified(docs, pairs.drop("more"), similarity).groupBy("doc_id", "line").agg(F.max("matched").alias("matched")))
-        done.append(checked.where("matched").select("doc_id", "line"))
-        unsettled = pairs.groupBy("doc_id", "line").agg(F.max("more").alias("more")).where("more")
-        open_ = materialise(unsettled.join(checked.where("matched"), ["doc_id", "line"], "left_anti").select("doc_id", "line"))
-        if open_.isEmpty():
+        pairs = materialise(possible.where(tried).select(*place, "other_id", "other_line").distinct())
+        settled = materialise(_verified(docs, pairs, similarity))
+        gone = gone.union(settled)
+        if tried == "nth = 0":
+            tried = "nth > 0"
+            possible = possible.join(settled, place, "left_anti")
+            if possible.where(tried).isEmpty():
+                break
+            continue
+        open_ = materialise(possible.where("more").join(settled, place, "left_anti").select(*place, "word").distinct())
+        words = [r.word for r in open_.select("word").distinct().limit(LATER_WORDS + 1).collect()]
+        if not words:
             break
         most *= 8
-    gone = done[0]
-    for more in done[1:]:
-        gone = gone.union(more)
+        tried = "nth >= 0"
+        later = postings(docs, frequent, similarity, words if len(words) <= LATER_WORDS else None)
+        possible = materialise(candidates(later, most, similarity).where("other_id is not null").join(open_, [*place, "word"], "left_semi"))
     return materialise(gone.distinct())
 
 
