@@ -140,20 +140,54 @@ def frequent_words(docs: DataFrame, most: int = FREQUENT) -> list[int]:
 
 
 class WordOrder:
-    """Place of each word in the shared order: rare words by their hash, then frequent ones, rarest first."""
+    """Place of each word in the shared order: rare words by their hash, then frequent ones, rarest first.
+
+    Frequent words are looked up for whole arrays in a table with open addressing.
+    """
+
+    BITS = 18
 
     def __init__(self, frequent: list[int]) -> None:
-        hashes = np.array(frequent, np.uint64)
-        at = np.argsort(hashes)
-        self.hashes, self.ranks = hashes[at], at.astype(np.uint64) + np.uint64(1 << 63)
+        self.keys, self.ranks = np.zeros(1 << self.BITS, np.uint64), np.zeros(1 << self.BITS, np.uint64)
+        hashes = np.array([h for h in frequent if h], np.uint64)
+        ranks = np.flatnonzero(np.array(frequent, np.uint64)).astype(np.uint64) + np.uint64(1 << 63)
+        slot = hashes >> np.uint64(64 - self.BITS)
+        while len(hashes):  # each free slot takes one of the words that want it, the others step on
+            free = self.keys[slot] == 0
+            self.keys[slot[free]] = hashes[free]
+            done = self.keys[slot] == hashes
+            self.ranks[slot[done]] = ranks[done]
+            hashes, ranks, slot = hashes[~done], ranks[~done], (slot[~done] + np.uint64(1)) & np.uint64((1 << self.BITS) - 1)
 
     def __call__(self, hashes: np.ndarray) -> np.ndarray:
-        place = hashes >> np.uint64(1)
-        if len(self.hashes):
-            at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
-            known = self.hashes[at] == hashes
-            place[known] = self.ranks[at[known]]
-        return place
+        place, slot, at = hashes >> np.uint64(1), hashes >> np.uint64(64 - self.BITS), None
+        keys = hashes
+        while True:
+            found = self.keys[slot]
+            hit = found == keys
+            go = ~hit & (found != 0)
+            place[hit if at is None else at[hit]] = self.ranks[slot[hit]]
+            at = np.flatnonzero(go) if at is None else at[go]
+            if not len(at):
+                return place
+            keys, slot = keys[go], (slot[go] + np.uint64(1)) & np.uint64((1 << self.BITS) - 1)
+
+
+def _token(places: np.ndarray) -> np.ndarray:
+    """32 bits of a word's place, by which its rows meet."""
+    return (_mix(places, 0x9E3779B97F4A7C15) >> np.uint64(32)).astype(np.int64) - (1 << 31)
+
+
+def _by_line(owner: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """The order of words by line and place. One sort of packed keys does it unless two places share their upper bits."""
+    frequent = places >> np.uint64(63) == 1
+    upper = np.where(frequent, np.uint64(1 << 39) | (places & np.uint64((1 << 39) - 1)), places >> np.uint64(25))
+    key = owner.astype(np.uint64) << np.uint64(40) | upper
+    at = np.argsort(key)
+    key, sorted_ = key[at], places[at]
+    if ((key[1:] == key[:-1]) & (sorted_[1:] != sorted_[:-1])).any():
+        return np.lexsort((places, owner))
+    return at
 
 
 def _mix(x: np.ndarray, by: int) -> np.ndarray:
@@ -164,7 +198,7 @@ def _mix(x: np.ndarray, by: int) -> np.ndarray:
 class Lines:
     """Sets of words of the lines of some texts as arrays: sorted places in the order, and where each line's begin."""
 
-    def __init__(self, ids: list, texts: list[str], order: WordOrder) -> None:
+    def __init__(self, ids: list, texts: list[str], order: WordOrder, only: np.ndarray | None = None) -> None:
         mine = [i for i, key in enumerate(ids) if key is not None]
         raw = _bytes([texts[i] for i in mine])
         start, hashes = word_hashes(raw)
@@ -173,12 +207,17 @@ class Lines:
         per_doc = np.array([texts[i].count("\n") + 1 for i in mine], np.int64)
         of_doc = np.repeat(np.arange(len(mine)), per_doc)
         within = np.arange(len(of_doc)) - np.repeat(np.cumsum(per_doc) - per_doc, per_doc)
+        flat = order(hashes)
+        if only is not None:  # lines without any of these words have no rows
+            wanted = np.zeros(len(ends), bool)
+            wanted[number[np.isin(_token(flat), only)]] = True
+            kept = wanted[number]
+            flat, number = flat[kept], number[kept]
         filled, sizes = np.unique(number, return_counts=True)
         doc = np.array([ids[i] for i in mine], np.int64)[of_doc[filled]]
         self.doc, self.line = doc, within[filled].astype(np.int32)
-        flat = order(hashes)
         owner = np.repeat(np.arange(len(doc)), sizes)
-        at = np.lexsort((flat, owner))
+        at = _by_line(owner, flat)
         flat, owner = flat[at], owner[at]
         new = np.ones(len(flat), bool)
         new[1:] = (flat[1:] != flat[:-1]) | (owner[1:] != owner[:-1])
@@ -212,8 +251,9 @@ def postings(docs: DataFrame, frequent: list[int], similarity: Fraction = SIMILA
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         order, seen = WordOrder(shared.value), {}
+        wanted = None if words is None else np.array(words.value, np.int64)
         for ids, texts in id_and_text(batches, SLICE):
-            part = Lines(ids, texts, order)
+            part = Lines(ids, texts, order, wanted)
             again = np.zeros(len(part.doc), bool)
             for i, (sign, place) in enumerate(zip(part.sign, zip(part.doc.tolist(), part.line.tolist(), strict=True), strict=True)):
                 first = seen.get(sign)
@@ -226,10 +266,10 @@ def postings(docs: DataFrame, frequent: list[int], similarity: Fraction = SIMILA
             count = np.where(again, 1, prefix_length(part.size.astype(np.int64), similarity))
             row = np.repeat(np.arange(len(part.doc)), count)
             pos = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
-            token = (_mix(part.words[part.start[row] + pos], 0x9E3779B97F4A7C15) >> np.uint64(32)).astype(np.int64) - (1 << 31)
+            token = _token(part.words[part.start[row] + pos])
             size = np.where(again, 0, part.size)[row]
-            if words is not None:
-                kept = np.isin(token, np.array(words.value, np.int64)) & (size > 0)
+            if wanted is not None:
+                kept = np.isin(token, wanted) & (size > 0)
                 row, token, pos, size = row[kept], token[kept], pos[kept], size[kept]
             columns = (token << 32 | pos, part.doc[row], part.line[row].astype(np.int64) << 32 | size, part.s1[row], part.s2[row])
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], [c.split()[0] for c in POSTING.split(", ")])
@@ -277,57 +317,61 @@ class _Run:
         kept = nth < np.repeat(limit, counts)
         return i[kept], j[kept], far[kept], nth[kept], np.repeat(counts > limit, counts)[kept]
 
-    def candidates(self, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """(line, earlier line, its number from 0, whether there are more) of the closest earlier lines that pass, for each line."""
+    def candidates(self, most: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        """(line, earlier line, its number from 0, whether there are more) of the closest earlier lines that pass.
+
+        Parts of bounded size: all short runs, then each block of a long run.
+        """
         n = len(self.token)
         starts = np.flatnonzero(np.concatenate([[True], self.token[1:] != self.token[:-1]])) if n else np.zeros(0, int)
         sizes = np.diff(np.append(starts, n))
         begin = np.repeat(starts, sizes)
         none = np.zeros(0, int)
-        found, extra = [(none, none, none)], [none]
+        found = [(none, none, none)]
         rows = np.flatnonzero(np.repeat((sizes > 1) & (sizes <= SHORT_RUN), sizes))
         for d in range(1, SHORT_RUN):
             rows = rows[rows - d >= begin[rows]]
             if not len(rows):
                 break
             found.append(self.passes(rows, rows - d))
+        i, j, _, nth, more = self.best(*(np.concatenate([f[k] for f in found]) for k in range(3)), most)
+        yield i, j, nth.astype(np.int32), more
         for start, size in zip(starts[sizes > SHORT_RUN], sizes[sizes > SHORT_RUN], strict=True):
             for at in range(start, start + size, BLOCK):
                 block = np.arange(at, min(at + BLOCK, start + size))
-                kept, open_ = (none, none, none), np.ones(len(block), bool)
+                kept, open_, others = [none, none, none], np.ones(len(block), bool), np.zeros(len(block), bool)
                 for other in range(start, at + len(block), BLOCK):
                     # a row with enough close lines needs no others; they are more, if it should come to that
                     todo, earlier = block[open_], np.arange(other, min(other + BLOCK, start + size))
                     if not len(todo):
                         break
                     i, j = (x.ravel() for x in np.meshgrid(todo, earlier, indexing="ij"))
-                    new = self.passes(i[j < i], j[j < i])
+                    before = j < i
+                    new = self.passes(i[before], j[before])
                     *kept, _, more = self.best(*(np.concatenate([x, y]) for x, y in zip(kept, new, strict=True)), most)
-                    extra.append(np.unique(kept[0][more]))
+                    others[kept[0][more] - at] = True
                     close = np.bincount(kept[0][kept[2] < 32] - at, minlength=len(block)) >= most
-                    last = other + BLOCK >= at + len(block)
-                    if not last:
-                        extra.append(block[open_ & close])
+                    if other + BLOCK < at + len(block):
+                        others |= open_ & close
                     open_ &= ~close
-                found.append(tuple(kept))
-        i, j, _, nth, more = self.best(*(np.concatenate([f[k] for f in found]) for k in range(3)), most)
-        return i, j, nth.astype(np.int32), more | np.isin(i, np.concatenate(extra))
+                i, j, _, nth, more = self.best(*kept, most)
+                yield i, j, nth.astype(np.int32), more | others[i - at]
 
 
 def _matcher(most: int, similarity: Fraction):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def out(columns: list[np.ndarray]) -> pa.RecordBatch:
+        names = [c.split()[0] for c in CANDIDATE.split(", ")]
+
+        def out(columns: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
             sure = columns[2] & 0xFFFFFFFF == 0
             live, done = _Run([c[~sure] for c in columns], similarity), _Run([c[sure] for c in columns], similarity)
-            i, j, nth, more = live.candidates(most)
-            n = len(done.doc)
-            void = np.concatenate([np.zeros(len(i), bool), np.ones(n, bool)])
-            other = pa.array(np.concatenate([live.doc[j], done.doc]), mask=void)
-            other_line = pa.array(np.concatenate([live.line[j], done.line]), mask=void)
-            own = (np.concatenate([live.doc[i], done.doc]), np.concatenate([live.line[i], done.line]))
-            word = np.concatenate([live.token[i], done.token]).astype(np.int32)
-            rest = (np.concatenate([nth, np.zeros(n, np.int32)]), np.concatenate([more, np.zeros(n, bool)]), word)
-            return pa.RecordBatch.from_arrays([*map(pa.array, own), other, other_line, *map(pa.array, rest)], [c.split()[0] for c in CANDIDATE.split(", ")])
+            void, n = np.ones(len(done.doc), bool), len(done.doc)
+            yield pa.RecordBatch.from_arrays(
+                [*map(pa.array, (done.doc, done.line)), pa.array(done.doc, mask=void), pa.array(done.line, mask=void), *map(pa.array, (np.zeros(n, np.int32), np.zeros(n, bool), done.token.astype(np.int32)))], names
+            )
+            for i, j, nth, more in live.candidates(most):
+                columns = (live.doc[i], live.line[i], live.doc[j], live.line[j], nth, more, live.token[i].astype(np.int32))
+                yield pa.RecordBatch.from_arrays([*map(pa.array, columns)], names)
 
         held: list[list[np.ndarray]] = []
         rows = 0
@@ -339,10 +383,10 @@ def _matcher(most: int, similarity: Fraction):
                 token = columns[0] >> 32
                 cut = int(np.searchsorted(token, token[-1]))  # the last word may go on in the next batch
                 if cut:
-                    yield out([c[:cut] for c in columns])
+                    yield from out([c[:cut] for c in columns])
                 held, rows = [[c[cut:] for c in columns]], rows - cut
         if rows:
-            yield out([np.concatenate([h[k] for h in held]) for k in range(5)])
+            yield from out([np.concatenate([h[k] for h in held]) for k in range(5)])
 
     return run
 
