@@ -24,7 +24,7 @@ SLICE, HASHED = 1_000_000, 1 << 20
 NARROW = 64
 #: Earlier lines that a line and word keep at first where the closest one's sketch differs in less than a quarter of what
 #: it may; up to a half these times as many, else these times as many again.
-FIRST, MORE = 8, 8
+FIRST, MORE = 4, 8
 #: Words to which a later round may be limited by broadcast; beyond, it takes all words.
 LATER_WORDS = 1_000_000
 #: Rows that are compared at once.
