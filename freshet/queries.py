@@ -49,6 +49,30 @@ def query(sql: str | None = None) -> Callable[[Callable], Callable]:
     return add
 
 
+def whole(name: str, *cuts: str, twin: bool = True) -> Callable[[Callable], Callable]:
+    """Register a function as ``<name>_whole``: the query ``name`` over all rows.
+
+    Its twin is that of ``name`` without the given id filters, or none where that twin would compare all pairs.
+    """
+
+    def add(f: Callable) -> Callable:
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            return plain(f(lambda table: view(spark, sf_dir, table)))
+
+        run.__name__, run.__doc__ = f"{name}_whole", f.__doc__
+        QUERIES[run.__name__] = run
+        if twin:
+            sql = ORACLES[name]
+            for cut in cuts:
+                if cut not in sql:
+                    raise ValueError(f"{name}: no {cut!r} in its twin")
+                sql = sql.replace(cut, "")
+            ORACLES[run.__name__] = sql
+        return f
+
+    return add
+
+
 def ts(text: str):
     return F.lit(text).cast("timestamp_ntz")
 

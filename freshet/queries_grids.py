@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from .operators import grids as G
 from .operators import network as N
 from .plans import jobs
-from .queries import query, ts
+from .queries import query, ts, whole
 
 CYCLE = "2026-03-18 00:00:00"
 GRID = G.RegularGrid(-54.0, -31.0, -50.0, -27.0, 0.5)
@@ -154,6 +154,13 @@ def gr3_fixed_neighbours(v):
     return G.apply_weights(weights, daily(v))
 
 
+@whole("gr3_fixed_neighbours", twin=False)
+def gr3_fixed_neighbours_whole(v):
+    """All catchments. A twin would sort all pairs of catchments and stations: a test holds it against brute force."""
+    weights = G.idw_weights(points(v), v("station").select(F.col("station_id").alias("source_id"), "lat", "lon"))
+    return G.apply_weights(weights, daily(v))
+
+
 @query(f"""with t as (select mini_id as target_id, lat, lon from mini), s as (select distinct concat(iy, ':', ix) as source_id, lat, lon from cell where asset_id = 'asset1'), {KNN.format(k=5)}, w as (select target_id, source_id, 1 / pow(greatest(d, 1e-12), 2) as w from knn)
     select target_id, cast(end_utc as varchar) as end_utc, round(sum(case when value is not null then w * value end) / sum(case when value is not null then w end), 6) as value from w join (select concat(iy, ':', ix) as source_id, end_utc, value from cell where asset_id = 'asset1') c using (source_id) group by 1, 2""")
 def gr4_grid_to_minis(v):
@@ -287,6 +294,12 @@ def gr18_zero_block(v):
     return G.zero_block(axis, v("mini").where("mini_id <= 100"))
 
 
+@whole("gr18_zero_block", " where mini_id <= 100")
+def gr18_zero_block_whole(v):
+    axis = v("model_output").where("mini_id = 1 and scenario_id = 'scenario0'").select("dt").distinct()
+    return G.zero_block(axis, v("mini"))
+
+
 @query(f"with {INTERVALS} select asset_id, iy, ix, round(case when lon + 360 > 180 then lon else lon + 360 end, 6) as lon, cast(start_utc as varchar) as start_utc, cast(end_utc as varchar) as end_utc, round(value * 1000, 6) as value from intervals")
 def gr19_canonical_grid(v):
     rows = v("message").withColumns({"short_name": F.lit("tp"), "lon": F.col("lon") + 360})
@@ -401,14 +414,24 @@ def pj5_output_export(v):
     return jobs.export(cells, minis, "level", ts("2026-03-10 00:00:00"), ts("2026-03-10 10:00:00"), 1)
 
 
+def two_scenarios(v, targets):
+    """A raw and a corrected scenario of one asset at the targets."""
+    pick = F.array(*(F.struct(F.lit(a).alias("scenario_id"), F.lit(k).alias("kind"), F.lit("asset0").alias("asset_id"), F.lit(e).cast("string").alias("manual_edit_id")) for a, k, e in (("a.raw", "raw", None), ("a.corrected", "corrected", "x"))))
+    scenarios = one(v).select(F.explode(pick).alias("s")).select("s.*")
+    edits = two_edits(v).where("asset_id = 'asset0'").withColumns({"manual_edit_id": F.lit("x"), "shift_lat": F.lit(0.0)})
+    return jobs.scenario_forcings(scenarios, v("cell"), edits, targets, ORIGIN, STEP, 1)
+
+
 @query(f"""with sc as (select * from (values ('a.raw', 'asset0', null), ('a.corrected', 'asset0', 'x')) s(scenario_id, asset_id, edit)), ed as (select scenario_id as asset_id, start_utc, end_utc, lat, lon, value * case when edit is not null and start_utc = timestamp '2026-03-18' then 2 else 1 end as value from cell join sc using (asset_id)),
     t as (select mini_id as target_id, lat, lon from mini where mini_id <= 300), cells as (select asset_id, start_utc + h * interval '1' hour as start_utc, start_utc + (h + 1) * interval '1' hour as end_utc, round((lat + 33) / 0.25) as iy, round((lon + 55) / 0.25) as ix, value / 3 as value from ed, range(3) r(h)),
     {_CORNERS.format(cells='cells').replace('target_id, start_utc, end_utc, case', 'target_id, asset_id, start_utc, end_utc, case').replace('group by 1, 2, 3', 'group by 1, 2, 3, 4')} select asset_id as scenario_id, cast(end_utc as varchar) as end_utc, target_id, round(value, 6) as value from bil""")
 def pj7_scenario_forcings(v):
-    pick = F.array(*(F.struct(F.lit(a).alias("scenario_id"), F.lit(k).alias("kind"), F.lit("asset0").alias("asset_id"), F.lit(e).cast("string").alias("manual_edit_id")) for a, k, e in (("a.raw", "raw", None), ("a.corrected", "corrected", "x"))))
-    scenarios = one(v).select(F.explode(pick).alias("s")).select("s.*")
-    edits = two_edits(v).where("asset_id = 'asset0'").withColumns({"manual_edit_id": F.lit("x"), "shift_lat": F.lit(0.0)})
-    return jobs.scenario_forcings(scenarios, v("cell"), edits, points(v).where("target_id <= 300"), ORIGIN, STEP, 1)
+    return two_scenarios(v, points(v).where("target_id <= 300"))
+
+
+@whole("pj7_scenario_forcings", " where mini_id <= 300")
+def pj7_scenario_forcings_whole(v):
+    return two_scenarios(v, points(v))
 
 
 @query("""with b as (select asset_id, min(valid_time) - interval '3' hour as a, max(valid_time) as z, min(lon) - 0.125 as w, min(lat) - 0.25 / 2 as s, max(lon) + 0.125 as e, max(lat) + 0.125 as n from message group by 1)

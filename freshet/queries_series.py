@@ -9,7 +9,7 @@ from .functions import timeops as D
 from .operators import observations as O
 from .operators import series as S
 from .plans import jobs
-from .queries import query, ts
+from .queries import query, ts, whole
 
 START, CUTOFF, END = "2024-01-05 00:00:00", "2024-01-20 12:00:00", "2024-01-25 00:00:00"
 #: Right-closed bucket of a minute in DuckDB.
@@ -124,6 +124,11 @@ def ag11_network_peaks(v):
     return S.network_peaks(v("model_output").where("scenario_id = 'scenario1'"), "precipitation", v("mini").where("mini_id <= 60"), ts("1996-06-01 00:00:00"), ts("1999-01-01 00:00:00"))
 
 
+@whole("ag11_network_peaks", " where mini_id <= 60")
+def ag11_network_peaks_whole(v):
+    return S.network_peaks(v("model_output").where("scenario_id = 'scenario1'"), "precipitation", v("mini"), ts("1996-06-01 00:00:00"), ts("1999-01-01 00:00:00"))
+
+
 @query(f"""with {PREFERRED}, {VALUES}, a as (select s.station_id, count(x.series_id) as n, count(x.value) as c,
     case when count(case when variable_code = 'rain' then value end) > 0 then coalesce(sum(case when variable_code = 'rain' and observed_at > timestamp '{END}' - interval '24' hour then value end), 0) end as r
     from station s left join vals x using (station_id) group by 1)
@@ -360,6 +365,12 @@ def df7_cycle_candidates(v):
     return D.cycle_candidates(rows, "cycle", 5).select("arrival_seq", "rank", "candidate")
 
 
+@whole("df7_cycle_candidates", " where arrival_seq % 10 = 0")
+def df7_cycle_candidates_whole(v):
+    rows = v("obs").select("arrival_seq", D.forecast_cycle(F.col("observed_at")).alias("cycle"))
+    return D.cycle_candidates(rows, "cycle", 5).select("arrival_seq", "rank", "candidate")
+
+
 @query("""select arrival_seq, cast(date_trunc('day', observed_at) - interval '2' day as varchar) as start_time, cast(date_trunc('hour', observed_at) + interval '1' hour as varchar) as forecast_start,
     cast(date_trunc('hour', observed_at) + interval '49' hour as varchar) as end_time, cast(date_diff('hour', date_trunc('day', observed_at) - interval '2' day, date_trunc('hour', observed_at) + interval '49' hour) + 1 as bigint) as nt, cast(49 as bigint) as forecast_nt from obs""")
 def df8_horizon_window(v):
@@ -384,6 +395,12 @@ def df11_segments(v):
     return D.segments(rows, "t", ts("2024-01-01 00:00:00"), ts("2024-01-02 16:00:00"), 1).drop("t")
 
 
+@whole("df11_segments", " where l_orderkey % 10 = 0")
+def df11_segments_whole(v):
+    rows = v("lineitem").select("l_orderkey", "l_linenumber", (F.col("l_partkey") % 100).alias("t"))
+    return D.segments(rows, "t", ts("2024-01-01 00:00:00"), ts("2024-01-02 16:00:00"), 1).drop("t")
+
+
 @query("""select station_id, cast(cast(unnest(generate_series(cast(greatest(date '2024-01-05', cast(max(observed_at) as date)) as timestamp), timestamp '2024-02-02', interval '1' day)) as date) as varchar) as day from obs where variable_code = 'flow' group by station_id""")
 def df12_request_days(v):
     latest = v("obs").where("variable_code = 'flow'").groupBy("station_id").agg(F.max("observed_at").alias("t"))
