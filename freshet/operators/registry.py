@@ -52,9 +52,11 @@ def as_of(points: DataFrame, assets: DataFrame, kind: str) -> DataFrame:
     """``point_id, asset_id`` of the newest asset valid at each point's instant, null without one.
 
     Points meet the assets of their provider by the days of the assets' validity, an equality; a window then keeps the
-    newest.
+    newest. Of assets with the same provider and validity only the one that goes before the others takes part.
     """
     rows = assets.where(F.col("asset_kind") == kind).select("asset_id", "provider_code", "valid_from", "valid_to", "created_at")
+    same = Window.partitionBy("provider_code", "valid_from", "valid_to").orderBy(F.col("created_at").desc(), "asset_id")
+    rows = rows.withColumn("place", F.row_number().over(same)).where("place = 1").drop("place")
     days = rows.withColumn("day", F.explode(F.sequence(F.to_date("valid_from"), F.to_date("valid_to"))))
     found = points.withColumn("day", F.to_date("at")).join(days, ["provider_code", "day"]).where("valid_from <= at and valid_to >= at")
     order = Window.partitionBy("point_id").orderBy(F.col("valid_from").desc(), F.col("created_at").desc(), "asset_id")

@@ -11,11 +11,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .sources.views import view, with_views
+from .sources.views import PARTS, view, with_views
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
+_FUNCTIONS: dict[str, Callable] = {}
 
 
 def plain(df: DataFrame) -> DataFrame:
@@ -42,6 +43,7 @@ def query(sql: str | None = None) -> Callable[[Callable], Callable]:
 
         run.__name__, run.__doc__ = f.__name__, f.__doc__
         QUERIES[f.__name__] = run
+        _FUNCTIONS[f.__name__] = f
         if sql is not None:
             ORACLES[f.__name__] = with_views(sql)
         return f
@@ -50,14 +52,14 @@ def query(sql: str | None = None) -> Callable[[Callable], Callable]:
 
 
 def whole(name: str, *cuts: str, twin: bool = True) -> Callable[[Callable], Callable]:
-    """Register a function as ``<name>_whole``: the query ``name`` over all rows.
+    """Register a function as ``<name>_whole``: the query ``name`` over all rows, those of the views too.
 
-    Its twin is that of ``name`` without the given id filters, or none where that twin would compare all pairs.
+    Its twin is that of ``name`` without the given id filters and the views' parts, or none where that twin would compare all pairs.
     """
 
     def add(f: Callable) -> Callable:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return plain(f(lambda table: view(spark, sf_dir, table)))
+            return plain(f(lambda table: view(spark, sf_dir, table, whole=True)))
 
         run.__name__, run.__doc__ = f"{name}_whole", f.__doc__
         QUERIES[run.__name__] = run
@@ -67,6 +69,8 @@ def whole(name: str, *cuts: str, twin: bool = True) -> Callable[[Callable], Call
                 if cut not in sql:
                     raise ValueError(f"{name}: no {cut!r} in its twin")
                 sql = sql.replace(cut, "")
+            for part in PARTS.values():
+                sql = sql.replace(part, "")
             ORACLES[run.__name__] = sql
         return f
 
@@ -78,3 +82,7 @@ def ts(text: str):
 
 
 from . import queries_grids, queries_registry, queries_series, queries_tables  # noqa: E402, F401
+
+for _name, _sql in list(ORACLES.items()):
+    if f"{_name}_whole" not in QUERIES and not _name.endswith("_whole") and any(part in _sql for part in PARTS.values()):
+        whole(_name)(_FUNCTIONS[_name])

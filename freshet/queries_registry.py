@@ -87,6 +87,13 @@ def jo12_exact_cycle(v):
     return R.of_cycle(wanted.union(none).distinct(), v("asset"))
 
 
+@whole("jo12_exact_cycle", " and checksum like '%1'")
+def jo12_exact_cycle_whole(v):
+    wanted = v("asset").where("asset_kind = 'forecast_grid'").select("provider_code", F.col("valid_from").alias("cycle_time"))
+    none = v("region").agg(F.lit("ecmwf").alias("provider_code"), ts("1990-01-01 00:00:00").alias("cycle_time"))
+    return R.of_cycle(wanted.union(none).distinct(), v("asset"))
+
+
 REFS = "refs as (select distinct case o_orderkey % 2 when 0 then 'ecmwf' else 'noaa' end as provider_code, date_trunc('day', o_orderdate) + interval '14' hour as reference from orders where o_orderkey % 9 = 0)"
 OPTIONS = "options as (select provider_code, reference, i as rank, reference - interval '2' hour - i * interval '6' hour as cycle_time from refs, range({n}) r(i))"
 

@@ -10,6 +10,7 @@ import pytest
 from test_queries import SF, TABLES, rows
 
 from freshet.queries import ORACLES, QUERIES
+from freshet.sources.views import PARTS, view
 
 WHOLE = sorted(n for n in QUERIES if n.endswith("_whole"))
 
@@ -50,3 +51,15 @@ def test_every_id_takes_part(spark, tmp_path):
                 want[i + 1, dt] = sum(w * x for w, x in some) / sum(w for w, _ in some) if some else None
     assert got.keys() == want.keys() and {k[0] for k in got} == set(range(1, 351))
     assert all(got[k] == (None if x is None else pytest.approx(x, abs=1e-5)) for k, x in want.items())
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="the driver's tables aren't here")
+def test_views_have_every_row(spark):
+    orders, lines = (view(spark, SF, n).count() for n in ("orders", "lineitem"))
+    assert (view(spark, SF, "asset", whole=True).count(), view(spark, SF, "edit", whole=True).count()) == (orders, lines)
+    assert QUERIES["mf6_reusable_whole"](spark, SF).count() == orders
+
+
+def test_queries_of_cut_views_have_a_whole_one():
+    users = [n for n, sql in ORACLES.items() if any(part in sql for part in PARTS.values())]
+    assert len(users) >= 23 and not [n for n in users if f"{n}_whole" not in QUERIES or any(part in ORACLES[f"{n}_whole"] for part in PARTS.values())]
