@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 from html import unescape
@@ -20,7 +21,7 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 RAW = frozenset("script style textarea title xmp iframe noembed noframes noscript".split())
 #: Elements whose content is never text of an article.
 DROPPED = frozenset(
-    "script style noscript template iframe object embed svg math canvas audio video map nav aside footer form button select option textarea input label fieldset dialog menu head title noembed noframes".split()
+    "script style noscript template iframe object embed svg math canvas audio video map nav aside footer button select option textarea input label fieldset dialog menu head title noembed noframes".split()
 )
 #: Elements that begin and end a block of text.
 BLOCK = frozenset(
@@ -36,6 +37,10 @@ JUNK = frozenset(
     "masthead topbar toolbar header cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe subscription signup login comment comments disqus respond reply replies "
     "share sharing social related recommended recommendations pagination pager widget skip search tags complementary contentinfo".split()
 )
+#: Those of them under which whole articles are put only when they hold nearly all of the page.
+THREAD = frozenset("comment comments disqus respond reply replies".split())
+#: First words of names that say what a layout has or lacks.
+_LAYOUT = frozenset("has no not with without".split())
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*(?:>|\Z)|<\?[^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)", re.S)
 _NAMES = re.compile(r"""(?<![\w-])(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
 _WORDS = re.compile(r"[a-z]+|\d+")
@@ -45,12 +50,17 @@ _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 @dataclass(slots=True)
 class Node:
-    """An open element: its generalised path, whether its content is dropped, and where its blocks begin."""
+    """An open element: its generalised path, whether its content is dropped, and where its blocks begin.
+
+    ``hard``: dropped by more than its names; ``doubt``: its number among those dropped only by them.
+    """
 
     tag: str
     path: str
     dropped: bool
     container: int
+    hard: bool = False
+    doubt: int = -1
 
 
 @dataclass(slots=True)
@@ -68,37 +78,86 @@ class Container:
     after: int = 0
 
 
+@dataclass(slots=True)
+class Doubt:
+    """An element that only its names (or ``form``) mark: characters outside links, articles and first headings in it.
+
+    ``outer``: none of the same name is around it.
+    """
+
+    name: str
+    outer: bool
+    thread: bool
+    chars: int
+    articles: int
+    titles: int
+
+
 @dataclass
 class Page:
-    """Blocks of text in page order and the containers around them."""
+    """Blocks of text in page order and the containers around them.
+
+    ``chars``: characters outside links, of what isn't hard dropped; ``left``: those that aren't dropped at all.
+    """
 
     blocks: list[str] = field(default_factory=list)
     containers: list[Container] = field(default_factory=list)
+    doubts: list[Doubt] = field(default_factory=list)
+    chars: int = 0
+    left: int = 0
+    titles: int = 0
 
 
-def general_name(tag: str, attributes: str) -> tuple[str, bool]:
-    """(tag with the words of its class, digits left out; whether its names mark it as no part of an article)."""
+def general_name(tag: str, attributes: str) -> tuple[str, set[str], bool]:
+    """(tag with the words of its class, digits left out; words that mark it as no part of an article; whether it is hidden)."""
     if not attributes or "=" not in attributes and "hidden" not in attributes:
-        return tag, False
-    classes, junk = [], False
+        return tag, set(), False
+    classes, junk, hidden = [], set(), False
     for m in _NAMES.finditer(attributes):
         name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
         if name == "hidden" or name == "aria-hidden" and value.lower() == "true" and tag not in ("article", "main", "body"):
-            junk = True
+            hidden = True
         elif name == "style":
-            junk |= bool(re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I))
+            hidden |= bool(re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I))
         else:
             for one in value.split():
                 words = [w for w in _WORDS.findall(_CAMEL.sub(" ", one).lower()) if not w.isdigit()]
                 if name == "class" and words:
                     classes.append("-".join(words))
-                junk |= not JUNK.isdisjoint(words) and tag not in ("html", "body", "article", "main")
-    return tag + "".join("." + c for c in sorted(set(classes))), junk
+                if words and words[0] not in _LAYOUT and tag not in ("html", "body", "article", "main"):
+                    junk |= JUNK.intersection(words)
+    return tag + "".join("." + c for c in sorted(set(classes))), junk, hidden
 
 
 def parse(html: str) -> Page:
     """Blocks of the page's text without dropped elements, and the containers that they stand in.
 
+    Names are a mark, no proof: the page is parsed again with those marked elements (and forms) that hold most of its
+    text outside links (elements of one name together), its only article with a quarter of that text, or its only
+    first heading, and without any marks where a tenth or less of the text would be left. Elements named for comments
+    must hold nine tenths.
+    """
+    page = _parse(html)
+    if not page.doubts:
+        return page
+    articles = any(c.chars and c.path.rsplit(">", 1)[-1].split(".")[0] in ("article", "main") for c in page.containers)
+    together: dict[str, int] = {}
+    for d in page.doubts:
+        if d.outer:
+            together[d.name] = together.get(d.name, 0) + d.chars
+    kept = set()
+    for i, d in enumerate(page.doubts):
+        part, all_ = (n / page.chars if page.chars else 0.0 for n in (d.chars, together[d.name]))
+        if all_ >= 0.9 or not d.thread and (not articles and (all_ > 0.5 or d.articles and part >= 0.25) or d.titles and not page.titles):
+            kept.add(i)
+    if kept:
+        page = _parse(html, kept)
+    return _parse(html, None) if page.chars and page.left * 10 <= page.chars or not page.blocks else page
+
+
+def _parse(html: str, kept: set[int] | None = frozenset()) -> Page:
+    """One pass; of the elements that only names mark, those with the numbers ``kept`` stay, all for None.
+
     Lenient: end tags without a start are skipped, open elements end with the page. Character references are decoded,
     white space inside a block (line breaks too) becomes one space, blocks without text are left out.
     """
@@ -109,6 +168,7 @@ def parse(html: str) -> Page:
     anchors = 0
     link_part = 0
     in_paragraph = False
+    doubts, articles, titles, around = page.doubts, 0, 0, Counter()
 
     def flush() -> None:
         nonlocal link_part
@@ -131,17 +191,36 @@ def parse(html: str) -> Page:
 
     def text(raw: str) -> None:
         nonlocal link_part
-        if raw and not stack[-1].dropped:
+        top = stack[-1]
+        if raw and not top.hard:
             value = unescape(raw) if "&" in raw else raw
-            pieces.append(value)
-            if anchors:
-                link_part += len(value.strip())
+            size = len(value.strip())
+            if not anchors:
+                page.chars += size
+                page.left += 0 if top.dropped else size
+            if not top.dropped:
+                pieces.append(value)
+                if anchors:
+                    link_part += size
+
+    def doubt(name: str, words: set[str]) -> int:
+        around[name] += 1
+        doubts.append(Doubt(name, around[name] == 1, not THREAD.isdisjoint(words), -page.chars, -articles, -titles))
+        return len(doubts) - 1
+
+    def left(node: Node) -> None:
+        if node.doubt >= 0:
+            d = doubts[node.doubt]
+            around[d.name] -= 1
+            d.chars, d.articles, d.titles = d.chars + page.chars, d.articles + articles, d.titles + titles
 
     def close(to: int) -> None:
         nonlocal in_paragraph
         flush()
         while len(stack) > to:
-            if stack.pop().tag == "p":
+            node = stack.pop()
+            left(node)
+            if node.tag == "p":
                 in_paragraph = False
 
     at, n = 0, len(html)
@@ -173,7 +252,7 @@ def parse(html: str) -> Page:
                     if tag in BLOCK and not stack[-1].dropped:
                         flush()
             elif stack[-1].tag == tag:
-                stack.pop()  # a dropped inline element; the block around it goes on
+                left(stack.pop())  # a dropped inline element; the block around it goes on
             continue
         if tag in RAW:  # its content has no tags
             end = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>?", re.I).search(html, at)
@@ -190,10 +269,14 @@ def parse(html: str) -> Page:
             anchors += 1
             continue
         if tag not in BLOCK and tag not in DROPPED:
-            name, junk = general_name(tag, m[3])
-            if not (junk or stack[-1].dropped and stack[-1].tag == tag) or m[3].rstrip().endswith("/"):
+            name, junk, hidden = general_name(tag, m[3])
+            top = stack[-1]
+            marked = bool(junk) and kept is not None
+            if not (marked or hidden or top.tag == tag and (top.dropped or top.doubt >= 0)) or m[3].rstrip().endswith("/"):
                 continue  # only an inline element that is dropped, or one of its name in it, needs its end
-            stack.append(Node(tag, stack[-1].path, True, stack[-1].container))
+            number = doubt(name, junk) if marked and not hidden and not top.hard else -1
+            gone = top.dropped or hidden or marked and number not in kept
+            stack.append(Node(tag, top.path, gone, top.container, top.hard or hidden, number))
             continue
         # a block ends an open paragraph, and a list item or cell the one before it
         ends = {"p"} | _CLOSES.get(tag, set())
@@ -206,19 +289,29 @@ def parse(html: str) -> Page:
                 break
         flush()
         anchors = 0
-        name, junk = general_name(tag, m[3])
+        name, junk, hidden = general_name(tag, m[3])
         top = stack[-1]
         heading = tag in HEADINGS
         inside = bool(_ARTICLE.search(top.path))
-        dropped = (top.dropped and not (heading and inside and top.tag == "header")) or tag in DROPPED or junk or tag == "header"
+        out = not (heading and inside and top.tag == "header")
+        hard = top.hard and out or tag in DROPPED or hidden or tag == "header"
+        marked = (bool(junk) or tag == "form") and kept is not None
+        number = doubt(name, junk) if marked and not hard else -1
+        dropped = top.dropped and out or hard or marked and number not in kept
+        if not hard:
+            articles += tag in ("article", "main")
+            titles += tag == "h1"
+            page.titles += tag == "h1" and not dropped
         path = f"{top.path}>{name}" if top.path else name
         container = top.container
         if not dropped and not heading and tag not in ("p", "hr"):
             page.containers.append(Container(path, top.container, len(stack), first=len(page.blocks), after=len(page.blocks)))
             container = len(page.containers) - 1
-        stack.append(Node(tag, path, dropped, container))
+        stack.append(Node(tag, path, dropped, container, hard, number))
         in_paragraph = in_paragraph or tag == "p" and not dropped
     flush()
+    while stack:
+        left(stack.pop())
     return page
 
 

@@ -198,6 +198,23 @@ def test_an_article_keeps_its_title():
     assert path == "body>div.wrap>div.post" and html_text.text_at(page, path).startswith("The title\nlong text")
 
 
+@pytest.mark.parametrize("wrapper", ['div class="layout has-sidebar"', 'div class="no-sidebar with-nav"', 'div class="elementor-widget-container"', 'div class="sidebar-layout"', 'div class="page no-ads"', 'form id="aspnetForm"', 'div class="post comments"'])
+def test_a_wrapper_keeps_the_article_in_it(wrapper):
+    tag = wrapper.split()[0]
+    inner = "<article><h1>Title</h1><p>The text of the page, and more of it.</p><p>Its end.</p></article><div class='sidebar'><p>side</p></div>"
+    for body in (inner, inner.replace("article", "div")):
+        page = html_text.parse(f"<body><p>Skip</p><{wrapper}>{body}</{tag}></body>")
+        text = html_text.text_at(page, html_text.scores(page)[0][0])
+        assert text.endswith("Title\nThe text of the page, and more of it.\nIts end.") and "side" not in page.blocks
+
+
+def test_marked_boxes_still_go():
+    page = html_text.parse("<body><div class='post'><p>A short text of an article.</p></div><div id='comments'><p>" + "A comment. " * 8 + "</p></div><div class='ad'>BUY</div><div hidden><p>no</p></div></body>")
+    assert page.blocks == ["A short text of an article."]
+    page = html_text.parse("<body><div class='widget'><p>one part</p></div><div class='widget'><p>other part</p></div></body>")
+    assert page.blocks == ["one part", "other part"]
+
+
 @pytest.mark.parametrize("html", ["<", "<<<>", "<p", "</p></p>", "<!--", "<script>", "<a href='", "&#0;&#x110000;&", "<table><tr><td>a<td>b<tr><td>c", "<p>" * 3000, "<div>" * 3000 + "x"])
 def test_odd_markup(html):
     page = html_text.parse(html)
