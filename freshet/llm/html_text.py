@@ -41,6 +41,10 @@ JUNK = frozenset(
 THREAD = frozenset("comment comments disqus respond reply replies".split())
 #: First words of names that say what a layout has or lacks.
 _LAYOUT = frozenset("has no not with without".split())
+#: Elements whose text is prose, of whatever length; elsewhere it is from so many characters on.
+PROSE, SENTENCE = frozenset("p li dd dt pre blockquote td th figcaption caption h1 h2 h3 h4 h5 h6".split()), 80
+#: Share of its text by which a host's path may fall short of a page's own best container.
+CLOSE = 0.9
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*(?:>|\Z)|<\?[^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)", re.S)
 _NAMES = re.compile(r"""(?<![\w-])(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
 _WORDS = re.compile(r"[a-z]+|\d+")
@@ -65,7 +69,7 @@ class Node:
 
 @dataclass(slots=True)
 class Container:
-    """What stands directly or deeper in an element: characters of text, of links, of headings, and paragraphs."""
+    """What stands directly or deeper in an element: characters of text, of links, of headings, of prose, and paragraphs."""
 
     path: str
     parent: int
@@ -73,6 +77,7 @@ class Container:
     chars: int = 0
     link_chars: int = 0
     heading_chars: int = 0
+    prose_chars: int = 0
     paragraphs: int = 0
     first: int = 0
     after: int = 0
@@ -177,6 +182,7 @@ def _parse(html: str, kept: set[int] | None = frozenset()) -> Page:
             pieces.clear()
             if text:
                 at, heading = stack[-1].container, stack[-1].tag in HEADINGS
+                prose = len(text) if in_paragraph or stack[-1].tag in PROSE or len(text) >= SENTENCE else 0
                 links, link_part = min(link_part, len(text)), 0
                 page.blocks.append(text)
                 while at >= 0:
@@ -184,6 +190,7 @@ def _parse(html: str, kept: set[int] | None = frozenset()) -> Page:
                     c.chars += len(text)
                     c.link_chars += links
                     c.heading_chars += len(text) if heading else 0
+                    c.prose_chars += prose
                     c.paragraphs += in_paragraph
                     c.after = len(page.blocks)
                     at = c.parent
@@ -319,8 +326,10 @@ def scores(page: Page) -> list[tuple[str, float]]:
     """(path, score) of the containers that hold text, the best first.
 
     Text outside links counts, less the more of it there is in links, more with paragraphs and, a little, with depth;
-    ``article`` and ``main`` count three times, ``body`` half. A container whose parent adds nothing but headings stands
-    for that parent, so that an article keeps its title.
+    ``article`` and ``main`` count three times, ``body`` half. A container whose parent adds only headings, or text of
+    which at most a quarter is in links and at least half is prose, stands for that parent, so that an article keeps its
+    title and all its parts. For ``body`` to stand for one, all that it adds must be prose; one inside of ``article`` or
+    ``main`` stays inside unless there are only headings outside.
     """
     best: dict[str, float] = {}
     for c in page.containers[1:]:
@@ -332,27 +341,46 @@ def scores(page: Page) -> list[tuple[str, float]]:
             elif last in ("body", "html"):
                 own *= 0.5
             own *= 1.0 + 0.02 * min(c.depth, 10)
-            while c.parent > 0:
-                up = page.containers[c.parent]
-                more = up.chars - c.chars
-                if not more or more != up.heading_chars - c.heading_chars or up.path.rsplit(">", 1)[-1] in ("body", "html"):
+            at = c
+            while at.parent > 0:
+                up = page.containers[at.parent]
+                whole = up.path.rsplit(">", 1)[-1] in ("body", "html")
+                more, links, prose = up.chars - c.chars, up.link_chars - c.link_chars, up.prose_chars - c.prose_chars
+                titles = more == up.heading_chars - c.heading_chars
+                rest = links * 4 <= more and prose * 2 >= more and not c.path.rsplit(">", 1)[-1].startswith(("article", "main"))
+                if more and (whole and (not rest or titles or prose != more) or not (titles or rest)):
                     break
-                c = up
+                at = up
+                if more:  # a parent that adds nothing is only passed
+                    c = up
             best[c.path] = best.get(c.path, 0.0) + own
     return sorted(best.items(), key=lambda x: (-x[1], x[0]))
 
 
-def text_at(page: Page, path: str | None) -> str | None:
-    """Blocks of the containers with the path, in page order, joined by newlines; None if the page has none with text."""
-    if path is None:
-        return None
+def blocks_at(page: Page, path: str | None) -> set[int]:
+    """Numbers of the blocks in the containers with the path."""
     wanted: set[int] = set()
     for c in page.containers:
-        if c.path == path:
+        if c.path == path and path is not None:
             wanted.update(range(c.first, c.after))
+    return wanted
+
+
+def text_at(page: Page, path: str | None) -> str | None:
+    """Blocks of the containers with the path, in page order, joined by newlines; None if the page has none with text."""
+    wanted = blocks_at(page, path)
     return "\n".join(page.blocks[i] for i in sorted(wanted)) if wanted else None
 
 
+def main_text(page: Page, path: str | None) -> str:
+    """The text at the host's path if that holds nearly all of the page's own best container, else at the latter."""
+    theirs, ranked = blocks_at(page, path), scores(page)
+    own = blocks_at(page, ranked[0][0]) if ranked else set()
+    if own and sum(len(page.blocks[i]) for i in own & theirs) < CLOSE * sum(len(page.blocks[i]) for i in own):
+        theirs = own
+    return "\n".join(page.blocks[i] for i in sorted(theirs)) if theirs else "\n".join(page.blocks)
+
+
 def host_of(url: str | None) -> str:
     """Lower-case host of an address without port and without ``www.``; empty for none."""
     m = re.match(r"\s*(?:[a-zA-Z][\w+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)", url or "")
@@ -394,24 +422,14 @@ def winning_paths(pages: DataFrame, most: int = 4) -> DataFrame:
 
 def _extract(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for texts, page_ids, urls, paths in _columns(batches, 3):
-        out = []
-        for html, path in zip(texts, paths, strict=True):
-            page = parse(html)
-            text = text_at(page, path)
-            ranked = scores(page)
-            if ranked:
-                own = text_at(page, ranked[0][0])
-                if text is None or own is not None and len(text) * 3 < len(own):  # the host's path misses this page's article
-                    text = own
-            out.append("\n".join(page.blocks) if text is None else text)
+        out = [main_text(parse(html), path) for html, path in zip(texts, paths, strict=True)]
         yield pa.RecordBatch.from_arrays([pa.array(page_ids, pa.int64()), pa.array(urls, pa.string()), pa.array(out, pa.string())], ["page_id", "url", "text"])
 
 
 def extract(pages: DataFrame) -> DataFrame:
     """``page_id, url, text, n_chars``: the main text of every whole page, re-extracted at its host's winning path.
 
-    A page without that path, or whose own best container holds over three times as much text there, takes its own best
-    container; one without containers takes all its blocks. Null or empty html gives an empty text; a null url is a host
+    A page whose path misses more than a tenth of the text of its own best container takes the latter; one without containers takes all its blocks. Null or empty html gives an empty text; a null url is a host
     of its own name; null ids and repeated rows stay; other columns aren't read.
 
     The winners are broadcast only while they are few and short (``BROADCAST_ROWS``, ``BROADCAST_CHARS``); beyond that

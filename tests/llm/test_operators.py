@@ -215,6 +215,22 @@ def test_marked_boxes_still_go():
     assert page.blocks == ["one part", "other part"]
 
 
+def test_an_article_keeps_its_first_and_last_paragraph():
+    parts = "<p>The lead.</p><div class='text'>" + "<p>" + "text of a paragraph. " * 20 + "</p>"
+    for around, end in (("<div class='content'>", "</div>"), ("", "")):
+        page = html_text.parse(f"<body>{around}{parts * 1}" + "<p>More text of the article, which goes on. </p>" * 40 + f"</div><p>The end.</p>{end}</body>")
+        text = html_text.text_at(page, html_text.scores(page)[0][0])
+        assert text.startswith("The lead.\n") and text.endswith("\nThe end.")
+
+
+def test_a_page_of_another_template_keeps_its_text():
+    one = "<p>" + "A sentence of the article. " * 12 + "</p>"
+    page = html_text.parse(f"<body><div class='box'>{one}</div><div class='links'><a href=x>{'link ' * 200}</a></div><div class='story'>{one * 2}</div></body>")
+    own = html_text.text_at(page, "body>div.story")
+    assert html_text.main_text(page, "body>div.box") == own and html_text.main_text(page, "body>div.story") == own
+    assert html_text.main_text(page, None) == own
+
+
 @pytest.mark.parametrize("html", ["<", "<<<>", "<p", "</p></p>", "<!--", "<script>", "<a href='", "&#0;&#x110000;&", "<table><tr><td>a<td>b<tr><td>c", "<p>" * 3000, "<div>" * 3000 + "x"])
 def test_odd_markup(html):
     page = html_text.parse(html)
