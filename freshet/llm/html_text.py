@@ -45,7 +45,7 @@ _LAYOUT = frozenset("has no not with without".split())
 PROSE, SENTENCE = frozenset("p li dd dt pre blockquote td th figcaption caption h1 h2 h3 h4 h5 h6".split()), 80
 #: Share of its text by which a host's path may fall short of a page's own best container.
 CLOSE = 0.9
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*(?:>|\Z)|<\?[^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)", re.S)
+_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*(?:>|\Z)|<\?[^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"'=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+')|[=\"'])*+)(?:>|\Z)", re.S)
 _NAMES = re.compile(r"""(?<![\w-])(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
 _WORDS = re.compile(r"[a-z]+|\d+")
 _ARTICLE = re.compile(r"\b(?:article|main|post|entry|story|content)\b")

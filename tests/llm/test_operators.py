@@ -231,6 +231,12 @@ def test_a_page_of_another_template_keeps_its_text():
     assert html_text.main_text(page, None) == own
 
 
+@pytest.mark.parametrize("tag", ["p title=Bob's", "p title=it's class=x", "p data-x=5\" id=y", "p '", 'p title="'])
+def test_a_stray_quote_ends_with_its_tag(tag):
+    assert html_text.parse(f"<div><{tag}>first</p><p>second</p></div>").blocks == ["first", "second"]
+    assert html_text.parse("<p title='a > b' class = \"c>d\">x</p>").blocks == ["x"]
+
+
 @pytest.mark.parametrize("html", ["<", "<<<>", "<p", "</p></p>", "<!--", "<script>", "<a href='", "&#0;&#x110000;&", "<table><tr><td>a<td>b<tr><td>c", "<p>" * 3000, "<div>" * 3000 + "x"])
 def test_odd_markup(html):
     page = html_text.parse(html)
