@@ -7,7 +7,7 @@ from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import id_and_text, materialise, select_id_text, utf8
@@ -29,6 +29,9 @@ FIRST, MORE = 4, 8
 LATER_WORDS = 1_000_000
 #: Rows that are compared at once.
 ROWS = 100_000
+#: Rows of one word that a task holds; those of words with more are cut into parts of about ``PART``, and pairs of parts
+#: are compared in tasks of their own.
+HELD, PART = 65_536, 32_768
 #: Bits of the filter of documents whose lines are needed: what is broadcast is at most 2 MB at any size.
 FILTER_BITS = 1 << 23
 #: Longest run of lines that is compared by shifts of the whole batch; longer ones go block by block.
@@ -280,7 +283,8 @@ def postings(docs: DataFrame, frequent: list[int], similarity: Fraction = SIMILA
 class _Run:
     """Rows of the same words, in order of place."""
 
-    def __init__(self, columns: list[np.ndarray], similarity: Fraction) -> None:
+    def __init__(self, columns: list[np.ndarray], similarity: Fraction, second: np.ndarray | None = None) -> None:
+        self.second = second  # the part of each row, if only rows of different parts are compared
         key, self.doc, place, s1, s2 = columns
         self.token, self.pos = key >> 32, key & 0xFFFFFFFF
         self.line, self.size = (place >> 32).astype(np.int32), place & 0xFFFFFFFF
@@ -295,6 +299,8 @@ class _Run:
         shared = least_overlap(a, b, self.similarity)
         ok = np.minimum(a, b) * self.similarity.denominator >= np.maximum(a, b) * self.similarity.numerator
         ok &= np.minimum(a - self.pos[i], b - self.pos[j]) >= shared
+        if self.second is not None:
+            ok &= self.second[i] != self.second[j]
         at = np.flatnonzero(ok)
         i, j, a, b, shared = i[at], j[at], a[at], b[at], shared[at]
         one, two = self.s1[i] ^ self.s1[j], self.s2[i] ^ self.s2[j]
@@ -317,8 +323,8 @@ class _Run:
         kept = nth < np.repeat(limit, counts)
         return i[kept], j[kept], far[kept], nth[kept], np.repeat(counts > limit, counts)[kept]
 
-    def candidates(self, most: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-        """(line, earlier line, its number from 0, whether there are more) of the closest earlier lines that pass.
+    def candidates(self, most: int) -> Iterator[tuple[np.ndarray, ...]]:
+        """(line, earlier line, how far, its number from 0, whether there are more) of the closest earlier lines that pass.
 
         Parts of bounded size: all short runs, then each block of a long run.
         """
@@ -334,8 +340,8 @@ class _Run:
             if not len(rows):
                 break
             found.append(self.passes(rows, rows - d))
-        i, j, _, nth, more = self.best(*(np.concatenate([f[k] for f in found]) for k in range(3)), most)
-        yield i, j, nth.astype(np.int32), more
+        i, j, far, nth, more = self.best(*(np.concatenate([f[k] for f in found]) for k in range(3)), most)
+        yield i, j, far, nth.astype(np.int32), more
         for start, size in zip(starts[sizes > SHORT_RUN], sizes[sizes > SHORT_RUN], strict=True):
             for at in range(start, start + size, BLOCK):
                 block = np.arange(at, min(at + BLOCK, start + size))
@@ -354,8 +360,8 @@ class _Run:
                     if other + BLOCK < at + len(block):
                         others |= open_ & close
                     open_ &= ~close
-                i, j, _, nth, more = self.best(*kept, most)
-                yield i, j, nth.astype(np.int32), more | others[i - at]
+                i, j, far, nth, more = self.best(*kept, most)
+                yield i, j, far, nth.astype(np.int32), more | others[i - at]
 
 
 def _matcher(most: int, similarity: Fraction):
@@ -364,37 +370,117 @@ def _matcher(most: int, similarity: Fraction):
 
         def out(columns: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
             sure = columns[2] & 0xFFFFFFFF == 0
-            live, done = _Run([c[~sure] for c in columns], similarity), _Run([c[sure] for c in columns], similarity)
+            words, at, counts = np.unique(columns[0] >> 32, return_inverse=True, return_counts=True)
+            many = counts[at] > HELD
+            live, done = _Run([c[~sure & ~many] for c in columns], similarity), _Run([c[sure] for c in columns], similarity)
+            if many.any():
+                yield marks(words[counts > HELD])
             void, n = np.ones(len(done.doc), bool), len(done.doc)
             yield pa.RecordBatch.from_arrays(
                 [*map(pa.array, (done.doc, done.line)), pa.array(done.doc, mask=void), pa.array(done.line, mask=void), *map(pa.array, (np.zeros(n, np.int32), np.zeros(n, bool), done.token.astype(np.int32)))], names
             )
-            for i, j, nth, more in live.candidates(most):
+            for i, j, _, nth, more in live.candidates(most):
                 columns = (live.doc[i], live.line[i], live.doc[j], live.line[j], nth, more, live.token[i].astype(np.int32))
                 yield pa.RecordBatch.from_arrays([*map(pa.array, columns)], names)
 
+        def marks(words: np.ndarray) -> pa.RecordBatch:
+            n = len(words)
+            kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.bool_())
+            return pa.RecordBatch.from_arrays([*(pa.nulls(n, k) for k in kinds), pa.array(words.astype(np.int32))], names)
+
         held: list[list[np.ndarray]] = []
-        rows = 0
+        rows, passing = 0, None
         for batch in batches:
-            held.append([c.to_numpy(zero_copy_only=False) for c in batch.columns])
-            rows += batch.num_rows
+            columns = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+            if passing is not None:  # a word with too many rows: only its sure matches leave here
+                n = int(np.searchsorted(columns[0] >> 32, passing, "right"))
+                sure = columns[2][:n] & 0xFFFFFFFF == 0
+                yield from out([c[:n][sure] for c in columns])
+                columns = [c[n:] for c in columns]
+                if not len(columns[0]):
+                    continue
+                passing = None
+            held.append(columns)
+            rows += len(columns[0])
             if rows >= ROWS:
                 columns = [np.concatenate([h[k] for h in held]) for k in range(5)]
                 token = columns[0] >> 32
                 cut = int(np.searchsorted(token, token[-1]))  # the last word may go on in the next batch
                 if cut:
                     yield from out([c[:cut] for c in columns])
-                held, rows = [[c[cut:] for c in columns]], rows - cut
+                held, rows = [[c[cut:].copy() for c in columns]], rows - cut
+                if rows > HELD:
+                    passing = token[-1]
+                    yield from out(held[0])
+                    held, rows = [], 0
         if rows:
             yield from out([np.concatenate([h[k] for h in held]) for k in range(5)])
 
     return run
 
 
+def _pair_matcher(most: int, similarity: Fraction):
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["doc_id", "line", "other_id", "other_line", "far", "more", "word"]
+
+        def out(columns: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+            second = columns[3] if columns[1][0] != columns[2][0] else None
+            live = _Run(columns[4:], similarity, second)
+            for i, j, far, _, more in live.candidates(most):
+                yield pa.RecordBatch.from_arrays([*map(pa.array, (live.doc[i], live.line[i], live.doc[j], live.line[j], far, more, live.token[i].astype(np.int32)))], names)
+
+        held: list[list[np.ndarray]] = []
+        for batch in batches:
+            columns = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+            if not batch.num_rows:
+                continue
+            new = np.zeros(batch.num_rows, bool)
+            for c in columns[:3]:
+                new[1:] |= c[1:] != c[:-1]
+            new[0] = not held or any(held[-1][k][-1] != columns[k][0] for k in range(3))
+            starts = [*np.flatnonzero(new).tolist()]
+            if held and starts:
+                if starts[0]:
+                    held.append([c[: starts[0]] for c in columns])
+                yield from out([np.concatenate([h[k] for h in held]) for k in range(9)])
+                held = []
+            for first, after in zip(starts, starts[1:], strict=False):
+                yield from out([c[first:after] for c in columns])
+            last = starts[-1] if starts else 0
+            held.append([c[last:] for c in columns])
+        if held:
+            yield from out([np.concatenate([h[k] for h in held]) for k in range(9)])
+
+    return run
+
+
+def paired_candidates(posted: DataFrame, most: int, similarity: Fraction = SIMILARITY) -> DataFrame:
+    """:func:`candidates` of words with very many rows.
+
+    The rows of a word are dealt over parts by hash; each pair of parts is a group of bounded size of its own, in which
+    rows of the one are held against those of the other. A line's closest ones of all groups are then put together.
+    """
+    rows = materialise(posted.where("(place & 4294967295) > 0").withColumn("word", F.shiftright("key", 32).cast("int")))
+    counts = rows.groupBy("word").agg(F.ceil(F.count("*") / PART).cast("int").alias("parts"))
+    placed = rows.join(F.broadcast(counts), "word").withColumn("part", F.pmod(F.xxhash64("doc_id", "place"), "parts").cast("int"))
+    spread = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    own = [c.split()[0] for c in POSTING.split(", ")]
+    pairs = spread.select("word", F.least("part", "other").alias("a"), F.greatest("part", "other").alias("b"), (F.col("part") > F.col("other")).alias("second"), *own)
+    dealt = pairs.repartition("word", "a", "b").sortWithinPartitions("word", "a", "b", "doc_id", "place", "key")
+    found = dealt.mapInArrow(_pair_matcher(most, similarity), "doc_id long, line int, other_id long, other_line int, far long, more boolean, word int")
+    line = Window.partitionBy("doc_id", "line", "word")
+    order = line.orderBy("far", "other_id", "other_line")
+    ranked = found.withColumns({"nth": F.row_number().over(order) - 1, "least": F.min("far").over(line), "others": F.max("more").over(line), "n": F.count("*").over(line)})
+    limit = F.when(F.col("least") < 32, most).when(F.col("least") < 64, most * MORE).otherwise(most * MORE * MORE)
+    kept = ranked.where(F.col("nth") < limit)
+    return kept.select("doc_id", "line", "other_id", "other_line", F.col("nth").cast("int").alias("nth"), (F.col("others") | (F.col("n") > limit)).alias("more"), "word")
+
+
 def candidates(posted: DataFrame, most: int, similarity: Fraction = SIMILARITY) -> DataFrame:
     """Each line's ``most`` closest possible earlier matches at every word, numbered, ``more`` where there are others.
 
-    ``other_id`` is null for a line that is a match already. Rows of a word arrive in order of place and are compared in
+    ``other_id`` is null for a line that is a match already; ``doc_id`` is null where a word has more than ``HELD`` rows,
+    whose others are left out. Rows of a word arrive in order of place and are compared in
     numpy blocks; a bounded number of rows for a line and word leaves, however many lines share it.
     """
     word = F.shiftright("key", 32)
@@ -448,6 +534,14 @@ def _verified(docs: DataFrame, pairs: DataFrame, similarity: Fraction) -> DataFr
     return both.select("doc_id", "line", "a", "b").mapInArrow(run, "doc_id long, line int").distinct()
 
 
+def all_candidates(docs: DataFrame, frequent: list[int], most: int, similarity: Fraction, only: list[int] | None = None) -> DataFrame:
+    """:func:`candidates` of all words (or ``only`` some), those with very many rows by pairs of parts."""
+    found = materialise(candidates(postings(docs, frequent, similarity, only), most, similarity))
+    many = [r.word for r in found.where("doc_id is null").select("word").distinct().collect()]
+    found = found.where("doc_id is not null")
+    return found.unionByName(materialise(paired_candidates(postings(docs, frequent, similarity, many), most, similarity))) if many else found
+
+
 def removed_lines(docs: DataFrame, similarity: Fraction = SIMILARITY) -> DataFrame:
     """``doc_id, line`` of every line whose set of words is similar to that of a line at an earlier place.
 
@@ -459,7 +553,7 @@ def removed_lines(docs: DataFrame, similarity: Fraction = SIMILARITY) -> DataFra
     """
     place, most = ["doc_id", "line"], FIRST
     frequent = frequent_words(docs)
-    found = materialise(candidates(postings(docs, frequent, similarity), most, similarity))
+    found = all_candidates(docs, frequent, most, similarity)
     gone = found.where("other_id is null").select(*place).distinct()
     possible, tried = found.where("other_id is not null"), "nth = 0"
     while True:
@@ -478,8 +572,8 @@ def removed_lines(docs: DataFrame, similarity: Fraction = SIMILARITY) -> DataFra
             break
         most *= 8
         tried = "nth >= 0"
-        later = postings(docs, frequent, similarity, words if len(words) <= LATER_WORDS else None)
-        possible = materialise(candidates(later, most, similarity).where("other_id is not null").join(open_, [*place, "word"], "left_semi"))
+        later = all_candidates(docs, frequent, most, similarity, words if len(words) <= LATER_WORDS else None)
+        possible = materialise(later.where("other_id is not null").join(open_, [*place, "word"], "left_semi"))
     return materialise(gone.distinct())
 
 

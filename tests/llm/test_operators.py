@@ -338,6 +338,31 @@ def test_lines_against_brute_force(spark, monkeypatch, first):
     assert out[200] == [(1, 0, "")] and sum(map(len, out.values())) == len(rows)
 
 
+@pytest.mark.parametrize("first", [1, 8])
+def test_lines_of_a_word_with_many_rows(spark, monkeypatch, first):
+    for name, value in {"FIRST": first, "HELD": 12, "PART": 5, "ROWS": 50}.items():
+        monkeypatch.setattr(line_dedup, name, value)
+    sizes, compare, calls, paired = [], line_dedup._Run.__init__, [], line_dedup.paired_candidates
+    monkeypatch.setattr(line_dedup, "paired_candidates", lambda *a: calls.append(a) or paired(*a))
+
+    def watched(self, columns, *rest):
+        compare(self, columns, *rest)
+        sizes.append(len(self.token))
+
+    random.seed(first)
+    rows = [(d, "\n".join(f"order {random.randrange(60)} shipped on day {random.randrange(9)} by {random.choice('abcdef')} to {random.randrange(30)}" for _ in range(4))) for d in range(70)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    gone = line_dedup.removed_lines(df)
+    assert calls and {(r.doc_id, r.line) for r in gone.collect()} == brute_lines(rows)
+    # a matcher by itself: words with many rows leave as marks, none of them is compared
+    monkeypatch.setattr(line_dedup._Run, "__init__", watched)
+    posted = line_dedup.postings(df, line_dedup.frequent_words(df)).orderBy("key", "doc_id", "place").toArrow().combine_chunks()
+    by_word = posted.take(np.lexsort((posted["place"].to_numpy(), posted["doc_id"].to_numpy(), posted["key"].to_numpy() >> 32)))
+    out = [r for b in line_dedup._matcher(first, line_dedup.SIMILARITY)(by_word.to_batches(max_chunksize=20)) for r in b.to_pylist()]
+    marked = {r["word"] for r in out if r["doc_id"] is None}
+    assert marked and max(sizes) <= 100 and not any(r["word"] in marked and r["other_id"] is not None for r in out)
+
+
 def test_cleaned_texts(spark, nothing):
     rows = [(1, "a b c\nd e f", 11), (2, "x\nA B C\n\ny", 10), (3, "d e f", 5), (4, None, None), (None, "a b c", 5)]
     df = spark.createDataFrame(rows, "doc_id long, text string, n_chars long")
