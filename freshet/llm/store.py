@@ -6,6 +6,10 @@ from contextlib import contextmanager
 
 from pyarrow import fs
 from pyspark import TaskContext
+from pyspark.sql import DataFrame
+
+#: Tasks that read files back at most.
+READERS = 1 << 16
 
 
 def open_store(uri: str) -> tuple[fs.FileSystem, str]:
@@ -31,3 +35,11 @@ def new_file(uri: str, name: str):
 def partition_id() -> int:
     context = TaskContext.get()
     return context.partitionId() if context else 0
+
+
+def dealt(files: DataFrame, name: str) -> DataFrame:
+    """Rows that name a file each in as many partitions as there are files, in order of the names.
+
+    With a given number, adaptive execution leaves the few short rows apart.
+    """
+    return files.repartitionByRange(max(1, min(READERS, files.count())), name)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import re
 import struct
 import zlib
@@ -14,64 +15,135 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from .common import id_and_text, materialise, scratch_dir, select_id_text
-from .store import new_file, open_store, partition_id
+from .common import materialise, scratch_dir, select_id_text
+from .bpe import CONTRACTIONS
+from .pieces import PieceIds, byte_slices
+from .store import dealt, new_file, open_store, partition_id
 
 #: Ids of a chunk, and of a file before a task goes on to another.
 CHUNK_IDS, FILE_IDS = 1 << 17, 1 << 26
 #: Documents of a part of a file's list of documents.
 PART_DOCS = 1 << 14
-#: Words that a worker remembers.
+#: Pieces of words that a worker remembers.
 CACHE = 600_000
 MAGIC = b"PLN1"
 _FOOTER = struct.Struct("<QQ4s")  # where the index begins, its bytes, the magic
-_ODD = re.compile(r"[\x1c-\x1f]|<\|")
-_PLAIN = re.compile(r"[\x21-\x7e]+")
-_SPLIT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")
+_ODD = re.compile(r"[\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200b\u2028\u2029\u202f\u205f\u3000\ufeff]|<\|")
+#: Pieces that the public splitter leaves as they are and whose bytes the merges know as characters.
+_CUT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|(?:(?!<\|)[!-/:-@\[-`{-~])+")
+#: What is fixed of the public tokenizer: how it normalises, how it splits.
+_NORMALIZER = ["NFC", "Replace", "Lowercase"]
+_SPLITTER = [{"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "ByteLevel"]
 
 
-class WordEncoder(dict):
-    """Ids of texts by a tokenizer whose pieces never hold white space, word by word.
+def _kinds() -> np.ndarray:
+    kind = np.full(256, 4, np.uint8)
+    kind[33:127] = 3
+    kind[[*range(65, 91), *range(97, 123)]] = 1
+    kind[48:58] = 2
+    kind[[9, 10, 11, 12, 13, 32]] = 0
+    return kind
 
-    The library's own normaliser, splitter and merges make the ids of a word and of its pieces once; this is a dict of
-    the words so far. Texts for which white space isn't that of ``str.split``, or which may hold a special token, go to
-    the library whole.
+
+#: Bytes: 0 white space, 1 letters, 2 digits, 3 other printable ASCII, 4 all else; and with A-Z lower-cased.
+_KIND, _LOWER = _kinds(), np.frombuffer(bytes(range(256)).lower(), np.uint8)
+
+
+class WordEncoder:
+    """Ids of texts by a tokenizer that drops white space, word by word; words end at ASCII white space.
+
+    The library's own normaliser, splitter and merges make the ids of each new word, many words in one call; what the
+    words had is looked up after that. Words that may hold a special token, or characters that some call white space and
+    others don't, go through the library's whole encoding. Where the tokenizer's normaliser and splitter are the public
+    ones (``_NORMALIZER``, ``_SPLITTER``), words of ASCII characters are cut by bytes and only merged by the library.
     """
 
     def __init__(self, path: str) -> None:
-        super().__init__()
         self.whole = Tokenizer.from_file(path)
+        apart = [self.whole.encode(x, add_special_tokens=False).ids for x in ("one", "two;", " \t one\n\n two; ")]
+        if apart[0] + apart[1] != apart[2] or self.whole.normalizer is None or self.whole.pre_tokenizer is None:
+            raise ValueError(f"the tokenizer of {path} doesn't drop white space")
         self.normal, self.splitter, self.merge = self.whole.normalizer.normalize_str, self.whole.pre_tokenizer.pre_tokenize_str, self.whole.model.tokenize
         self.pieces: dict[str, bytes] = {}
+        rules = json.loads(self.whole.to_str())
+        self.public = [x["type"] for x in rules["normalizer"].get("normalizers", [])] == _NORMALIZER and [x.get("pattern", x["type"]) for x in rules["pre_tokenizer"].get("pretokenizers", [])] == _SPLITTER
+        self.ids_of = PieceIds(self.make)
 
     def _piece(self, piece: str) -> bytes:
-        ids = b"".join([t.id.to_bytes(4, "little") for t in self.merge(piece)])
-        self.pieces[piece] = ids
-        return ids
-
-    def __missing__(self, word: str) -> bytes:
-        known = self.pieces
-        if _PLAIN.fullmatch(word):
-            low = word.lower()
-            pieces = [low] if low.isalpha() else _SPLIT.findall(low)
-        else:
-            pieces = [p for p, _ in self.splitter(self.normal(word))]
-        ids = self[word] = b"".join([known.get(p) or self._piece(p) for p in pieces])
-        return ids
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        if len(self) > CACHE:
-            self.clear()
         if len(self.pieces) > CACHE:
             self.pieces.clear()
-        out = []
-        for text in texts:
-            if _ODD.search(text):
-                raw = np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-            else:
-                raw = b"".join(map(self.__getitem__, text.split()))
-            out.append(np.frombuffer(raw, "<u4"))
-        return out
+        ids = self.pieces[piece] = b"".join([t.id.to_bytes(4, "little") for t in self.merge(piece)])
+        return ids
+
+    def make(self, raw: np.ndarray, start: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of words or of pieces of ASCII words, one behind the other, how many each has)."""
+        data = raw.tobytes()
+        words = [data[a:b].decode() for a, b in zip(start.tolist(), (start + size).tolist(), strict=True)]
+        lists, rest = [b""] * len(words), range(len(words))
+        if self.public:
+            rest = []
+            for i, word in enumerate(words):
+                if _CUT.fullmatch(word):
+                    lists[i] = b"".join([t.id.to_bytes(4, "little") for t in self.merge(word)])
+                else:
+                    rest.append(i)
+        odd = [i for i in rest if _ODD.search(words[i])] if _ODD.search(" ".join([words[i] for i in rest])) else []
+        for i, found in zip(odd, self.whole.encode_batch([words[i] for i in odd], add_special_tokens=False), strict=True):
+            lists[i] = np.array(found.ids, "<i4").tobytes()
+        if odd:
+            rest = sorted(set(rest) - set(odd))
+        if rest:
+            plain = self.normal(" ".join([words[i] for i in rest]))
+            spaces = np.flatnonzero(np.frombuffer(plain.encode("utf-32-le"), "<u4") == 32)
+            if len(spaces) != len(rest) - 1:
+                raise ValueError("normalised words hold white space")
+            pieces, known = self.splitter(plain), self.pieces
+            parts = [known.get(p) or self._piece(p) for p, _ in pieces]
+            owner = np.searchsorted(spaces, np.fromiter((at[0] for _, at in pieces), np.int64, len(pieces)))
+            first = np.searchsorted(owner, np.arange(len(rest) + 1)).tolist()
+            for i, a, b in zip(rest, first, first[1:], strict=False):
+                lists[i] = parts[a] if b == a + 1 else b"".join(parts[a:b])
+        return np.frombuffer(b"".join(lists), "<i4"), np.fromiter(map(len, lists), np.int64, len(lists)) >> 2
+
+    def encode(self, raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, n + 1 offsets of the texts' ids) of texts that lie one behind the other."""
+        n, text = int(offsets[-1]), np.zeros(len(raw), bool)
+        text[offsets] = True  # words end with their text
+        kind = _KIND[raw]
+        begins, ends = np.empty(n, bool), np.empty(n, bool)
+        inside = kind[:n] != 0
+        begins[:1], ends[-1:] = inside[:1], inside[-1:]
+        begins[1:] = inside[1:] & (~inside[:-1] | text[1:n])
+        ends[:-1] = inside[:-1] & (~inside[1:] | text[1:n])
+        start = np.flatnonzero(begins)
+        if self.public and len(start):
+            raw = _LOWER[raw]
+            tag = np.flatnonzero((raw[: n - 1] == 60) & (raw[1:n] == 124))
+            kind[tag] = 4
+            whole = np.logical_or.reduceat(kind[:n] == 4, start)  # such words aren't cut
+            cut = np.zeros(n, bool)
+            cut[1:] = (kind[1:n] != kind[: n - 1]) | (kind[1:n] == 2)
+            cut &= inside & ~begins
+            # an apostrophe alone takes the letters of a contraction
+            alone = np.flatnonzero((raw[:n] == 39) & (begins | cut))
+            alone = alone[(alone + 1 < n) & ~ends[alone]]
+            alone = alone[kind[alone + 1] == 1]
+            a, b, size = raw[alone + 1], raw[alone + 2], np.zeros(len(alone), np.int64)
+            for x in CONTRACTIONS:
+                fits = a == ord(x[0]) if len(x) == 1 else (a == ord(x[0])) & (b == ord(x[1])) & ~ends[alone + 1]
+                size[fits & (size == 0)] = len(x)
+            alone, size = alone[size > 0], size[size > 0]
+            cut[alone + 1] = False
+            go_on = ~ends[alone + size]
+            cut[alone[go_on] + size[go_on] + 1] = True
+            at = np.flatnonzero(cut)
+            at = at[~whole[np.searchsorted(start, at, "right") - 1]]
+            begins[at] = True
+            ends[at - 1] = True
+            start = np.flatnonzero(begins)
+        ids, counts = self.ids_of(raw, start, np.flatnonzero(ends) + 1 - start)
+        at = np.concatenate([[0], np.cumsum(counts)])
+        return ids, at[np.searchsorted(start, offsets)]
 
 
 _encoders: dict[str, WordEncoder] = {}
@@ -113,19 +185,20 @@ class PlaneWriter:
         self.chunks.append((len(ids), [self._put(self.packer.compress(p)) for p in to_planes(ids, self.bits)]))
 
     def _list(self) -> None:
-        keys = np.array([k or 0 for k, _ in self.docs], "<i8")
-        sizes = np.array([n for _, n in self.docs], "<i8")
-        none = np.packbits([k is None for k, _ in self.docs])
+        docs, self.docs = self.docs[:PART_DOCS], self.docs[PART_DOCS:]
+        keys = np.array([k or 0 for k, _ in docs], "<i8")
+        sizes = np.array([n for _, n in docs], "<i8")
+        none = np.packbits([k is None for k, _ in docs])
         self.lists.append(self._put(self.packer.compress(struct.pack("<Q", len(keys)) + keys.tobytes() + sizes.tobytes() + none.tobytes())))
-        self.docs = []
 
-    def add(self, doc_id: int | None, ids: np.ndarray) -> None:
-        self.docs.append((doc_id, len(ids)))
-        self.n_docs += 1
+    def add(self, doc_ids: list[int | None], ids: np.ndarray, sizes: np.ndarray) -> None:
+        """Documents with their ids, one behind the other, and how many each has."""
+        self.docs += zip(doc_ids, sizes.tolist(), strict=True)
+        self.n_docs += len(doc_ids)
         self.parts.append(ids)
         self.waiting += len(ids)
         self.n_ids += len(ids)
-        if len(self.docs) >= PART_DOCS:
+        while len(self.docs) >= PART_DOCS:
             self._list()
         if self.waiting >= CHUNK_IDS:
             held = np.concatenate(self.parts)
@@ -207,16 +280,19 @@ def write(docs: DataFrame, folder: str, vocabulary: str, end_id: int | None = 2,
         if vocabulary not in _encoders:
             _encoders[vocabulary] = WordEncoder(vocabulary)
         coder, part, number = _encoders[vocabulary], partition_id(), 0
-        end = np.array([] if end_id is None else [end_id], "<u4")
-        rows = (row for keys, texts in id_and_text(batches) for row in zip(keys, coder.encode(texts), strict=True))
-        row = next(rows, None)
-        while row is not None:
+        slices = byte_slices(batches)
+        next_ = next(slices, None)
+        while next_ is not None:
             name = f"ids-{part:06d}-{number:04d}.planes"
             with new_file(folder, name) as out:
                 writer = PlaneWriter(out, bits, level)
-                while row is not None and writer.n_ids < FILE_IDS:
-                    writer.add(row[0], np.concatenate([row[1], end]))
-                    row = next(rows, None)
+                while next_ is not None and writer.n_ids < FILE_IDS:
+                    keys, raw, offsets = next_
+                    ids, ends = coder.encode(raw, offsets)
+                    if end_id is not None:
+                        ids, ends = np.insert(ids, ends[1:], end_id), ends + np.arange(len(ends))
+                    writer.add(keys.to_pylist(), ids, np.diff(ends))
+                    next_ = next(slices, None)
                 writer.close()
             number += 1
             yield pa.RecordBatch.from_arrays([pa.array([f"{folder}/{name}"]), pa.array([writer.n_docs], pa.int64()), pa.array([writer.n_ids], pa.int64())], ["file", "n_docs", "n_ids"])
@@ -229,7 +305,7 @@ def read(manifest: DataFrame, with_ids: bool = False) -> DataFrame:
     """``doc_id, start, n_tokens, ids_crc32`` (and ``ids``) of every document, from the files of a manifest.
 
     ``start`` counts the ids of all documents before; for it the manifest's rows, one for each file, are added up in
-    order. The files themselves are read by as many tasks as there are files.
+    order. The files are dealt out to a task each, up to ``store.READERS`` tasks.
     """
     bases = manifest.select("file", (F.sum("n_ids").over(Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1))).alias("base"))
     placed = materialise(bases.select("file", F.coalesce("base", F.lit(0)).alias("base")))
@@ -247,7 +323,7 @@ def read(manifest: DataFrame, with_ids: bool = False) -> DataFrame:
                 yield _rows(rows, with_ids)
 
     kind = "doc_id long, start long, n_tokens long, ids_crc32 long" + ", ids array<long>" * with_ids
-    return placed.repartition("file").mapInArrow(run, kind)
+    return dealt(placed, "file").mapInArrow(run, kind)
 
 
 def _rows(rows: list[tuple], with_ids: bool) -> pa.RecordBatch:

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import materialise, scratch_dir
-from .store import new_file, open_store, partition_id
+from .store import dealt, new_file, open_store, partition_id
 
 #: Payloads of fewer bytes are stored as they are, even where they repeat.
 LEAST_REVISIT = 100
@@ -179,7 +179,10 @@ def _arrow(rows: list[dict]) -> pa.RecordBatch:
 
 
 def read(index: DataFrame) -> DataFrame:
-    """Every record of the bundles that an index names, frame by frame; digests of payloads are checked."""
+    """Every record of the bundles that an index names, frame by frame; digests of payloads are checked.
+
+    Bundles are dealt out to a task each, up to ``store.READERS`` tasks.
+    """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -192,7 +195,7 @@ def read(index: DataFrame) -> DataFrame:
                         rows.append(row)
                     yield _arrow(rows)
 
-    return index.select("bundle").distinct().mapInArrow(run, RECORD)
+    return dealt(materialise(index.select("bundle").distinct()), "bundle").mapInArrow(run, RECORD)
 
 
 def lookup(index: DataFrame, ids: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers as P
+import pyarrow as pa
 import pytest
 import tiktoken
 import xxhash
@@ -18,6 +19,7 @@ from tokenizers import Tokenizer
 
 from freshet.llm import bpe, decontaminate, html_text, licenses, line_dedup, media, quality, simhash, token_files, warc
 from freshet.llm.common import scratch_dir
+from freshet.llm.pieces import PieceIds, byte_slices
 
 RANKS, WORDS = P.path("byte_bpe_50k.tiktoken"), P.path("word_bpe_49k.json")
 LONG = "the quick brown fox " * 6000
@@ -385,14 +387,53 @@ def test_bpe_against_tiktoken(docs, nothing):
     assert len(got[5]) == 2 and bpe.encode(nothing, RANKS, P.PATTERN).count() == 0
 
 
-def test_bpe_of_odd_texts():
-    random.seed(9)
-    coder = bpe.encoder(RANKS, P.PATTERN)
-    reference = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=coder.ranks, special_tokens={})
-    parts = ["'s", "'ll", " ", "  ", "\n", "\t", "a", "Z", "é", "ß", "中文", "😀", "12", "!", "...", "\x1c", "\x85", "　", "the", "\r\n", "_", "२", "Ⅷ", "́", "x" * 30, "ab" * 200, "中" * 100, "lorem" * 80]
-    texts = ["".join(random.choice(parts) for _ in range(random.randint(0, 30))) for _ in range(400)]
-    for text, ids in zip(texts, coder.encode(texts), strict=True):
-        assert ids.tolist() == reference.encode_ordinary(text) and coder.decode(ids.tolist()) == text.encode()
+ODD_PARTS = ["'s", "'ll", "'S", " ", "  ", "\n", "\t", "a", "Z", "é", "e\u0301", "ß", "中文", "😀", "12", "!", "...", "\x1c", "\x00", "\x85", "\xa0", "\u2003", "\u200b", "　", "the", "\r\n", "_", "२", "Ⅷ", "\u0301", "Σ", "İ", "\u0958", "<|", "<|endoftext|>", "x" * 30, "ab" * 200, "中" * 100, "lorem" * 80]
+
+
+def odd_texts(n):
+    rng = random.Random(9)
+    return ["".join(rng.choice(ODD_PARTS) for _ in range(rng.randint(0, 30))) for _ in range(n)]
+
+
+def encoded(coder, texts):
+    """The texts' ids by the coder, in slices of a few kilobytes."""
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], ["doc_id", "text"])
+    out = []
+    for _, raw, offsets in byte_slices([batch.slice(1)], 5000):
+        ids, ends = coder.encode(raw, offsets)
+        out += [ids[x:y] for x, y in zip(ends, ends[1:], strict=False)]
+    return out
+
+
+@pytest.mark.parametrize("vocabulary", ["byte_bpe_50k.tiktoken", "byte_bpe_multi_50k.tiktoken"])
+def test_bpe_of_odd_texts(vocabulary):
+    ranks = bpe.read_ranks(P.path(vocabulary))
+    reference = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    coder, texts = bpe.BytePairEncoder(ranks, P.PATTERN), [None, *odd_texts(600)]
+    coder.ids_of = PieceIds(coder.merge, bits=9)  # a table that fills again and again
+    for text, ids in zip(texts[1:], encoded(coder, texts), strict=True):
+        assert ids.tolist() == reference.encode_ordinary(text) and coder.decode(ids)[0].tobytes() == text.encode()
+    with pytest.raises(ValueError, match="public pattern"):
+        bpe.BytePairEncoder(ranks, r"\w+")
+    with pytest.raises(ValueError, match="vocabulary lacks"):
+        bpe.BytePairEncoder({bytes([b]): 2 * b for b in range(256)}, P.PATTERN).decode(np.array([1]))
+
+
+def test_bpe_of_long_pieces_by_one_row():
+    rng = random.Random(2)
+    ranks = bpe.read_ranks(RANKS)
+    coder, reference = bpe.encoder(RANKS, P.PATTERN), tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    for letters in ("a", "ab", "ACGT", "etaoinshrdlu", "éa", "中ab"):
+        text = "".join(rng.choice(letters) for _ in range(3000))
+        assert encoded(coder, ["", text])[0].tolist() == reference.encode_ordinary(text)
+
+
+def test_bpe_where_a_token_is_not_its_own_merge():
+    ranks = {bytes([b]): b for b in range(256)} | {b"ab": 256, b"bc": 257, b"abcd": 258, b"aa": 259, b"aab": 260}
+    coder, reference = bpe.BytePairEncoder(ranks, P.PATTERN), tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    rng = random.Random(4)
+    for text in ["abcd", "abcd abcd", "aaaa", "aaab", *("".join(rng.choice("abcd") for _ in range(n)) for n in (5, 40, 300, 900))]:
+        assert encoded(coder, ["", text])[0].tolist() == reference.encode_ordinary(text)
 
 
 # --- decontamination -------------------------------------------------------------------------------------------
@@ -459,6 +500,32 @@ def test_token_files(spark, docs, nothing, bits, monkeypatch):
     assert token_files.round_trip(nothing, WORDS).count() == 0
 
 
+def test_words_of_odd_texts():
+    library, texts = Tokenizer.from_file(WORDS), [None, *odd_texts(600)]
+    for public in (True, False):
+        coder = token_files.WordEncoder(WORDS)
+        assert coder.public  # else this vocabulary isn't what the fixed rules say
+        coder.public, coder.ids_of = public, PieceIds(coder.make, bits=9)
+        for text, ids in zip(texts[1:], encoded(coder, texts), strict=True):
+            assert ids.tolist() == library.encode(text, add_special_tokens=False).ids
+    with pytest.raises(ValueError, match="white space"):
+        token_files.WordEncoder(P.path("byte_bpe_50k.json"))
+
+
+def test_files_are_read_by_many_tasks(spark):
+    docs = spark.range(0, 400).selectExpr("id as doc_id", "repeat(concat('word ', id, ' '), 30) as text")
+    pages = spark.range(0, 80, 1, 4).selectExpr("id as page_id", "'u' as url", "repeat(concat('x', id), 2000) as html")
+    merged = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(merged, "false")  # several files of small tables
+    try:
+        manifest, index = token_files.write(docs, scratch_dir(spark), WORDS), warc.write(pages, scratch_dir(spark))
+    finally:
+        spark.conf.unset(merged)
+    for files, read in ((manifest.count(), token_files.read(manifest)), (index.select("bundle").distinct().count(), warc.read(index))):
+        parts = read.groupBy(F.spark_partition_id()).count().collect()
+        assert len(parts) == files > 2 and sum(r[1] for r in parts) in (400, 80)
+
+
 def test_planes():
     rng = np.random.default_rng(1)
     for n in (0, 1, 7, 8, 1000):
@@ -474,7 +541,7 @@ def test_files_of_many_chunks(tmp_path, monkeypatch):
     with open(tmp_path / "x", "wb") as out:
         writer = token_files.PlaneWriter(out)
         for d in docs:
-            writer.add(*d)
+            writer.add([d[0]], d[1], np.array([len(d[1])]))
         writer.close()
     back = list(token_files.PlaneFile(f"file://{tmp_path}/x").documents())
     assert [(k, v.tolist()) for k, v in back] == [(k, v.tolist()) for k, v in docs]
