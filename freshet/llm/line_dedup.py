@@ -7,38 +7,44 @@ from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import id_and_text, materialise, select_id_text, utf8
+from .common import materialise, select_id_text, utf8
+from .pieces import byte_slices, low_and_high, spread, word_places
 
 #: Jaccard similarity from which a later line goes.
 SIMILARITY = Fraction(4, 5)
 #: Words whose frequency decides their order; all others are rare and ordered by their hash.
-FREQUENT = 1 << 16
-#: Lines that a task remembers, and different words that it counts before it sends them on.
-LINES, COUNTED = 1_000_000, 2_000_000
-#: Characters of a slice of texts, and bytes that are hashed at once.
-SLICE, HASHED = 1_000_000, 1 << 20
+FREQUENT = 1 << 18
+#: Different words that a task counts before it sends them on.
+COUNTED = 2_000_000
+#: Bytes of a slice of texts; lines and postings that a task sends on together.
+SLICE, LINES, POSTINGS = 1_000_000, 200_000, 500_000
+#: Lines and postings travel in packets, one for each bucket; there is a bucket for about ``BUCKET`` of them, and
+#: ``LEAST_BUCKETS`` at least.
+BUCKET, LEAST_BUCKETS = 50_000, 2048
 #: Lines of at most so many words have a sketch of 64 bits, longer ones of 128.
 NARROW = 64
 #: Earlier lines that a line and word keep at first where the closest one's sketch differs in less than a quarter of what
 #: it may; up to a half these times as many, else these times as many again.
-FIRST, MORE = 4, 8
+FIRST, MORE = 2, 8
 #: Words to which a later round may be limited by broadcast; beyond, it takes all words.
 LATER_WORDS = 1_000_000
-#: Rows that are compared at once.
-ROWS = 100_000
-#: Rows of one word that a task holds; those of words with more are cut into parts of about ``PART``, and pairs of parts
-#: are compared in tasks of their own.
+#: Postings that are compared at once.
+ROWS = 200_000
+#: Postings of one word that a task holds; those of words with more are cut into parts of about ``PART``, and pairs of
+#: parts are compared in tasks of their own.
 HELD, PART = 65_536, 32_768
-#: Bits of the filter of documents whose lines are needed: what is broadcast is at most 2 MB at any size.
-FILTER_BITS = 1 << 23
+#: Bits of the filter of lines whose text is needed: what is broadcast is 2 MB at any size.
+FILTER_BITS = 24
 #: Longest run of lines that is compared by shifts of the whole batch; longer ones go block by block.
-SHORT_RUN, BLOCK = 48, 1024
+SHORT_RUN, BLOCK, ACROSS = 48, 256, 1024
 
-POSTING = "key long, doc_id long, place long, s1 long, s2 long"
-CANDIDATE = "doc_id long, line int, other_id long, other_line int, nth int, more boolean, word int"
+REPRESENTATIVE = "n int, doc binary, line binary, size binary, s1 binary, s2 binary, tokens binary, gone_doc binary, gone_line binary"
+POSTING = ("token", "prev", "pos", "size", "line", "doc", "s1", "s2")
+CANDIDATE = "doc_id long, line int, other_id long, other_line int, far int, more boolean, word long"
 
 
 def least_overlap(a, b, similarity: Fraction = SIMILARITY):
@@ -62,84 +68,73 @@ def similar(a: set[bytes], b: set[bytes], similarity: Fraction = SIMILARITY) ->
     return bool(both) and both * similarity.denominator >= similarity.numerator * (len(a) + len(b) - both)
 
 
-_SPACE = np.zeros(256, bool)
-_SPACE[[9, 10, 11, 12, 13, 32]] = True
-#: Odd bases of two polynomial hashes, and their inverses modulo 2 ** 64.
-_BASES = tuple((np.uint64(b), np.uint64(pow(b, -1, 1 << 64))) for b in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F))
-_powers: dict[int, np.ndarray] = {}
+_LOWER = np.frombuffer(bytes(range(256)).lower(), np.uint8)
 
 
-def _power(base: np.uint64, n: int) -> np.ndarray:
-    """base ** 0 to base ** n, modulo 2 ** 64."""
-    have = _powers.get(int(base))
-    if have is None or len(have) <= n:
-        have = np.full(n + 1, base, np.uint64)
-        have[0] = 1
-        have = _powers[int(base)] = np.multiply.accumulate(have)
-    return have
+def _mix(x: np.ndarray, by: int) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(31))) * np.uint64(by)
+    return x ^ (x >> np.uint64(29))
 
 
-def word_hashes(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(where each word begins, its 64-bit hash) of a text's bytes, in order.
+def word_hashes(raw: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """64-bit hashes of words in bytes: a mix of the word itself for up to 16 bytes, XXH64 for longer ones."""
+    low, high = low_and_high(raw, start, size)
+    out = _mix(_mix(low ^ size.astype(np.uint64) << np.uint64(56), 0xFF51AFD7ED558CCD) + high, 0xC4CEB9FE1A85EC53)
+    for i in np.flatnonzero(size > 16).tolist():
+        out[i] = xxhash.xxh64_intdigest(raw[start[i] : start[i] + size[i]].tobytes())
+    return out
 
-    A word's hash mixes two polynomials of its bytes, taken as differences of running sums, so that no word is touched
-    by itself. Bytes are taken in blocks that end at white space.
-    """
-    starts, hashes, begin, n = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)], 0, len(text)
-    while begin < n:
-        end = min(begin + HASHED, n)
-        while end < n and not _SPACE[text[end - 1]]:
-            after = np.flatnonzero(_SPACE[text[end : end + HASHED]])
-            end = end + int(after[0]) + 1 if len(after) else min(end + HASHED, n)
-        part = text[begin:end]
-        inside = np.zeros(len(part) + 2, np.int8)
-        inside[1:-1] = ~_SPACE[part]
-        edge = np.diff(inside)
-        first, last = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-        total = np.zeros(len(first), np.uint64)
-        for base, inverse in _BASES:
-            sums = np.zeros(len(part) + 1, np.uint64)
-            np.cumsum((part.astype(np.uint64) + np.uint64(1)) * _power(base, len(part))[: len(part)], out=sums[1:])
-            total = _mix(total, 0xFF51AFD7ED558CCD) + (sums[last] - sums[first]) * _power(inverse, len(part))[first]
-        starts.append(first + begin)
-        hashes.append(_mix(total, 0xC4CEB9FE1A85EC53))
-        begin = end
-    return np.concatenate(starts), np.concatenate(hashes)
-
-
-def _bytes(texts: list[str]) -> np.ndarray:
-    """The texts' lower-cased bytes, a line end after each."""
-    return np.frombuffer(b"\n".join([*(utf8(t).lower() for t in texts), b""]), np.uint8)
-
-
-def frequent_words(docs: DataFrame, most: int = FREQUENT) -> list[int]:
-    """Hashes of the ``most`` most frequent words of all texts, rarest first.
-
-    A word that a slice of texts (about a million characters) has only once isn't counted there. Order decides how many
+
+def _docs(docs: DataFrame) -> DataFrame:
+    return select_id_text(docs).where("doc_id is not null")
+
+
+def frequent_words(docs: DataFrame, most: int = FREQUENT) -> tuple[np.ndarray, int]:
+    """(hashes of up to ``most`` of the most frequent words of all texts, rarest first; how many words all texts have).
+
+    Words are taken by levels of frequency, most frequent ones first, as long as a whole level fits.
+
+    A word that a slice of texts (about a million bytes) has only once isn't counted there. Order decides how many
     candidates there are, never the result: any order of words that all tasks share is right.
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def merged() -> tuple[np.ndarray, np.ndarray]:
             words, at = np.unique(np.concatenate([w for w, _ in held]), return_inverse=True)
-            counts = np.bincount(at, weights=np.concatenate([n for _, n in held])).astype(np.int64)
-            return words, counts
+            return words, np.bincount(at, weights=np.concatenate([n for _, n in held]), minlength=len(words)).astype(np.int64)
+
+        def out(words: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), pa.array(counts)], ["word", "n"])
 
         held: list[tuple[np.ndarray, np.ndarray]] = [(np.zeros(0, np.uint64), np.zeros(0, np.int64))]
-        for _, texts in id_and_text(batches, SLICE):
-            words, counts = np.unique(word_hashes(_bytes(texts))[1], return_counts=True)
+        total = 0
+        for _, raw, offsets in byte_slices(batches, SLICE):
+            raw = _LOWER[raw]
+            words, counts = np.unique(word_hashes(raw, *word_places(raw, offsets)), return_counts=True)
+            total += int(counts.sum())
             held.append((words[counts > 1], counts[counts > 1]))
             if sum(len(w) for w, _ in held) > COUNTED:
                 held = [merged()]
                 if len(held[0][0]) > COUNTED // 2:
-                    yield pa.RecordBatch.from_arrays([pa.array(held[0][0].view(np.int64)), pa.array(held[0][1])], ["word", "n"])
+                    yield out(*held[0])
                     held = [(np.zeros(0, np.uint64), np.zeros(0, np.int64))]
-        words, counts = merged()
-        yield pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), pa.array(counts)], ["word", "n"])
-
-    sent = select_id_text(docs).mapInArrow(run, "word long, n long")
-    top = sent.groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(most).collect()
-    return [r.word & (2**64 - 1) for r in reversed(top)]
+        yield out(*merged())
+        yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.array([total], pa.int64())], ["word", "n"])
+
+    counts = materialise(_docs(docs).mapInArrow(run, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")))
+    level = F.floor(F.log2("n") * 16).cast("int")
+    levels = counts.groupBy(F.when(F.col("word").isNotNull(), level).alias("level")).agg(F.count("*").alias("words"), F.sum("n").alias("n")).collect()
+    total, least, words = 0, None, 0
+    for level_, n_words, n in sorted(levels, key=lambda r: (r[0] is not None, -(r[0] or 0))):  # a few hundred
+        if level_ is None:
+            total = n
+        elif words + n_words <= most:
+            least, words = level_, words + n_words
+        else:
+            break
+    top = counts.where("word is not null").where(level >= (2**30 if least is None else least)).toArrow()
+    word, n = top["word"].to_numpy(), top["n"].to_numpy()
+    return word[np.lexsort((word, n))].view(np.uint64), total
 
 
 class WordOrder:
@@ -148,12 +143,12 @@ class WordOrder:
     Frequent words are looked up for whole arrays in a table with open addressing.
     """
 
-    BITS = 18
+    BITS = 20
 
-    def __init__(self, frequent: list[int]) -> None:
+    def __init__(self, frequent: np.ndarray) -> None:
         self.keys, self.ranks = np.zeros(1 << self.BITS, np.uint64), np.zeros(1 << self.BITS, np.uint64)
-        hashes = np.array([h for h in frequent if h], np.uint64)
-        ranks = np.flatnonzero(np.array(frequent, np.uint64)).astype(np.uint64) + np.uint64(1 << 63)
+        hashes = frequent[frequent != 0]
+        ranks = np.flatnonzero(frequent).astype(np.uint64) + np.uint64(1 << 63)
         slot = hashes >> np.uint64(64 - self.BITS)
         while len(hashes):  # each free slot takes one of the words that want it, the others step on
             free = self.keys[slot] == 0
@@ -177,12 +172,14 @@ class WordOrder:
 
 
 def _token(places: np.ndarray) -> np.ndarray:
-    """32 bits of a word's place, by which its rows meet."""
-    return (_mix(places, 0x9E3779B97F4A7C15) >> np.uint64(32)).astype(np.int64) - (1 << 31)
+    """32 bits of a word's place, by which its postings meet."""
+    return (_mix(places, 0x9E3779B97F4A7C15) >> np.uint64(32)).astype(np.uint32)
 
 
 def _by_line(owner: np.ndarray, places: np.ndarray) -> np.ndarray:
     """The order of words by line and place. One sort of packed keys does it unless two places share their upper bits."""
+    if len(owner) and owner[-1] >= 1 << 24:
+        return np.lexsort((places, owner))
     frequent = places >> np.uint64(63) == 1
     upper = np.where(frequent, np.uint64(1 << 39) | (places & np.uint64((1 << 39) - 1)), places >> np.uint64(25))
     key = owner.astype(np.uint64) << np.uint64(40) | upper
@@ -193,328 +190,472 @@ def _by_line(owner: np.ndarray, places: np.ndarray) -> np.ndarray:
     return at
 
 
-def _mix(x: np.ndarray, by: int) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(31))) * np.uint64(by)
-    return x ^ (x >> np.uint64(29))
+class Lines:
+    """Sets of words of lines as arrays: place, size, signature, sketch, and the prefixes' tokens one behind the other."""
 
+    NAMES = ("sig1", "sig2", "doc", "line", "size", "s1", "s2")
 
-class Lines:
-    """Sets of words of the lines of some texts as arrays: sorted places in the order, and where each line's begin."""
+    def __init__(self, columns: dict[str, np.ndarray], tokens: np.ndarray, similarity: Fraction) -> None:
+        self.columns, self.tokens, self.similarity = columns, tokens, similarity
+
+    def __len__(self) -> int:
+        return len(self.columns["doc"])
 
-    def __init__(self, ids: list, texts: list[str], order: WordOrder, only: np.ndarray | None = None) -> None:
-        mine = [i for i, key in enumerate(ids) if key is not None]
-        raw = _bytes([texts[i] for i in mine])
-        start, hashes = word_hashes(raw)
+    @classmethod
+    def of(cls, ids: np.ndarray, raw: np.ndarray, offsets: np.ndarray, order: WordOrder, similarity: Fraction) -> Lines:
+        """The lines with words of texts that lie one behind the other."""
+        raw = _LOWER[raw]
+        start, bytes_ = word_places(raw, offsets)
+        flat = order(word_hashes(raw, start, bytes_))
         ends = np.flatnonzero(raw == 10)
-        number = np.searchsorted(ends, start)  # of the line among all
-        per_doc = np.array([texts[i].count("\n") + 1 for i in mine], np.int64)
-        of_doc = np.repeat(np.arange(len(mine)), per_doc)
-        within = np.arange(len(of_doc)) - np.repeat(np.cumsum(per_doc) - per_doc, per_doc)
-        flat = order(hashes)
-        if only is not None:  # lines without any of these words have no rows
-            wanted = np.zeros(len(ends), bool)
-            wanted[number[np.isin(_token(flat), only)]] = True
-            kept = wanted[number]
-            flat, number = flat[kept], number[kept]
-        filled, sizes = np.unique(number, return_counts=True)
-        doc = np.array([ids[i] for i in mine], np.int64)[of_doc[filled]]
-        self.doc, self.line = doc, within[filled].astype(np.int32)
-        owner = np.repeat(np.arange(len(doc)), sizes)
+        ends = ends[ends < offsets[-1]]
+        number, doc = np.searchsorted(ends, start), np.searchsorted(offsets, start, "right") - 1
+        first = np.ones(len(start), bool)  # word of its line
+        first[1:] = (number[1:] != number[:-1]) | (doc[1:] != doc[:-1])
+        owner = np.cumsum(first) - 1
+        doc, number = doc[first], number[first]
+        line = number - np.searchsorted(ends, offsets[:-1])[doc]
         at = _by_line(owner, flat)
         flat, owner = flat[at], owner[at]
         new = np.ones(len(flat), bool)
         new[1:] = (flat[1:] != flat[:-1]) | (owner[1:] != owner[:-1])
-        self.words, owner = flat[new], owner[new]
-        self.size = np.bincount(owner, minlength=len(doc)).astype(np.int32)
-        self.start = np.concatenate([[0], np.cumsum(self.size)])[:-1].astype(np.int64)
-        spread = _mix(self.words, 0xBF58476D1CE4E5B9)
+        words, owner = flat[new], owner[new]
+        size = np.bincount(owner, minlength=len(doc))
+        start = np.cumsum(size) - size
+        mixed = _mix(words, 0xBF58476D1CE4E5B9)
         # parity sketch of 128 bits: sets that differ in d words have sketches that differ in at most d bits
-        bit = np.uint64(1) << (spread & np.uint64(63))
-        high = (spread >> np.uint64(6)) & np.uint64(1) == 1
-        if len(doc):
-            s1 = np.bitwise_xor.reduceat(np.where(high, np.uint64(0), bit), self.start)
-            s2 = np.bitwise_xor.reduceat(np.where(high, bit, np.uint64(0)), self.start)
-            narrow = self.size <= NARROW  # their two halves are folded into one
-            self.s1, self.s2 = np.where(narrow, s1 ^ s2, s1).view(np.int64), np.where(narrow, np.uint64(0), s2).view(np.int64)
-            self.sign = list(zip(np.add.reduceat(spread, self.start).tolist(), np.add.reduceat(_mix(spread, 0x94D049BB133111EB), self.start).tolist(), strict=True))
-        else:
-            self.s1 = self.s2 = np.zeros(0, np.int64)
-            self.sign = []
+        bit = np.uint64(1) << (mixed & np.uint64(63))
+        high = (mixed >> np.uint64(6)) & np.uint64(1) == 1
+        none = np.zeros(0, np.uint64)
+        s1 = np.bitwise_xor.reduceat(np.where(high, np.uint64(0), bit), start) if len(doc) else none
+        s2 = np.bitwise_xor.reduceat(np.where(high, bit, np.uint64(0)), start) if len(doc) else none
+        narrow = size <= NARROW  # their two halves are folded into one
+        columns = {
+            "sig1": _mix(np.add.reduceat(mixed, start), 0x9E3779B97F4A7C15) if len(doc) else none,
+            "sig2": np.add.reduceat(_mix(mixed, 0x94D049BB133111EB), start) if len(doc) else none,
+            "doc": ids[doc], "line": line, "size": size, "s1": np.where(narrow, s1 ^ s2, s1), "s2": np.where(narrow, np.uint64(0), s2),
+        }
+        return cls(columns, _token(words[spread(start, prefix_length(size, similarity))]), similarity)
+
+    @classmethod
+    def joined(cls, parts: list[Lines]) -> Lines:
+        return cls({k: np.concatenate([p.columns[k] for p in parts]) for k in cls.NAMES}, np.concatenate([p.tokens for p in parts]), parts[0].similarity)
+
+    def take(self, rows: np.ndarray) -> Lines:
+        n = prefix_length(self.columns["size"].astype(np.int64), self.similarity)
+        return Lines({k: c[rows] for k, c in self.columns.items()}, self.tokens[spread((np.cumsum(n) - n)[rows], n[rows])], self.similarity)
+
+    def first_of_sets(self) -> tuple[Lines, np.ndarray, np.ndarray]:
+        """(the earliest line of each different set, by signature; doc and line of all later ones)."""
+        c = self.columns
+        at = np.lexsort((c["line"], c["doc"], c["sig2"], c["sig1"]))
+        new = np.ones(len(at), bool)
+        new[1:] = (c["sig1"][at[1:]] != c["sig1"][at[:-1]]) | (c["sig2"][at[1:]] != c["sig2"][at[:-1]])
+        first = at[np.flatnonzero(new)][np.cumsum(new) - 1]
+        later = at[(c["doc"][at] != c["doc"][first]) | (c["line"][at] != c["line"][first])]
+        return self.take(at[new]), c["doc"][later], c["line"][later]
+
+
+def _narrow(x: np.ndarray) -> np.ndarray:
+    """The column in the fewest bytes for its values; one that has negative ones stays as it is."""
+    least, most = (int(x.min()), int(x.max())) if len(x) else (0, 0)
+    return x if least < 0 or most >= 1 << 32 else x.astype(np.uint8 if most < 1 << 8 else np.uint16 if most < 1 << 16 else np.uint32)
+
 
+def _packets(columns: list[np.ndarray], cut: np.ndarray) -> list[pa.Array]:
+    """A binary column for each array, cut into rows at the given places."""
+    return [pa.Array.from_buffers(pa.binary(), len(cut) - 1, [None, pa.py_buffer((cut * c.itemsize).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(c))]) for c in columns]
 
-def postings(docs: DataFrame, frequent: list[int], similarity: Fraction = SIMILARITY, only: list[int] | None = None) -> DataFrame:
-    """A row for each word in a line's prefix, with the line's place and size, the word's position, and the sketch.
 
-    Packed in pairs: ``key`` is word and position, ``place`` line number and size. A line whose set of words its task
-    has met before, at an earlier place, is a match without more: it has one row with a size of 0. With ``only``, rows
-    of these words alone.
+def _column(packets: list[bytes | None], n: list[int], kind: str) -> np.ndarray:
+    """One array of packets with n values each, ``kind`` u or i for those that fill eight bytes."""
+    parts = [np.frombuffer(x, f"<{kind if len(x) == 8 * k else 'u'}{len(x) // k}") for x, k in zip(packets, n, strict=True) if k]
+    return np.concatenate(parts).astype("<i8" if kind == "i" else "<u8") if parts else np.zeros(0, f"<{kind}8")
+
+
+def _buckets(n: int) -> int:
+    return max(LEAST_BUCKETS, n // BUCKET)
+
+
+def _by_bucket(batches: Iterable[pa.RecordBatch], counts: int, rows: int) -> Iterator[tuple[list[list], bool]]:
+    """Rows as lists of columns, several whole buckets together, or a part of one bucket if that is very large.
+
+    ``counts``: the column that says how much a row holds; with each part, whether its last bucket goes on.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(frequent)
-    words = None if only is None else docs.sparkSession.sparkContext.broadcast(only)
+    held: list[list] = []
+    size, last = 0, None
+    for batch in batches:
+        columns = [c.to_pylist() for c in batch.columns]
+        for row in zip(*columns, strict=True):
+            if size >= rows and row[0] != last:
+                yield [list(c) for c in zip(*held, strict=True)], False
+                held, size = [], 0
+            elif size >= 8 * max(rows, HELD):
+                yield [list(c) for c in zip(*held, strict=True)], True
+                held, size = [], 0
+            held.append(row)
+            size += row[counts]
+            last = row[0]
+    if held:
+        yield [list(c) for c in zip(*held, strict=True)], False
+
+
+def representatives(docs: DataFrame, frequent: np.ndarray, n_words: int, similarity: Fraction = SIMILARITY) -> DataFrame:
+    """The earliest line of each different set of words, packed: place, size, sketch, tokens of its prefix.
+
+    Sets are equal by a signature of 128 bits. All later lines of a set are in ``gone_doc`` and ``gone_line``. A task
+    sends each set that it meets once; equal sets meet by their signature.
+    """
+    shared, buckets = docs.sparkSession.sparkContext.broadcast(frequent), _buckets(n_words // 8)
+    names = ["bucket", "n", "g", *Lines.NAMES, "tokens", "gone_doc", "gone_line"]
+
+    def send(lines: Lines) -> pa.RecordBatch:
+        kept, doc, line = lines.first_of_sets()
+        bucket = ((kept.columns["sig1"] >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+        cut = np.append(np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])), len(bucket)) if len(bucket) else np.zeros(1, int)
+        n = np.cumsum(prefix_length(kept.columns["size"].astype(np.int64), similarity))
+        rows, gone = len(cut) - 1, np.linspace(0, len(doc), len(cut)).astype(np.int64)  # they are spread over the rows
+        columns = [*_packets([_narrow(c) for c in kept.columns.values()], cut), *_packets([kept.tokens], np.append(0, n)[cut]), *_packets([_narrow(doc), _narrow(line)], gone)]
+        return pa.RecordBatch.from_arrays([pa.array(bucket[cut[:rows]].astype(np.int32)), pa.array(np.diff(cut).astype(np.int32)), pa.array(np.diff(gone).astype(np.int32)), *columns], names)
+
+    def cut_up(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        order, held = WordOrder(shared.value), []
+        for ids, raw, offsets in byte_slices(batches, SLICE):
+            held.append(Lines.of(ids.to_numpy(), raw, offsets, order, similarity))
+            if sum(map(len, held)) >= LINES:
+                yield send(Lines.joined(held))
+                held = []
+        if held:
+            yield send(Lines.joined(held))
+
+    def meet(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        over: list[Lines] = []
+        for columns, goes_on in _by_bucket(batches, 1, LINES):
+            n, g = columns[1], columns[2]
+            arrays = {k: _column(c, n, "i" if k == "doc" else "u") for k, c in zip(Lines.NAMES, columns[3:10], strict=True)}
+            lines = Lines(arrays, np.frombuffer(b"".join(columns[10]), np.uint32), similarity)
+            kept, doc, line = Lines.joined([*over, lines]).first_of_sets()
+            over = [kept] if goes_on else []
+            doc, line = np.append(doc, _column(columns[11], g, "i")), np.append(line, _column(columns[12], g, "u"))
+            yield pack(kept.take(np.arange(0)) if goes_on else kept, doc, line)
+
+    def pack(kept: Lines, doc: np.ndarray, line: np.ndarray) -> pa.RecordBatch:
+        whole = [_narrow(kept.columns[k]) for k in ("doc", "line", "size", "s1", "s2")]
+        packed = [_packets([c], np.array([0, len(c)]))[0] for c in (*whole, kept.tokens, doc.astype("<i8"), line.astype("<i4"))]
+        return pa.RecordBatch.from_arrays([pa.array([len(kept)], pa.int32()), *packed], [c.split()[0] for c in REPRESENTATIVE.split(", ")])
+
+    sent = _docs(docs).mapInArrow(cut_up, ", ".join(f"{c} {'int' if c in names[:3] else 'binary'}" for c in names))
+    return materialise(sent.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(meet, REPRESENTATIVE))
+
+
+def equal_lines(packed: DataFrame) -> DataFrame:
+    """``doc_id, line`` of all lines whose set an earlier line has."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        order, seen = WordOrder(shared.value), {}
-        wanted = None if words is None else np.array(words.value, np.int64)
-        for ids, texts in id_and_text(batches, SLICE):
-            part = Lines(ids, texts, order, wanted)
-            again = np.zeros(len(part.doc), bool)
-            for i, (sign, place) in enumerate(zip(part.sign, zip(part.doc.tolist(), part.line.tolist(), strict=True), strict=True)):
-                first = seen.get(sign)
-                if first is None or place < first:
-                    seen[sign] = place
-                else:
-                    again[i] = first != place
-            if len(seen) > LINES:
-                seen.clear()
-            count = np.where(again, 1, prefix_length(part.size.astype(np.int64), similarity))
-            row = np.repeat(np.arange(len(part.doc)), count)
+        for batch in batches:
+            for doc, line in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(doc, "<i8")), pa.array(np.frombuffer(line, "<i4"))], ["doc_id", "line"])
+
+    return packed.select("gone_doc", "gone_line").mapInArrow(run, "doc_id long, line int")
+
+
+def _postings(packed: Iterable[pa.RecordBatch], similarity: Fraction, wanted: np.ndarray | None) -> Iterator[dict[str, np.ndarray]]:
+    """A posting for each word in a line's prefix (of ``wanted`` words only): the word, the one before it, the position, the line."""
+    for batch in packed:
+        for n, doc, line, size, s1, s2, tokens in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if not n:
+                continue
+            lines = {k: _column([x], [n], "i" if k == "doc" else "u") for k, x in (("size", size), ("line", line), ("doc", doc), ("s1", s1), ("s2", s2))}
+            token = np.frombuffer(tokens, np.uint32)
+            count = prefix_length(lines["size"].astype(np.int64), similarity)
+            row = np.repeat(np.arange(n), count)
             pos = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
-            token = _token(part.words[part.start[row] + pos])
-            size = np.where(again, 0, part.size)[row]
+            out = {"token": token, "prev": np.append(token[:1], token[:-1]), "pos": pos}
             if wanted is not None:
-                kept = np.isin(token, wanted) & (size > 0)
-                row, token, pos, size = row[kept], token[kept], pos[kept], size[kept]
-            columns = (token << 32 | pos, part.doc[row], part.line[row].astype(np.int64) << 32 | size, part.s1[row], part.s2[row])
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], [c.split()[0] for c in POSTING.split(", ")])
-
-    return select_id_text(docs).mapInArrow(run, POSTING)
+                kept = np.isin(token, wanted)
+                row, out = row[kept], {k: c[kept] for k, c in out.items()}
+            yield out | {k: c[row] for k, c in lines.items()}
 
 
 class _Run:
-    """Rows of the same words, in order of place."""
+    """Postings of some words."""
 
-    def __init__(self, columns: list[np.ndarray], similarity: Fraction, second: np.ndarray | None = None) -> None:
-        self.second = second  # the part of each row, if only rows of different parts are compared
-        key, self.doc, place, s1, s2 = columns
-        self.token, self.pos = key >> 32, key & 0xFFFFFFFF
-        self.line, self.size = (place >> 32).astype(np.int32), place & 0xFFFFFFFF
-        self.s1, self.s2, self.similarity = s1.view(np.uint64), s2.view(np.uint64), similarity
+    def __init__(self, columns: dict[str, np.ndarray], similarity: Fraction, second: np.ndarray | None = None) -> None:
+        self.second = second  # the part of each posting, if only postings of different parts are compared
+        self.token, self.prev, self.pos, self.size = (columns[k].astype(np.int64) for k in ("token", "prev", "pos", "size"))
+        self.line, self.doc, self.s1, self.s2, self.similarity = columns["line"].astype(np.int32), columns["doc"], columns["s1"], columns["s2"], similarity
 
     def passes(self, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(i, j, how far apart) of the lines i and earlier lines j that may be similar by length, position and sketch.
+        """(later, earlier, how far apart) of pairs of postings whose lines may be similar by length, position and sketch.
 
-        How far: the bits in which the sketches differ, in 128ths of what similar sets may differ in.
+        How far: the bits in which the sketches differ, in 128ths of what similar sets may differ in. Lines that meet at
+        the word before, too, aren't given again.
         """
         a, b = self.size[i], self.size[j]
-        shared = least_overlap(a, b, self.similarity)
         ok = np.minimum(a, b) * self.similarity.denominator >= np.maximum(a, b) * self.similarity.numerator
-        ok &= np.minimum(a - self.pos[i], b - self.pos[j]) >= shared
+        i, j = i[ok], j[ok]
+        a, b, p, q = self.size[i], self.size[j], self.pos[i], self.pos[j]
+        shared = least_overlap(a, b, self.similarity)
+        ok = (np.minimum(a - p, b - q) >= shared) & ((self.prev[i] != self.prev[j]) | (p == 0) | (q == 0))
         if self.second is not None:
             ok &= self.second[i] != self.second[j]
-        at = np.flatnonzero(ok)
-        i, j, a, b, shared = i[at], j[at], a[at], b[at], shared[at]
+        i, j, a, b, shared = i[ok], j[ok], a[ok], b[ok], shared[ok]
         one, two = self.s1[i] ^ self.s1[j], self.s2[i] ^ self.s2[j]
         folded = np.minimum(a, b) <= NARROW  # a narrow sketch is held against the other's two halves folded into one
         one, two = np.where(folded, one ^ two, one), np.where(folded, np.uint64(0), two)
         differ = np.bitwise_count(one).astype(np.int64) + np.bitwise_count(two)
         may = a + b - 2 * shared
         ok = (differ <= may) & ((self.doc[i] != self.doc[j]) | (self.line[i] != self.line[j]))
-        return i[ok], j[ok], (128 * differ[ok] // (may[ok] + 1)).astype(np.int64)
+        i, j, far = i[ok], j[ok], 128 * differ[ok] // (may[ok] + 1)
+        after = (self.doc[i] > self.doc[j]) | (self.doc[i] == self.doc[j]) & (self.line[i] > self.line[j])
+        return np.where(after, i, j), np.where(after, j, i), far
 
-    @staticmethod
-    def best(i: np.ndarray, j: np.ndarray, far: np.ndarray, most: int) -> tuple[np.ndarray, ...]:
-        """(i, j, far, number, whether there are more): for each i the closest j, ``most`` of them where one is close."""
-        at = np.lexsort((j, far, i))
+    def best(self, i: np.ndarray, j: np.ndarray, far: np.ndarray, most: int) -> tuple[np.ndarray, ...]:
+        """(i, j, far, whether there are more): for each i the closest j, ``most`` of them where one is close.
+
+        Of equally close ones the latest, so that not all lines of a group are held against the same one.
+        """
+        at = np.lexsort((-self.line[j], -self.doc[j], far, i))
         i, j, far = i[at], j[at], far[at]
         first = np.flatnonzero(np.concatenate([[True], i[1:] != i[:-1]])) if len(i) else np.zeros(0, int)
         counts = np.diff(np.append(first, len(i)))
         nth = np.arange(len(i)) - np.repeat(first, counts)
         limit = most * np.array([1, MORE, MORE * MORE])[(far[first] >= 32).astype(int) + (far[first] >= 64)]
         kept = nth < np.repeat(limit, counts)
-        return i[kept], j[kept], far[kept], nth[kept], np.repeat(counts > limit, counts)[kept]
+        return i[kept], j[kept], far[kept], np.repeat(counts > limit, counts)[kept]
 
     def candidates(self, most: int) -> Iterator[tuple[np.ndarray, ...]]:
-        """(line, earlier line, how far, its number from 0, whether there are more) of the closest earlier lines that pass.
+        """(line, earlier line, how far, whether there are more) of the closest earlier lines that pass.
 
-        Parts of bounded size: all short runs, then each block of a long run.
+        Parts of bounded size: all short runs, whose postings stand by size, then each block of a long run.
         """
-        n = len(self.token)
-        starts = np.flatnonzero(np.concatenate([[True], self.token[1:] != self.token[:-1]])) if n else np.zeros(0, int)
-        sizes = np.diff(np.append(starts, n))
+        order = np.argsort(self.token << 32 | self.size)
+        token, size = self.token[order], self.size[order]
+        starts = np.flatnonzero(np.append(True, token[1:] != token[:-1])) if len(token) else np.zeros(0, int)
+        sizes = np.diff(np.append(starts, len(token)))
         begin = np.repeat(starts, sizes)
         none = np.zeros(0, int)
         found = [(none, none, none)]
         rows = np.flatnonzero(np.repeat((sizes > 1) & (sizes <= SHORT_RUN), sizes))
         for d in range(1, SHORT_RUN):
             rows = rows[rows - d >= begin[rows]]
+            rows = rows[size[rows - d] * self.similarity.denominator >= size[rows] * self.similarity.numerator]
             if not len(rows):
                 break
-            found.append(self.passes(rows, rows - d))
-        i, j, far, nth, more = self.best(*(np.concatenate([f[k] for f in found]) for k in range(3)), most)
-        yield i, j, far, nth.astype(np.int32), more
-        for start, size in zip(starts[sizes > SHORT_RUN], sizes[sizes > SHORT_RUN], strict=True):
-            for at in range(start, start + size, BLOCK):
-                block = np.arange(at, min(at + BLOCK, start + size))
-                kept, open_, others = [none, none, none], np.ones(len(block), bool), np.zeros(len(block), bool)
-                for other in range(start, at + len(block), BLOCK):
-                    # a row with enough close lines needs no others; they are more, if it should come to that
-                    todo, earlier = block[open_], np.arange(other, min(other + BLOCK, start + size))
-                    if not len(todo):
-                        break
-                    i, j = (x.ravel() for x in np.meshgrid(todo, earlier, indexing="ij"))
-                    before = j < i
-                    new = self.passes(i[before], j[before])
-                    *kept, _, more = self.best(*(np.concatenate([x, y]) for x, y in zip(kept, new, strict=True)), most)
-                    others[kept[0][more] - at] = True
-                    close = np.bincount(kept[0][kept[2] < 32] - at, minlength=len(block)) >= most
-                    if other + BLOCK < at + len(block):
-                        others |= open_ & close
-                    open_ &= ~close
-                i, j, far, nth, more = self.best(*kept, most)
-                yield i, j, far, nth.astype(np.int32), more | others[i - at]
-
-
-def _matcher(most: int, similarity: Fraction):
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = [c.split()[0] for c in CANDIDATE.split(", ")]
-
-        def out(columns: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-            sure = columns[2] & 0xFFFFFFFF == 0
-            words, at, counts = np.unique(columns[0] >> 32, return_inverse=True, return_counts=True)
-            many = counts[at] > HELD
-            live, done = _Run([c[~sure & ~many] for c in columns], similarity), _Run([c[sure] for c in columns], similarity)
-            if many.any():
-                yield marks(words[counts > HELD])
-            void, n = np.ones(len(done.doc), bool), len(done.doc)
-            yield pa.RecordBatch.from_arrays(
-                [*map(pa.array, (done.doc, done.line)), pa.array(done.doc, mask=void), pa.array(done.line, mask=void), *map(pa.array, (np.zeros(n, np.int32), np.zeros(n, bool), done.token.astype(np.int32)))], names
-            )
-            for i, j, _, nth, more in live.candidates(most):
-                columns = (live.doc[i], live.line[i], live.doc[j], live.line[j], nth, more, live.token[i].astype(np.int32))
-                yield pa.RecordBatch.from_arrays([*map(pa.array, columns)], names)
-
-        def marks(words: np.ndarray) -> pa.RecordBatch:
-            n = len(words)
-            kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.bool_())
-            return pa.RecordBatch.from_arrays([*(pa.nulls(n, k) for k in kinds), pa.array(words.astype(np.int32))], names)
+            found.append(self.passes(order[rows], order[rows - d]))
+        yield self.best(*(np.concatenate([f[k] for f in found]) for k in range(3)), most)
+        for start, n in zip(starts[sizes > SHORT_RUN], sizes[sizes > SHORT_RUN], strict=True):
+            run = order[start : start + n]
+            yield from self.long_run(run[np.lexsort((self.line[run], self.doc[run]))], most)
+
+    def long_run(self, run: np.ndarray, most: int) -> Iterator[tuple[np.ndarray, ...]]:
+        """The same of many postings of one word in order of place."""
+        none, number = np.zeros(0, int), np.zeros(len(self.token), int)
+        num, den = self.similarity.numerator, self.similarity.denominator
+        for at in range(0, len(run), BLOCK):
+            block = run[at : at + BLOCK]
+            number[block] = np.arange(len(block))
+            kept, open_, others = [none, none, none], np.ones(len(block), bool), np.zeros(len(block), bool)
+            for other in range(0, at + len(block), ACROSS):
+                # a posting with enough close lines needs no others; they are more, if it should come to that
+                todo, earlier = block[open_], run[other : min(other + ACROSS, at + len(block))]
+                if not len(todo):
+                    break
+                a, b = self.size[todo][:, None], self.size[earlier][None, :]
+                fits = (a * den >= b * num) & (b * den >= a * num)
+                if other + ACROSS > at:
+                    fits &= np.arange(other, other + len(earlier))[None, :] < (at + np.flatnonzero(open_))[:, None]
+                x, y = np.nonzero(fits)
+                new = self.passes(todo[x], earlier[y])
+                *kept, more = self.best(*(np.concatenate(c) for c in zip(kept, new, strict=True)), most)
+                others[number[kept[0][more]]] = True
+                close = np.bincount(number[kept[0][kept[2] < 32]], minlength=len(block)) >= most
+                if other + ACROSS < at + len(block):
+                    others |= open_ & close
+                open_ &= ~close
+            i, j, far, more = self.best(*kept, most)
+            yield i, j, far, more | others[number[i]]
+
+
+_CANDIDATE_NAMES = [c.split()[0] for c in CANDIDATE.split(", ")]
+
+
+def _found(run: _Run, most: int) -> Iterator[pa.RecordBatch]:
+    for i, j, far, more in run.candidates(most):
+        if len(i):
+            yield pa.RecordBatch.from_arrays([*map(pa.array, (run.doc[i], run.line[i], run.doc[j], run.line[j], far.astype(np.int32), more, run.token[i]))], _CANDIDATE_NAMES)
+
+
+def _matcher(most: int, similarity: Fraction, held: int, rows: int):
+    def marks(words: np.ndarray) -> pa.RecordBatch:
+        kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.bool_())
+        return pa.RecordBatch.from_arrays([*(pa.nulls(len(words), k) for k in kinds), pa.array(words.astype(np.int64))], _CANDIDATE_NAMES)
 
-        held: list[list[np.ndarray]] = []
-        rows, passing = 0, None
-        for batch in batches:
-            columns = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
-            if passing is not None:  # a word with too many rows: only its sure matches leave here
-                n = int(np.searchsorted(columns[0] >> 32, passing, "right"))
-                sure = columns[2][:n] & 0xFFFFFFFF == 0
-                yield from out([c[:n][sure] for c in columns])
-                columns = [c[n:] for c in columns]
-                if not len(columns[0]):
-                    continue
-                passing = None
-            held.append(columns)
-            rows += len(columns[0])
-            if rows >= ROWS:
-                columns = [np.concatenate([h[k] for h in held]) for k in range(5)]
-                token = columns[0] >> 32
-                cut = int(np.searchsorted(token, token[-1]))  # the last word may go on in the next batch
-                if cut:
-                    yield from out([c[:cut] for c in columns])
-                held, rows = [[c[cut:].copy() for c in columns]], rows - cut
-                if rows > HELD:
-                    passing = token[-1]
-                    yield from out(held[0])
-                    held, rows = [], 0
-        if rows:
-            yield from out([np.concatenate([h[k] for h in held]) for k in range(5)])
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        over: list[dict[str, np.ndarray]] = []
+        hot = np.zeros(0, np.int64)
+        for packets, goes_on in _by_bucket(batches, 1, rows):
+            part = {k: _column(c, packets[1], "i" if k == "doc" else "u") for k, c in zip(POSTING, packets[2:], strict=True)}
+            columns = {k: np.concatenate([*(o[k] for o in over), part[k]]) for k in POSTING}
+            words, at, counts = np.unique(columns["token"], return_inverse=True, return_counts=True)
+            new = np.setdiff1d(words[counts > held], hot)
+            if len(new):  # their postings leave by themselves
+                yield marks(new)
+            hot = np.union1d(hot, new)
+            if len(hot):
+                few = ~np.isin(words, hot)[at]
+                columns = {k: c[few] for k, c in columns.items()}
+            over = [columns] if goes_on else []
+            if not goes_on:
+                yield from _found(_Run(columns, similarity), most)
+                hot = np.zeros(0, np.int64)
 
     return run
 
 
 def _pair_matcher(most: int, similarity: Fraction):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["doc_id", "line", "other_id", "other_line", "far", "more", "word"]
-
-        def out(columns: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        def out() -> Iterator[pa.RecordBatch]:
+            columns = [np.concatenate(c) for c in zip(*held, strict=True)]
             second = columns[3] if columns[1][0] != columns[2][0] else None
-            live = _Run(columns[4:], similarity, second)
-            for i, j, far, _, more in live.candidates(most):
-                yield pa.RecordBatch.from_arrays([*map(pa.array, (live.doc[i], live.line[i], live.doc[j], live.line[j], far, more, live.token[i].astype(np.int32)))], names)
+            arrays = {k: c.view(np.uint64) if k in ("s1", "s2") else c for k, c in zip(POSTING, columns[4:], strict=True)}
+            yield from _found(_Run(arrays, similarity, second), most)
 
         held: list[list[np.ndarray]] = []
         for batch in batches:
             columns = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
-            if not batch.num_rows:
-                continue
             new = np.zeros(batch.num_rows, bool)
             for c in columns[:3]:
                 new[1:] |= c[1:] != c[:-1]
-            new[0] = not held or any(held[-1][k][-1] != columns[k][0] for k in range(3))
-            starts = [*np.flatnonzero(new).tolist()]
-            if held and starts:
-                if starts[0]:
-                    held.append([c[: starts[0]] for c in columns])
-                yield from out([np.concatenate([h[k] for h in held]) for k in range(9)])
-                held = []
-            for first, after in zip(starts, starts[1:], strict=False):
-                yield from out([c[first:after] for c in columns])
-            last = starts[-1] if starts else 0
-            held.append([c[last:] for c in columns])
+            if batch.num_rows and held:
+                new[0] = any(held[-1][k][-1] != columns[k][0] for k in range(3))
+            cuts = [0, *(x for x in np.flatnonzero(new).tolist() if x), batch.num_rows]
+            for first, after in zip(cuts, cuts[1:], strict=False):
+                if first == after:
+                    continue
+                if held and new[first]:
+                    yield from out()
+                    held = []
+                held.append([c[first:after] for c in columns])
         if held:
-            yield from out([np.concatenate([h[k] for h in held]) for k in range(9)])
+            yield from out()
 
     return run
 
 
-def paired_candidates(posted: DataFrame, most: int, similarity: Fraction = SIMILARITY) -> DataFrame:
-    """:func:`candidates` of words with very many rows.
+def candidates(packed: DataFrame, n_words: int, most: int, similarity: Fraction = SIMILARITY, only: np.ndarray | None = None) -> DataFrame:
+    """Each line's ``most`` closest possible earlier matches at every word (or ``only`` some), ``more`` where there are others.
 
-    The rows of a word are dealt over parts by hash; each pair of parts is a group of bounded size of its own, in which
-    rows of the one are held against those of the other. A line's closest ones of all groups are then put together.
+    Postings of a word meet by the word; the words' rarity keeps them few. A bounded number of rows for a line and word
+    leaves, however many lines share it. Words with more than ``HELD`` postings are taken by pairs of parts.
     """
-    rows = materialise(posted.where("(place & 4294967295) > 0").withColumn("word", F.shiftright("key", 32).cast("int")))
-    counts = rows.groupBy("word").agg(F.ceil(F.count("*") / PART).cast("int").alias("parts"))
-    placed = rows.join(F.broadcast(counts), "word").withColumn("part", F.pmod(F.xxhash64("doc_id", "place"), "parts").cast("int"))
-    spread = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    own = [c.split()[0] for c in POSTING.split(", ")]
-    pairs = spread.select("word", F.least("part", "other").alias("a"), F.greatest("part", "other").alias("b"), (F.col("part") > F.col("other")).alias("second"), *own)
-    dealt = pairs.repartition("word", "a", "b").sortWithinPartitions("word", "a", "b", "doc_id", "place", "key")
-    found = dealt.mapInArrow(_pair_matcher(most, similarity), "doc_id long, line int, other_id long, other_line int, far long, more boolean, word int")
-    line = Window.partitionBy("doc_id", "line", "word")
-    order = line.orderBy("far", "other_id", "other_line")
-    ranked = found.withColumns({"nth": F.row_number().over(order) - 1, "least": F.min("far").over(line), "others": F.max("more").over(line), "n": F.count("*").over(line)})
-    limit = F.when(F.col("least") < 32, most).when(F.col("least") < 64, most * MORE).otherwise(most * MORE * MORE)
-    kept = ranked.where(F.col("nth") < limit)
-    return kept.select("doc_id", "line", "other_id", "other_line", F.col("nth").cast("int").alias("nth"), (F.col("others") | (F.col("n") > limit)).alias("more"), "word")
+    sc = packed.sparkSession.sparkContext
+    wanted, buckets = None if only is None else sc.broadcast(only), _buckets(n_words // 5)
+    lines = packed.select("n", "doc", "line", "size", "s1", "s2", "tokens")
+
+    def send(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
+        for part in _postings(batches, similarity, None if wanted is None else wanted.value):
+            held.append(part)
+            n += len(part["token"])
+            if n >= POSTINGS:
+                yield packets(held)
+                held, n = [], 0
+        if n:
+            yield packets(held)
+
+    def packets(held: list[dict[str, np.ndarray]]) -> pa.RecordBatch:
+        columns = {k: np.concatenate([h[k] for h in held]) for k in POSTING}
+        at = np.argsort(columns["token"])
+        bucket = columns["token"][at].astype(np.int64) * buckets >> 32
+        cut = np.append(np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])), len(at))
+        arrays = _packets([_narrow(columns[k][at]) for k in POSTING], cut)
+        return pa.RecordBatch.from_arrays([pa.array(bucket[cut[:-1]].astype(np.int32)), pa.array(np.diff(cut).astype(np.int32)), *arrays], ["bucket", "n", *POSTING])
+
+    sent = lines.mapInArrow(send, "bucket int, n int, " + ", ".join(f"{c} binary" for c in POSTING))
+    dealt = sent.repartition("bucket").sortWithinPartitions("bucket")
+    found = materialise(dealt.mapInArrow(_matcher(most, similarity, HELD, ROWS), CANDIDATE))
+    many = found.where("doc_id is null").select("word").distinct().toArrow()["word"].to_numpy()
+    found = found.where("doc_id is not null")
+    return found.unionByName(materialise(paired_candidates(lines, many.astype(np.uint32), most, similarity))) if len(many) else found
 
 
-def candidates(posted: DataFrame, most: int, similarity: Fraction = SIMILARITY) -> DataFrame:
-    """Each line's ``most`` closest possible earlier matches at every word, numbered, ``more`` where there are others.
+def paired_candidates(lines: DataFrame, words: np.ndarray, most: int, similarity: Fraction = SIMILARITY) -> DataFrame:
+    """:func:`candidates` of words with very many postings.
 
-    ``other_id`` is null for a line that is a match already; ``doc_id`` is null where a word has more than ``HELD`` rows,
-    whose others are left out. Rows of a word arrive in order of place and are compared in
-    numpy blocks; a bounded number of rows for a line and word leaves, however many lines share it.
+    The postings of a word are dealt over parts by hash; each pair of parts is a group of bounded size of its own, in
+    which those of the one are held against those of the other. A line's closest ones of all groups are then put together.
     """
-    word = F.shiftright("key", 32)
-    dealt = posted.repartition(word).sortWithinPartitions(word, "doc_id", "place", "key")
-    return dealt.mapInArrow(_matcher(most, similarity), CANDIDATE)
+    wanted = lines.sparkSession.sparkContext.broadcast(words)
+
+    def rows_of(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in _postings(batches, similarity, wanted.value):
+            yield pa.RecordBatch.from_arrays([pa.array(part[k].view(np.int64) if k in ("s1", "s2") else part[k].astype(np.int64)) for k in POSTING], list(POSTING))
+
+    rows = materialise(lines.mapInArrow(rows_of, ", ".join(f"{c} long" for c in POSTING)))
+    counts = rows.groupBy("token").agg(F.ceil(F.count("*") / PART).cast("int").alias("parts"))
+    counts = F.broadcast(counts) if len(words) <= LATER_WORDS else counts
+    placed = rows.join(counts, "token").withColumn("part", F.pmod(F.xxhash64("doc", "line"), "parts").cast("int"))
+    pairs = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select(
+        F.col("token").alias("word"), F.least("part", "other").alias("a"), F.greatest("part", "other").alias("b"), (F.col("part") > F.col("other")).alias("second"), *POSTING
+    )
+    found = pairs.repartition("word", "a", "b").sortWithinPartitions("word", "a", "b").mapInArrow(_pair_matcher(most, similarity), CANDIDATE)
+    line = Window.partitionBy("doc_id", "line", "word")
+    order = line.orderBy("far", F.desc("other_id"), F.desc("other_line"))
+    ranked = found.withColumns({"nth": F.row_number().over(order) - 1, "least": F.min("far").over(line), "others": F.max("more").over(line), "rows": F.count("*").over(line)})
+    limit = F.when(F.col("least") < 32, most).when(F.col("least") < 64, most * MORE).otherwise(most * MORE * MORE)
+    return ranked.where(F.col("nth") < limit).select("doc_id", "line", "other_id", "other_line", "far", (F.col("others") | (F.col("rows") > limit)).alias("more"), "word")
 
 
-def _only(docs: DataFrame, places: DataFrame) -> DataFrame:
-    """The documents that may be among the places', by a bit filter of fixed size; never loses one that is."""
-    bit = F.pmod(F.xxhash64(F.col("doc_id").cast("long")), F.lit(FILTER_BITS))
-    words = places.select(F.shiftright(bit, 6).alias("w"), F.expr(f"shiftleft(1L, cast(pmod(xxhash64(cast(doc_id as bigint)), {FILTER_BITS}) & 63 as int))").alias("b"))
-    mask = words.groupBy("w").agg(F.bit_or("b").alias("mask"))
-    tested = docs.select("doc_id", "text", F.shiftright(bit, 6).alias("w"), bit.bitwiseAND(F.lit(63)).cast("int").alias("i"))
-    return tested.join(F.broadcast(mask), "w").where(F.expr("shiftrightunsigned(mask, i) & 1 = 1")).select("doc_id", "text")
+def _slot(doc: np.ndarray, line: np.ndarray) -> np.ndarray:
+    """The bit of a line in the filter."""
+    return (_mix(_mix(doc.astype(np.int64).view(np.uint64), 0x9E3779B97F4A7C15) + line.astype(np.uint64), 0xC2B2AE3D27D4EB4F) >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
 
 
-def _texts(docs: DataFrame, places: DataFrame) -> DataFrame:
-    """``doc_id, line, late, early, text`` of the lines at the given places ``doc_id, line, late, early``."""
+def _filter(places: DataFrame) -> np.ndarray:
+    """A bit filter of fixed size in which the bits of all the places ``doc_id, line`` are set."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.zeros(1 << FILTER_BITS, bool)
         for batch in batches:
-            out = []
-            for key, text, wanted in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                lines = utf8(text or "").lower().split(b"\n")
-                out += [(key, w["line"], w["late"], w["early"], lines[w["line"]]) for w in wanted if w["line"] < len(lines)]
-            kinds = (pa.int64(), pa.int32(), pa.bool_(), pa.bool_(), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate(kinds)], ["doc_id", "line", "late", "early", "text"])
+            bits[_slot(*(c.to_numpy() for c in batch.columns))] = True
+        words = np.packbits(bits).view("<i8")
+        at = np.flatnonzero(words)
+        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(words[at])], ["at", "bits"])
+
+    sent = places.select("doc_id", "line").mapInArrow(run, "at int, bits long").groupBy("at").agg(F.bit_or("bits").alias("bits")).toArrow()
+    out = np.zeros(1 << FILTER_BITS - 6, "<i8")
+    out[sent["at"].to_numpy()] = sent["bits"].to_numpy()
+    return out.view(np.uint8)
 
-    wanted = places.groupBy("doc_id").agg(F.collect_set(F.struct("line", "late", "early")).alias("wanted"))
-    mine = _only(select_id_text(docs), places).join(wanted, "doc_id")
-    return mine.select("doc_id", "text", "wanted").mapInArrow(run, "doc_id long, line int, late boolean, early boolean, text binary")
 
+def texts_of(docs: DataFrame, places: DataFrame) -> DataFrame:
+    """``doc_id, line, text binary`` of at least the lines at the given places; A-Z lower-cased.
+
+    Texts don't move: each task looks its lines up in a filter of fixed size, which may let others pass but loses none.
+    """
+    bits = docs.sparkSession.sparkContext.broadcast(_filter(places))
 
-def _verified(docs: DataFrame, pairs: DataFrame, similarity: Fraction) -> DataFrame:
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        wanted = bits.value
+        for ids, raw, offsets in byte_slices(batches):
+            n = int(offsets[-1])
+            ends = np.flatnonzero(raw[:n] == 10)
+            counts = np.searchsorted(ends, offsets[1:]) - np.searchsorted(ends, offsets[:-1]) + 1
+            doc = np.repeat(np.arange(len(counts)), counts)
+            line = np.arange(len(doc)) - np.repeat(np.cumsum(counts) - counts, counts)
+            start, end = np.sort(np.append(offsets[:-1], ends + 1)), np.sort(np.append(offsets[1:], ends))
+            keys = ids.to_numpy()[doc]
+            slot = _slot(keys, line)
+            at = np.flatnonzero(wanted[slot >> 3] >> (7 - (slot & 7)).astype(np.uint8) & 1)
+            size = (end - start)[at]
+            text = _packets([_LOWER[raw[spread(start[at], size)]]], np.append(0, np.cumsum(size)))
+            yield pa.RecordBatch.from_arrays([pa.array(keys[at]), pa.array(line[at].astype(np.int32)), *text], ["doc_id", "line", "text"])
+
+    return _docs(docs).mapInArrow(run, "doc_id long, line int, text binary")
+
+
+def verified(pairs: DataFrame, texts: DataFrame, similarity: Fraction = SIMILARITY) -> DataFrame:
     """``doc_id, line`` of each later line of the pairs that is similar to one of its earlier lines, by the words themselves."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -523,58 +664,42 @@ def _verified(docs: DataFrame, pairs: DataFrame, similarity: Fraction) -> DataFr
             matched = pa.array([similar(set(x.split()), set(y.split()), similarity) for x, y in zip(a, b, strict=True)], pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(i).filter(matched) for i in (0, 1)], ["doc_id", "line"])
 
-    late = pairs.select("doc_id", "line", F.lit(True).alias("late"), F.lit(False).alias("early"))
-    early = pairs.select("other_id", "other_line", F.lit(False), F.lit(True))
-    places = materialise(late.union(early).groupBy("doc_id", "line").agg(F.bool_or("late").alias("late"), F.bool_or("early").alias("early")))
-    texts = materialise(_texts(docs, places))
-    there = ["other_id", "other_line"]
-    a = texts.where("late").select("doc_id", "line", F.col("text").alias("a"))
-    b = texts.where("early").select(F.col("doc_id").alias("other_id"), F.col("line").alias("other_line"), F.col("text").alias("b"))
-    both = pairs.join(b, there).join(a, ["doc_id", "line"])
-    return both.select("doc_id", "line", "a", "b").mapInArrow(run, "doc_id long, line int").distinct()
-
-
-def all_candidates(docs: DataFrame, frequent: list[int], most: int, similarity: Fraction, only: list[int] | None = None) -> DataFrame:
-    """:func:`candidates` of all words (or ``only`` some), those with very many rows by pairs of parts."""
-    found = materialise(candidates(postings(docs, frequent, similarity, only), most, similarity))
-    many = [r.word for r in found.where("doc_id is null").select("word").distinct().collect()]
-    found = found.where("doc_id is not null")
-    return found.unionByName(materialise(paired_candidates(postings(docs, frequent, similarity, many), most, similarity))) if many else found
+    early = texts.select(F.col("doc_id").alias("other_id"), F.col("line").alias("other_line"), F.col("text").alias("b"))
+    both = pairs.join(early, ["other_id", "other_line"]).join(texts, ["doc_id", "line"])
+    return both.select("doc_id", "line", "text", "b").mapInArrow(run, "doc_id long, line int").distinct()
 
 
 def removed_lines(docs: DataFrame, similarity: Fraction = SIMILARITY) -> DataFrame:
     """``doc_id, line`` of every line whose set of words is similar to that of a line at an earlier place.
 
     Places are ordered by doc_id and line number; a match counts whether it goes itself or not. All lines with a word
-    take part, whatever their length. Each line is held against its closest possible match at every word; where none is
-    one, against the next ones, and where there are still others, against eight times as many, until every line is
-    settled: no pair is lost, and no group of alike lines is written out as pairs. Documents with null ids and blank
-    lines take no part; rows that share a doc_id are one document, whose lines don't match themselves.
+    take part, whatever their length. Of lines with equal sets (by a signature of 128 bits) all but the first go at once,
+    and only the first is held against others. Each line is verified, on the words themselves, against the closest of its
+    possible matches; where that is none, against the next ones, and where there are still others, against eight times as
+    many, until every line is settled: no pair is lost, and no group of alike lines is written out as pairs. Documents
+    with null ids and blank lines take no part; rows that share a doc_id are one document, whose lines don't match
+    themselves.
     """
-    place, most = ["doc_id", "line"], FIRST
-    frequent = frequent_words(docs)
-    found = all_candidates(docs, frequent, most, similarity)
-    gone = found.where("other_id is null").select(*place).distinct()
-    possible, tried = found.where("other_id is not null"), "nth = 0"
+    place, most, only = ["doc_id", "line"], FIRST, None
+    frequent, n_words = frequent_words(docs)
+    packed = representatives(docs, frequent, n_words, similarity)
+    gone, open_ = equal_lines(packed), None
     while True:
-        pairs = materialise(possible.where(tried).select(*place, "other_id", "other_line").distinct())
-        settled = materialise(_verified(docs, pairs, similarity))
-        gone = gone.union(settled)
-        if tried == "nth = 0":
-            tried = "nth > 0"
-            possible = possible.join(settled, place, "left_anti")
-            if possible.where(tried).isEmpty():
-                break
-            continue
-        open_ = materialise(possible.where("more").join(settled, place, "left_anti").select(*place, "word").distinct())
-        words = [r.word for r in open_.select("word").distinct().limit(LATER_WORDS + 1).collect()]
-        if not words:
-            break
+        found = candidates(packed, n_words, most, similarity, only)
+        if open_ is not None:
+            found = materialise(found.join(open_, [*place, "word"], "left_semi"))
+        texts = materialise(texts_of(docs, found.select(*place).union(found.select("other_id", "other_line"))))
+        closest = found.groupBy(*place).agg(F.min(F.struct("far", "other_id", "other_line")).alias("x")).select(*place, "x.other_id", "x.other_line")
+        settled = materialise(verified(closest, texts, similarity))
+        rest = found.join(settled, place, "left_anti").select(*place, "other_id", "other_line").distinct()
+        late = materialise(verified(rest, texts, similarity))
+        gone = gone.union(settled).union(late)
+        open_ = materialise(found.where("more").select(*place, "word").distinct().join(settled, place, "left_anti").join(late, place, "left_anti"))
+        words = open_.select("word").distinct().limit(LATER_WORDS + 1).toArrow()["word"].to_numpy()
+        if not len(words):
+            return materialise(gone.distinct())
         most *= 8
-        tried = "nth >= 0"
-        later = all_candidates(docs, frequent, most, similarity, words if len(words) <= LATER_WORDS else None)
-        possible = materialise(later.where("other_id is not null").join(open_, [*place, "word"], "left_semi"))
-    return materialise(gone.distinct())
+        only = words.astype(np.uint32) if len(words) <= LATER_WORDS else None
 
 
 def summary(docs: DataFrame, gone: DataFrame) -> DataFrame:

@@ -41,6 +41,31 @@ def spread(start: np.ndarray, size: np.ndarray) -> np.ndarray:
     return np.repeat(start - ends + size, size) + np.arange(int(ends[-1]) if len(ends) else 0)
 
 
+_SPACE = np.zeros(256, bool)
+_SPACE[[9, 10, 11, 12, 13, 32]] = True
+
+
+def word_places(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(where each word begins, its bytes) of texts that lie one behind the other; words end at ASCII white space."""
+    n, text = int(offsets[-1]), np.zeros(len(raw), bool)
+    text[offsets] = True  # and with their text
+    inside = ~_SPACE[raw[:n]]
+    begins, ends = inside.copy(), inside.copy()
+    begins[1:] &= ~inside[:-1] | text[1:n]
+    ends[:-1] &= ~inside[1:] | text[1:n]
+    start = np.flatnonzero(begins)
+    return start, np.flatnonzero(ends) + 1 - start
+
+
+def low_and_high(raw: np.ndarray, start: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The first 8 bytes and the next 8 of each piece as integers, zeros behind the piece."""
+    eights = np.ndarray(len(raw) - 7, "<u8", raw, strides=(1,))
+    high = np.zeros(len(start), np.uint64)
+    over = np.flatnonzero(size > 8)
+    high[over] = eights[start[over] + 8] & _MASK[np.minimum(size[over] - 8, 8)]
+    return eights[start] & _MASK[np.minimum(size, 8)], high
+
+
 class PieceIds:
     """Ids of pieces of bytes. Pieces of up to 16 bytes are remembered in a table with open addressing.
 
@@ -92,11 +117,7 @@ class PieceIds:
         return self.pool[spread(meta >> 16, n)], n
 
     def _found(self, raw: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
-        eights = np.ndarray(len(raw) - 7, "<u8", raw, strides=(1,))
-        low = eights[start] & _MASK[np.minimum(size, 8)]
-        high = np.zeros(len(start), np.uint64)
-        over = np.flatnonzero(size > 8)
-        high[over] = eights[start[over] + 8] & _MASK[size[over] - 8]
+        low, high = low_and_high(raw, start, size)
         mixed = (low ^ (high * np.uint64(0xC2B2AE3D27D4EB4F)) ^ size.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
         slot = ((mixed ^ (mixed >> np.uint64(32))) * np.uint64(0xFF51AFD7ED558CCD) >> np.uint64(64 - self.bits)).astype(np.int64)
         table, last, keys, new = self.table, (1 << self.bits) - 1, size.astype(np.uint64), []

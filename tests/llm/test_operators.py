@@ -344,25 +344,41 @@ def test_lines_against_brute_force(spark, monkeypatch, first):
 def test_lines_of_a_word_with_many_rows(spark, monkeypatch, first):
     for name, value in {"FIRST": first, "HELD": 12, "PART": 5, "ROWS": 50}.items():
         monkeypatch.setattr(line_dedup, name, value)
-    sizes, compare, calls, paired = [], line_dedup._Run.__init__, [], line_dedup.paired_candidates
+    calls, paired = [], line_dedup.paired_candidates
     monkeypatch.setattr(line_dedup, "paired_candidates", lambda *a: calls.append(a) or paired(*a))
-
-    def watched(self, columns, *rest):
-        compare(self, columns, *rest)
-        sizes.append(len(self.token))
-
     random.seed(first)
     rows = [(d, "\n".join(f"order {random.randrange(60)} shipped on day {random.randrange(9)} by {random.choice('abcdef')} to {random.randrange(30)}" for _ in range(4))) for d in range(70)]
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
     gone = line_dedup.removed_lines(df)
     assert calls and {(r.doc_id, r.line) for r in gone.collect()} == brute_lines(rows)
-    # a matcher by itself: words with many rows leave as marks, none of them is compared
+
+
+def test_a_matcher_holds_few_postings_of_a_word(monkeypatch):
+    """Words with many postings leave as marks, none of them is compared, even where their packets come piece by piece."""
+    sizes, compare = [], line_dedup._Run.__init__
+
+    def watched(self, columns, *rest):
+        compare(self, columns, *rest)
+        sizes.append(len(self.token))
+
     monkeypatch.setattr(line_dedup._Run, "__init__", watched)
-    posted = line_dedup.postings(df, line_dedup.frequent_words(df)).orderBy("key", "doc_id", "place").toArrow().combine_chunks()
-    by_word = posted.take(np.lexsort((posted["place"].to_numpy(), posted["doc_id"].to_numpy(), posted["key"].to_numpy() >> 32)))
-    out = [r for b in line_dedup._matcher(first, line_dedup.SIMILARITY)(by_word.to_batches(max_chunksize=20)) for r in b.to_pylist()]
-    marked = {r["word"] for r in out if r["doc_id"] is None}
-    assert marked and max(sizes) <= 100 and not any(r["word"] in marked and r["other_id"] is not None for r in out)
+    monkeypatch.setattr(line_dedup, "HELD", 12)
+    rng, packets = np.random.default_rng(1), []
+    for k in range(60):
+        part = {c: rng.integers(0, 9, 20) for c in line_dedup.POSTING} | {"token": np.where(rng.random(20) < 0.8, 7, rng.integers(100, 400, 20)), "doc": np.arange(20 * k, 20 * k + 20)}
+        packets.append([0, 20, *(np.ascontiguousarray(part[c].astype("<u4")).tobytes() for c in line_dedup.POSTING)])
+    batches = [pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*packets[i : i + 7], strict=True)], ["bucket", "n", *line_dedup.POSTING]) for i in range(0, 60, 7)]
+    out = [r for b in line_dedup._matcher(2, line_dedup.SIMILARITY, 12, 50)(batches) for r in b.to_pylist()]
+    assert [r["word"] for r in out if r["doc_id"] is None] == [7]
+    assert sizes and max(sizes) < 400 and not any(r["word"] == 7 and r["doc_id"] is not None for r in out)
+
+
+def test_places_of_words_and_lines(spark):
+    """Texts that begin or end with line ends, empty texts and long words keep their lines apart."""
+    words = "x" * 40
+    rows = [(1, "\n\na b c"), (2, ""), (3, "a b c\n"), (4, "\n"), (5, f"{words} q\nq {words}"), (6, "A  B\tC"), (7, f"{words} q z")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    assert {(r.doc_id, r.line) for r in line_dedup.removed_lines(df).collect()} == brute_lines(rows) == {(3, 0), (5, 1), (6, 0)}
 
 
 def test_cleaned_texts(spark, nothing):
