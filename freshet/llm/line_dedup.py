@@ -29,7 +29,7 @@ BUCKET, LEAST_BUCKETS = 50_000, 2048
 NARROW = 64
 #: Earlier lines that a line and word keep at first where the closest one's sketch differs in less than a quarter of what
 #: it may; up to a half these times as many, else these times as many again.
-FIRST, MORE = 2, 8
+FIRST, MORE = 2, 4
 #: Words to which a later round may be limited by broadcast; beyond, it takes all words.
 LATER_WORDS = 1_000_000
 #: Postings that are compared at once.
@@ -380,8 +380,9 @@ def _postings(packed: Iterable[pa.RecordBatch], similarity: Fraction, wanted: np
 class _Run:
     """Postings of some words."""
 
-    def __init__(self, columns: dict[str, np.ndarray], similarity: Fraction, second: np.ndarray | None = None) -> None:
+    def __init__(self, columns: dict[str, np.ndarray], similarity: Fraction, open_: np.ndarray | None = None, second: np.ndarray | None = None) -> None:
         self.second = second  # the part of each posting, if only postings of different parts are compared
+        self.open_ = open_  # a filter of the lines that are held against earlier ones, if these aren't all
         self.token, self.prev, self.pos, self.size = (columns[k].astype(np.int64) for k in ("token", "prev", "pos", "size"))
         self.line, self.doc, self.s1, self.s2, self.similarity = columns["line"].astype(np.int32), columns["doc"], columns["s1"], columns["s2"], similarity
 
@@ -408,7 +409,11 @@ class _Run:
         ok = (differ <= may) & ((self.doc[i] != self.doc[j]) | (self.line[i] != self.line[j]))
         i, j, far = i[ok], j[ok], 128 * differ[ok] // (may[ok] + 1)
         after = (self.doc[i] > self.doc[j]) | (self.doc[i] == self.doc[j]) & (self.line[i] > self.line[j])
-        return np.where(after, i, j), np.where(after, j, i), far
+        i, j = np.where(after, i, j), np.where(after, j, i)
+        if self.open_ is not None:
+            ok = _in(self.open_, self.doc[i], self.line[i])
+            i, j, far = i[ok], j[ok], far[ok]
+        return i, j, far
 
     def best(self, i: np.ndarray, j: np.ndarray, far: np.ndarray, most: int) -> tuple[np.ndarray, ...]:
         """(i, j, far, whether there are more): for each i the closest j, ``most`` of them where one is close.
@@ -486,7 +491,7 @@ def _found(run: _Run, most: int) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([*map(pa.array, (run.doc[i], run.line[i], run.doc[j], run.line[j], far.astype(np.int32), more, run.token[i]))], _CANDIDATE_NAMES)
 
 
-def _matcher(most: int, similarity: Fraction, held: int, rows: int):
+def _matcher(most: int, similarity: Fraction, held: int, rows: int, open_=None):
     def marks(words: np.ndarray) -> pa.RecordBatch:
         kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.bool_())
         return pa.RecordBatch.from_arrays([*(pa.nulls(len(words), k) for k in kinds), pa.array(words.astype(np.int64))], _CANDIDATE_NAMES)
@@ -507,19 +512,19 @@ def _matcher(most: int, similarity: Fraction, held: int, rows: int):
                 columns = {k: c[few] for k, c in columns.items()}
             over = [columns] if goes_on else []
             if not goes_on:
-                yield from _found(_Run(columns, similarity), most)
+                yield from _found(_Run(columns, similarity, None if open_ is None else open_.value), most)
                 hot = np.zeros(0, np.int64)
 
     return run
 
 
-def _pair_matcher(most: int, similarity: Fraction):
+def _pair_matcher(most: int, similarity: Fraction, open_=None):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def out() -> Iterator[pa.RecordBatch]:
             columns = [np.concatenate(c) for c in zip(*held, strict=True)]
             second = columns[3] if columns[1][0] != columns[2][0] else None
             arrays = {k: c.view(np.uint64) if k in ("s1", "s2") else c for k, c in zip(POSTING, columns[4:], strict=True)}
-            yield from _found(_Run(arrays, similarity, second), most)
+            yield from _found(_Run(arrays, similarity, None if open_ is None else open_.value, second), most)
 
         held: list[list[np.ndarray]] = []
         for batch in batches:
@@ -543,15 +548,18 @@ def _pair_matcher(most: int, similarity: Fraction):
     return run
 
 
-def candidates(packed: DataFrame, n_words: int, most: int, similarity: Fraction = SIMILARITY, only: np.ndarray | None = None) -> DataFrame:
+def candidates(packed: DataFrame, n_words: int, most: int, similarity: Fraction = SIMILARITY, only: np.ndarray | None = None, lines: DataFrame | None = None) -> DataFrame:
     """Each line's ``most`` closest possible earlier matches at every word (or ``only`` some), ``more`` where there are others.
 
+    With ``lines`` (``doc_id, line``) only those of these lines, and perhaps of some others.
+
     Postings of a word meet by the word; the words' rarity keeps them few. A bounded number of rows for a line and word
     leaves, however many lines share it. Words with more than ``HELD`` postings are taken by pairs of parts.
     """
     sc = packed.sparkSession.sparkContext
     wanted, buckets = None if only is None else sc.broadcast(only), _buckets(n_words // 5)
-    lines = packed.select("n", "doc", "line", "size", "s1", "s2", "tokens")
+    open_ = None if lines is None else sc.broadcast(_filter(lines))
+    stored = packed.select("n", "doc", "line", "size", "s1", "s2", "tokens")
 
     def send(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n = [], 0
@@ -572,15 +580,15 @@ def candidates(packed: DataFrame, n_words: int, most: int, similarity: Fraction
         arrays = _packets([_narrow(columns[k][at]) for k in POSTING], cut)
         return pa.RecordBatch.from_arrays([pa.array(bucket[cut[:-1]].astype(np.int32)), pa.array(np.diff(cut).astype(np.int32)), *arrays], ["bucket", "n", *POSTING])
 
-    sent = lines.mapInArrow(send, "bucket int, n int, " + ", ".join(f"{c} binary" for c in POSTING))
+    sent = stored.mapInArrow(send, "bucket int, n int, " + ", ".join(f"{c} binary" for c in POSTING))
     dealt = sent.repartition("bucket").sortWithinPartitions("bucket")
-    found = materialise(dealt.mapInArrow(_matcher(most, similarity, HELD, ROWS), CANDIDATE))
+    found = materialise(dealt.mapInArrow(_matcher(most, similarity, HELD, ROWS, open_), CANDIDATE))
     many = found.where("doc_id is null").select("word").distinct().toArrow()["word"].to_numpy()
     found = found.where("doc_id is not null")
-    return found.unionByName(materialise(paired_candidates(lines, many.astype(np.uint32), most, similarity))) if len(many) else found
+    return found.unionByName(materialise(paired_candidates(stored, many.astype(np.uint32), most, similarity, open_))) if len(many) else found
 
 
-def paired_candidates(lines: DataFrame, words: np.ndarray, most: int, similarity: Fraction = SIMILARITY) -> DataFrame:
+def paired_candidates(lines: DataFrame, words: np.ndarray, most: int, similarity: Fraction = SIMILARITY, open_=None) -> DataFrame:
     """:func:`candidates` of words with very many postings.
 
     The postings of a word are dealt over parts by hash; each pair of parts is a group of bounded size of its own, in
@@ -599,7 +607,7 @@ def paired_candidates(lines: DataFrame, words: np.ndarray, most: int, similarity
     pairs = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select(
         F.col("token").alias("word"), F.least("part", "other").alias("a"), F.greatest("part", "other").alias("b"), (F.col("part") > F.col("other")).alias("second"), *POSTING
     )
-    found = pairs.repartition("word", "a", "b").sortWithinPartitions("word", "a", "b").mapInArrow(_pair_matcher(most, similarity), CANDIDATE)
+    found = pairs.repartition("word", "a", "b").sortWithinPartitions("word", "a", "b").mapInArrow(_pair_matcher(most, similarity, open_), CANDIDATE)
     line = Window.partitionBy("doc_id", "line", "word")
     order = line.orderBy("far", F.desc("other_id"), F.desc("other_line"))
     ranked = found.withColumns({"nth": F.row_number().over(order) - 1, "least": F.min("far").over(line), "others": F.max("more").over(line), "rows": F.count("*").over(line)})
@@ -629,6 +637,12 @@ def _filter(places: DataFrame) -> np.ndarray:
     return out.view(np.uint8)
 
 
+def _in(bits: np.ndarray, doc: np.ndarray, line: np.ndarray) -> np.ndarray:
+    """Whether the lines' bits are set."""
+    slot = _slot(doc, line)
+    return bits[slot >> 3] >> (7 - (slot & 7)).astype(np.uint8) & 1 == 1
+
+
 def texts_of(docs: DataFrame, places: DataFrame) -> DataFrame:
     """``doc_id, line, text binary`` of at least the lines at the given places; A-Z lower-cased.
 
@@ -646,8 +660,7 @@ def texts_of(docs: DataFrame, places: DataFrame) -> DataFrame:
             line = np.arange(len(doc)) - np.repeat(np.cumsum(counts) - counts, counts)
             start, end = np.sort(np.append(offsets[:-1], ends + 1)), np.sort(np.append(offsets[1:], ends))
             keys = ids.to_numpy()[doc]
-            slot = _slot(keys, line)
-            at = np.flatnonzero(wanted[slot >> 3] >> (7 - (slot & 7)).astype(np.uint8) & 1)
+            at = np.flatnonzero(_in(wanted, keys, line))
             size = (end - start)[at]
             text = _packets([_LOWER[raw[spread(start[at], size)]]], np.append(0, np.cumsum(size)))
             yield pa.RecordBatch.from_arrays([pa.array(keys[at]), pa.array(line[at].astype(np.int32)), *text], ["doc_id", "line", "text"])
@@ -685,7 +698,7 @@ def removed_lines(docs: DataFrame, similarity: Fraction = SIMILARITY) -> DataFra
     packed = representatives(docs, frequent, n_words, similarity)
     gone, open_ = equal_lines(packed), None
     while True:
-        found = candidates(packed, n_words, most, similarity, only)
+        found = candidates(packed, n_words, most, similarity, only, open_)
         if open_ is not None:
             found = materialise(found.join(open_, [*place, "word"], "left_semi"))
         texts = materialise(texts_of(docs, found.select(*place).union(found.select("other_id", "other_line"))))
