@@ -2,44 +2,20 @@
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
-import uuid
+import re
 from collections.abc import Iterable, Iterator
 from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.scratch import materialise, scratch_dir  # noqa: F401
+
 #: Characters of text that one step of a Python worker handles together.
 SLICE_CHARS = 2_000_000
 
-_own: dict[str, str] = {}
-
-
-def scratch_dir(spark: SparkSession) -> str:
-    """A new folder below the one that the cluster shares (``spark.checkpoint.dir``).
-
-    Where that setting is absent, as in tests, a temporary folder of this process takes its place.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not base:
-        if "dir" not in _own:
-            _own["dir"] = tempfile.mkdtemp(prefix="freshet-")
-            atexit.register(shutil.rmtree, _own["dir"], ignore_errors=True)
-        base = "file://" + _own["dir"]
-    return f"{base.rstrip('/')}/freshet-{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
-
-
-def materialise(df: DataFrame, partition_by: str | None = None) -> DataFrame:
-    """Write a table once and read it again, which cuts the lineage and lets several readers share the work."""
-    path = scratch_dir(df.sparkSession)
-    writer = df.write if partition_by is None else df.write.partitionBy(partition_by)
-    writer.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
 
 def importable(spark: SparkSession) -> None:
     """Let Python workers import this package from where the driver has it, wherever they were started.
@@ -102,9 +78,16 @@ def words_of(text: str) -> list[bytes]:
     return utf8(text).translate(WORD_BYTES).split()
 
 
-def padded(words: list[bytes]) -> str:
-    """The words with one space around each, one character for each byte."""
-    return (b" " + b" ".join(words) + b" ").decode("latin-1") if words else " "
+_WORD = re.compile(rb"[0-9A-Za-z\x80-\xff]+")
+
+
+def char_spans(text: str, ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Half-open character ranges of the original text for ranges of words."""
+    raw = utf8(text)
+    places = [m.span() for m in _WORD.finditer(raw)]
+    heads = np.frombuffer(raw, np.uint8) & 0xC0 != 0x80  # first bytes of characters
+    before = np.concatenate([[0], np.cumsum(heads)])
+    return [(int(before[places[a][0]]), int(before[places[b - 1][1]])) for a, b in ranges]
 
 
 def select_id_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -3,36 +3,34 @@
 from __future__ import annotations
 
 import hashlib
-import re
-from bisect import bisect_left
 from collections.abc import Iterable, Iterator
 
 import ahocorasick
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_and_text, materialise, padded, select_id_text, utf8, words_of
+from .common import char_spans, id_and_text, materialise, select_id_text, words_of
 
 #: Words of a window.
 WINDOW = 10
-#: Characters of item text that one automaton takes; larger benchmarks are scanned in several passes.
-MAX_CHARS = 8_000_000
-
-_WORD = re.compile(rb"[0-9A-Za-z\x80-\xff]+")
+#: Words of all windows that one automaton takes, about 150 bytes of memory for each; larger benchmarks are scanned in
+#: several passes.
+MAX_WORDS = 2_000_000
 
 
 class Windows:
-    """The automaton of the items' windows, over words with one space on each side."""
+    """The automaton of the items' windows over words: each different word of the items is one character of its own."""
 
     def __init__(self, items: list[tuple[str, str]], window: int = WINDOW) -> None:
+        self.sign: dict[bytes, str] = {}
         of: dict[str, tuple[int, set[str]]] = {}
         for item, text in items:
             words = words_of(text)
+            signs = "".join([self.sign.get(w) or self.sign.setdefault(w, self._sign(len(self.sign))) for w in words])
             for i in range(max(1, len(words) - window + 1) if words else 0):
-                part = words[i : i + window]
-                of.setdefault(padded(part), (len(part), set()))[1].add(item)
+                part = signs[i : i + window]
+                of.setdefault(part, (len(part), set()))[1].add(item)
         self.machine = None
         if of:
             self.machine = ahocorasick.Automaton()
@@ -40,19 +38,18 @@ class Windows:
                 self.machine.add_word(key, value)
             self.machine.make_automaton()
 
+    @staticmethod
+    def _sign(n: int) -> str:
+        """The n-th character from U+0001 on, surrogates left out; U+0000 stands for words that no item has."""
+        return chr(n + 1 if n + 1 < 0xD800 else n + 0x801)
+
     def scan(self, text: str) -> tuple[int, list[tuple[int, int, set[str]]]]:
         """(words of the text, [(first word, word after the last, items)] of every window that occurs)."""
-        line = padded(words_of(text))
-        found = list(self.machine.iter(line)) if self.machine else []
-        n = line.count(" ") - 1 if len(line) > 1 else 0
-        if not found:
-            return n, []
-        spaces = [i for i, c in enumerate(line) if c == " "]
-        hits = []
-        for end, (size, items) in found:
-            last = bisect_left(spaces, end)
-            hits.append((last - size, last, items))
-        return n, hits
+        words = words_of(text)
+        if not self.machine:
+            return len(words), []
+        get = self.sign.get
+        return len(words), [(last + 1 - size, last + 1, items) for last, (size, items) in self.machine.iter("".join([get(w, "\0") for w in words]))]
 
 
 def merged(hits: Iterable[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -66,15 +63,6 @@ def merged(hits: Iterable[tuple[int, int]]) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out]
 
 
-def char_spans(text: str, ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    """Half-open character ranges of the original text for ranges of words."""
-    raw = utf8(text)
-    places = [m.span() for m in _WORD.finditer(raw)]
-    heads = np.frombuffer(raw, np.uint8) & 0xC0 != 0x80  # first bytes of characters
-    before = np.concatenate([[0], np.cumsum(heads)])
-    return [(int(before[places[a][0]]), int(before[places[b - 1][1]])) for a, b in ranges]
-
-
 _machines: dict[str, Windows] = {}
 
 
@@ -109,26 +97,27 @@ def _scan_once(docs: DataFrame, items: list[tuple[str, str]], window: int) -> Da
     return select_id_text(docs).mapInArrow(run, SCHEMA)
 
 
-def _passes(benchmark: DataFrame, max_chars: int) -> list[list[tuple[str, str]]]:
-    """The items in lists of at most ``max_chars`` characters (or one item): what is broadcast at once is bounded."""
+def _passes(benchmark: DataFrame, window: int, max_words: int) -> list[list[tuple[str, str]]]:
+    """The items in lists whose windows have about ``max_words`` words (or one item): what is broadcast at once is bounded."""
     items = benchmark.select(F.col("item_id").cast("string"), F.col("text").cast("string")).where("item_id is not null and text is not null").distinct()
-    size = items.agg(F.sum(F.length("text"))).first()[0] or 0
-    n = -(-size // max_chars)
+    n_words = F.size(F.regexp_extract_all("text", F.lit("[0-9A-Za-z\\x{80}-\\x{10FFFF}]+"), F.lit(0)))
+    size = items.agg(F.sum(n_words * window)).first()[0] or 0
+    n = -(-size // max_words)
     if n <= 1:
         return [sorted(map(tuple, items.collect()))]
     dealt = materialise(items.withColumn("pass", F.pmod(F.xxhash64("item_id"), F.lit(2 * n))))
     return [sorted(map(tuple, rows)) for i in range(2 * n) if (rows := dealt.where(F.col("pass") == i).select("item_id", "text").collect())]
 
 
-def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, max_chars: int = MAX_CHARS) -> DataFrame:
+def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, max_words: int = MAX_WORDS) -> DataFrame:
     """``doc_id, n_words, ranges, spans, items``: where windows of ``window`` words of the items occur in a document.
 
     ``ranges`` are words, ``spans`` characters of the original text, both merged; ``items`` is sorted. An item of fewer
     words than a window is one window. Items without id or words have no windows; a null text has no words; repeated
-    rows stay. One pass over the texts without a shuffle; a benchmark of more than ``max_chars`` characters takes a pass
-    for each part, and the passes' results of a row are then put together.
+    rows stay. One pass over the texts without a shuffle; a benchmark whose windows have more than ``max_words`` words takes a
+    pass for each part, and the passes' results of a row are then put together.
     """
-    passes = _passes(benchmark, max_chars)
+    passes = _passes(benchmark, window, max_words)
     if len(passes) <= 1:
         return _scan_once(docs, passes[0] if passes else [], window)
     rows = materialise(select_id_text(docs).withColumn("row", F.monotonically_increasing_id()))

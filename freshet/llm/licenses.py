@@ -9,7 +9,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from .common import id_and_text, select_id_text, words_of
+from .common import char_spans, id_and_text, select_id_text, words_of
 
 #: Phrases that count wherever their words stand consecutively (fixed values).
 BASE = {
@@ -33,6 +33,12 @@ NOTICES = {
     "permission is hereby granted free of charge to any person obtaining a copy": "mit",
     "redistribution and use in source and binary forms": "bsd",
     "all rights reserved": "all-rights-reserved",
+    "gnu free documentation license": "gfdl",
+    "boost software license": "boost",
+    "creative commons zero": "cc0",
+    "microsoft public license": "ms-pl",
+    "permission to use copy modify and or distribute this software for any purpose": "isc",
+    "this is free and unencumbered software released into the public domain": "unlicense",
 }
 
 
@@ -96,14 +102,27 @@ def base_places(line: str, phrases: dict[str, str]) -> list[tuple[int, str]]:
     places = []
     for phrase, label in phrases.items():
         key = f" {phrase} "
-        at = line.find(key)
+        at, counted, words = line.find(key), 0, 0
         while at >= 0:
-            places.append((line.count(" ", 0, at), label))
+            words += line.count(" ", counted, at)
+            counted = at
+            places.append((words, label))
             at = line.find(key, at + 1)
     return sorted(places)
 
 
-SCHEMA = "doc_id long, n_words long, base array<struct<word:long,label:string>>, spans array<struct<first_word:long,last_word:long,edits:int,label:string>>"
+def word_spans(line: str, found: list[tuple[int, int, int, str]]) -> list[tuple[int, int, int, str]]:
+    """(first word, last word, edits, label) of matches in order of their start."""
+    out, counted, words = [], 0, 0
+    for a, b, edits, label in found:
+        words += line.count(" ", counted, a)
+        counted = a
+        out.append((words - 1, words - 1 + line.count(" ", a, b), edits, label))
+    return out
+
+
+_SPAN = pa.struct([("first_word", pa.int64()), ("last_word", pa.int64()), ("start", pa.int64()), ("end", pa.int64()), ("edits", pa.int32()), ("label", pa.string())])
+SCHEMA = "doc_id long, n_words long, base array<struct<word:long,label:string>>, spans array<struct<first_word:long,last_word:long,start:long,end:long,edits:int,label:string>>"
 _searches: dict[tuple, NoticeSearch] = {}
 
 
@@ -111,7 +130,7 @@ def scan(docs: DataFrame, notices: dict[str, str] | None = None, base: dict[str,
     """``doc_id, n_words, base, spans`` of every whole text.
 
     ``base`` are the exact places of the base phrases, ``spans`` the words that bounded-error matches of the notices
-    cover, with their edits. No shuffle. A null or empty text has no words and no places; repeated rows and null ids
+    cover, the characters of the original text from ``start`` up to ``end``, and their edits. No shuffle. A null or empty text has no words and no places; repeated rows and null ids
     stay; other columns aren't read. Words that carry non-ASCII letters are compared byte by byte.
     """
     notices, base = dict(notices or NOTICES), dict(base or BASE)
@@ -126,16 +145,19 @@ def scan(docs: DataFrame, notices: dict[str, str] | None = None, base: dict[str,
                 line = (b" " + b" ".join(words) + b" ").decode("latin-1")
                 counts.append(len(words))
                 places.append([{"word": w, "label": x} for w, x in base_places(line, base)])
-                spans.append([{"first_word": line.count(" ", 0, a) - 1, "last_word": line.count(" ", 0, b) - 1, "edits": e, "label": x} for a, b, e, x in search.find(line)])
-            kinds = [pa.int64(), pa.int64(), pa.list_(pa.struct([("word", pa.int64()), ("label", pa.string())])), pa.list_(pa.struct([("first_word", pa.int64()), ("last_word", pa.int64()), ("edits", pa.int32()), ("label", pa.string())]))]
+                mine = word_spans(line, search.find(line))
+                chars = char_spans(text, [(a, b + 1) for a, b, _, _ in mine]) if mine else []
+                spans.append([{"first_word": a, "last_word": b, "start": c, "end": d, "edits": e, "label": x} for (a, b, e, x), (c, d) in zip(mine, chars, strict=True)])
+            kinds = [pa.int64(), pa.int64(), pa.list_(pa.struct([("word", pa.int64()), ("label", pa.string())])), pa.list_(_SPAN)]
             yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip((ids, counts, places, spans), kinds, strict=True)], ["doc_id", "n_words", "base", "spans"])
 
     return select_id_text(docs).mapInArrow(run, SCHEMA)
 
 
 def summary(scanned: DataFrame) -> DataFrame:
-    """``doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score`` of what :func:`scan` returns.
+    """``doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score, spans`` of what :func:`scan` returns.
 
+    ``spans`` are the fuzzy matches as ``label:start-end~edits`` in characters of the text, comma-joined.
     The score is 1 with a base phrase, else 1 less a tenth for each edit of the best notice, and 0 without any.
     """
     return scanned.selectExpr(
@@ -147,4 +169,5 @@ def summary(scanned: DataFrame) -> DataFrame:
         "array_join(array_sort(array_distinct(base.label)), ',') as base_labels",
         "array_join(array_sort(array_union(base.label, spans.label)), ',') as labels",
         "case when size(base) > 0 then 1.0D when size(spans) > 0 then 1.0D - array_min(spans.edits) * 0.1D else 0.0D end as score",
+        "array_join(transform(spans, x -> concat(x.label, ':', x.start, '-', x.end, '~', x.edits)), ',') as spans",
     )

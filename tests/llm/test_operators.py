@@ -6,7 +6,11 @@ import base64
 import hashlib
 import random
 import re
+import subprocess
+import sys
+import time
 import zlib
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers as P
@@ -252,13 +256,27 @@ def test_license_places(spark, docs, nothing):
     texts = ["The Apache License, version 2; apache license. MIT-License!", "gnu generl public license", "mit licens", "the submit license form", "CC BY-NC 4.0", "", None, "apache\nLICENSE é"]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").withColumn("labels", F.lit("x"))
     got = by_id(licenses.summary(licenses.scan(df)))
-    assert got[0][0] == (9, 3, 1, 7, "apache,mit", "apache,mit", 1.0)
+    assert got[0][0][:7] == (9, 3, 1, 7, "apache,mit", "apache,mit", 1.0)
     assert got[1][0][:5] == (4, 0, None, None, "") and got[1][0][5] == "gpl" and 0 < got[1][0][6] < 1
-    assert got[2][0][5] == "mit" and got[3][0][5:] == ("", 0.0) and got[4][0][:4] == (5, 1, 0, 0)
-    assert got[5] == got[6] == [(0, 0, None, None, "", "", 0.0)] and got[7][0][:4] == (3, 1, 0, 0)
+    assert got[2][0][5] == "mit" and got[3][0][5:] == ("", 0.0, "") and got[4][0][:4] == (5, 1, 0, 0)
+    assert got[5] == got[6] == [(0, 0, None, None, "", "", 0.0, "")] and got[7][0][:4] == (3, 1, 0, 0)
     assert licenses.scan(docs).count() == len(TEXTS) + 2 and licenses.scan(nothing).count() == 0
 
 
+def test_spans_are_characters_of_the_text(spark):
+    text = "Éa – (BSD  Licence), the\nMIT-license"
+    row = licenses.scan(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
+    assert [(text[x.start : x.end], x.label, x.edits) for x in row.spans] == [("BSD  Licence", "bsd", 1), ("MIT-license", "mit", 0)]
+    assert licenses.summary(licenses.scan(spark.createDataFrame([(1, text)], "doc_id long, text string"))).first().spans == f"bsd:{text.index('BSD')}-{text.index('),')}~1,mit:{text.index('MIT')}-{len(text)}~0"
+
+
+def test_places_in_long_texts_take_linear_time():
+    line = " " + "cc by " * 1_700_000
+    began = time.perf_counter()
+    places = licenses.base_places(line, licenses.BASE)
+    assert time.perf_counter() - began < 20 and len(places) == 1_700_000 and places[-1] == (2 * 1_700_000 - 2, "cc-by")
+
+
 def edit_distance(a, b):
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
@@ -471,24 +489,40 @@ def brute_hits(text, items):
     return len(own), len(hit), len(names), hashlib.sha256(",".join(sorted(names)).encode()).hexdigest(), bool(hit)
 
 
-@pytest.mark.parametrize("max_chars", [10**6, 40])
-def test_decontamination_against_brute_force(spark, docs, nothing, max_chars):
+@pytest.mark.parametrize("max_words", [10**6, 40])
+def test_decontamination_against_brute_force(spark, docs, nothing, max_words):
     random.seed(3)
     words = ["Alpha", "beta", "gamma", "École", "x1"]
     items = [(i, " ".join(random.choice(words) for _ in range(random.randint(1, 16)))) for i in range(2, 12)] + [(20, ""), (21, None), (None, "alpha"), (22, "!! ...")]
     rows = [(i, ", ".join(random.choice(words) for _ in range(random.randint(0, 30)))) for i in range(40)] + [(50, None), (51, ""), (None, "beta"), (3, "again other")]
     df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("items", F.lit("clash"))
     benchmark = spark.createDataFrame(items, "item_id long, text string")
-    got = by_id(decontaminate.summary(decontaminate.scan(df, benchmark, max_chars=max_chars)))
+    got = by_id(decontaminate.summary(decontaminate.scan(df, benchmark, max_words=max_words)))
     known = [(i, t) for i, t in items if i is not None]
     for i, text in rows:
         assert brute_hits(text, known) in got[i]
-    spans = decontaminate.scan(df.where("doc_id = 7"), benchmark, max_chars=max_chars).first()
+    spans = decontaminate.scan(df.where("doc_id = 7"), benchmark, max_words=max_words).first()
     text = dict(rows)[7]
     assert [len(re.findall(r"\w+", text[s.start : s.end])) for s in spans.spans] == [r.after - r.first for r in spans.ranges]
     assert decontaminate.scan(nothing, benchmark).count() == 0 and decontaminate.scan(docs, benchmark.limit(0)).where("size(items) > 0").count() == 0
 
 
+def test_memory_of_a_full_automaton():
+    """Windows of as many words as one pass takes fit in some hundred megabytes."""
+    code = (
+        "import random, resource\n"
+        "from freshet.llm import decontaminate as d\n"
+        "n = d.MAX_WORDS // d.WINDOW\n"
+        "rng = random.Random(1)\n"
+        "items = [(str(i), ' '.join(str(rng.randrange(10**9)) for _ in range(1000))) for i in range(n // 1000)]\n"
+        "before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss\n"
+        "w = d.Windows(items)\n"
+        "print((resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) // 1024)\n"
+    )
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True, cwd=Path(__file__).parents[2])
+    assert int(out.stdout) < 500
+
+
 def test_contaminated_documents_go(spark):
     passage = "one two three four five six seven eight nine ten"
     df = spark.createDataFrame([(1, f"so {passage.upper()}!"), (2, passage[:-4]), (3, None), (None, passage)], "doc_id long, text string")
