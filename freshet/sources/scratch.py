@@ -13,9 +13,15 @@ _own: dict[str, str] = {}
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """A new folder below ``spark.checkpoint.dir``; where that isn't set, as in tests, below a temporary one."""
+    """A new folder below ``spark.checkpoint.dir``; where that isn't set, as in tests, below a temporary one.
+
+    Only a local master may go without the setting: elsewhere executors and driver don't share temporary folders.
+    """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         if "dir" not in _own:
             _own["dir"] = tempfile.mkdtemp(prefix="freshet-")
             atexit.register(shutil.rmtree, _own["dir"], ignore_errors=True)
