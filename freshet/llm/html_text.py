@@ -43,6 +43,8 @@ THREAD = frozenset("comment comments disqus respond reply replies".split())
 _LAYOUT = frozenset("has no not with without".split())
 #: Elements whose text is prose, of whatever length; elsewhere it is from so many characters on.
 PROSE, SENTENCE = frozenset("p li dd dt pre blockquote td th figcaption caption h1 h2 h3 h4 h5 h6".split()), 80
+#: Elements of a path: the innermost ones of deeper containers.
+PATH = 64
 #: Share of its text by which a host's path may fall short of a page's own best container.
 CLOSE = 0.9
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*(?:>|\Z)|<\?[^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"'=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+')|[=\"'])*+)(?:>|\Z)", re.S)
@@ -54,13 +56,13 @@ _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 @dataclass(slots=True)
 class Node:
-    """An open element: its generalised path, whether its content is dropped, and where its blocks begin.
+    """An open element: whether it is in an article, whether its content is dropped, and where its blocks begin.
 
     ``hard``: dropped by more than its names; ``doubt``: its number among those dropped only by them.
     """
 
     tag: str
-    path: str
+    inside: bool
     dropped: bool
     container: int
     hard: bool = False
@@ -69,9 +71,12 @@ class Node:
 
 @dataclass(slots=True)
 class Container:
-    """What stands directly or deeper in an element: characters of text, of links, of headings, of prose, and paragraphs."""
+    """What stands directly or deeper in an element: characters of text, of links, of headings, of prose, and paragraphs.
 
-    path: str
+    ``name`` is the generalised one of its element.
+    """
+
+    name: str
     parent: int
     depth: int
     chars: int = 0
@@ -112,6 +117,14 @@ class Page:
     left: int = 0
     titles: int = 0
 
+    def path(self, at: int) -> str:
+        """Generalised tag-class path of a container: of up to ``PATH`` containers, the innermost last."""
+        names = []
+        while at > 0 and len(names) < PATH:
+            names.append(self.containers[at].name)
+            at = self.containers[at].parent
+        return ">".join(reversed(names))
+
 
 def general_name(tag: str, attributes: str) -> tuple[str, set[str], bool]:
     """(tag with the words of its class, digits left out; words that mark it as no part of an article; whether it is hidden)."""
@@ -145,7 +158,7 @@ def parse(html: str) -> Page:
     page = _parse(html)
     if not page.doubts:
         return page
-    articles = any(c.chars and c.path.rsplit(">", 1)[-1].split(".")[0] in ("article", "main") for c in page.containers)
+    articles = any(c.chars and c.name.rsplit(">", 1)[-1].split(".")[0] in ("article", "main") for c in page.containers)
     together: dict[str, int] = {}
     for d in page.doubts:
         if d.outer:
@@ -168,7 +181,8 @@ def _parse(html: str, kept: set[int] | None = frozenset()) -> Page:
     """
     page = Page()
     page.containers.append(Container("", -1, 0))
-    stack = [Node("", "", False, 0)]
+    stack = [Node("", False, False, 0)]
+    is_open: Counter[str] = Counter()
     pieces: list[str] = []
     anchors = 0
     link_part = 0
@@ -185,15 +199,13 @@ def _parse(html: str, kept: set[int] | None = frozenset()) -> Page:
                 prose = len(text) if in_paragraph or stack[-1].tag in PROSE or len(text) >= SENTENCE else 0
                 links, link_part = min(link_part, len(text)), 0
                 page.blocks.append(text)
-                while at >= 0:
-                    c = page.containers[at]
-                    c.chars += len(text)
-                    c.link_chars += links
-                    c.heading_chars += len(text) if heading else 0
-                    c.prose_chars += prose
-                    c.paragraphs += in_paragraph
-                    c.after = len(page.blocks)
-                    at = c.parent
+                c = page.containers[at]  # what is around it gets its sums at the end
+                c.chars += len(text)
+                c.link_chars += links
+                c.heading_chars += len(text) if heading else 0
+                c.prose_chars += prose
+                c.paragraphs += in_paragraph
+                c.after = len(page.blocks)
         link_part = 0
 
     def text(raw: str) -> None:
@@ -216,6 +228,7 @@ def _parse(html: str, kept: set[int] | None = frozenset()) -> Page:
         return len(doubts) - 1
 
     def left(node: Node) -> None:
+        is_open[node.tag] -= 1
         if node.doubt >= 0:
             d = doubts[node.doubt]
             around[d.name] -= 1
@@ -251,13 +264,10 @@ def _parse(html: str, kept: set[int] | None = frozenset()) -> Page:
             if tag == "a":
                 anchors = max(0, anchors - 1)
             elif tag in BLOCK or tag in DROPPED:
-                for i in range(len(stack) - 1, 0, -1):
-                    if stack[i].tag == tag:
-                        close(i)
-                        break
-                else:
-                    if tag in BLOCK and not stack[-1].dropped:
-                        flush()
+                if is_open[tag]:
+                    close(next(i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == tag))
+                elif tag in BLOCK and not stack[-1].dropped:
+                    flush()
             elif stack[-1].tag == tag:
                 left(stack.pop())  # a dropped inline element; the block around it goes on
             continue
@@ -283,24 +293,25 @@ def _parse(html: str, kept: set[int] | None = frozenset()) -> Page:
                 continue  # only an inline element that is dropped, or one of its name in it, needs its end
             number = doubt(name, junk) if marked and not hidden and not top.hard else -1
             gone = top.dropped or hidden or marked and number not in kept
-            stack.append(Node(tag, top.path, gone, top.container, top.hard or hidden, number))
+            is_open[tag] += 1
+            stack.append(Node(tag, top.inside, gone, top.container, top.hard or hidden, number))
             continue
         # a block ends an open paragraph, and a list item or cell the one before it
         ends = {"p"} | _CLOSES.get(tag, set())
-        for i in range(len(stack) - 1, 0, -1):
-            if stack[i].tag in ends:
-                close(i)
-                if stack[-1].tag not in ends:
+        if any(is_open[x] for x in ends):
+            for i in range(len(stack) - 1, 0, -1):
+                if stack[i].tag in ends:
+                    close(i)
+                    if stack[-1].tag not in ends:
+                        break
+                elif stack[i].tag in _SCOPE:
                     break
-            elif stack[i].tag in _SCOPE:
-                break
         flush()
         anchors = 0
         name, junk, hidden = general_name(tag, m[3])
         top = stack[-1]
         heading = tag in HEADINGS
-        inside = bool(_ARTICLE.search(top.path))
-        out = not (heading and inside and top.tag == "header")
+        out = not (heading and top.inside and top.tag == "header")
         hard = top.hard and out or tag in DROPPED or hidden or tag == "header"
         marked = (bool(junk) or tag == "form") and kept is not None
         number = doubt(name, junk) if marked and not hard else -1
@@ -309,16 +320,24 @@ def _parse(html: str, kept: set[int] | None = frozenset()) -> Page:
             articles += tag in ("article", "main")
             titles += tag == "h1"
             page.titles += tag == "h1" and not dropped
-        path = f"{top.path}>{name}" if top.path else name
         container = top.container
         if not dropped and not heading and tag not in ("p", "hr"):
-            page.containers.append(Container(path, top.container, len(stack), first=len(page.blocks), after=len(page.blocks)))
+            page.containers.append(Container(name, top.container, len(stack), first=len(page.blocks), after=len(page.blocks)))
             container = len(page.containers) - 1
-        stack.append(Node(tag, path, dropped, container, hard, number))
+        is_open[tag] += 1
+        stack.append(Node(tag, top.inside or bool(_ARTICLE.search(name)), dropped, container, hard, number))
         in_paragraph = in_paragraph or tag == "p" and not dropped
     flush()
     while stack:
         left(stack.pop())
+    for c in reversed(page.containers[1:]):
+        up = page.containers[c.parent]
+        up.chars += c.chars
+        up.link_chars += c.link_chars
+        up.heading_chars += c.heading_chars
+        up.prose_chars += c.prose_chars
+        up.paragraphs += c.paragraphs
+        up.after = max(up.after, c.after)
     return page
 
 
@@ -331,38 +350,46 @@ def scores(page: Page) -> list[tuple[str, float]]:
     title and all its parts. For ``body`` to stand for one, all that it adds must be prose; one inside of ``article`` or
     ``main`` stays inside unless there are only headings outside.
     """
-    best: dict[str, float] = {}
-    for c in page.containers[1:]:
-        if c.chars:
-            own = (c.chars - c.link_chars) * (1.0 - c.link_chars / c.chars) * (1.0 + min(c.paragraphs, 20) / 20)
-            last = c.path.rsplit(">", 1)[-1]
-            if last.startswith(("article", "main")):
-                own *= 3.0
-            elif last in ("body", "html"):
-                own *= 0.5
-            own *= 1.0 + 0.02 * min(c.depth, 10)
-            at = c
-            while at.parent > 0:
-                up = page.containers[at.parent]
-                whole = up.path.rsplit(">", 1)[-1] in ("body", "html")
-                more, links, prose = up.chars - c.chars, up.link_chars - c.link_chars, up.prose_chars - c.prose_chars
-                titles = more == up.heading_chars - c.heading_chars
-                rest = links * 4 <= more and prose * 2 >= more and not c.path.rsplit(">", 1)[-1].startswith(("article", "main"))
-                if more and (whole and (not rest or titles or prose != more) or not (titles or rest)):
-                    break
-                at = up
-                if more:  # a parent that adds nothing is only passed
-                    c = up
-            best[c.path] = best.get(c.path, 0.0) + own
-    return sorted(best.items(), key=lambda x: (-x[1], x[0]))
+    best: dict[int, float] = {}
+    every = page.containers
+    stands: list[int] = [0] * len(every)  # for which container each one stands, outer ones first
+    larger: list[int] = [0] * len(every)  # the nearest container around it that has more text
+    for i, c in enumerate(every[1:], 1):
+        if not c.chars:
+            continue
+        own = (c.chars - c.link_chars) * (1.0 - c.link_chars / c.chars) * (1.0 + min(c.paragraphs, 20) / 20)
+        if c.name.startswith(("article", "main")):
+            own *= 3.0
+        elif c.name in ("body", "html"):
+            own *= 0.5
+        own *= 1.0 + 0.02 * min(c.depth, 10)
+        at = larger[i] = c.parent if every[c.parent].chars > c.chars else larger[c.parent]
+        stands[i] = i
+        if at > 0:
+            up = every[at]
+            whole = up.name in ("body", "html")
+            more, links, prose = up.chars - c.chars, up.link_chars - c.link_chars, up.prose_chars - c.prose_chars
+            titles = more == up.heading_chars - c.heading_chars
+            rest = links * 4 <= more and prose * 2 >= more and not c.name.startswith(("article", "main"))
+            if not (whole and (not rest or titles or prose != more) or not (titles or rest)):
+                stands[i] = stands[at]
+        best[stands[i]] = best.get(stands[i], 0.0) + own
+    by_path: dict[str, float] = {}
+    for i, own in best.items():
+        path = page.path(i)
+        by_path[path] = by_path.get(path, 0.0) + own
+    return sorted(by_path.items(), key=lambda x: (-x[1], x[0]))
 
 
 def blocks_at(page: Page, path: str | None) -> set[int]:
     """Numbers of the blocks in the containers with the path."""
     wanted: set[int] = set()
-    for c in page.containers:
-        if c.path == path and path is not None:
-            wanted.update(range(c.first, c.after))
+    if path:
+        last, after = path.rsplit(">", 1)[-1], 0
+        for i, c in enumerate(page.containers):  # in the order of their starts
+            if c.name == last and c.after > after and page.path(i) == path:
+                wanted.update(range(max(after, c.first), c.after))
+                after = c.after
     return wanted
 
 
@@ -396,26 +423,26 @@ def _columns(batches: Iterable[pa.RecordBatch], more: int) -> Iterator[tuple[lis
             yield texts, *([c[i] for i in at] for c in rest)
 
 
-def _votes(most: int):
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for texts, urls in _columns(batches, 1):
-            rows = []
-            for html, url in zip(texts, urls, strict=True):
-                ranked = scores(parse(html))[:most]
-                top = ranked[0][1] if ranked else 1.0
-                rows += [(host_of(url), path, value / top) for path, value in ranked if value > 0.2 * top]
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.string(), pa.string(), pa.float64()))], ["host", "path", "vote"])
-
-    return run
+def _votes(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for texts, urls in _columns(batches, 1):
+        votes: dict[tuple[str, str], float] = {}
+        for html, url in zip(texts, urls, strict=True):
+            ranked, host = scores(parse(html)), host_of(url)
+            for path, value in ranked:
+                if value > 0.0:
+                    votes[host, path] = votes.get((host, path), 0.0) + value / ranked[0][1]
+        rows = [(*k, v) for k, v in votes.items()]
+        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.string(), pa.string(), pa.float64()))], ["host", "path", "vote"])
 
 
-def winning_paths(pages: DataFrame, most: int = 4) -> DataFrame:
+def winning_paths(pages: DataFrame) -> DataFrame:
     """``host, path``: the generalised tag-class path that the pages of a host give the most votes.
 
-    A page votes for up to ``most`` containers, each with its score over its best one's. Votes are added up by host and
-    path before they meet, so that a host with most of the pages costs no more than its different paths.
+    A page votes for all its containers with text outside links, each with its score over its best one's. Votes are added
+    up in each task and by host and path before they meet, so that a host with most of the pages costs no more than its
+    different paths. Ties go to the shorter path, then to the greater one.
     """
-    votes = pages.select(F.col("html").cast("string"), F.col("url").cast("string")).mapInArrow(_votes(most), "host string, path string, vote double")
+    votes = pages.select(F.col("html").cast("string"), F.col("url").cast("string")).mapInArrow(_votes, "host string, path string, vote double")
     tallied = votes.groupBy("host", "path").agg(F.sum("vote").alias("votes"))
     return tallied.groupBy("host").agg(F.max_by("path", F.struct(F.round("votes", 6), F.expr("-length(path)"), "path")).alias("path"))
 

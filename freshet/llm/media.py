@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import struct
 import zlib
+from collections import Counter
 from collections.abc import Iterable, Iterator
 from html import escape
 from html.parser import HTMLParser
@@ -80,14 +81,17 @@ def feature_of(payload: bytes) -> str:
 
 
 class _Sequence(HTMLParser):
-    """Text and media of a page in order; the caption of a figure goes to the media in it, else the alternative text does."""
+    """Text and media of a page in order; the caption of a figure goes to the media in it, else the alternative text does.
 
-    def __init__(self) -> None:
+    ``silent``: elements whose text is none. A caption ends with its figure, or the page.
+    """
+
+    def __init__(self, silent: frozenset[str]) -> None:
         super().__init__(convert_charrefs=True)
         self.items: list[dict] = []
         self.pieces: list[str] = []
-        self.silent = 0
-        self.figure: int | None = None
+        self.silent, self.quiet = silent, Counter()
+        self.figures: list[int] = []  # the first item of each open figure
         self.caption: list[str] | None = None
 
     def flush(self) -> None:
@@ -96,52 +100,89 @@ class _Sequence(HTMLParser):
         if text:
             self.items.append({"kind": "text", "text": text, "ref": None, "caption": None})
 
+    def end_caption(self) -> None:
+        if self.caption is not None:
+            text = " ".join("".join(self.caption).split())
+            if text and self.figures:
+                for item in self.items[self.figures[-1] :]:
+                    if item["kind"] == "media" and not item.get("inner"):
+                        item["caption"] = text
+            self.caption = None
+
+    def end_figure(self) -> None:
+        self.end_caption()
+        self.flush()
+        first = self.figures.pop()
+        if self.figures:  # the outer figure's caption isn't theirs
+            for item in self.items[first:]:
+                item["inner"] = True
+
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
-        if tag in _SILENT:
-            self.silent += 1
+        if tag in self.silent:
+            self.quiet[tag] += 1
         elif tag in ("img", "video", "audio", "source", "embed"):
             own = dict(attrs)
             if own.get("src"):
-                self.flush()
+                if self.caption is None:
+                    self.flush()
                 self.items.append({"kind": "media", "text": None, "ref": own["src"], "caption": own.get("alt") or own.get("title")})
         elif tag in _BLOCKS:
-            self.flush()
+            if self.caption is None:
+                self.flush()
+            else:
+                self.caption.append(" ")
             if tag == "figure":
-                self.figure = len(self.items)
-            elif tag == "figcaption" and self.figure is not None:
+                self.end_caption()
+                self.figures.append(len(self.items))
+            elif tag == "figcaption" and self.figures:
+                self.end_caption()
                 self.caption = []
 
     def handle_endtag(self, tag: str) -> None:
-        if tag in _SILENT:
-            self.silent = max(0, self.silent - 1)
-        elif tag == "figcaption" and self.caption is not None:
-            text = " ".join("".join(self.caption).split())
-            for item in self.items[self.figure :]:
-                if item["kind"] == "media" and text:
-                    item["caption"] = text
-            self.caption = None
+        if tag in self.silent:
+            self.quiet[tag] = max(0, self.quiet[tag] - 1)
+        elif tag == "figcaption":
+            self.end_caption()
         elif tag in _BLOCKS:
-            self.flush()
-            if tag == "figure":
-                self.figure = None
+            if tag == "figure" and self.figures:
+                self.end_figure()
+            elif self.caption is None:
+                self.flush()
+            else:
+                self.caption.append(" ")
 
     def handle_data(self, data: str) -> None:
-        if not self.silent:
+        if not any(self.quiet.values()):
             (self.pieces if self.caption is None else self.caption).append(data)
 
+    def close(self) -> None:
+        super().close()
+        while self.figures:
+            self.end_figure()
+        self.flush()
+
 
 def sequence_of(html: str) -> list[dict]:
-    """``pos, kind, text, ref, caption`` of a page's texts and media in order; empty for a page without either."""
-    parser = _Sequence()
-    parser.feed(html)
-    parser.close()
-    parser.flush()
-    return [{"pos": i, **item} for i, item in enumerate(parser.items)]
+    """``pos, kind, text, ref, caption`` of a page's texts and media in order; empty for a page without either.
+
+    Figures may stand in figures: a caption goes to the media of its own. An element without text of its own (``title``,
+    ``noscript``, ``template``) that never ends is taken as if it weren't there.
+    """
+    silent = _SILENT
+    while True:
+        parser = _Sequence(silent)
+        parser.feed(html)
+        parser.close()
+        unclosed = {tag for tag, n in parser.quiet.items() if n and tag not in ("script", "style")}
+        if not unclosed:
+            return [{"pos": i, **{k: item[k] for k in ("kind", "text", "ref", "caption")}} for i, item in enumerate(parser.items)]
+        silent -= unclosed
 
 
 def sequences(pages: DataFrame, id_col: str = "doc_id", html_col: str = "html", carry: list[str] | None = None) -> DataFrame:
     """``doc_id, sequence``: ordered structs of text and media references of every page; null html has none.
 
+    Null ids and repeated rows stay; a long page is parsed as a whole. Unclosed and nested elements: :func:`sequence_of`.
     Columns named in ``carry`` (64-bit integers) stay beside them.
     """
     carry = carry or []
@@ -238,13 +279,14 @@ COLUMNS = ["digest", "payload_bytes", "payload_sha256", "tail_crc32", "media_byt
 
 
 def round_trip(docs: DataFrame) -> DataFrame:
-    """``doc_id, n_bytes, payload_bytes, payload_sha256, tail_crc32, media_bytes, media_sha256, feature`` of every text.
+    """``doc_id, n_bytes, payload_bytes, payload_sha256, tail_crc32, media_bytes, media_sha256, feature, pos, caption`` of every text.
 
     The images are written to the shared folder once and read back; features are computed for each digest and meet the
-    pages' references by digest, so that a text with many copies is decoded a few times and moved as a row of numbers.
+    pages' references by digest, beside their positions and captions, so that a text with many copies is decoded a few
+    times and moved as a row of numbers. :func:`interleaved` moves the payloads themselves.
     A null text is empty; null ids and repeated rows stay; other columns aren't read; no documents, no rows.
     """
     stored = materialise(as_pages(docs))
     features = materialise(described(stored.select("digest", "media")))
     resolved = resolve(sequences(stored.select("doc_id", "n_bytes", "html"), carry=["n_bytes"]), features, COLUMNS[1:])
-    return resolved.select("doc_id", "n_bytes", *COLUMNS[1:])
+    return resolved.select("doc_id", "n_bytes", *COLUMNS[1:], "pos", "caption")

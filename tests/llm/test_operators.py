@@ -61,10 +61,37 @@ def test_media_round_trip(docs, nothing):
         stored = media.to_image(payload)
         assert got[i][0][:6] == (len(raw), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-64:]), len(stored), hashlib.sha256(stored).hexdigest())
         assert media.from_image(stored) == payload
-    assert got[5][0] == got[6][0] and got[0] == got[1]
+    assert got[5][0][:8] == got[6][0][:8] and got[0][0][:8] == got[1][0][:8] and got[6][0][7:] == (1, "document 6")
     assert media.round_trip(nothing).count() == 0
 
 
+def test_unclosed_and_nested_figures():
+    seq = media.sequence_of("<figure><img src=a><figure><img src=b><figcaption>inner</figure><img src=c><figcaption>outer <p>two</p></figcaption></figure>after")
+    assert [(x["ref"], x["caption"], x["text"]) for x in seq] == [("a", "outer two", None), ("b", "inner", None), ("c", "outer two", None), (None, None, "after")]
+    seq = media.sequence_of("<figure><img src=a alt=x><figcaption>never ends <p>more")
+    assert [(x["ref"], x["caption"]) for x in seq] == [("a", "never ends more")]
+    for tag in ("noscript", "template"):
+        assert [x["text"] for x in media.sequence_of(f"<p>one<{tag}>two<p>three")] == ["onetwo", "three"]
+        assert [x["text"] for x in media.sequence_of(f"<p>one<{tag}>two</{tag}><p>three")] == ["one", "three"]
+    assert [x["text"] for x in media.sequence_of("</figure></figcaption><p>a</p><figcaption>b</figcaption>")] == ["a", "b"]
+
+
+def test_sequences_of_real_pages(spark):
+    """All text and references of the given pages are there, in order, and payloads of figures resolve in their places."""
+    pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
+    found = media.sequences(pages, "page_id")
+    rows = {r.doc_id: r.sequence for r in found.collect()}
+    assert len(rows) == pages.count()
+    for page in pages.collect():
+        assert [x.pos for x in rows[page.page_id]] == list(range(len(rows[page.page_id])))
+        assert [x.ref for x in rows[page.page_id] if x.kind == "media"] == re.findall(r"<(?:img|video|audio|source|embed)\b[^>]*?\bsrc=[\"']?([^\"'\s>]+)", page.html or "")
+    stored = media.as_pages(spark.read.parquet("/root/testdata/sf0.001/documents.parquet").limit(20))
+    whole = media.interleaved(media.sequences(stored), stored.where("media is not null").select("digest", "media").dropDuplicates(["digest"]))
+    for r in whole.collect():
+        assert [x.kind for x in r.sequence] == ["text", "media"] and r.sequence[1].caption == r.sequence[0].text
+        assert hashlib.sha256(media.from_image(bytes(r.sequence[1].media))).hexdigest() == r.sequence[1].ref.removeprefix("sha256:")
+
+
 def test_damaged_images_are_found():
     stored = bytearray(media.to_image(bytes(range(64))))
     stored[50] ^= 1
@@ -249,6 +276,36 @@ def test_odd_markup(html):
     assert all(b == " ".join(b.split()) and b for b in page.blocks)
 
 
+def test_votes_against_brute_force(spark):
+    """Winning paths and texts of the given pages, worked out page by page in plain Python."""
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    rows = [(r.page_id, r.url, r.html) for r in pages.collect()] + [(None, None, None), (-1, "http://x/", "<p>only text"), (-1, "http://x/", "")]
+    votes = {}
+    for _, url, html in rows:
+        ranked = [x for x in html_text.scores(html_text.parse(html or "")) if x[1] > 0]
+        own = votes.setdefault(html_text.host_of(url), {})
+        for path, value in ranked:
+            own[path] = own.get(path, 0.0) + value / ranked[0][1]
+    winners = {host: max(own, key=lambda p: (round(own[p], 6), -len(p), p)) if own else None for host, own in votes.items()}
+    got = sorted(map(str, (tuple(r) for r in html_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)).collect())))
+    wanted = [(i, url, t := html_text.main_text(html_text.parse(html or ""), winners[html_text.host_of(url)]), len(t)) for i, url, html in rows]
+    assert got == sorted(map(str, wanted))
+
+
+def test_deep_pages_take_linear_time():
+    for html in ("<div>" * 100_000 + "text", "".join(f"<div class=c{i % 7}>text {i}" for i in range(50_000)), "<form><blockquote>" * 50_000 + "<p>a<li>x" * 9 + "</b></ul>" * 50_000):
+        began = time.perf_counter()
+        page = html_text.parse(html)
+        ranked = html_text.scores(page)
+        assert html_text.main_text(page, ranked[0][0] if ranked else None)
+        assert time.perf_counter() - began < 30
+
+
+def test_an_apostrophe_in_a_bare_value():
+    page = html_text.parse("<body><article><p title=don't>First words.</p><p>Second ones aren't lost.</p></article></body>")
+    assert html_text.main_text(page, None) == "First words.\nSecond ones aren't lost."
+
+
 # --- licences --------------------------------------------------------------------------------------------------
 
 
