@@ -17,6 +17,8 @@ from .graph import components
 BLOCK = 2048
 #: A bucket of more fingerprints is cut again by the other half.
 CUT = 16384
+#: Parts in which the documents of a fingerprint get their component.
+SALTS = 1024
 
 
 def fingerprint(text: str, shingle: int = 3, seed: int = 42) -> int:
@@ -186,18 +188,21 @@ def links(fps: DataFrame, most: int = 3) -> DataFrame:
 def near_duplicates(docs: DataFrame, shingle: int = 3, most: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, fp, component_id``: the smallest doc_id reachable over links of at most ``most`` differing bits.
 
-    Copies share a fingerprint and are one row of the index. Rows with null texts count as empty; a null doc_id is kept
+    Copies share a fingerprint and are one row of the index; so that a fingerprint of very many documents isn't one task's,
+    its documents get their component in ``SALTS`` parts. Rows with null texts count as empty; a null doc_id is kept
     and never represents others (a component without any id has a null component_id); repeated rows stay; empty in,
     empty out.
     """
-    prints = materialise(fingerprints(docs, shingle, 42, id_col, text_col))
-    classes = materialise(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
+    prints = materialise(fingerprints(docs, shingle, 42, id_col, text_col)).withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)))
+    parts = materialise(prints.groupBy("fp", "salt").agg(F.min("doc_id").alias("first_id")))
+    classes = materialise(parts.groupBy("fp").agg(F.min("first_id").alias("first_id")))
     roots = materialise(components(links(classes, most)))
     linked = classes.join(roots, classes.fp == roots.node).select("fp", "first_id", "root")
     least = linked.groupBy("root").agg(F.min("first_id").alias("least_id"))
     moved = linked.join(least, "root").select("fp", "least_id")
     labels = classes.join(moved, "fp", "left").select("fp", F.coalesce("least_id", "first_id").alias("component_id"))
-    return prints.join(labels, "fp").select("doc_id", "fp", "component_id")
+    salted = parts.select("fp", "salt").join(labels, "fp")
+    return prints.join(salted, ["fp", "salt"]).select("doc_id", "fp", "component_id")
 
 
 def keep_one(docs: DataFrame, shingle: int = 3, most: int = 3) -> DataFrame:

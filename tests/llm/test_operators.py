@@ -383,6 +383,34 @@ def test_quality(spark, docs, nothing):
         assert {r.score for r in quality.classify(docs, few).collect()} == {0.5}
 
 
+def test_discriminant_against_a_plain_version(spark):
+    """Moments that Spark adds up, the cached factors and the scores, against determinants and inverses of all rows at once."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    described = quality.features(docs).cache()
+    model = quality.fit(described, labels)
+    x_of = {r.doc_id: r.x for r in described.collect()}
+    rows = [(x_of[r.doc_id], r.quality) for r in labels.collect() if r.doc_id in x_of and zlib.crc32(str(r.doc_id).encode()) % 5]
+    x, y = np.array([r[0] for r in rows]), np.array([r[1] for r in rows])
+    centre, spread = x.mean(axis=0), np.sqrt(np.maximum(x.var(axis=0), 1e-6))
+    z = np.clip((x - centre) / spread, -quality.CLIP, quality.CLIP)
+    own = [np.cov(z[y == k].T, bias=True) for k in (0, 1)]
+    pooled = sum((y == k).mean() * own[k] for k in (0, 1))
+    pooled = (1 - quality.SHRINK_DIAGONAL) * pooled + quality.SHRINK_DIAGONAL * np.diag(np.diag(pooled)) + 1e-4 * np.eye(len(pooled))
+    odds = []
+    for k in (0, 1):
+        shrunk = (1 - quality.SHRINK) * own[k] + quality.SHRINK * pooled
+        away = z - z[y == k].mean(axis=0)
+        odds.append(np.log((y == k).mean()) - 0.5 * np.linalg.slogdet(shrunk)[1] - 0.5 * np.einsum("ij,jk,ik->i", away, np.linalg.inv(shrunk), away))
+    assert np.allclose(model.log_odds(x), odds[1] - odds[0], rtol=1e-6, atol=1e-6)
+    scored = {r.doc_id: r.score for r in quality.score(described, model).collect()}
+    plain = 1 / (1 + np.exp(-np.clip(model.slope * (odds[1] - odds[0]) + model.offset, -30, 30)))
+    assert np.allclose([scored[r.doc_id] for r in labels.collect() if r.doc_id in x_of and zlib.crc32(str(r.doc_id).encode()) % 5], plain, atol=1e-6)
+    held = [(scored[r.doc_id], r.quality) for r in labels.collect() if r.doc_id in scored and zlib.crc32(str(r.doc_id).encode()) % 5 == 0]
+    good, poor = [s for s, q in held if q], [s for s, q in held if not q]
+    assert sum((g > p) + 0.5 * (g == p) for g in good for p in poor) > 0.97 * len(good) * len(poor)
+
+
 # --- lines -----------------------------------------------------------------------------------------------------
 
 
