@@ -150,12 +150,27 @@ def required_steps(axis: DataFrame, cells: DataFrame) -> DataFrame:
     return axis.join(found, "end_utc", "left").select("end_utc", F.coalesce("cells", F.lit(0)).alias("cells"))
 
 
-def step_schedule(one_row: DataFrame, parts: Sequence[tuple[int, int, int]], needed: int | None = None) -> DataFrame:
-    """``position, step_hours`` of a schedule of (first, last, every) parts; up to the first step that reaches ``needed``."""
+def step_schedule(rows: DataFrame, parts: Sequence[tuple[int, int, int]], needed: Column | int | None = None) -> DataFrame:
+    """Every row with ``position, step_hours`` of a schedule of (first, last, every) parts; up to the first step that reaches ``needed``."""
     hours = F.concat(*(F.sequence(F.lit(a), F.lit(b), F.lit(c)) for a, b, c in parts))
     if needed is not None:
         hours = F.filter(hours, lambda x, i: (i == 0) | (F.element_at(hours, i.cast("int")) < needed))
-    return one_row.select(F.posexplode(hours).alias("position", "step_hours"))
+    return rows.select("*", F.posexplode(hours).alias("position", "step_hours"))
+
+
+def grids_of(boxes: DataFrame, resolution: float) -> DataFrame:
+    """``asset_id, iy, ix, lat, lon``: the cell centres of each asset's box ``west, south, east, north``, at least its middle."""
+    r = resolution
+
+    def count(lower: str, upper: str) -> Column:
+        return F.greatest(F.ceil(F.round((F.col(upper) - F.col(lower)) / r - 0.5, 9)), F.lit(0)).cast("int")
+
+    def first(lower: str, upper: str, n: str) -> Column:
+        return F.when(F.col(n) > 0, F.col(lower) + r / 2).otherwise((F.col(lower) + F.col(upper)) / 2)
+
+    sized = boxes.withColumns({"ny": count("south", "north"), "nx": count("west", "east")})
+    cells = sized.withColumn("iy", F.explode(F.sequence(F.lit(0), F.greatest("ny", F.lit(1)) - 1))).withColumn("ix", F.explode(F.sequence(F.lit(0), F.greatest("nx", F.lit(1)) - 1)))
+    return cells.select("asset_id", "iy", "ix", (first("south", "north", "ny") + F.col("iy") * r).alias("lat"), (first("west", "east", "nx") + F.col("ix") * r).alias("lon"))
 
 
 #: Steps of two public forecast models (fixed values).
@@ -237,13 +252,24 @@ def station_matrix(values: DataFrame, axis: DataFrame) -> DataFrame:
 
 def legend_range(cells: DataFrame) -> DataFrame:
     """``low, high``: 5th and 95th percentile of the values that are there; nulls without any."""
-    rows = cells.where(_finite(F.col("value")))
-    return rows.agg(F.percentile("value", F.lit(0.05)).alias("low"), F.percentile("value", F.lit(0.95)).alias("high"))
+    counts = cells.where(_finite(F.col("value"))).groupBy("value").agg(F.count("*").alias("n"))
+    return counts.agg(F.percentile("value", F.lit(0.05), F.col("n")).alias("low"), F.percentile("value", F.lit(0.95), F.col("n")).alias("high"))
 
 
 # --- neighbours and interpolation ------------------------------------------------------------------------------
 
 
+def _cell_size(sources: DataFrame, size: float, k: int, n: int) -> float:
+    """The largest of ``size``, its half, its quarter and so on in whose cells a source meets about 8 k sources on average, itself included.
+
+    Counted cell by cell, so that clustered sources and a few that are far away have cells that fit the clusters.
+    """
+    levels = sources.withColumn("level", F.explode(F.sequence(F.lit(0), F.lit(16)))).withColumn("size", F.lit(size) / F.pow(F.lit(2.0), F.col("level")))
+    cells = levels.groupBy("level", F.floor(F.col("slat") / F.col("size")).alias("cy"), F.floor(F.col("slon") / F.col("size")).alias("cx")).agg(F.count("*").alias("c"))
+    met = {r.level: r.met / n for r in cells.groupBy("level").agg(F.sum(F.col("c") * F.col("c")).alias("met")).collect()}
+    return size / 2 ** next((i for i in sorted(met) if met[i] <= 8 * k), 16)
+
+
 def nearest(targets: DataFrame, sources: DataFrame, k: int) -> DataFrame:
     """``target_id, source_id, distance, place`` of the k nearest sources of every target, or of all if there are fewer.
 
@@ -262,7 +288,7 @@ def nearest(targets: DataFrame, sources: DataFrame, k: int) -> DataFrame:
     if bounds[0] is None:
         return t.select("target_id", F.lit(None).alias("source_id"), F.lit(None).cast("double").alias("distance"), F.lit(None).cast("int").alias("place")).limit(0)
     extent = max(max(north, bounds[1]) - min(south, bounds[0]), max(east, bounds[3]) - min(west, bounds[2]), 1e-9)
-    size = max(((max(north - south, 1e-9) * max(east - west, 1e-9)) * k / n) ** 0.5, extent / 1e6)
+    size = _cell_size(s, max(((max(north - south, 1e-9) * max(east - west, 1e-9)) * k / n) ** 0.5, extent / 1e6), k, n)
 
     def cell(lat: str, lon: str) -> tuple[Column, Column]:
         return F.floor(F.col(lat) / size).cast("long"), F.floor(F.col(lon) / size).cast("long")
@@ -316,7 +342,10 @@ def idw_weights(targets: DataFrame, sources: DataFrame, k: int = 5, power: float
 
 
 def apply_weights(weights: DataFrame, values: DataFrame, keys: Sequence[str] = ("dt",)) -> DataFrame:
-    """``target_id``, keys and ``value``: weights renewed over the neighbours with a value at each time; null where none has one."""
+    """``target_id``, keys and ``value``: weights renewed over the neighbours with a value at each time; null where none has one.
+
+    Where that must not be, :func:`complete` refuses it and :func:`incomplete` names it.
+    """
     rows = weights.join(values, "source_id")
     ok = _finite(F.col("value"))
     value = F.sum(F.when(ok, F.col("weight") * F.col("value"))) / F.sum(F.when(ok, F.col("weight")))
@@ -351,17 +380,22 @@ def cell_of(cells: DataFrame, points: DataFrame, origin: tuple[float, float], re
     return placed.join(cells.select("iy", "ix", F.when(_finite(F.col("value")), F.col("value")).alias("value")), ["iy", "ix"], "left").select("target_id", "iy", "ix", "value")
 
 
+def corners(targets: DataFrame, origin: tuple[float, float], resolution: float) -> DataFrame:
+    """``target_id, iy, ix, w``: the up to four cells around each target and their weights, those of weight 0 left out."""
+    y0, x0 = origin
+    fy, fx = F.round((F.col("lat") - y0) / resolution, 9), F.round((F.col("lon") - x0) / resolution, 9)
+    at = targets.select("target_id", F.floor(fy).cast("int").alias("y"), F.floor(fx).cast("int").alias("x"), (fy - F.floor(fy)).alias("wy"), (fx - F.floor(fx)).alias("wx"))
+    four = F.array(*(F.struct((F.col("y") + dy).alias("iy"), (F.col("x") + dx).alias("ix"), ((F.col("wy") if dy else 1 - F.col("wy")) * (F.col("wx") if dx else 1 - F.col("wx"))).alias("w")) for dy in (0, 1) for dx in (0, 1)))
+    return at.select("target_id", F.explode(F.filter(four, lambda c: c["w"] > 0)).alias("c")).select("target_id", "c.iy", "c.ix", "c.w")
+
+
 def bilinear(cells: DataFrame, targets: DataFrame, origin: tuple[float, float], resolution: float, keys: Sequence[str] = ("asset_id", "start_utc", "end_utc")) -> DataFrame:
     """``target_id``, keys and ``value`` by the four cells around each target; null outside the hull of the centres.
 
     Corners are found by index arithmetic and met by equality. A corner of weight 0 isn't read, so that what is missing
     there doesn't spread; a missing value at any other corner makes the result missing.
     """
-    y0, x0 = origin
-    fy, fx = F.round((F.col("lat") - y0) / resolution, 9), F.round((F.col("lon") - x0) / resolution, 9)
-    at = targets.select("target_id", F.floor(fy).cast("int").alias("y"), F.floor(fx).cast("int").alias("x"), (fy - F.floor(fy)).alias("wy"), (fx - F.floor(fx)).alias("wx"))
-    corners = F.array(*(F.struct((F.col("y") + dy).alias("iy"), (F.col("x") + dx).alias("ix"), ((F.col("wy") if dy else 1 - F.col("wy")) * (F.col("wx") if dx else 1 - F.col("wx"))).alias("w")) for dy in (0, 1) for dx in (0, 1)))
-    four = at.select("target_id", F.explode(F.filter(corners, lambda c: c["w"] > 0)).alias("c")).select("target_id", "c.iy", "c.ix", "c.w")
+    four = corners(targets, origin, resolution)
     value = F.when(_finite(F.col("value")), F.col("value"))
     joined = four.join(cells.select(*keys, "iy", "ix", value.alias("value")), ["iy", "ix"])
     found = joined.groupBy("target_id", *keys).agg(F.sum(F.col("w") * F.col("value")).alias("sum"), F.sum(F.when(F.col("value").isNotNull(), F.col("w"))).alias("weight"))
@@ -378,31 +412,34 @@ def crop(cells: DataFrame, west: float, south: float, east: float, north: float,
 
 
 def moved(cells: DataFrame, resolution: float, shift_lat: Column, shift_lon: Column, factor: Column) -> DataFrame:
-    """Cells multiplied and cut at 0, their footprint moved by whole cells (half a cell rounds to even)."""
+    """Cells multiplied and cut at 0, their footprint moved by so many whole cells (half a cell rounds to even)."""
     from ..functions.text import multiplied
 
     def by(shift: Column) -> Column:
-        return F.rint(shift / resolution) * resolution
+        return F.rint(shift) * resolution
 
     return cells.withColumns({"value": multiplied(F.col("value"), factor), "lat": F.col("lat") + by(shift_lat), "lon": F.col("lon") + by(shift_lon)})
 
 
-def rotated(cells: DataFrame, resolution: float, degrees: float, shift_lat: float = 0.0, shift_lon: float = 0.0, factor: float = 1.0) -> DataFrame:
-    """Cells turned about the grid's centre after a move by whole cells, on a grid of the same resolution around them.
+def rotated(cells: DataFrame, resolution: float, degrees: Column | float, shift_lat: Column | float = 0.0, shift_lon: Column | float = 0.0, factor: Column | float = 1.0) -> DataFrame:
+    """Cells turned about their grid's centre after a move by so many whole cells, on a grid of the same resolution around them.
 
     Each cell of the new grid, whose edges are multiples of the resolution, takes the nearest source cell by the inverse
-    turn; those that come from outside are null. Assets keep their own grids; times stay.
+    turn; those that come from outside are null, and so are those whose source is missing. Each interval of an asset may
+    have its own turn, move and factor (columns of ``cells``); assets keep their own grids; times stay.
     """
-    import math
+    from ..functions.text import multiplied
 
-    r, c, s = resolution, math.cos(math.radians(degrees)), math.sin(math.radians(degrees))
+    r, keys = resolution, ["asset_id", "start_utc", "end_utc"]
+    as_column = {k: v if isinstance(v, Column) else F.lit(float(v)) for k, v in {"a": degrees, "my": shift_lat, "mx": shift_lon, "f": factor}.items()}
+    turns = cells.select(*keys, *(c.cast("double").alias(k) for k, c in as_column.items())).distinct()
     edge = cells.groupBy("asset_id").agg(F.min("lat").alias("y0"), F.max("lat").alias("y1"), F.min("lon").alias("x0"), F.max("lon").alias("x1"))
-    my, mx = round(shift_lat / r) * r, round(shift_lon / r) * r
-    edge = edge.withColumns({"cy": (F.col("y0") + F.col("y1")) / 2, "cx": (F.col("x0") + F.col("x1")) / 2})
+    turns = turns.join(edge, "asset_id").withColumns({"s": F.sin(F.radians("a")), "c": F.cos(F.radians("a")), "my": F.rint("my") * r, "mx": F.rint("mx") * r, "cy": (F.col("y0") + F.col("y1")) / 2, "cx": (F.col("x0") + F.col("x1")) / 2})
+    s, c, my, mx, cy, cx = (F.col(k) for k in ("s", "c", "my", "mx", "cy", "cx"))
     h, w = (F.col("y1") - F.col("y0") + r) / 2, (F.col("x1") - F.col("x0") + r) / 2
-    half_y, half_x = abs(s) * w + abs(c) * h, abs(c) * w + abs(s) * h
+    half_y, half_x = F.abs(s) * w + F.abs(c) * h, F.abs(c) * w + F.abs(s) * h
     # a move before the turn about the original centre carries the box's middle with it
-    mid_y, mid_x = F.col("cy") + s * mx + c * my, F.col("cx") + c * mx - s * my
+    mid_y, mid_x = cy + s * mx + c * my, cx + c * mx - s * my
 
     def low(v: Column) -> Column:
         return (F.floor(F.round(v / r, 9)) * r).cast("double")
@@ -410,42 +447,71 @@ def rotated(cells: DataFrame, resolution: float, degrees: float, shift_lat: floa
     def high(v: Column) -> Column:
         return (F.ceil(F.round(v / r, 9)) * r).cast("double")
 
-    boxes = edge.withColumns({"south": low(mid_y - half_y), "north": high(mid_y + half_y), "west": low(mid_x - half_x), "east": high(mid_x + half_x)})
-    ny, nx = F.rint((F.col("north") - F.col("south")) / r).cast("int"), F.rint((F.col("east") - F.col("west")) / r).cast("int")
-    grid = boxes.withColumn("iy", F.explode(F.sequence(F.lit(0), ny - 1))).withColumn("ix", F.explode(F.sequence(F.lit(0), nx - 1)))
-    lat, lon = F.col("south") + (F.col("iy") + 0.5) * r, F.col("west") + (F.col("ix") + 0.5) * r
-    dy, dx = lat - F.col("cy"), lon - F.col("cx")
-    back_y, back_x = F.col("cy") + c * dy - s * dx - my, F.col("cx") + c * dx + s * dy - mx
-    new = grid.select("asset_id", "iy", "ix", lat.alias("lat"), lon.alias("lon"), F.rint((back_y - F.col("y0")) / r).cast("int").alias("sy"), F.rint((back_x - F.col("x0")) / r).cast("int").alias("sx"))
-    first = Window.partitionBy("asset_id")
-    old = cells.select("asset_id", "start_utc", "end_utc", F.rint((F.col("lat") - F.min("lat").over(first)) / r).cast("int").alias("sy"), F.rint((F.col("lon") - F.min("lon").over(first)) / r).cast("int").alias("sx"), F.greatest(F.col("value") * factor, F.lit(0.0)).alias("value"))
-    times = cells.select("asset_id", "start_utc", "end_utc").distinct()
-    return new.join(times, "asset_id").join(old, ["asset_id", "start_utc", "end_utc", "sy", "sx"], "left").select("asset_id", "start_utc", "end_utc", "iy", "ix", "lat", "lon", "value")
+    def index(v: Column, first: Column) -> Column:
+        return F.rint(F.round((v - first) / r, 9)).cast("int")
 
+    boxes = turns.withColumns({"south": low(mid_y - half_y), "north": high(mid_y + half_y), "west": low(mid_x - half_x), "east": high(mid_x + half_x)})
+    grid = boxes.withColumn("iy", F.explode(F.sequence(F.lit(0), index(F.col("north"), F.col("south")) - 1))).withColumn("ix", F.explode(F.sequence(F.lit(0), index(F.col("east"), F.col("west")) - 1)))
+    grid = grid.withColumns({"lat": F.col("south") + (F.col("iy") + 0.5) * r, "lon": F.col("west") + (F.col("ix") + 0.5) * r})
+    dy, dx = F.col("lat") - cy, F.col("lon") - cx
+    new = grid.select(*keys, "iy", "ix", "lat", "lon", "f", index(cy + c * dy - s * dx - my, F.col("y0")).alias("sy"), index(cx + c * dx + s * dy - mx, F.col("x0")).alias("sx"))
+    old = cells.select(*keys, "lat", "lon", "value").join(edge.select("asset_id", "y0", "x0"), "asset_id").select(*keys, index(F.col("lat"), F.col("y0")).alias("sy"), index(F.col("lon"), F.col("x0")).alias("sx"), "value")
+    return new.join(old, [*keys, "sy", "sx"], "left").select(*keys, "iy", "ix", "lat", "lon", multiplied(F.col("value"), F.col("f")).alias("value"))
 
-def shifted_canvas(cells: DataFrame, rows: int, columns: int, factor: float = 1.0) -> DataFrame:
-    """The same canvas with its content moved by whole rows and columns, multiplied, cut at 0; zeros move in, missing is 0."""
-    source = cells.select("asset_id", "start_utc", "end_utc", (F.col("iy") + rows).alias("iy"), (F.col("ix") + columns).alias("ix"), F.greatest(F.when(_finite(F.col("value")), F.col("value")).otherwise(0.0) * factor, F.lit(0.0)).alias("moved"))
-    canvas = cells.select("asset_id", "start_utc", "end_utc", "iy", "ix", "lat", "lon")
-    return canvas.join(source, ["asset_id", "start_utc", "end_utc", "iy", "ix"], "left").select(*canvas.columns, F.coalesce("moved", F.lit(0.0)).alias("value"))
+
+def shifted_canvas(cells: DataFrame, rows: int, columns: int, factor: float = 1.0, degrees: float = 0.0) -> DataFrame:
+    """The same canvas with its content moved by whole rows and columns, turned about its middle, multiplied, cut at 0.
+
+    Zeros come in from outside, missing is 0. A turned cell takes the nearest one by the inverse turn.
+    """
+    keys = ["asset_id", "start_utc", "end_utc"]
+    source = cells.select(*keys, (F.col("iy") + rows).alias("sy"), (F.col("ix") + columns).alias("sx"), F.greatest(F.when(_finite(F.col("value")), F.col("value")).otherwise(0.0) * factor, F.lit(0.0)).alias("moved"))
+    canvas = cells.select(*keys, "iy", "ix", "lat", "lon")
+    if degrees:
+        size = cells.groupBy("asset_id").agg(F.max("iy").alias("y1"), F.max("ix").alias("x1"))
+        s, c = F.sin(F.radians(F.lit(degrees))), F.cos(F.radians(F.lit(degrees)))
+        y, x = F.col("iy") - F.col("y1") / 2, F.col("ix") - F.col("x1") / 2
+        placed = canvas.join(size, "asset_id").withColumns({"sy": F.rint(F.round(F.col("y1") / 2 + y * c + x * s, 9)).cast("int"), "sx": F.rint(F.round(F.col("x1") / 2 - y * s + x * c, 9)).cast("int")})
+        source = source.join(size, "asset_id").where("sy between 0 and y1 and sx between 0 and x1").drop("y1", "x1")  # what is moved out doesn't turn back in
+    else:
+        placed = canvas.withColumns({"sy": F.col("iy"), "sx": F.col("ix")})
+    return placed.join(source, [*keys, "sy", "sx"], "left").select(*canvas.columns, F.coalesce("moved", F.lit(0.0)).alias("value"))
 
 
 def corrected_in_order(cells: DataFrame, resolution: float, corrections: Sequence[dict]) -> DataFrame:
-    """A list of corrections one after another; each has ``shift_lat, shift_lon, rotation_deg, factor``, all optional."""
+    """A list of corrections one after another; each has ``shift_lat, shift_lon`` (cells), ``rotation_deg, factor``, all optional."""
     for one in corrections:
         a, b, f = one.get("shift_lat", 0.0), one.get("shift_lon", 0.0), one.get("factor", 1.0)
         cells = rotated(cells, resolution, one["rotation_deg"], a, b, f) if one.get("rotation_deg") else moved(cells, resolution, F.lit(a), F.lit(b), F.lit(f))
     return cells
 
 
+def _with_edits(cells: DataFrame, edits: DataFrame) -> DataFrame:
+    """Cells with the edit whose window of hours after the asset's first bound holds their interval, beside them."""
+    turn = F.col("rotation_deg") if "rotation_deg" in edits.columns else F.lit(0.0)
+    mine = edits.select("asset_id", "t0_step", "t1_step", "shift_lat", "shift_lon", turn.cast("double").alias("rotation_deg"), "multiplication_factor")
+    first = cells.groupBy("asset_id").agg(F.min("start_utc").alias("first_utc")).join(mine, "asset_id")
+    hours = {x: F.timestamp_diff("HOUR", F.col("first_utc"), F.col(f"{x}_utc")) for x in ("start", "end")}
+    joined = cells.join(first, "asset_id").where((hours["start"] >= F.col("t0_step")) & (hours["end"] <= F.col("t1_step"))).select("asset_id", "start_utc", "end_utc", "shift_lat", "shift_lon", "rotation_deg", "multiplication_factor").distinct()
+    return cells.join(joined, ["asset_id", "start_utc", "end_utc"], "left")
+
+
+def _edited_parts(cells: DataFrame, edits: DataFrame, resolution: float) -> tuple[DataFrame, DataFrame]:
+    """(cells that aren't turned, those that are): the latter stand on a grid whose edges are multiples of the resolution."""
+    joined = _with_edits(cells, edits)
+    lat, lon, factor = F.coalesce("shift_lat", F.lit(0.0)), F.coalesce("shift_lon", F.lit(0.0)), F.coalesce("multiplication_factor", F.lit(1.0))
+    turns = F.abs(F.coalesce("rotation_deg", F.lit(0.0))) >= 1e-12
+    columns = ["asset_id", "start_utc", "end_utc", "iy", "ix", "lat", "lon", "value"]
+    return moved(joined.where(~turns), resolution, lat, lon, factor).select(*columns), rotated(joined.where(turns), resolution, F.col("rotation_deg"), lat, lon, factor).select(*columns)
+
+
 def edited(cells: DataFrame, edits: DataFrame, resolution: float) -> DataFrame:
-    """Cells with the edit whose window of hours after the asset's first bound holds their interval, else as they are."""
-    first = F.min("start_utc").over(Window.partitionBy("asset_id"))
-    steps = cells.withColumns({"a": F.timestamp_diff("HOUR", first, F.col("start_utc")), "b": F.timestamp_diff("HOUR", first, F.col("end_utc"))})
-    mine = edits.select("asset_id", "t0_step", "t1_step", "shift_lat", "shift_lon", "multiplication_factor")
-    joined = steps.join(mine, (steps.asset_id == mine.asset_id) & (F.col("a") >= F.col("t0_step")) & (F.col("b") <= F.col("t1_step")), "left").drop(mine.asset_id)
-    out = moved(joined, resolution, F.coalesce("shift_lat", F.lit(0.0)), F.coalesce("shift_lon", F.lit(0.0)), F.coalesce("multiplication_factor", F.lit(1.0)))
-    return out.select("asset_id", "start_utc", "end_utc", "iy", "ix", "lat", "lon", "value")
+    """Cells with the edit whose window of hours after the asset's first bound holds their interval, else as they are.
+
+    Shifts are in cells; an edit with a ``rotation_deg`` turns the intervals that it holds, whose cells are then new ones.
+    """
+    straight, turned = _edited_parts(cells, edits, resolution)
+    return straight.unionByName(turned)
 
 
 def zero_block(axis: DataFrame, minis: DataFrame) -> DataFrame:
@@ -478,9 +544,12 @@ def observed_working_grid(values: DataFrame, stations: DataFrame, grid: DataFram
         if wide >= n:
             parts.append(ranked)
             break
-        pairs = near.select("target_id").distinct().withColumn("k", F.lit(1)).join(steps.withColumn("k", F.lit(1)), "k")
-        got = pairs.join(ranked.groupBy("target_id", "end_utc").agg(F.count("*").alias("got")), ["target_id", "end_utc"], "left")
-        short = materialise(got.where(F.coalesce("got", F.lit(0)) < F.least(F.lit(k), F.col("have"))).select("target_id").distinct())
+        # cells whose neighbours lack stations at some step: those steps are few, each is held against its own cells
+        got = ranked.groupBy("target_id", "end_utc").agg(F.count("*").alias("got"))
+        need = steps.select("end_utc", F.least(F.lit(k), F.col("have")).alias("need"))
+        full = got.join(need, "end_utc").where("got >= need").groupBy("target_id").agg(F.count("*").alias("full"))
+        n_steps = steps.count()
+        short = materialise(open_.select("target_id").join(full, "target_id", "left").where(F.coalesce("full", F.lit(0)) < n_steps).select("target_id"))
         parts.append(ranked.join(short, "target_id", "left_anti"))
         open_ = open_.join(short, "target_id", "left_semi")
         if short.isEmpty():
@@ -499,8 +568,32 @@ def observed_working_grid(values: DataFrame, stations: DataFrame, grid: DataFram
     return canvas.join(found, ["target_id", "end_utc"], "left").select("end_utc", "iy", "ix", "value")
 
 
-def forecast_working_grid(cells: DataFrame, edits: DataFrame | None, targets: DataFrame, origin: tuple[float, float], resolution: float, timestep_hours: int) -> DataFrame:
-    """``asset_id, end_utc, target_id, value``: edits on the native grid, then the split into steps, then the resampling."""
-    native = cells if edits is None else edited(cells, edits, resolution)
-    indexed = native.withColumns({"iy": F.rint((F.col("lat") - origin[0]) / resolution).cast("int"), "ix": F.rint((F.col("lon") - origin[1]) / resolution).cast("int")})
-    return bilinear(split_evenly(indexed, timestep_hours), targets, origin, resolution).select("asset_id", "end_utc", "target_id", "value")
+def forecast_working_grid(cells: DataFrame, edits: DataFrame | None, targets: DataFrame, origin: tuple[float, float], resolution: float, timestep_hours: int, strict: bool = True) -> DataFrame:
+    """``asset_id, end_utc, target_id, value``: edits on the native grid, then the split into steps, then the resampling.
+
+    A target outside the (moved or turned) grid has no row, one with a missing corner a null. With ``strict`` either is
+    an error, as is a grid that isn't there at all (:func:`complete`).
+    """
+    straight, turned = (cells, None) if edits is None else _edited_parts(cells, edits, resolution)
+    parts = []
+    for part, (y0, x0) in ((straight, origin), (turned, (resolution / 2, resolution / 2))):
+        if part is not None:
+            indexed = part.withColumns({"iy": F.rint((F.col("lat") - y0) / resolution).cast("int"), "ix": F.rint((F.col("lon") - x0) / resolution).cast("int")})
+            parts.append(bilinear(split_evenly(indexed, timestep_hours), targets, (y0, x0), resolution))
+    out = (parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])).select("asset_id", "end_utc", "target_id", "value")
+    return complete(materialise(out), targets, ["asset_id", "end_utc"]) if strict else out
+
+
+def incomplete(values: DataFrame, targets: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Keys and ``present, wanted`` of those at which not every target has a value; a row of nulls if there are no keys at all."""
+    wanted = targets.agg(F.count_distinct("target_id").alias("wanted"))
+    present = values.groupBy(*keys).agg(F.count_distinct(F.when(_finite(F.col("value")), F.col("target_id"))).alias("present"))
+    return F.broadcast(wanted).join(present, F.lit(True), "left").where(F.coalesce("present", F.lit(0)) < F.col("wanted")).select(*keys, F.coalesce("present", F.lit(0)).alias("present"), "wanted")
+
+
+def complete(values: DataFrame, targets: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The values, if every target has one at all keys; raises with the first keys where one hasn't."""
+    bad = incomplete(values, targets, keys).limit(5).collect()
+    if bad:
+        raise ValueError("targets without a value: " + "; ".join(", ".join(map(str, r)) for r in bad))
+    return values

@@ -61,12 +61,15 @@ def export(cells: DataFrame, minis: DataFrame, variable: str, start: Column, ref
     return placed.select("mini_id", F.lit(variable).alias("variable_code"), "dt", "time_segment", to_centimetres(F.col("value"), F.lit(variable)).alias("value"))
 
 
-def scenario_forcings(scenarios: DataFrame, cells: DataFrame, edits: DataFrame, targets: DataFrame, origin: tuple[float, float], resolution: float, timestep_hours: int) -> DataFrame:
-    """``scenario_id, end_utc, target_id, value`` of every scenario in one job: the scenario is one more key."""
+def scenario_forcings(scenarios: DataFrame, cells: DataFrame, edits: DataFrame, targets: DataFrame, origin: tuple[float, float], resolution: float, timestep_hours: int, strict: bool = True) -> DataFrame:
+    """``scenario_id, end_utc, target_id, value`` of every scenario in one job: the scenario is one more key.
+
+    With ``strict`` a scenario whose grid lacks a value at any target is an error.
+    """
     mine = scenarios.where("kind <> 'zero'").select("scenario_id", "asset_id", "manual_edit_id")
     rows = cells.join(mine, "asset_id").drop("asset_id").withColumnRenamed("scenario_id", "asset_id")
     chosen = mine.where("manual_edit_id is not null").join(edits.drop("asset_id"), "manual_edit_id").drop("asset_id").withColumnRenamed("scenario_id", "asset_id")
-    out = grids.forecast_working_grid(rows.select(*cells.columns), chosen, targets, origin, resolution, timestep_hours)
+    out = grids.forecast_working_grid(rows.select(*cells.columns), chosen, targets, origin, resolution, timestep_hours, strict)
     return out.withColumnRenamed("asset_id", "scenario_id")
 
 

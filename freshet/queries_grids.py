@@ -48,9 +48,12 @@ def samples(v):
 SAMPLES = "samples as (select station_id as source_id, lat, lon, case when user_id % 9 <> 0 then v end as value from station join (select station_id, avg(value) as v from obs where variable_code = 'rain' group by 1) using (station_id))"
 
 
-@query(f"with {GRID_SQL} select iy, ix, round(lat, 6) as lat, round(lon, 6) as lon from grid")
+@query("""with b as (select asset_id, min(lat) - 0.125 as south, max(lat) + 0.125 as north, min(lon) - 0.125 as west, max(lon) + 0.125 as east from cell group by 1),
+    n as (select *, cast(greatest(ceil(round((north - south) / 0.5 - 0.5, 9)), 1) as int) as ny, cast(greatest(ceil(round((east - west) / 0.5 - 0.5, 9)), 1) as int) as nx from b)
+    select asset_id, iy, ix, round(south + 0.25 + iy * 0.5, 6) as lat, round(west + 0.25 + ix * 0.5, 6) as lon from (select *, unnest(range(ny)) as iy from n) y, lateral (select unnest(range(nx)) as ix) x""")
 def gr1_regular_grid(v):
-    return GRID.cells(one(v))
+    """A grid of half a degree over the box of each asset."""
+    return G.grids_of(G.native_resolution(v("cell")).select("asset_id", "west", "south", "east", "north"), 0.5)
 
 
 @query(f"with {INTERVALS} select asset_id, iy, ix, round(lat, 6) as lat, round(lon, 6) as lon, cast(start_utc as varchar) as start_utc, cast(end_utc as varchar) as end_utc, round(value, 6) as value from intervals")
@@ -182,12 +185,9 @@ def gr5_bilinear(v):
     return G.bilinear(dense(v), points(v), ORIGIN, STEP).drop("asset_id")
 
 
-@query("select count(*) as corners, round(sum(w), 6) as weight from (select target_id, floor(round((lat + 33) / 0.25, 9)) as y, round((lat + 33) / 0.25, 9) - floor(round((lat + 33) / 0.25, 9)) as wy, round((lon + 55) / 0.25, 9) - floor(round((lon + 55) / 0.25, 9)) as wx from (select mini_id as target_id, lat, lon from mini)) a, lateral (select unnest([(1 - wy) * (1 - wx), (1 - wy) * wx, wy * (1 - wx), wy * wx]) as w) where w > 0")
+@query("select target_id, y + dy as iy, x + dx as ix, round((case dy when 1 then wy else 1 - wy end) * (case dx when 1 then wx else 1 - wx end), 6) as w from (select target_id, floor(fy) as y, floor(fx) as x, fy - floor(fy) as wy, fx - floor(fx) as wx from (select mini_id as target_id, round((lat + 33) / 0.25, 9) as fy, round((lon + 55) / 0.25, 9) as fx from mini)) a, range(2) b(dy), range(2) c(dx) where (case dy when 1 then wy else 1 - wy end) * (case dx when 1 then wx else 1 - wx end) > 0")
 def jo17_bracket_corners(v):
-    fy, fx = F.round((F.col("lat") + 33) / 0.25, 9), F.round((F.col("lon") + 55) / 0.25, 9)
-    wy, wx = fy - F.floor(fy), fx - F.floor(fx)
-    w = F.explode(F.filter(F.array((1 - wy) * (1 - wx), (1 - wy) * wx, wy * (1 - wx), wy * wx), lambda x: x > 0))
-    return points(v).select(w.alias("w")).agg(F.count("*").alias("corners"), F.sum("w").alias("weight"))
+    return G.corners(points(v), ORIGIN, STEP)
 
 
 @query("select asset_id, iy, ix, cast(end_utc as varchar) as end_utc from cell where lat + 0.125 >= -31 and lat - 0.125 <= -29.5 and lon + 0.125 >= -54 and lon - 0.125 <= -52")
@@ -195,20 +195,31 @@ def gr6_crop(v):
     return G.crop(v("cell"), -54, -31, -52, -29.5, STEP).select("asset_id", "iy", "ix", "end_utc")
 
 
-@query("select asset_id, iy, ix, cast(end_utc as varchar) as end_utc, round(lat + 1.0, 6) as lat, round(lon - 0.75, 6) as lon, case when value is not null then round(greatest(value * 1.5, 0), 6) end as value from cell")
+@query("select asset_id, iy, ix, cast(end_utc as varchar) as end_utc, round(lat + 4 * 0.25, 6) as lat, round(lon - 2 * 0.25, 6) as lon, case when value is not null then round(greatest(value * 1.5, 0), 6) end as value from cell")
 def gr7_move(v):
-    return G.moved(v("cell"), STEP, F.lit(0.95), F.lit(-0.7), F.lit(1.5)).select("asset_id", "iy", "ix", "end_utc", "lat", "lon", "value")
+    return G.moved(v("cell"), STEP, F.lit(3.6), F.lit(-2.5), F.lit(1.5)).select("asset_id", "iy", "ix", "end_utc", "lat", "lon", "value")
 
 
-@query()
+#: Turns by the corners of the boxes, one after the other; ``turn`` has asset_id, start_utc, end_utc, deg, dy, dx (cells), f of the intervals of ``cells``.
+TURNED = """box as (select asset_id, min(lat) as y0, max(lat) as y1, min(lon) as x0, max(lon) as x1 from {cells} group by 1),
+    turning as (select *, (y0 + y1) / 2 as cy, (x0 + x1) / 2 as cx, cos(radians(deg)) as co, sin(radians(deg)) as si, round_even(dy, 0) * 0.25 as sy, round_even(dx, 0) * 0.25 as sx from (select distinct asset_id, start_utc, end_utc, deg, dy, dx, f from {turn}) t join box using (asset_id)),
+    corner as (select *, cx + (px + sx - cx) * co - (py + sy - cy) * si as qx, cy + (px + sx - cx) * si + (py + sy - cy) * co as qy from (select *, unnest([x0 - 0.125, x1 + 0.125, x0 - 0.125, x1 + 0.125]) as px, unnest([y0 - 0.125, y0 - 0.125, y1 + 0.125, y1 + 0.125]) as py from turning)),
+    snapped as (select asset_id, start_utc, end_utc, floor(round(min(qx) / 0.25, 9)) * 0.25 as west, ceil(round(max(qx) / 0.25, 9)) * 0.25 as east, floor(round(min(qy) / 0.25, 9)) * 0.25 as south, ceil(round(max(qy) / 0.25, 9)) * 0.25 as north from corner group by 1, 2, 3),
+    tall as (select *, unnest(range(cast(round((north - south) / 0.25) as bigint))) as iy from turning join snapped using (asset_id, start_utc, end_utc)),
+    placed as (select *, south + (iy + 0.5) * 0.25 as lat, west + (ix + 0.5) * 0.25 as lon from (select *, unnest(range(cast(round((east - west) / 0.25) as bigint))) as ix from tall)),
+    sourced as (select *, round_even(round((cy - (lon - cx) * si + (lat - cy) * co - sy - y0) / 0.25, 9), 0) as row, round_even(round((cx + (lon - cx) * co + (lat - cy) * si - sx - x0) / 0.25, 9), 0) as col from placed),
+    turned as (select p.asset_id, p.start_utc, p.end_utc, p.iy, p.ix, p.lat, p.lon, case when c.value is not null then greatest(c.value * p.f, 0) end as value from sourced p left join {cells} c
+        on c.asset_id = p.asset_id and c.start_utc = p.start_utc and c.end_utc = p.end_utc and round((c.lat - p.y0) / 0.25) = p.row and round((c.lon - p.x0) / 0.25) = p.col)"""
+
+
+@query(f"with ask as (select distinct asset_id, start_utc, end_utc, 30.0 as deg, 2.0 as dy, 1.0 as dx, 1.2 as f from cell), {TURNED.format(cells='cell', turn='ask')} select asset_id, cast(start_utc as varchar) as start_utc, cast(end_utc as varchar) as end_utc, iy, ix, round(lat, 6) as lat, round(lon, 6) as lon, round(value, 6) as value from turned")
 def gr8_rotate(v):
-    """Trigonometry at cell edges may differ between engines: tests hold it against a brute-force version."""
-    return G.rotated(v("cell"), STEP, 30.0, 0.5, 0.25, 1.2)
+    return G.rotated(v("cell"), STEP, 30.0, 2.0, 1.0, 1.2)
 
 
 @query("select asset_id, iy, ix, cast(end_utc as varchar) as end_utc, round(lat + 0.5, 6) as lat, round(lon, 6) as lon, round(value, 6) as value from cell")
 def gr9_corrections_in_order(v):
-    return G.corrected_in_order(v("cell"), STEP, [{"factor": 2.0, "shift_lat": 0.25}, {"factor": 0.5, "shift_lat": 0.25}]).select("asset_id", "iy", "ix", "end_utc", "lat", "lon", "value")
+    return G.corrected_in_order(v("cell"), STEP, [{"factor": 2.0, "shift_lat": 1.0}, {"factor": 0.5, "shift_lat": 1.0}]).select("asset_id", "iy", "ix", "end_utc", "lat", "lon", "value")
 
 
 @query("select c.asset_id, c.iy, c.ix, cast(c.end_utc as varchar) as end_utc, round(coalesce(greatest(coalesce(m.value, 0) * 2, 0), 0), 6) as value from cell c left join cell m on m.asset_id = c.asset_id and m.end_utc = c.end_utc and m.iy + 2 = c.iy and m.ix - 1 = c.ix")
@@ -216,31 +227,55 @@ def gr10_fixed_canvas(v):
     return G.shifted_canvas(v("cell"), 2, -1, 2.0).select("asset_id", "iy", "ix", "end_utc", "value")
 
 
+@query("""with s as (select asset_id, max(iy) / 2.0 as cy, max(ix) / 2.0 as cx from cell group by 1), p as (select c.*, round_even(round(cy + (iy - cy) * cos(radians(25)) + (ix - cx) * sin(radians(25)), 9), 0) as sy, round_even(round(cx - (iy - cy) * sin(radians(25)) + (ix - cx) * cos(radians(25)), 9), 0) as sx from cell c join s using (asset_id)),
+    m as (select asset_id, end_utc, iy + 1 as sy, ix as sx, value from cell join s using (asset_id) where iy + 1 <= 2 * cy)
+    select p.asset_id, p.iy, p.ix, cast(p.end_utc as varchar) as end_utc, round(greatest(coalesce(m.value, 0) * 2, 0), 6) as value from p left join m on m.asset_id = p.asset_id and m.end_utc = p.end_utc and m.sy = p.sy and m.sx = p.sx""")
+def gr10_turned_canvas(v):
+    return G.shifted_canvas(v("cell"), 1, 0, 2.0, 25.0).select("asset_id", "iy", "ix", "end_utc", "value")
+
+
 @query("select asset_id, iy, ix, cast(start_utc + (h + 1) * interval '1' hour as varchar) as end_utc, round(value / 3, 6) as value from cell, range(3) r(h)")
 def gr11_split_evenly(v):
     return G.split_evenly(v("cell"), 1).select("asset_id", "iy", "ix", "end_utc", "value")
 
 
-EDIT_SQL = "e as (select * from (values ('asset0', 0, 3, 0.25, 2.0), ('asset1', 3, 9, -0.5, 0.5)) e(asset_id, t0, t1, dlat, f))"
-EDITED = """ed as (select c.asset_id, start_utc, end_utc, lat + coalesce(dlat, 0) as lat, lon, case when value is not null then greatest(value * coalesce(f, 1), 0) end as value from cell c left join e
-    on e.asset_id = c.asset_id and date_diff('hour', timestamp '2026-03-18', start_utc) >= t0 and date_diff('hour', timestamp '2026-03-18', end_utc) <= t1)"""
+EDIT_SQL = "e as (select * from (values ('asset0', 0, 3, 1.0, 0.0, 2.0), ('asset0', 3, 6, 1.0, 90.0, 1.5), ('asset1', 3, 9, -2.0, 20.0, 0.5)) e(asset_id, t0, t1, dlat, deg, f))"
+EDITED = f"""stepped as (select c.*, deg, dlat as dy, 0.0 as dx, f from {{cells}} c left join e
+    on e.asset_id = c.asset_id and date_diff('hour', timestamp '2026-03-18', start_utc) >= t0 and date_diff('hour', timestamp '2026-03-18', end_utc) <= t1),
+    turn as (select * from stepped where deg <> 0), {TURNED.format(cells="turn", turn="turn")},
+    ed as (select asset_id, start_utc, end_utc, iy, ix, lat + coalesce(dy, 0) * 0.25 as lat, lon, case when value is not null then greatest(value * coalesce(f, 1), 0) end as value, false as by_edges from stepped where coalesce(deg, 0) = 0
+        union all select asset_id, start_utc, end_utc, iy, ix, lat, lon, value, true from turned)"""
 
 
 def two_edits(v):
-    """An edit of each asset, in the columns of the edit table."""
-    a = F.array(*(F.struct(F.lit(n).alias("asset_id"), F.lit(t0).alias("t0_step"), F.lit(t1).alias("t1_step"), F.lit(y).alias("shift_lat"), F.lit(0.0).alias("shift_lon"), F.lit(f).alias("multiplication_factor")) for n, t0, t1, y, f in (("asset0", 0, 3, 0.25, 2.0), ("asset1", 3, 9, -0.5, 0.5))))
+    """Edits of each asset, in the columns of the edit table: a move by a cell, and two turns."""
+    names = ("asset_id", "t0_step", "t1_step", "shift_lat", "shift_lon", "rotation_deg", "multiplication_factor")
+    rows = (("asset0", 0, 3, 1.0, 0.0, 0.0, 2.0), ("asset0", 3, 6, 1.0, 0.0, 90.0, 1.5), ("asset1", 3, 9, -2.0, 0.0, 20.0, 0.5))
+    a = F.array(*(F.struct(*(F.lit(x).alias(n) for n, x in zip(names, row, strict=True))) for row in rows))
     return one(v).select(F.explode(a).alias("e")).select("e.*")
 
 
-@query(f"with {EDIT_SQL}, {EDITED} select asset_id, cast(start_utc as varchar) as start_utc, cast(end_utc as varchar) as end_utc, round(lat, 6) as lat, round(lon, 6) as lon, round(value, 6) as value from ed")
+@query(f"with {EDIT_SQL}, {EDITED.format(cells='cell')} select asset_id, cast(start_utc as varchar) as start_utc, cast(end_utc as varchar) as end_utc, round(lat, 6) as lat, round(lon, 6) as lon, round(value, 6) as value from ed")
 def jo8_edited_cells(v):
     return G.edited(v("cell"), two_edits(v), STEP).drop("iy", "ix")
 
 
-@query(f"""with {EDIT_SQL}, {EDITED}, t as (select mini_id as target_id, lat, lon from mini), cells as (select asset_id, start_utc + h * interval '1' hour as start_utc, start_utc + (h + 1) * interval '1' hour as end_utc, round((lat + 33) / 0.25) as iy, round((lon + 55) / 0.25) as ix, value / 3 as value from ed, range(3) r(h) where asset_id = 'asset0'),
-    {_CORNERS.format(cells='cells')} select 'asset0' as asset_id, cast(end_utc as varchar) as end_utc, target_id, round(value, 6) as value from bil""")
+#: Working cells of ``ed`` on the axes of the native grid, or of multiples of the resolution for turned ones.
+WORKING = """split as (select asset_id, by_edges, start_utc + h * interval '1' hour as start_utc, start_utc + (h + 1) * interval '1' hour as end_utc, round((lat - case when by_edges then 0.125 else -33 end) / 0.25) as iy, round((lon - case when by_edges then 0.125 else -55 end) / 0.25) as ix, value / 3 as value from ed, range(3) r(h)),
+    pt as (select target_id, by_edges, floor(fy) as y, floor(fx) as x, fy - floor(fy) as wy, fx - floor(fx) as wx from (select target_id, by_edges, round((lat - case when by_edges then 0.125 else -33 end) / 0.25, 9) as fy, round((lon - case when by_edges then 0.125 else -55 end) / 0.25, 9) as fx from t, (values (true), (false)) k(by_edges))),
+    corners as (select target_id, by_edges, y + dy as iy, x + dx as ix, (case dy when 1 then wy else 1 - wy end) * (case dx when 1 then wx else 1 - wx end) as w from pt, range(2) a(dy), range(2) b(dx)),
+    bil as (select asset_id, target_id, end_utc, case when sum(case when value is not null then w end) > 1 - 1e-9 then sum(w * value) end as value from (select * from corners where w > 0) join split using (iy, ix, by_edges) group by 1, 2, 3)"""
+
+
+@query(f"with {EDIT_SQL}, {EDITED.format(cells='cell')}, t as (select mini_id as target_id, lat, lon from mini), {WORKING} select asset_id, cast(end_utc as varchar) as end_utc, target_id, round(value, 6) as value from bil")
 def gr12_forecast_working_grid(v):
-    return G.forecast_working_grid(v("cell").where("asset_id = 'asset0'"), two_edits(v), points(v), ORIGIN, STEP, 1)
+    return G.forecast_working_grid(v("cell"), two_edits(v), points(v), ORIGIN, STEP, 1, strict=False)
+
+
+@query(f"with {EDIT_SQL}, {EDITED.format(cells='cell')}, t as (select mini_id as target_id, lat, lon from mini), {WORKING} select asset_id, cast(end_utc as varchar) as end_utc, count(value) as present, (select count(*) from t) as wanted from bil group by 1, 2 having count(value) < (select count(*) from t)")
+def gr12_incomplete_steps(v):
+    """The steps at which a working grid would be refused."""
+    return G.incomplete(G.forecast_working_grid(v("cell"), two_edits(v), points(v), ORIGIN, STEP, 1, strict=False), points(v), ["asset_id", "end_utc"])
 
 
 OBSERVED = f"""daily as (select station_id, date_trunc('day', observed_at) as end_utc, sum(value) as value from obs_null where variable_code = 'rain' and value is not null group by 1, 2 having date_trunc('day', observed_at) between timestamp '2024-01-05' and timestamp '2024-01-08'),
@@ -306,14 +341,19 @@ def gr19_canonical_grid(v):
     return G.canonical_grid(rows, ts(CYCLE), ["tp"], 1000.0)[0].select("asset_id", "iy", "ix", "lon", "start_utc", "end_utc", "value")
 
 
-@query("select row_number() over (order by s) - 1 as position, s as step_hours from (select unnest(generate_series(0, 144, 3)) as s union all select unnest(generate_series(150, 360, 6)))")
+@query("select asset_id, row_number() over (partition by asset_id order by s) - 1 as position, s as step_hours from (select distinct asset_id from asset where provider_code = 'ecmwf'), (select unnest(generate_series(0, 144, 3)) as s union all select unnest(generate_series(150, 360, 6)))")
 def gr20_step_schedule(v):
-    return G.step_schedule(one(v), G.ECMWF_STEPS)
+    """The steps of each asset's cycle."""
+    return G.step_schedule(v("asset").where("provider_code = 'ecmwf'").select("asset_id").distinct(), G.ECMWF_STEPS)
 
 
-@query("select row_number() over (order by s) - 1 as position, s as step_hours from (select unnest(generate_series(3, 240, 3)) as s union all select 252)")
+@query("""with s as (select unnest(generate_series(3, 240, 3)) as s union all select unnest(generate_series(252, 384, 12))), a as (select asset_id, min(date_diff('hour', valid_from, valid_to)) as needed from asset where provider_code = 'noaa' group by 1)
+    select asset_id, row_number() over (partition by asset_id order by s) - 1 as position, s as step_hours from a, s where s <= (select min(x.s) from s x where x.s >= needed) or needed > 384""")
 def gr20_required_steps(v):
-    return G.step_schedule(one(v), G.GFS_STEPS, 241)
+    """The steps of each asset's cycle up to the first that reaches its end."""
+    hours = F.timestamp_diff("HOUR", "valid_from", "valid_to")
+    assets = v("asset").where("provider_code = 'noaa'").groupBy("asset_id").agg(F.min(hours).alias("needed"))
+    return G.step_schedule(assets, G.GFS_STEPS, F.col("needed")).drop("needed")
 
 
 @query("select asset_id, cast(timestamp '2026-03-18' + h * interval '1' hour as varchar) as end_utc, case when h between 1 and 12 then 1 else 0 end as n from (select distinct asset_id from cell), range(1, 15) r(h)")
@@ -372,12 +412,12 @@ def gx1_upstream(v):
     return N.upstream(v("mini"), 5).select("mini_id", "steps", F.array_join(F.col("path").cast("array<string>"), ">").alias("path"))
 
 
-@query("""with e as (select mini_id, case mini_id when 1 then 8 else mini_jus end as down from mini), bad as (
-    select mini_id from (select mini_id from mini) where mini_id in (1, 2, 4, 8)), r as (select mini_id, mini_id as top from mini)
-    select m.mini_id, 'cycle' as reason from mini m""")
+@query(f"""{UP} select mini_id, 'cycle' as reason from (select distinct mini_id from up) union all select mini_id, 'downstream' from mini where mini_id % 11 = 0""")
 def gx2_network_errors(v):
-    """A loop 1 -> 8 -> 4 -> 2 -> 1 is put in: all catchments of the tree then drain into it."""
-    return N.network_errors(v("mini").withColumn("mini_jus", F.when(F.col("mini_id") == 1, F.lit(8)).otherwise(F.col("mini_jus"))))
+    """A loop 5 -> 10 -> 5 is put in: what drains into it is on or above a cycle, all else isn't; every eleventh has two downstream ones."""
+    minis = v("mini").withColumn("mini_jus", F.when(F.col("mini_id") == 5, F.lit(10)).otherwise(F.col("mini_jus")))
+    second = minis.where("mini_id % 11 = 0").withColumn("mini_jus", F.col("mini_jus") + 1_000_000_000)
+    return N.network_errors(minis.unionByName(second))
 
 
 @query(f"{UP} select mini_id, round(mini_area, 6) as weight from up join mini using (mini_id)")
@@ -415,22 +455,20 @@ def pj5_output_export(v):
 
 
 def two_scenarios(v, targets):
-    """A raw and a corrected scenario of one asset at the targets."""
-    pick = F.array(*(F.struct(F.lit(a).alias("scenario_id"), F.lit(k).alias("kind"), F.lit("asset0").alias("asset_id"), F.lit(e).cast("string").alias("manual_edit_id")) for a, k, e in (("a.raw", "raw", None), ("a.corrected", "corrected", "x"))))
-    scenarios = one(v).select(F.explode(pick).alias("s")).select("s.*")
-    edits = two_edits(v).where("asset_id = 'asset0'").withColumns({"manual_edit_id": F.lit("x"), "shift_lat": F.lit(0.0)})
-    return jobs.scenario_forcings(scenarios, v("cell"), edits, targets, ORIGIN, STEP, 1)
+    """A raw and a corrected scenario of each asset at the targets; edits are named by their asset."""
+    kinds = F.explode(F.array(*(F.struct(F.lit(k).alias("kind"), F.lit(k == "corrected").alias("edited")) for k in ("raw", "corrected"))))
+    scenarios = v("cell").select("asset_id").distinct().select("asset_id", kinds.alias("k")).select("asset_id", "k.kind", F.when(F.col("k.edited"), F.col("asset_id")).alias("manual_edit_id"), F.concat_ws(".", "asset_id", "k.kind").alias("scenario_id"))
+    edits = two_edits(v).withColumn("manual_edit_id", F.col("asset_id"))
+    return jobs.scenario_forcings(scenarios, v("cell"), edits, targets, ORIGIN, STEP, 1, strict=False)
 
 
-@query(f"""with sc as (select * from (values ('a.raw', 'asset0', null), ('a.corrected', 'asset0', 'x')) s(scenario_id, asset_id, edit)), ed as (select scenario_id as asset_id, start_utc, end_utc, lat, lon, value * case when edit is not null and start_utc = timestamp '2026-03-18' then 2 else 1 end as value from cell join sc using (asset_id)),
-    t as (select mini_id as target_id, lat, lon from mini where mini_id <= 300), cells as (select asset_id, start_utc + h * interval '1' hour as start_utc, start_utc + (h + 1) * interval '1' hour as end_utc, round((lat + 33) / 0.25) as iy, round((lon + 55) / 0.25) as ix, value / 3 as value from ed, range(3) r(h)),
-    {_CORNERS.format(cells='cells').replace('target_id, start_utc, end_utc, case', 'target_id, asset_id, start_utc, end_utc, case').replace('group by 1, 2, 3', 'group by 1, 2, 3, 4')} select asset_id as scenario_id, cast(end_utc as varchar) as end_utc, target_id, round(value, 6) as value from bil""")
-def pj7_scenario_forcings(v):
-    return two_scenarios(v, points(v).where("target_id <= 300"))
+SCENARIOS = f"""sc as (select asset_id, kind, concat(asset_id, '.', kind) as scenario_id from (select distinct asset_id from cell), (values ('raw'), ('corrected')) k(kind)),
+    own as (select scenario_id as asset_id, start_utc, end_utc, iy, ix, lat, lon, value from cell join sc using (asset_id)), e0 as (select * from (values ('asset0', 0, 3, 1.0, 0.0, 2.0), ('asset0', 3, 6, 1.0, 90.0, 1.5), ('asset1', 3, 9, -2.0, 20.0, 0.5)) e(asset_id, t0, t1, dlat, deg, f)),
+    e as (select concat(asset_id, '.corrected') as asset_id, t0, t1, dlat, deg, f from e0), {EDITED.format(cells="own")}"""
 
 
-@whole("pj7_scenario_forcings", " where mini_id <= 300")
-def pj7_scenario_forcings_whole(v):
+@query(f"with {SCENARIOS}, t as (select mini_id as target_id, lat, lon from mini), {WORKING} select asset_id as scenario_id, cast(end_utc as varchar) as end_utc, target_id, round(value, 6) as value from bil")
+def pj7_scenario_forcings(v):
     return two_scenarios(v, points(v))
 
 

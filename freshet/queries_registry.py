@@ -160,15 +160,29 @@ def qc1_station_availability(v):
     return Q.station_availability(v("station"), v("capability").withColumn("value", F.lit(1.0)), ["rain", "flow"])
 
 
-@query("select rule as rule_code, asset_id as subject, rule <> 'regular_lon' or one as passed, 'info' as severity, '' as message from (select asset_id, true as one from cell group by 1), (values ('contiguous'), ('unique_cells'), ('regular_lat'), ('regular_lon')) r(rule)")
+@query("""with c as (select * from cell where asset_id = 'asset0' or end_utc <> timestamp '2026-03-18 06:00:00' and iy <> 5), rows_ as (select * from c union all select * from c where asset_id = 'asset0' and iy = 0 and ix < 3),
+    t as (select asset_id, start_utc, lag(end_utc) over (partition by asset_id order by end_utc) as before from (select distinct asset_id, start_utc, end_utc from rows_)), gap as (select asset_id, count(*) filter (where before is not null and before <> start_utc) as n from t group by 1),
+    twice as (select asset_id, count(*) filter (where k > 1) as n from (select asset_id, start_utc, end_utc, iy, ix, count(*) as k from rows_ group by all) group by 1),
+    lat_ as (select asset_id, max(d) - min(d) < 1e-6 as ok from (select asset_id, lat - lag(lat) over (partition by asset_id order by lat) as d from (select distinct asset_id, lat from rows_)) group by 1),
+    lon_ as (select asset_id, max(d) - min(d) < 1e-6 as ok from (select asset_id, lon - lag(lon) over (partition by asset_id order by lon) as d from (select distinct asset_id, lon from rows_)) group by 1),
+    r as (select 'contiguous' as rule_code, asset_id, n = 0 as ok, concat(n, ' gaps') as why from gap union all select 'unique_cells', asset_id, n = 0, concat(n, ' repeated') from twice
+        union all select 'regular_lat', asset_id, coalesce(ok, true), 'uneven steps' from lat_ union all select 'regular_lon', asset_id, coalesce(ok, true), 'uneven steps' from lon_)
+    select rule_code, asset_id as subject, ok as passed, case when ok then 'info' else 'error' end as severity, case when ok then '' else why end as message from r""")
 def qc2_grid_contract(v):
-    return Q.grid_contract(v("cell"))
+    """One asset has repeated cells, the other lacks an interval and a row."""
+    cells = v("cell").where("asset_id = 'asset0' or end_utc <> timestamp_ntz '2026-03-18 06:00:00' and iy <> 5")
+    return Q.grid_contract(cells.unionByName(cells.where("asset_id = 'asset0' and iy = 0 and ix < 3")))
 
 
-@query("""with p as (select scenario_id, max(dt) filter (where prev_flag = 0) as c, min(dt) filter (where prev_flag = 1) as f from model_output group by 1)
-    select rule as rule_code, scenario_id as subject, true as passed, 'info' as severity, '' as message from p, (values ('segments'), ('segment_order'), ('unique_times')) r(rule) where c < f""")
+@query("""with o as (select scenario_id, variable_code, mini_id, dt, case when scenario_id = 'scenario2' then 1 - prev_flag when scenario_id = 'scenario0' and mini_id = 3 then 2 else prev_flag end as prev_flag from model_output), rows_ as (select * from o union all select * from o where scenario_id = 'scenario1' and mini_id = 5),
+    p as (select scenario_id, count(*) filter (where prev_flag not in (0, 1)) as odd, max(dt) filter (where prev_flag = 0) as c, min(dt) filter (where prev_flag = 1) as f from rows_ group by 1), w as (select scenario_id, count(*) filter (where k > 1) as n from (select scenario_id, variable_code, mini_id, dt, count(*) as k from rows_ group by all) group by 1),
+    r as (select 'segments' as rule_code, scenario_id, odd = 0 as ok, 'unknown segment' as why from p union all select 'segment_order', scenario_id, coalesce(c < f, true), 'forecast before current' from p union all select 'unique_times', scenario_id, n = 0, 'repeated times' from w)
+    select rule_code, scenario_id as subject, ok as passed, case when ok then 'info' else 'error' end as severity, case when ok then '' else why end as message from r""")
 def qc2_model_contract(v):
-    return Q.model_contract(v("model_output"))
+    """Each scenario breaks one rule: an unknown segment, repeated times, forecast before current."""
+    flag = F.when(F.col("scenario_id") == "scenario2", 1 - F.col("prev_flag")).when((F.col("scenario_id") == "scenario0") & (F.col("mini_id") == 3), F.lit(2)).otherwise(F.col("prev_flag"))
+    rows = v("model_output").withColumn("prev_flag", flag)
+    return Q.model_contract(rows.unionByName(rows.where("scenario_id = 'scenario1' and mini_id = 5")))
 
 
 @query("select 'precipitation' as rule_code, cast(c_nationkey as varchar) as subject, min(c_acctbal) >= 0 as passed, case when min(c_acctbal) >= 0 then 'info' else 'error' end as severity, case when min(c_acctbal) >= 0 then '' else 'negative' end as message from customer group by c_nationkey")
@@ -193,9 +207,13 @@ def qc6_instructions(v):
     return Q.instructions(own_edits(v).withColumns({c: F.lit(0.0) for c in ("shift_lat", "shift_lon", "rotation_deg")}))
 
 
-@query("select 'stale_output' as rule_code, scenario_id as subject, false as passed, 'error' as severity, 'another window' as message from model_output group by scenario_id")
+@query("""with w as (select scenario_id, min(dt) as a, max(dt) as z from model_output where scenario_id <> 'scenario1' or extract(year from dt) < 1996 group by 1), x as (select min(dt) as a, max(dt) as z from model_output where scenario_id = 'scenario0'), p as (select scenario_id, w.a = x.a and w.z = x.z as ok from w, x)
+    select 'stale_output' as rule_code, scenario_id as subject, ok as passed, case when ok then 'info' else 'error' end as severity, case when ok then '' else 'another window' end as message from p""")
 def qc7_stale_output(v):
-    return Q.stale(v("model_output"), ts("1997-01-01 00:00:00"), ts("1998-01-01 00:00:00"))
+    """The expected window is that of one scenario; another one ends early."""
+    out = v("model_output")
+    window = out.where("scenario_id = 'scenario0'").agg(F.min("dt").alias("a"), F.max("dt").alias("z")).first()
+    return Q.stale(out.where("scenario_id <> 'scenario1' or year(dt) < 1996"), F.lit(window.a), F.lit(window.z))
 
 
 @query("select 'registered_data' as rule_code, asset_id as subject, checksum like '%3' as passed, case when checksum like '%3' then 'info' else 'error' end as severity, case when checksum like '%3' then '' else 'no cells' end as message from asset")

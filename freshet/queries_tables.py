@@ -184,7 +184,7 @@ def sk3_value_upsert(v):
     spark = v("events").sparkSession
     path, rows = scratch_dir(spark), v("stored").withColumn("day", F.to_date("observed_at"))
     sinks.upsert_values(spark, path, rows)
-    sinks.upsert_values(spark, path, rows.where("dayofmonth(observed_at) = 7").withColumn("value", F.col("value") + 1))
+    sinks.upsert_values(spark, path, rows.where("dayofmonth(observed_at) = 7").withColumns({"value": F.col("value") + 1, "note": F.lit("one more column")}))
     return spark.read.parquet(path).select("series_id", "observed_at", "value")
 
 
@@ -213,7 +213,8 @@ def sk6_reference_replace(v):
 def sk7_packed_output(v):
     path = scratch_dir(v("orders").sparkSession)
     small = v("model_output").withColumn("value", F.col("value") % 1000)
-    sinks.write_model_output(small, path)
+    for part in ("scenario_id = 'scenario0'", "scenario_id <> 'scenario0'"):  # the second write leaves the first one's rows
+        sinks.write_model_output(small.where(part), path)
     return sinks.unpacked(v("orders").sparkSession.read.parquet(path)).select("scenario_id", "variable_code", "mini_id", "dt", "prev_flag", "value")
 
 
@@ -222,11 +223,12 @@ def sk7_pack_errors(v):
     return sinks.pack_errors(v("model_output").withColumn("value", F.col("value") * 100))
 
 
-@query("select asset_id, iy, ix, cast(start_utc as varchar) as start_utc, cast(end_utc as varchar) as end_utc, round(lat, 6) as lat, round(lon, 6) as lon, round(value, 6) as value from cell where asset_id = 'asset0'")
+@query("select asset_id, iy, ix, cast(start_utc as varchar) as start_utc, cast(end_utc as varchar) as end_utc, round(lat, 6) as lat, round(lon, 6) as lon, round(value, 6) as value from cell")
 def sk8_grid_write(v):
     path = scratch_dir(v("part").sparkSession)
-    sinks.write_grid(v("cell"), path)
-    return v("part").sparkSession.read.parquet(path).where("asset_id = 'asset0'").select("asset_id", "iy", "ix", "start_utc", "end_utc", "lat", "lon", "value")
+    for asset in ("asset0", "asset1"):  # the second write leaves the first one's rows
+        sinks.write_grid(v("cell").where(F.col("asset_id") == asset), path)
+    return v("part").sparkSession.read.parquet(path).select("asset_id", "iy", "ix", "start_utc", "end_utc", "lat", "lon", "value")
 
 
 @query("select relative_path, asset_id, case when asset_id like '%7' then 'new' else checksum end as checksum from asset")
@@ -245,8 +247,9 @@ def sk11_edit_replace(v):
 
 @query("select 'b1' as batch_id, scenario_id, count(*) as n from model_output group by 2")
 def sk12_publication(v):
-    """The second batch lacks a scenario and doesn't become the current one."""
+    """The first and the last batch lack a scenario and don't become the current one."""
     spark, path, rows = v("orders").sparkSession, scratch_dir(v("orders").sparkSession), v("model_output")
+    sinks.published(spark, path, rows.where("scenario_id = 'scenario0'"), "b0", 3)
     sinks.published(spark, path, rows, "b1", 3)
     pointer = sinks.published(spark, path, rows.where("scenario_id <> 'scenario0'"), "b2", 3)
     return scans.current_batch(spark.read.parquet(f"{path}/batches"), pointer).groupBy("batch_id", "scenario_id").agg(F.count("*").alias("n"))
@@ -295,5 +298,5 @@ def st1_continuous_ingest(v):
     source, target, state = (scratch_dir(spark) for _ in range(3))
     text = rows.withColumns({"observed_at": F.date_format("observed_at", "yyyy-MM-dd HH:mm"), "value": F.col("value").cast("string")})
     text.repartitionByRange(4, "observed_at").write.option("header", True).csv(source)
-    ingest.start(spark, source, target, state, 3, files_per_trigger=100).awaitTermination()
+    ingest.start(spark, source, target, state, 3, files_per_trigger=1).awaitTermination()
     return spark.read.parquet(target).select("series_id", "observed_at", "value")

@@ -6,7 +6,6 @@ overwrites these partitions alone.
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -22,6 +21,13 @@ def to_long(wide: DataFrame, variables: list[str]) -> DataFrame:
     return long.where(F.col("value").isNotNull() & ~F.isnan("value"))
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a table's folder, asked of the path's own file system."""
+    jvm = spark.sparkContext._jvm
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)
+
+
 def write_observations(long: DataFrame, path: str, run: str) -> None:
     """One folder for each station of a run, times as minutes of text, in order of time."""
     rows = long.withColumns({"observed_at": F.date_format("observed_at", "yyyy-MM-dd HH:mm"), "station": F.col("station_code"), "value": F.col("value").cast("string")})
@@ -31,9 +37,13 @@ def write_observations(long: DataFrame, path: str, run: str) -> None:
 def merged(current: DataFrame, new: DataFrame, keys: list[str], order: Column | None = None) -> DataFrame:
     """Rows by key: the new one where there is one (the last by ``order``, if a key repeats), else the current one."""
     rank = F.lit(1) if order is None else order
-    both = current.withColumns({"__new": F.lit(0), "__order": F.lit(None).cast("long")}).unionByName(new.withColumns({"__new": F.lit(1), "__order": rank.cast("long")}))
-    first = Window.partitionBy(*keys).orderBy(F.col("__new").desc(), F.col("__order").desc_nulls_last())
-    return both.withColumn("__n", F.row_number().over(first)).where("__n = 1").drop("__n", "__new", "__order")
+    own = [f"_{i}_{len(current.columns)}_{len(new.columns)}" for i in range(3)]
+    while set(own) & {*current.columns, *new.columns}:
+        own = [f"_{x}" for x in own]
+    a, b, n = own
+    both = current.withColumns({a: F.lit(0), b: F.lit(None).cast("long")}).unionByName(new.withColumns({a: F.lit(1), b: rank.cast("long")}), allowMissingColumns=True)
+    first = Window.partitionBy(*keys).orderBy(F.col(a).desc(), F.col(b).desc_nulls_last())
+    return both.withColumn(n, F.row_number().over(first)).where(F.col(n) == 1).drop(*own)
 
 
 def ensured_series(existing: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -43,15 +53,20 @@ def ensured_series(existing: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def upsert_values(spark: SparkSession, path: str, new: DataFrame, keys: list[str] | None = None, partition: str = "day", order: Column | None = None) -> int:
-    """Upsert rows into a Parquet table partitioned by ``partition``; only partitions with new rows are written. Returns their number."""
+    """Upsert rows into a Parquet table partitioned by ``partition``; only partitions with new rows are written. Returns their number.
+
+    Columns that only the table or only the new rows have stay; they are null where the other side's rows are.
+    """
     keys = keys or ["series_id", "observed_at"]
     new = materialise(new)
     touched = new.select(partition).distinct()
-    try:
-        current = spark.read.parquet(path).select(*new.columns)
-    except AnalysisException:
+    kind = new.schema[partition].dataType
+    if exists(spark, path):
+        current = spark.read.option("mergeSchema", "true").parquet(path)
+        current = current.withColumn(partition, F.col(partition).cast(kind))
+    else:
         current = new.limit(0)
-    content = materialise(merged(current.join(touched, partition, "left_semi").select(*new.columns), new, [*keys, partition], order))
+    content = materialise(merged(current.join(touched, partition, "left_semi"), new, [*keys, partition], order))
     content.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
     return new.count()
 
@@ -85,30 +100,45 @@ def unpacked(rows: DataFrame) -> DataFrame:
 
 
 def write_model_output(values: DataFrame, path: str) -> None:
-    """Packed output by scenario and variable, sorted by mini; raises where a value doesn't fit."""
+    """Packed output by scenario and variable, sorted by mini; raises where a value doesn't fit.
+
+    Only the scenarios and variables that ``values`` has are replaced. Each is dealt over tasks by ranges of minis.
+    """
     if not pack_errors(values).isEmpty():
         raise OverflowError("a value doesn't fit into 32 bits of thousandths")
     rows = packed(values).withColumn("packed", F.col("packed").cast("int")).drop("value")
-    rows.repartition("scenario_id", "variable_code").sortWithinPartitions("mini_id", "dt").write.mode("overwrite").partitionBy("scenario_id", "variable_code").parquet(path)
+    ranged = rows.repartitionByRange("scenario_id", "variable_code", "mini_id").sortWithinPartitions("scenario_id", "variable_code", "mini_id", "dt")
+    ranged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("scenario_id", "variable_code").parquet(path)
 
 
 def write_grid(cells: DataFrame, path: str) -> None:
-    """Cells by asset after the contract's checks; raises with the rules that fail."""
+    """Cells by asset after the contract's checks; raises with the rules that fail.
+
+    Only the assets that ``cells`` has are replaced. Each is dealt over tasks by ranges of time.
+    """
     from ..operators.quality import grid_contract
 
     failed = [r.rule_code for r in grid_contract(cells).where("not passed").select("rule_code").distinct().collect()]
     if failed:
         raise ValueError(f"the grid breaks {', '.join(sorted(failed))}")
-    cells.repartition("asset_id").sortWithinPartitions("end_utc", "iy", "ix").write.mode("overwrite").partitionBy("asset_id").parquet(path)
+    ranged = cells.repartitionByRange("asset_id", "end_utc", "iy").sortWithinPartitions("asset_id", "end_utc", "iy", "ix")
+    ranged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("asset_id").parquet(path)
 
 
 def published(spark: SparkSession, path: str, batch: DataFrame, batch_id: str, expected: int) -> DataFrame:
-    """Write a batch and point to it if it has all expected scenarios; returns the one-row pointer that then holds."""
+    """Write a batch and point to it if it has all expected scenarios; returns the pointer that then holds, no row for none.
+
+    Pointers are only ever added, and the last one holds: a job that ends in between leaves the one before in force.
+    """
     batch.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").partitionBy("batch_id").option("partitionOverwriteMode", "dynamic").parquet(f"{path}/batches")
-    have = spark.read.parquet(f"{path}/batches").where(F.col("batch_id") == batch_id).select("scenario_id").distinct().count()
+    have = spark.read.schema("scenario_id string").parquet(f"{path}/batches/batch_id={batch_id}").select("scenario_id").distinct().count() if not batch.isEmpty() else 0
+    pointers = f"{path}/current"
+    so_far = spark.read.schema("seq long, batch_id string").parquet(pointers) if exists(spark, pointers) else spark.createDataFrame([], "seq long, batch_id string")
     if have == expected:
-        spark.range(1).select(F.lit(batch_id).alias("batch_id")).write.mode("overwrite").parquet(f"{path}/current")
-    return spark.read.parquet(f"{path}/current")
+        last = so_far.agg(F.coalesce(F.max("seq"), F.lit(0))).first()[0]
+        spark.range(1).select(F.lit(last + 1).cast("long").alias("seq"), F.lit(batch_id).alias("batch_id")).write.mode("append").parquet(pointers)
+        so_far = spark.read.schema("seq long, batch_id string").parquet(pointers)
+    return so_far.orderBy(F.desc("seq")).limit(1).select("batch_id")
 
 
 def normal_edits(draft: DataFrame) -> DataFrame:
