@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from .operators import grids as G
 from .operators import network as N
 from .plans import jobs
-from .queries import query, ts, whole
+from .queries import query, ts
 
 CYCLE = "2026-03-18 00:00:00"
 GRID = G.RegularGrid(-54.0, -31.0, -50.0, -27.0, 0.5)
@@ -150,16 +150,9 @@ def daily(v):
     return rain.groupBy(F.col("station_id").alias("source_id"), F.date_trunc("day", "observed_at").cast("timestamp_ntz").alias("dt")).agg(F.sum("value").alias("value"))
 
 
-@query(f"""with {_DAILY}, t as (select mini_id as target_id, lat, lon from mini where mini_id <= 200), s as (select station_id as source_id, lat, lon from station), {KNN.format(k=5)}, w as (select target_id, source_id, 1 / pow(greatest(d, 1e-12), 2) as w from knn)
+@query(f"""with {_DAILY}, t as (select mini_id as target_id, lat, lon from mini), s as (select station_id as source_id, lat, lon from station), {KNN.format(k=5)}, w as (select target_id, source_id, 1 / pow(greatest(d, 1e-12), 2) as w from knn)
     select target_id, cast(dt as varchar) as dt, round(sum(case when value is not null then w * value end) / sum(case when value is not null then w end), 6) as value from w join daily using (source_id) group by 1, 2""")
 def gr3_fixed_neighbours(v):
-    weights = G.idw_weights(points(v).where("target_id <= 200"), v("station").select(F.col("station_id").alias("source_id"), "lat", "lon"))
-    return G.apply_weights(weights, daily(v))
-
-
-@whole("gr3_fixed_neighbours", twin=False)
-def gr3_fixed_neighbours_whole(v):
-    """All catchments. A twin would sort all pairs of catchments and stations: a test holds it against brute force."""
     weights = G.idw_weights(points(v), v("station").select(F.col("station_id").alias("source_id"), "lat", "lon"))
     return G.apply_weights(weights, daily(v))
 
@@ -323,14 +316,8 @@ def gr17_direct_intervals(v):
     return G.direct_intervals(rows, ts(CYCLE))
 
 
-@query("select cast(dt as varchar) as dt, mini_id, cast(0 as double) as value from (select mini_id from mini where mini_id <= 100) cross join (select distinct dt from model_output where mini_id = 1 and scenario_id = 'scenario0')")
+@query("select cast(dt as varchar) as dt, mini_id, cast(0 as double) as value from (select mini_id from mini) cross join (select distinct dt from model_output where mini_id = 1 and scenario_id = 'scenario0')")
 def gr18_zero_block(v):
-    axis = v("model_output").where("mini_id = 1 and scenario_id = 'scenario0'").select("dt").distinct()
-    return G.zero_block(axis, v("mini").where("mini_id <= 100"))
-
-
-@whole("gr18_zero_block", " where mini_id <= 100")
-def gr18_zero_block_whole(v):
     axis = v("model_output").where("mini_id = 1 and scenario_id = 'scenario0'").select("dt").distinct()
     return G.zero_block(axis, v("mini"))
 

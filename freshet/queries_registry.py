@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from .operators import quality as Q
 from .operators import registry as R
 from .operators import series as S
-from .queries import query, ts, whole
+from .queries import query, ts
 from .sources import scans
 
 AT = "1999-06-15 09:00:00"
@@ -63,44 +63,30 @@ def jo11_covering_asset(v):
     return R.covering(v("asset"), ts(AT), "forecast_grid").select("provider_code", "asset_id")
 
 
-@query("""with p as (select o_orderkey as point_id, case o_orderkey % 2 when 0 then 'ecmwf' else 'noaa' end as provider_code, o_orderdate + interval '5' hour as t from orders where o_orderkey % 5 = 0), f as (
+@query("""with p as (select o_orderkey as point_id, case o_orderkey % 2 when 0 then 'ecmwf' else 'noaa' end as provider_code, o_orderdate + interval '5' hour as t from orders), f as (
     select point_id, asset_id from p join (select * from asset where asset_kind = 'forecast_grid') a on a.provider_code = p.provider_code and valid_from <= t and valid_to >= t qualify row_number() over (partition by point_id order by valid_from desc, created_at desc, asset_id) = 1)
     select point_id, asset_id from p left join f using (point_id)""")
 def jo11_as_of_join(v):
-    key = F.col("o_orderkey")
-    points = v("orders").where("o_orderkey % 5 = 0").select(key.alias("point_id"), F.when(key % 2 == 0, "ecmwf").otherwise("noaa").alias("provider_code"), (F.col("o_orderdate") + F.expr("interval 5 hours")).alias("at"))
-    return R.as_of(points, v("asset"), "forecast_grid")
-
-
-@whole("jo11_as_of_join", " where o_orderkey % 5 = 0")
-def jo11_as_of_join_whole(v):
     key = F.col("o_orderkey")
     points = v("orders").select(key.alias("point_id"), F.when(key % 2 == 0, "ecmwf").otherwise("noaa").alias("provider_code"), (F.col("o_orderdate") + F.expr("interval 5 hours")).alias("at"))
     return R.as_of(points, v("asset"), "forecast_grid")
 
 
-@query("""with w as (select distinct provider_code, valid_from as cycle_time from asset where asset_kind = 'forecast_grid' and checksum like '%1' union select 'ecmwf', timestamp '1990-01-01')
+@query("""with w as (select distinct provider_code, valid_from as cycle_time from asset where asset_kind = 'forecast_grid' union select 'ecmwf', timestamp '1990-01-01')
     select provider_code, cast(cycle_time as varchar) as cycle_time, asset_id from w left join (select provider_code, valid_from as cycle_time, asset_id from asset where asset_kind = 'forecast_grid') using (provider_code, cycle_time)""")
 def jo12_exact_cycle(v):
-    wanted = v("asset").where("asset_kind = 'forecast_grid' and checksum like '%1'").select("provider_code", F.col("valid_from").alias("cycle_time"))
-    none = v("region").agg(F.lit("ecmwf").alias("provider_code"), ts("1990-01-01 00:00:00").alias("cycle_time"))
-    return R.of_cycle(wanted.union(none).distinct(), v("asset"))
-
-
-@whole("jo12_exact_cycle", " and checksum like '%1'")
-def jo12_exact_cycle_whole(v):
     wanted = v("asset").where("asset_kind = 'forecast_grid'").select("provider_code", F.col("valid_from").alias("cycle_time"))
     none = v("region").agg(F.lit("ecmwf").alias("provider_code"), ts("1990-01-01 00:00:00").alias("cycle_time"))
     return R.of_cycle(wanted.union(none).distinct(), v("asset"))
 
 
-REFS = "refs as (select distinct case o_orderkey % 2 when 0 then 'ecmwf' else 'noaa' end as provider_code, date_trunc('day', o_orderdate) + interval '14' hour as reference from orders where o_orderkey % 9 = 0)"
+REFS = "refs as (select distinct case o_orderkey % 2 when 0 then 'ecmwf' else 'noaa' end as provider_code, date_trunc('day', o_orderdate) + interval '14' hour as reference from orders)"
 OPTIONS = "options as (select provider_code, reference, i as rank, reference - interval '2' hour - i * interval '6' hour as cycle_time from refs, range({n}) r(i))"
 
 
-def references(v, part="o_orderkey % 9 = 0"):
+def references(v):
     key = F.col("o_orderkey")
-    return v("orders").where(part).select(F.when(key % 2 == 0, "ecmwf").otherwise("noaa").alias("provider_code"), (F.date_trunc("day", "o_orderdate").cast("timestamp_ntz") + F.expr("interval 14 hours")).alias("reference")).distinct()
+    return v("orders").select(F.when(key % 2 == 0, "ecmwf").otherwise("noaa").alias("provider_code"), (F.date_trunc("day", "o_orderdate").cast("timestamp_ntz") + F.expr("interval 14 hours")).alias("reference")).distinct()
 
 
 @query(f"""with {REFS}, {OPTIONS.format(n=4)}, f as (select provider_code, reference, rank, asset_id from options join (select provider_code, valid_from as cycle_time, asset_id from asset where asset_kind = 'forecast_grid') using (provider_code, cycle_time)
@@ -110,11 +96,6 @@ def jo13_expected_asset(v):
     return R.expected_asset(references(v), v("asset"), 4)
 
 
-@whole("jo13_expected_asset", " where o_orderkey % 9 = 0")
-def jo13_expected_asset_whole(v):
-    return R.expected_asset(references(v, "true"), v("asset"), 4)
-
-
 @query(f"""with {REFS}, {OPTIONS.format(n=3)}, u as (select distinct provider_code, valid_from as cycle_time from asset where asset_kind = 'forecast_grid' and valid_to >= timestamp '1996-01-01')
     select provider_code, cast(reference as varchar) as reference, cast(coalesce(arg_min(cycle_time, rank) filter (where u.cycle_time is not null), arg_min(o.cycle_time, rank)) as varchar) as cycle_time,
     case when count(u.cycle_time) > 0 then 'reuse' else 'produce' end as action from options o left join u using (provider_code, cycle_time) group by 1, reference""".replace("arg_min(cycle_time, rank)", "arg_min(o.cycle_time, rank)"))
@@ -122,11 +103,6 @@ def pj6_update_actions(v):
     return R.update_actions(references(v), v("asset"), 3, ts("1996-01-01 00:00:00"))
 
 
-@whole("pj6_update_actions", " where o_orderkey % 9 = 0")
-def pj6_update_actions_whole(v):
-    return R.update_actions(references(v, "true"), v("asset"), 3, ts("1996-01-01 00:00:00"))
-
-
 NEWEST = """newest as (select provider_code, min(asset_id) as asset_id, max(valid_from) as valid_from, count(*) as n from (
     select *, rank() over (partition by provider_code order by valid_from desc) as place from asset where asset_kind = 'forecast_grid' and valid_from <= timestamp '1999-06-15 09:00:00' and valid_to >= timestamp '1999-06-16') where place = 1 group by 1)"""
 

@@ -1,30 +1,15 @@
-"""The queries over all rows: against their twins, and by brute force where they have none."""
+"""The queries over all rows."""
 
 from __future__ import annotations
 
 import datetime
 import os
 
-import duckdb
 import pytest
-from test_queries import SF, TABLES, rows
-
-from freshet.queries import ORACLES, QUERIES
-from freshet.sources.views import PARTS, view
-
-WHOLE = sorted(n for n in QUERIES if n.endswith("_whole"))
-
-
-@pytest.mark.skipif(not os.path.isdir(SF), reason="the driver's tables aren't here")
-@pytest.mark.parametrize("name", [n for n in WHOLE if n in ORACLES])
-def test_whole_query(spark, name):
-    con = duckdb.connect()
-    for t in TABLES:
-        con.execute(f"create view {t} as select * from '{SF}/{t}.parquet'")
-    got, want = QUERIES[name](spark, SF).toPandas(), con.execute(ORACLES[name]).df()
-    assert sorted(got.columns) == sorted(want.columns)
-    assert len(got) and rows(got) == rows(want)
+from test_queries import SF
 
+from freshet.queries import QUERIES
+from freshet.sources.views import view
 
 def test_every_id_takes_part(spark, tmp_path):
     """350 catchments, beyond the ids of the queries over a part, and eight stations."""
@@ -32,7 +17,7 @@ def test_every_id_takes_part(spark, tmp_path):
     events = [(i, i % 8, "view", datetime.datetime(2024, 1, 1 + i % 3, 5), float(i)) for i in range(60)]
     spark.createDataFrame(customers, "c_custkey long").write.parquet(f"{tmp_path}/customer.parquet")
     spark.createDataFrame(events, "event_id long, user_id long, event_type string, ts timestamp_ntz, value double").write.parquet(f"{tmp_path}/events.parquet")
-    got = {(r.target_id, r.dt): r.value for r in QUERIES["gr3_fixed_neighbours_whole"](spark, str(tmp_path)).collect()}
+    got = {(r.target_id, r.dt): r.value for r in QUERIES["gr3_fixed_neighbours"](spark, str(tmp_path)).collect()}
 
     name = {u: f"{'inmet' if u % 2 else 'ana'}:{u}" for u in range(8)}
     daily: dict = {}
@@ -56,10 +41,5 @@ def test_every_id_takes_part(spark, tmp_path):
 @pytest.mark.skipif(not os.path.isdir(SF), reason="the driver's tables aren't here")
 def test_views_have_every_row(spark):
     orders, lines = (view(spark, SF, n).count() for n in ("orders", "lineitem"))
-    assert (view(spark, SF, "asset", whole=True).count(), view(spark, SF, "edit", whole=True).count()) == (orders, lines)
-    assert QUERIES["mf6_reusable_whole"](spark, SF).count() == orders
-
-
-def test_queries_of_cut_views_have_a_whole_one():
-    users = [n for n, sql in ORACLES.items() if any(part in sql for part in PARTS.values())]
-    assert len(users) >= 23 and not [n for n in users if f"{n}_whole" not in QUERIES or any(part in ORACLES[f"{n}_whole"] for part in PARTS.values())]
+    assert (view(spark, SF, "asset").count(), view(spark, SF, "edit").count()) == (orders, lines)
+    assert QUERIES["mf6_reusable"](spark, SF).count() == orders
