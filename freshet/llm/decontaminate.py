@@ -14,23 +14,31 @@ from .common import char_spans, id_and_text, materialise, select_id_text, words_
 
 #: Words of a window.
 WINDOW = 10
-#: Words of all windows that one automaton takes, about 150 bytes of memory for each; larger benchmarks are scanned in
+#: Words of all windows that one automaton takes, about 200 bytes of memory for each; larger benchmarks are scanned in
 #: several passes.
-MAX_WORDS = 2_000_000
+MAX_WORDS = 1_000_000
 
 
 class Windows:
-    """The automaton of the items' windows over words: each different word of the items is one character of its own."""
+    """The automaton of the items' windows over words: each different word of the items is a sign of ``digits`` characters.
+
+    Each digit of a sign has characters of its own, so that matches begin and end with words, and a state has few followers.
+    """
+
+    BASE = 128
 
     def __init__(self, items: list[tuple[str, str]], window: int = WINDOW) -> None:
-        self.sign: dict[bytes, str] = {}
+        lists = [(item, words_of(text)) for item, text in items]
+        words = sorted({w for _, own in lists for w in own})
+        self.digits = 1
+        while self.BASE**self.digits < len(words):
+            self.digits += 1
+        self.sign = {w: "".join(chr(1 + d * self.BASE + n // self.BASE**d % self.BASE) for d in range(self.digits)) for n, w in enumerate(words)}
         of: dict[str, tuple[int, set[str]]] = {}
-        for item, text in items:
-            words = words_of(text)
-            signs = "".join([self.sign.get(w) or self.sign.setdefault(w, self._sign(len(self.sign))) for w in words])
-            for i in range(max(1, len(words) - window + 1) if words else 0):
-                part = signs[i : i + window]
-                of.setdefault(part, (len(part), set()))[1].add(item)
+        for item, own in lists:
+            for i in range(max(1, len(own) - window + 1) if own else 0):
+                part = own[i : i + window]
+                of.setdefault("".join(map(self.sign.__getitem__, part)), (len(part), set()))[1].add(item)
         self.machine = None
         if of:
             self.machine = ahocorasick.Automaton()
@@ -38,18 +46,14 @@ class Windows:
                 self.machine.add_word(key, value)
             self.machine.make_automaton()
 
-    @staticmethod
-    def _sign(n: int) -> str:
-        """The n-th character from U+0001 on, surrogates left out; U+0000 stands for words that no item has."""
-        return chr(n + 1 if n + 1 < 0xD800 else n + 0x801)
-
     def scan(self, text: str) -> tuple[int, list[tuple[int, int, set[str]]]]:
         """(words of the text, [(first word, word after the last, items)] of every window that occurs)."""
         words = words_of(text)
         if not self.machine:
             return len(words), []
-        get = self.sign.get
-        return len(words), [(last + 1 - size, last + 1, items) for last, (size, items) in self.machine.iter("".join([get(w, "\0") for w in words]))]
+        get, other, d = self.sign.get, "\0" * self.digits, self.digits  # no item has the word
+        found = self.machine.iter("".join([get(w, other) for w in words]))
+        return len(words), [((end + 1) // d - size, (end + 1) // d, items) for end, (size, items) in found]
 
 
 def merged(hits: Iterable[tuple[int, int]]) -> list[tuple[int, int]]:
