@@ -2,12 +2,23 @@
 
 from __future__ import annotations
 
+import re
+from functools import cache
+from unicodedata import normalize
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Letters with marks and what they are without (fixed values).
-MARKED = "áàâãäåéèêëíìîïóòôõöúùûüçñýÁÀÂÃÄÅÉÈÊËÍÌÎÏÓÒÔÕÖÚÙÛÜÇÑÝ"
-PLAIN = "aaaaaaeeeeiiiiooooouuuucnyAAAAAAEEEEIIIIOOOOOUUUUCNY"
+
+@cache
+def _plain_letters() -> tuple[str, str, dict[str, str]]:
+    """(characters, the one ASCII character that compatibility decomposition leaves of each; those that leave more of them)."""
+    one, many = {}, {}
+    for n in (*range(0x80, 0x3000), *range(0xF900, 0xFFF0)):
+        kept = normalize("NFKD", chr(n)).encode("ascii", "ignore").decode()
+        if kept:
+            (one if len(kept) == 1 else many)[chr(n)] = kept
+    return "".join(one), "".join(one.values()), many
 
 
 def station_code(code: Column, strip_zeros: bool = True) -> Column:
@@ -17,8 +28,12 @@ def station_code(code: Column, strip_zeros: bool = True) -> Column:
 
 
 def station_name(name: Column) -> Column:
-    """Upper case without marks; what then isn't ASCII is left out."""
-    return F.upper(F.regexp_replace(F.translate(F.trim(name), MARKED, PLAIN), r"[^\x00-\x7F]", ""))
+    """Upper case of what is ASCII in the compatibility decomposition (NFKD); marks and what else isn't ASCII are left out."""
+    marked, plain, several = _plain_letters()
+    letters = F.create_map(*(F.lit(x) for pair in several.items() for x in pair))
+    spelled = F.array_join(F.transform(F.split(name, ""), lambda c: F.coalesce(F.element_at(letters, c), c)), "")
+    whole = F.when(name.rlike(f"[{re.escape(''.join(several))}]"), spelled).otherwise(name)
+    return F.upper(F.regexp_replace(F.translate(F.trim(whole), marked, plain), r"[^\x00-\x7F]", ""))
 
 
 def station_id(provider: Column, code: Column) -> Column:
@@ -32,7 +47,7 @@ def series_id(station: Column, variable: Column, state: Column) -> Column:
 def nullable_int(text: Column) -> Column:
     """A whole number that may have thousands commas; null where it is blank or none."""
     plain = F.regexp_replace(F.trim(text), ",", "")
-    return F.when(plain.rlike(r"^[+-]?\d{1,9}$"), plain.cast("int"))
+    return F.when(plain.rlike(r"^[+-]?\d{1,18}$"), plain.cast("bigint"))
 
 
 def coordinate(text: Column) -> Column:

@@ -245,7 +245,7 @@ def station_matrix(values: DataFrame, axis: DataFrame) -> DataFrame:
     sums = values.where(_finite(F.col("value"))).groupBy("station_id", F.col("observed_at").alias("dt")).agg(F.sum("value").alias("value"))
     inside = sums.join(F.broadcast(axis.select("dt")), "dt", "left_semi")
     times = axis.agg(F.array_sort(F.collect_list("dt")).alias("times"))
-    stations = inside.select("station_id").distinct().withColumn("k", F.lit(1)).join(times.withColumn("k", F.lit(1)), "k")
+    stations = inside.select("station_id").distinct().withColumn("k", F.lit(1)).join(F.broadcast(times.withColumn("k", F.lit(1))), "k")
     full = stations.select("station_id", F.explode("times").alias("dt"))
     return full.join(inside, ["station_id", "dt"], "left").select("station_id", "dt", F.coalesce("value", F.lit(0.0)).alias("value"))
 
@@ -517,7 +517,7 @@ def edited(cells: DataFrame, edits: DataFrame, resolution: float) -> DataFrame:
 def zero_block(axis: DataFrame, minis: DataFrame) -> DataFrame:
     """``dt, mini_id, value`` 0 for every time of the axis and every mini."""
     times = axis.agg(F.collect_list("dt").alias("times")).withColumn("k", F.lit(1))
-    return minis.select("mini_id").withColumn("k", F.lit(1)).join(times, "k").select(F.explode("times").alias("dt"), "mini_id", F.lit(0.0).alias("value"))
+    return minis.select("mini_id").withColumn("k", F.lit(1)).join(F.broadcast(times), "k").select(F.explode("times").alias("dt"), "mini_id", F.lit(0.0).alias("value"))
 
 
 # --- working grids ---------------------------------------------------------------------------------------------
@@ -556,7 +556,7 @@ def observed_working_grid(values: DataFrame, stations: DataFrame, grid: DataFram
             break
         wide *= 4
     times = axis.agg(F.collect_set("end_utc").alias("times")).withColumn("k", F.lit(1))
-    canvas = targets.withColumn("k", F.lit(1)).join(times, "k").select(F.explode("times").alias("end_utc"), "target_id", "iy", "ix")
+    canvas = targets.withColumn("k", F.lit(1)).join(F.broadcast(times), "k").select(F.explode("times").alias("end_utc"), "target_id", "iy", "ix")
     if not parts:
         return canvas.select("end_utc", "iy", "ix", F.lit(None).cast("double").alias("value"))
     every = parts[0]

@@ -97,15 +97,16 @@ def update_actions(references: DataFrame, assets: DataFrame, lookback: int, end:
 
 
 def reusable(headers: DataFrame, wanted: dict) -> DataFrame:
-    """Headers with ``reusable``: equal identity and a box and time span that cover what is wanted."""
+    """Headers with ``reusable``: equal in every wanted column (null for None), a time span and a ``box`` that cover what is wanted.
+
+    Lists, as the boxes of a header are, are equal item by item; a header without a value isn't reusable.
+    """
     same = F.lit(True)
-    for name in ("asset_kind", "format", "provider_code"):
-        if name in wanted:
-            same = same & (F.col(name) == wanted[name])
+    for name, value in wanted.items():
+        if name not in ("valid_from", "valid_to", "box"):
+            same = same & (F.col(name).isNull() if value is None else F.col(name) == (F.array(*map(F.lit, value)) if isinstance(value, list | tuple) else value))
     if "valid_from" in wanted:
         same = same & (F.col("valid_from") <= wanted["valid_from"]) & (F.col("valid_to") >= wanted["valid_to"])
-    if "resolution" in wanted:
-        same = same & (F.col("resolution") == wanted["resolution"])
     if "box" in wanted:
         w, s, e, n = wanted["box"]
         same = same & (F.col("west") <= w) & (F.col("south") <= s) & (F.col("east") >= e) & (F.col("north") >= n)
@@ -137,8 +138,16 @@ def newest_cycles(assets: DataFrame, start: Column, end: Column) -> DataFrame:
     return top.groupBy("provider_code").agg(F.min("asset_id").alias("asset_id"), F.max("valid_from").alias("valid_from"), F.count("*").alias("n"))
 
 
+def tied_providers(assets: DataFrame, start: Column, end: Column) -> DataFrame:
+    """``provider_code, n`` of providers whose newest covering cycle several assets have: an error, for which they have no scenarios."""
+    return newest_cycles(assets, start, end).where("n > 1").select("provider_code", "n")
+
+
 def scenarios(assets: DataFrame, edits: DataFrame, start: Column, end: Column) -> DataFrame:
-    """``scenario_id, kind, asset_id, manual_edit_id``: zero, the raw newest forecast of each provider, one corrected for each of its edits."""
+    """``scenario_id, kind, asset_id, manual_edit_id``: zero, the raw newest forecast of each provider, one corrected for each of its edits.
+
+    A provider without a single newest forecast has none; :func:`tied_providers` names it.
+    """
     raw = newest_cycles(assets, start, end).where("n = 1").select("provider_code", "asset_id")
     none = F.lit(None).cast("string")
     a = raw.select(F.concat_ws(".", "provider_code", F.lit("raw")).alias("scenario_id"), F.lit("raw").alias("kind"), "asset_id", none.alias("manual_edit_id"))

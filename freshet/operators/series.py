@@ -258,6 +258,11 @@ def adjusted_level(model: DataFrame, observed: DataFrame, keys: list[str] | None
     return moved.select(*keys, "dt", "prev_flag", (F.col("value") + F.col("offset")).alias("value"))
 
 
+def in_order(rows: DataFrame, group: list[str], order: list[str | Column]) -> DataFrame:
+    """Rows with their ``place`` in the order in which outputs of a group stand; ties go by nothing else, so name enough columns."""
+    return rows.withColumn("place", F.row_number().over(Window.partitionBy(*group).orderBy(*order)))
+
+
 def comparison_series(output: DataFrame, scenarios: list[str], mini_id: int) -> DataFrame:
     """``scenario_id, variable_code, dt, prev_flag, value`` of one mini in several scenarios."""
     return output.where(F.col("scenario_id").isin(*scenarios) & (F.col("mini_id") == mini_id)).select("scenario_id", "variable_code", "dt", "prev_flag", "value")

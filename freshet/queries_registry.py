@@ -31,6 +31,27 @@ def mf8_enabled_providers(v):
     return R.enabled_providers(v("asset"), ["ecmwf"])
 
 
+HEADER = """header as (select asset_id, valid_from, valid_to, provider_code, asset_kind, k, case when k % 3 = 0 then 'temperature' else 'precipitation' end as variable, case when k % 5 = 0 then 'enfo' else 'oper' end as product_type,
+    case when k % 7 = 0 then 3 end as timestep_hours, case when k % 4 = 0 then 0.5 else 0.1 end as buffer_fraction, case when k % 6 = 1 then -55.0 else -54.0 end as west from (select *, cast(regexp_extract(asset_id, '[0-9]+') as bigint) as k from asset))"""
+
+
+@query(f"with {HEADER} select asset_id, asset_kind = 'forecast_grid' and variable = 'precipitation' and provider_code = 'ecmwf' and product_type = 'oper' and k % 10 = 2 and timestep_hours is null and buffer_fraction = 0.1 and west = -54 and valid_from <= timestamp '1999-06-15 09:00:00' and valid_to >= timestamp '1996-06-15 09:00:00' as reusable from header")
+def mf6_reusable_header(v):
+    """All conditions on a header: identity, product, cycle, step, source, buffer, the three boxes, the span."""
+    k = F.regexp_extract("asset_id", "[0-9]+", 0).cast("bigint")
+    box = F.array(F.when(k % 6 == 1, -55.0).otherwise(-54.0), F.lit(-31.0), F.lit(-50.0), F.lit(-27.0))
+    headers = v("asset").select(
+        "asset_id", "asset_kind", "provider_code", "valid_from", "valid_to", F.when(k % 3 == 0, "temperature").otherwise("precipitation").alias("variable"), F.array("provider_code").alias("providers"), F.when(k % 5 == 0, "enfo").otherwise("oper").alias("product_type"),
+        (k % 10).alias("cycle"), F.when(k % 7 == 0, 3).alias("timestep_hours"), F.lit("cropped_from_native_grid").alias("source"), F.when(k % 4 == 0, 0.5).otherwise(0.1).alias("buffer_fraction"), box.alias("model_box"), box.alias("buffered_box"), box.alias("requested_box"),
+    )
+    wanted_box = [-54.0, -31.0, -50.0, -27.0]
+    wanted = {
+        "asset_kind": "forecast_grid", "variable": "precipitation", "providers": ["ecmwf"], "provider_code": "ecmwf", "product_type": "oper", "cycle": 2, "timestep_hours": None, "source": "cropped_from_native_grid", "buffer_fraction": 0.1,
+        "model_box": wanted_box, "buffered_box": wanted_box, "requested_box": wanted_box, "valid_from": ts(AT), "valid_to": ts("1996-06-15 09:00:00"),
+    }
+    return R.reusable(headers, wanted).select("asset_id", "reusable")
+
+
 @query("select asset_id, asset_kind = 'forecast_grid' and provider_code = 'noaa' and valid_from <= timestamp '1999-06-15 09:00:00' and valid_to >= timestamp '1999-06-15 09:00:00' as reusable from asset")
 def mf6_reusable(v):
     return R.reusable(v("asset"), {"asset_kind": "forecast_grid", "provider_code": "noaa", "valid_from": ts(AT), "valid_to": ts(AT)}).select("asset_id", "reusable")
@@ -118,6 +139,11 @@ def jo18_scenarios(v):
     return R.scenarios(v("asset"), own_edits(v), ts(AT), ts("1999-06-16 00:00:00"))
 
 
+@query(f"with {NEWEST} select provider_code, n from newest where n > 1")
+def jo18_tied_providers(v):
+    return R.tied_providers(v("asset"), ts(AT), ts("1999-06-16 00:00:00"))
+
+
 @query("select asset_id, case when regexp_extract(asset_id, '[0-9]+')::bigint % 5 = 0 then 'insert' when regexp_extract(asset_id, '[0-9]+')::bigint % 5 = 1 then 'same' when regexp_extract(asset_id, '[0-9]+')::bigint % 5 = 2 then 'replace' else 'conflict' end as action from asset")
 def sk10_ingest_actions(v):
     """Registered are four fifths of the assets; of the new ones some differ, and some of these were made later."""

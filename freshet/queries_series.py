@@ -302,6 +302,24 @@ def so1_reference_levels(v):
     return S.reference_levels(alerts, floods)
 
 
+@query("select reference_type, round(level_cm, 6) as level_cm, cast(event_date as varchar) as event_date, row_number() over (order by rk, event_date nulls last, level_cm) as place from (select t as reference_type, s_acctbal + i as level_cm, cast(null as date) as event_date, i as rk from supplier cross join (values ('level_atention', 1), ('level_alert', 2), ('level_flood', 3), ('level_severe', 4)) k(t, i) where s_suppkey = 7 union all select 'flood_record', max(l_extendedprice), cast(l_shipdate as date), 5 from lineitem where l_suppkey = 7 and l_quantity = 50 group by cast(l_shipdate as date))")
+def sl3_levels_of_a_station(v):
+    kinds = F.posexplode(F.array(*map(F.lit, S.REFERENCE_TYPES))).alias("i", "reference_type")
+    alerts = v("supplier").select(F.col("s_suppkey").cast("string").alias("station_id"), "s_acctbal", kinds).select("station_id", "reference_type", (F.col("s_acctbal") + F.col("i") + 1).alias("level_cm"))
+    floods = v("lineitem").where("l_quantity = 50").groupBy(F.col("l_suppkey").cast("string").alias("station_id"), F.to_date("l_shipdate").alias("event_date")).agg(F.max("l_extendedprice").alias("level_cm"))
+    return S.reference_levels(alerts, floods, F.lit("7")).drop("station_id")
+
+
+@query("select scenario_id, mini_id, cast(dt as varchar) as dt, row_number() over (partition by scenario_id order by variable_code, mini_id, dt) as place from model_output")
+def sl5_output_order(v):
+    return S.in_order(v("model_output"), ["scenario_id"], ["variable_code", "mini_id", "dt"]).select("scenario_id", "mini_id", "dt", "place")
+
+
+@query("select provider_code, station_id, row_number() over (partition by provider_code order by station_code) as place from station")
+def sl5_station_order(v):
+    return S.in_order(v("station"), ["provider_code"], ["station_code"]).select("provider_code", "station_id", "place")
+
+
 @query("select station_id, variable_code, cast(max(observed_at) as varchar) as latest from obs where value is not null group by 1, 2")
 def sl1_latest_one(v):
     from .sources.scans import latest_rows
@@ -441,6 +459,12 @@ def sf2_station_name(v):
     return v("station").select("station_id", T.station_name(F.col("station_name")).alias("name"))
 
 
+@query("select station_id, concat('LJUBLJANA CZ FINO 12 ', station_code) as name from station")
+def sf2_marks_and_ligatures(v):
+    """Marks of other languages, letters that decompose into several, and what has no ASCII at all."""
+    return v("station").select("station_id", T.station_name(F.concat(F.lit("ǈubljana Čž ﬁnõ ⑫ "), F.col("station_code"), F.lit(" 中"))).alias("name")).withColumn("name", F.rtrim("name"))
+
+
 @query("select distinct concat(station_id, '.', variable_code, '.', state) as series_id, concat(split_part(station_id, ':', 1), ':', split_part(station_id, ':', 2)) as station_id from obs")
 def sf3_ids(v):
     p = F.split("station_id", ":")

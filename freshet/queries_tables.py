@@ -160,6 +160,12 @@ def sc11_centroids(v):
     return scans.centroids(head.unionByName(lines), 120)
 
 
+@query("select mini_id from mini where mini_id <= 50")
+def sl4_first_rows(v):
+    """The first rows of a table whose lines came in another order."""
+    return scans.first_lines(v("mini").select("mini_id", F.col("mini_id").alias("n")).orderBy(F.hash("mini_id")), 50).select("mini_id")
+
+
 # --- sinks -----------------------------------------------------------------------------------------------------
 
 

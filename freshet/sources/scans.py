@@ -180,7 +180,12 @@ def centroids(lines: DataFrame, nc: int) -> DataFrame:
     rows = words.join(F.broadcast(head)).where("n > first")
     at = [F.element_at("w", F.array_position("h", c).cast("int")) for c in ("Mini", "Xcen", "Ycen")]
     out = rows.select("n", at[0].cast("bigint").alias("mini_id"), T.decimal_comma(at[1]).alias("lon"), T.decimal_comma(at[2]).alias("lat"))
-    return out.orderBy("n").limit(nc).select("mini_id", "lon", "lat")
+    return first_lines(out, nc).select("mini_id", "lon", "lat")
+
+
+def first_lines(lines: DataFrame, nc: int) -> DataFrame:
+    """The first ``nc`` rows of a text table by their line number ``n``."""
+    return lines.orderBy("n").limit(nc)
 
 
 def centroid_errors(minis: DataFrame) -> DataFrame:

@@ -53,6 +53,40 @@ def test_upsert_is_idempotent_and_the_new_value_wins(spark):
     assert sorted((r.series_id, str(r.observed_at)[:10], r.value) for r in spark.read.parquet(path).collect()) == [("a", "2026-01-01", 1.0), ("a", "2026-01-02", 9.0), ("b", "2026-01-02", 3.0)]
 
 
+def test_upsert_keeps_rows_when_columns_differ(spark):
+    path = scratch_dir(spark)
+    kind = "series_id string, observed_at string, value double, day string"
+    sinks.upsert_values(spark, path, spark.createDataFrame([("a", "t", 1.0, "2026-01-01"), ("b", "t", 2.0, "2026-01-01")], kind))
+    sinks.upsert_values(spark, path, spark.createDataFrame([("a", "t", 9.0, "2026-01-01", "x")], kind + ", note string"))
+    sinks.upsert_values(spark, path, spark.createDataFrame([("c", "t", 3.0, "2026-01-02")], kind))
+    rows = {(r.series_id, r.value, r.note) for r in spark.read.option("mergeSchema", "true").parquet(path).collect()}
+    assert rows == {("a", 9.0, "x"), ("b", 2.0, None), ("c", 3.0, None)}
+    clash = spark.createDataFrame([("k", 1, 2, 3)], "key string, __new int, __order int, __n int")
+    assert [tuple(r) for r in sinks.merged(clash, clash.withColumn("__n", F.lit(4)), ["key"]).collect()] == [("k", 1, 2, 4)]
+
+
+def test_a_second_scenario_or_asset_leaves_the_first(spark):
+    out, grid = scratch_dir(spark), scratch_dir(spark)
+    for s in ("s0", "s1", "s0"):
+        sinks.write_model_output(spark.createDataFrame([(s, "flow", i, "t", 1.5 * i) for i in range(5)], "scenario_id string, variable_code string, mini_id long, dt string, value double"), out)
+    assert {(r.scenario_id, r["count"]) for r in spark.read.parquet(out).groupBy("scenario_id").count().collect()} == {("s0", 5), ("s1", 5)}
+    for a in ("a0", "a1"):
+        cells = spark.createDataFrame([(a, y, x, y * 1.0, x * 1.0, 1.0) for y in range(2) for x in range(2)], "asset_id string, iy int, ix int, lat double, lon double, value double")
+        sinks.write_grid(cells.withColumns({"start_utc": F.lit("2026-01-01").cast("timestamp_ntz"), "end_utc": F.lit("2026-01-02").cast("timestamp_ntz")}), grid)
+    assert {(r.asset_id, r["count"]) for r in spark.read.parquet(grid).groupBy("asset_id").count().collect()} == {("a0", 4), ("a1", 4)}
+
+
+def test_publication_points_to_the_last_complete_batch(spark):
+    path = scratch_dir(spark)
+    batch = spark.createDataFrame([("s0", 1.0), ("s1", 2.0)], "scenario_id string, value double")
+    some = batch.where("scenario_id = 's0'")
+    assert sinks.published(spark, path, some, "b0", 2).collect() == []
+    assert sinks.published(spark, path, batch.limit(0), "b00", 2).collect() == []
+    assert [r.batch_id for r in sinks.published(spark, path, batch, "b1", 2).collect()] == ["b1"]
+    assert [r.batch_id for r in sinks.published(spark, path, some, "b2", 2).collect()] == ["b1"]
+    assert [r.batch_id for r in sinks.published(spark, path, batch, "b3", 2).collect()] == ["b3"]
+
+
 def test_packing(spark):
     df = spark.createDataFrame([("s", "flow", 1, 1.0005), ("s", "flow", 2, None), ("s", "flow", 3, 3e6)], "scenario_id string, variable_code string, mini_id long, value double")
     assert sinks.pack_errors(df).first().n == 1

@@ -195,6 +195,50 @@ def test_rotation(spark):
     assert sorted(quarter.values()) == [1, 2, 3, 4] and quarter[0.5, 10.5] != 1
 
 
+def test_shifts_are_cells_and_missing_stays_missing(spark):
+    grid = square(spark, [[1, None], [3, 4]], 0.125, 10.125, 0.25)
+    out = {(r.lat, r.lon): r.value for r in G.moved(grid, 0.25, F.lit(1.0), F.lit(-2.5), F.lit(2.0)).collect()}
+    assert out == {(0.375, 9.625): 2.0, (0.375, 9.875): None, (0.625, 9.625): 6.0, (0.625, 9.875): 8.0}
+    turned = {(r.lat, r.lon): r.value for r in G.rotated(grid, 0.25, 180.0, 1.0, 0.0, 2.0).collect()}
+    assert turned == {(-0.125, 10.125): 8.0, (-0.125, 10.375): 6.0, (0.125, 10.125): None, (0.125, 10.375): 2.0}
+    out = G.rotated(grid, 0.25, 45.0).collect()
+    assert sorted(r.value for r in out if r.value is not None) == sorted(r.value for r in out if r.value) and any(r.value is None for r in out)
+    canvas = {(r.iy, r.ix): r.value for r in G.shifted_canvas(grid, 0, 1, 2.0, 90.0).collect()}
+    assert canvas == {(0, 0): 6.0, (0, 1): 2.0, (1, 0): 0.0, (1, 1): 0.0} or sorted(canvas.values()) == [0.0, 0.0, 2.0, 6.0]
+
+
+def test_edits_turn_and_working_grids_are_complete(spark):
+    grid = square(spark, [[1, 2], [3, 4]], 0.5, 0.5)
+    edits = spark.createDataFrame([("g", 0, 3, 0.0, 1.0, 0.0, 1.0)], "asset_id string, t0_step int, t1_step int, shift_lat double, shift_lon double, rotation_deg double, multiplication_factor double")
+    targets = points(spark, [("a", 0.5, 1.5), ("b", 0.5, 2.5), ("c", 1.5, 1.5), ("d", 1.5, 2.5)], "target_id")
+    got = {r.target_id: r.value for r in G.forecast_working_grid(grid, edits, targets, (0.5, 0.5), 1.0, 3).collect()}
+    assert got == {"a": 1.0, "b": 2.0, "c": 3.0, "d": 4.0}
+    half = edits.withColumns({"shift_lon": F.lit(0.0), "rotation_deg": F.lit(180.0)})
+    inside = points(spark, [("a", 0.5, 0.5), ("d", 1.5, 1.5)], "target_id")
+    assert {r.target_id: r.value for r in G.forecast_working_grid(grid, half, inside, (0.5, 0.5), 1.0, 3).collect()} == {"a": 4.0, "d": 1.0}
+    with pytest.raises(ValueError, match="without a value"):
+        G.forecast_working_grid(grid, edits, inside, (0.5, 0.5), 1.0, 3)
+    with pytest.raises(ValueError, match="without a value"):
+        G.forecast_working_grid(grid.limit(0), None, inside, (0.5, 0.5), 1.0, 3)
+    lazy = G.forecast_working_grid(grid, edits, inside, (0.5, 0.5), 1.0, 3, strict=False)
+    assert [(r.present, r.wanted) for r in G.incomplete(lazy, inside, ["asset_id", "end_utc"]).collect()] == [(1, 2)]
+
+
+def test_neighbours_of_clusters_and_outliers(spark):
+    import random
+
+    rng = random.Random(3)
+    sources = [(i, rng.gauss(0, 1e-4), rng.gauss(0, 1e-4)) for i in range(200)] + [(1000, 80.0, 170.0), (1001, -80.0, -170.0)]
+    targets = [(i, rng.gauss(0, 2e-4), rng.gauss(0, 2e-4)) for i in range(60)] + [(900, 70.0, 160.0), (901, 5.0, 5.0)]
+    s, t = points(spark, sources, "source_id"), points(spark, targets, "target_id")
+    got = {}
+    for r in G.nearest(t, s, 4).collect():
+        got.setdefault(r.target_id, {})[r.place] = r.source_id
+    for i, y, x in targets:
+        want = [str(k) for _, k in sorted((((y - b) ** 2 + (x - a) ** 2) ** 0.5, k) for k, b, a in sources)[:4]]
+        assert [str(got[str(i)][p]) for p in (1, 2, 3, 4)] == want
+
+
 def test_crop(spark):
     rows = [("g", "2026-01-01", "2026-01-02", 0, i, 0.0, x, 1.0) for i, x in enumerate((0.25, 0.75, 1.25, 1.75))]
     assert sorted(r.lon for r in G.crop(cells(spark, rows), 0.5, -1, 1.0, 1, 0.5).collect()) == [0.25, 0.75, 1.25]
