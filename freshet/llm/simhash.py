@@ -18,7 +18,7 @@ BLOCK = 2048
 #: A bucket of more fingerprints is cut again by the other half.
 CUT = 16384
 #: Parts in which the documents of a fingerprint get their component.
-SALTS = 1024
+SALTS = 256
 
 
 def fingerprint(text: str, shingle: int = 3, seed: int = 42) -> int:
