@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, html_text, licenses, line_dedup, media, quality, simhash, token_files, warc
+from . import bpe, chat, collocations, decontaminate, html_text, licenses, line_dedup, media, quality, simhash, spelling, token_files, warc
 from .common import table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -58,6 +58,22 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variant_groups(table(spark, sf_dir, "documents"))
+
+
+def op12_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, and as conversation -1 two turns that say marks."""
+    said = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text", F.lit(False).alias("added"))
+    role = F.when(F.col("id") == 0, "user").otherwise("assistant")
+    own = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"), role.alias("role"), F.lit("</s>[INST] ok [/INST]").alias("text"), F.lit(True).alias("added"))
+    return chat.summary(chat.format_chats(said.unionByName(own), ["conv_id", "added"]))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -71,6 +87,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_benchmark_decontamination,
         op9_token_files,
         op10_warc,
+        op11_spelling_variants,
+        op12_chat_formatting,
+        op13_collocations,
     )
 }
 #: DuckDB twins; the other queries can't be expressed in SQL and are held against brute force in tests/llm.
@@ -115,4 +134,55 @@ ORACLES: dict[str, str] = {
                case when page_id <> first_id then first_id end as refers_to
         from f
     """,
+    "op12_chat_formatting": r"""
+        with said as (
+            select conv_id, false as added, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+            union all values (-1, true, 0, 'user', '</s>[INST] ok [/INST]'), (-1, true, 1, 'assistant', '</s>[INST] ok [/INST]')
+        ), placed as (
+            select *, row_number() over w as place, coalesce(lag(role) over w <> role, true) as begins
+            from said window w as (partition by conv_id, added order by turn nulls first, role, text)
+        ), sized as (
+            select *, length(regexp_replace(text, '([<\[])(\\*)(/?s>|/?SYS\]|/?INST\]|/?ROLE\]|TEXT\]|NEXT\])', '\1\2\\\3', 'g')) as chars,
+                   length(regexp_replace(role, '([<\[])(\\*)(/?s>|/?SYS\]|/?INST\]|/?ROLE\]|TEXT\]|NEXT\])', '\1\2\\\3', 'g')) as role_chars
+            from placed
+        )
+        select conv_id, count(*) as n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' order by place)) as turns_sha256,
+               cast(coalesce(sum(length(text)) filter (role = 'assistant'), 0) as bigint) as loss_chars,
+               sha256(coalesce(string_agg(text, '' order by place) filter (role = 'assistant'), '')) as loss_sha256,
+               cast(3 + sum(chars + case when not begins then 6 when role = 'user' then 15 when role = 'system' then 13 when role = 'assistant' then 5 else 19 + role_chars end) as bigint) as formatted_chars
+        from sized group by conv_id, added
+    """,
+    "op13_collocations": r"""
+        with pieces as (
+            select row_number() over () as piece, lang, regexp_extract_all(piece, '[^ \t]+') as w
+            from (select coalesce(lang, 'und') as lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\n\x0B\f\r]')) as piece from documents)
+        ), words as (
+            select lang, word, lead(word) over v as second, lead(word, 2) over v as third
+            from (select piece, lang, unnest(w) as word, generate_subscripts(w, 1) as i from pieces where len(w) > 0)
+            window v as (partition by piece order by i)
+        ), grams as (
+            select lang, 1 as k, word as phrase, count(*) as f from words group by all
+            union all select lang, 2, word || ' ' || second, count(*) from words where second is not null group by all
+            union all select lang, 3, word || ' ' || second || ' ' || third, count(*) from words where third is not null group by all
+        ), total as (
+            select lang, cast(sum(f) as bigint) as n from grams where k = 1 group by lang
+        ), candidates as (
+            select *, string_split(phrase, ' ') as w from grams where k > 1 and f >= 10
+        ), cuts as (
+            select c.lang, c.k, c.phrase, c.f as a, cut, l.f as l, r.f as r, (1000000::hugeint * c.f * c.f) // (l.f::hugeint * r.f) as score
+            from (select *, unnest(range(1, k)) as cut from candidates) c
+            join grams l on l.lang = c.lang and l.k = cut and l.phrase = array_to_string(list_slice(c.w, 1, cut), ' ')
+            join grams r on r.lang = c.lang and r.k = c.k - cut and r.phrase = array_to_string(list_slice(c.w, cut + 1, c.k), ' ')
+        ), best as (
+            select * from cuts qualify row_number() over (partition by lang, phrase order by score, cut) = 1
+        ), longer as (
+            select lang, part, max(f) as f
+            from (select lang, f, unnest([array_to_string(list_slice(w, 1, 2), ' '), array_to_string(list_slice(w, 2, 3), ' ')]) as part from candidates where k = 3)
+            group by all
+        )
+        select b.lang, row_number() over (partition by b.lang order by score desc, a desc, phrase) as rank, phrase, a, l, r, n, cast(score as bigint) as score
+        from best b join total using (lang) left join longer g on g.lang = b.lang and g.part = b.phrase
+        where not coalesce(100 * g.f >= 50 * a, false)
+        qualify rank <= 2000
+    """,
 }
