@@ -135,31 +135,40 @@ def pivots_of(weights: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.n
     return first, second
 
 
-#: (what the other word's length differs by, the shorter's length is this less the word's own).
-_SHIFTS = (-1, 0, 1)
+def _halves(size: int) -> list[tuple[int, int]]:
+    """(side, characters) of what an edit may leave alone, of words of this length and of the shorter one in a pair."""
+    return [(0, h) for h in {size // 2, (size - 1) // 2}] + [(1, h) for h in {size - size // 2, size - 1 - (size - 1) // 2}]
 
 
-def _rows(at: np.ndarray, chars: np.ndarray, rows: np.ndarray, places: np.ndarray, pivot: bool) -> Iterator[tuple[np.ndarray, ...]]:
-    """(key, word, position) of bigrams: one row for each difference of lengths and each half that may be untouched."""
-    n, size = chars.shape
-    gram = bigrams(chars)[rows, places]
-    power = _powers(size)
+def _rows(words: np.ndarray, chars: np.ndarray, place: np.ndarray, count: np.ndarray, pivot: bool) -> Iterator[tuple[np.ndarray, ...]]:
+    """(key, position, part, last of the prefix, word) of each word's pivots, or of the bigrams of its prefix.
+
+    There is a row for each half that an edit may leave alone. A pivot inside of that half outlasts the edit; then the
+    other one isn't needed there.
+    """
+    size = chars.shape[1]
+    grams = bigrams(chars)
+    order = place[grams]
+    last = np.partition(order, 2, axis=1)[:, 2]
     values = chars.astype(np.uint64) + np.uint64(1)
     with np.errstate(over="ignore"):
-        ahead = np.cumsum(values * power, axis=1)
-        back = np.cumsum(values[:, ::-1] * power, axis=1)
-    for shift in _SHIFTS:
-        other = size + shift
-        least = min(size, other)
-        kind = shift if pivot else -shift  # of the prefix's word against the pivot's
-        half = least // 2
-        for side, hashes in ((0, ahead[:, half - 1]), (1, back[:, least - half - 1])):
-            yield _mixed(gram, least * 6 + (kind + 1) * 2 + side, hashes[rows]).view(np.int64), at[rows], places
+        hashes = [np.cumsum(x * _powers(size), axis=1) for x in (values, values[:, ::-1])]
+    if pivot:
+        every = np.arange(len(chars))
+        first, second = pivots_of(order, count[grams])
+    else:
+        rows, spots = np.nonzero(prefix_of(order))
+    for side, half in _halves(size):
+        if pivot:
+            inside = second >= size - half if side else first + 2 <= half
+            rows = np.concatenate([every, every[~inside]])
+            spots = np.concatenate([second, first[~inside]] if side else [first, second[~inside]])
+        yield _mixed(grams[rows, spots], half * 2 + side, hashes[side][rows, half - 1]).view(np.int64), spots, np.full(len(rows), half * 2 + side), last[rows], words[rows]
 
 
 def gram_rows(words: DataFrame, order: dict[int, tuple[int, int]], pivot: bool) -> DataFrame:
-    """``key, at, word`` of all words' pivots, or of all bigrams in their prefixes."""
-    place, count = np.full(1 << 16, 1 << 40, np.int64), np.zeros(1 << 16, np.int64)
+    """``key, at, part, last, word`` of all words' pivots, or of all bigrams in their prefixes."""
+    place, count = np.full(1 << 16, 1 << 30, np.int64), np.zeros(1 << 16, np.int64)
     for gram, (rank, n) in order.items():
         place[gram], count[gram] = rank, n
     shared = words.sparkSession.sparkContext.broadcast((place, count))
@@ -168,20 +177,12 @@ def gram_rows(words: DataFrame, order: dict[int, tuple[int, int]], pivot: bool)
         place, count = shared.value
         for batch in batches:
             column = batch.column(0)
-            texts = [w.encode("latin-1") for w in column.to_pylist()]
-            for at, chars in by_length(texts):
+            for at, chars in by_length([w.encode("latin-1") for w in column.to_pylist()]):
                 for i in range(0, len(at), 1 << 14):
-                    part = chars[i : i + (1 << 14)]
-                    grams = bigrams(part)
-                    if pivot:
-                        found = pivots_of(place[grams], count[grams])
-                        rows, places = np.tile(np.arange(len(part)), 2), np.concatenate(found)
-                    else:
-                        rows, places = np.nonzero(prefix_of(place[grams]))
-                    key, word, spot = (np.concatenate(x) for x in zip(*_rows(at[i : i + (1 << 14)], part, rows, places, pivot), strict=True))
-                    yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(spot, pa.int32()), column.take(pa.array(word))], ["key", "at", "word"])
+                    key, *small, word = (np.concatenate(x) for x in zip(*_rows(at[i : i + (1 << 14)], chars[i : i + (1 << 14)], place, count, pivot), strict=True))
+                    yield pa.RecordBatch.from_arrays([pa.array(key), *(pa.array(x, pa.int32()) for x in small), column.take(pa.array(word))], ["key", "at", "part", "last", "word"])
 
-    return words.select("word").mapInArrow(run, "key long, at int, word string")
+    return words.select("word").mapInArrow(run, "key long, at int, part int, last int, word string")
 
 
 def gram_order(words: DataFrame) -> dict[int, tuple[int, int]]:
@@ -200,7 +201,7 @@ def gram_order(words: DataFrame) -> dict[int, tuple[int, int]]:
 
 
 def variants(rows: DataFrame) -> DataFrame:
-    """``variant, key, at, word``: each row under the hash of its word and of the word without each of its characters."""
+    """``variant`` and the rows: each under the hash of its word and of the word without each of its characters."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -217,7 +218,7 @@ def variants(rows: DataFrame) -> DataFrame:
                         hashes = np.concatenate([whole, upto - own + (whole - upto) * np.uint64(_INVERSE)], axis=1)
                     yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64).ravel()), *(c.take(pa.array(np.repeat(at[i : i + step], size + 1))) for c in batch.columns)], ["variant", *batch.schema.names])
 
-    return rows.mapInArrow(run, "variant long, key long, at int, word string").distinct()
+    return rows.mapInArrow(run, "variant long, key long, at int, part int, last int, word string").distinct()
 
 
 def near_pairs(words: DataFrame, crowded: int = CROWDED) -> DataFrame:
@@ -233,13 +234,16 @@ def near_pairs(words: DataFrame, crowded: int = CROWDED) -> DataFrame:
     hot = materialise(sizes.where(F.col("a") * F.col("b") > crowded).select("key"))
 
     def verified(left: DataFrame, right: DataFrame, by: list[str]) -> DataFrame:
+        """Of a pair, the half is that of the shorter word, and the prefix ends no earlier than the pivot's word's own."""
         a, b = left.alias("a"), right.alias("b")
-        size = F.length("a.word") - F.length("b.word")
         same = F.col("a.key") == F.col("b.key")
         for name in by:
             same &= F.col(f"a.{name}") == F.col(f"b.{name}")
-        close = same & F.when(size == 0, F.col("a.at") == F.col("b.at")).otherwise(F.abs(F.col("a.at") - F.col("b.at")) <= 1)
-        pairs = a.join(b, close & (F.levenshtein("a.word", "b.word", 1) == 1))
+        size, other = F.length("a.word"), F.length("b.word")
+        apart, less = F.abs(size - other), F.least(size, other)
+        half = F.when(F.col("a.part") % 2 == 0, F.floor(less / 2) * 2).otherwise(F.ceil(less / 2) * 2 + 1)
+        close = (F.abs(F.col("a.at") - F.col("b.at")) <= apart) & (apart <= 1) & (F.col("a.last") <= F.col("b.last")) & (F.col("a.part") == half)
+        pairs = a.join(b, same & close & (F.levenshtein("a.word", "b.word", 1) == 1))
         return pairs.select(F.col("a.word").alias("word"), F.col("b.word").alias("other"))
 
     if hot.isEmpty():
