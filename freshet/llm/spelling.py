@@ -135,13 +135,20 @@ def pivots_of(weights: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.n
     return first, second
 
 
-def _halves(size: int) -> list[tuple[int, int]]:
-    """(side, characters) of what an edit may leave alone, of words of this length and of the shorter one in a pair."""
-    return [(0, h) for h in {size // 2, (size - 1) // 2}] + [(1, h) for h in {size - size // 2, size - 1 - (size - 1) // 2}]
+def _halves(size: int) -> list[tuple[int, int, int]]:
+    """(side, characters, fits) of what an edit may leave alone: half of the shorter word of a pair.
+
+    ``fits``: 1 where this word may be the shorter one (or both have its length), 2 where it may be the longer one, 3 both.
+    """
+    out: dict[tuple[int, int], int] = {}
+    for fits, least in ((1, size), (2, size - 1)):
+        for at in ((0, least // 2), (1, least - least // 2)):
+            out[at] = out.get(at, 0) | fits
+    return [(*at, fits) for at, fits in out.items()]
 
 
 def _rows(words: np.ndarray, chars: np.ndarray, place: np.ndarray, count: np.ndarray, pivot: bool) -> Iterator[tuple[np.ndarray, ...]]:
-    """(key, position, part, last of the prefix, word) of each word's pivots, or of the bigrams of its prefix.
+    """(key, spot, word) of each word's pivots, or of the bigrams of its prefix; a spot has position, last of the prefix, fits.
 
     There is a row for each half that an edit may leave alone. A pivot inside of that half outlasts the edit; then the
     other one isn't needed there.
@@ -158,16 +165,16 @@ def _rows(words: np.ndarray, chars: np.ndarray, place: np.ndarray, count: np.nda
         first, second = pivots_of(order, count[grams])
     else:
         rows, spots = np.nonzero(prefix_of(order))
-    for side, half in _halves(size):
+    for side, half, fits in _halves(size):
         if pivot:
             inside = second >= size - half if side else first + 2 <= half
             rows = np.concatenate([every, every[~inside]])
             spots = np.concatenate([second, first[~inside]] if side else [first, second[~inside]])
-        yield _mixed(grams[rows, spots], half * 2 + side, hashes[side][rows, half - 1]).view(np.int64), spots, np.full(len(rows), half * 2 + side), last[rows], words[rows]
+        yield _mixed(grams[rows, spots], half * 2 + side, hashes[side][rows, half - 1]).view(np.int64), spots << 18 | last[rows] << 2 | fits, words[rows]
 
 
 def gram_rows(words: DataFrame, order: dict[int, tuple[int, int]], pivot: bool) -> DataFrame:
-    """``key, at, part, last, word`` of all words' pivots, or of all bigrams in their prefixes."""
+    """``key, spot, word`` of all words' pivots, or of all bigrams in their prefixes."""
     place, count = np.full(1 << 16, 1 << 30, np.int64), np.zeros(1 << 16, np.int64)
     for gram, (rank, n) in order.items():
         place[gram], count[gram] = rank, n
@@ -179,10 +186,10 @@ def gram_rows(words: DataFrame, order: dict[int, tuple[int, int]], pivot: bool)
             column = batch.column(0)
             for at, chars in by_length([w.encode("latin-1") for w in column.to_pylist()]):
                 for i in range(0, len(at), 1 << 14):
-                    key, *small, word = (np.concatenate(x) for x in zip(*_rows(at[i : i + (1 << 14)], chars[i : i + (1 << 14)], place, count, pivot), strict=True))
-                    yield pa.RecordBatch.from_arrays([pa.array(key), *(pa.array(x, pa.int32()) for x in small), column.take(pa.array(word))], ["key", "at", "part", "last", "word"])
+                    key, spot, word = (np.concatenate(x) for x in zip(*_rows(at[i : i + (1 << 14)], chars[i : i + (1 << 14)], place, count, pivot), strict=True))
+                    yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(spot), column.take(pa.array(word))], ["key", "spot", "word"])
 
-    return words.select("word").mapInArrow(run, "key long, at int, part int, last int, word string")
+    return words.select("word").mapInArrow(run, "key long, spot long, word string")
 
 
 def gram_order(words: DataFrame) -> dict[int, tuple[int, int]]:
@@ -218,7 +225,7 @@ def variants(rows: DataFrame) -> DataFrame:
                         hashes = np.concatenate([whole, upto - own + (whole - upto) * np.uint64(_INVERSE)], axis=1)
                     yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64).ravel()), *(c.take(pa.array(np.repeat(at[i : i + step], size + 1))) for c in batch.columns)], ["variant", *batch.schema.names])
 
-    return rows.mapInArrow(run, "variant long, key long, at int, part int, last int, word string").distinct()
+    return rows.mapInArrow(run, "variant long, key long, spot long, word string").distinct()
 
 
 def near_pairs(words: DataFrame, crowded: int = CROWDED) -> DataFrame:
@@ -240,9 +247,9 @@ def near_pairs(words: DataFrame, crowded: int = CROWDED) -> DataFrame:
         for name in by:
             same &= F.col(f"a.{name}") == F.col(f"b.{name}")
         size, other = F.length("a.word"), F.length("b.word")
-        apart, less = F.abs(size - other), F.least(size, other)
-        half = F.when(F.col("a.part") % 2 == 0, F.floor(less / 2) * 2).otherwise(F.ceil(less / 2) * 2 + 1)
-        close = (F.abs(F.col("a.at") - F.col("b.at")) <= apart) & (apart <= 1) & (F.col("a.last") <= F.col("b.last")) & (F.col("a.part") == half)
+        at, last = (lambda x: F.shiftright(f"{x}.spot", 18)), (lambda x: F.shiftright(f"{x}.spot", 2).bitwiseAND(65535))
+        apart, fits = F.abs(size - other), F.when(other >= size, 1).otherwise(2)
+        close = (F.abs(at("a") - at("b")) <= apart) & (apart <= 1) & (last("a") <= last("b")) & (F.col("a.spot").bitwiseAND(fits) > 0)
         pairs = a.join(b, same & close & (F.levenshtein("a.word", "b.word", 1) == 1))
         return pairs.select(F.col("a.word").alias("word"), F.col("b.word").alias("other"))
 

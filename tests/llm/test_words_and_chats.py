@@ -71,7 +71,7 @@ def misspelt(seed: int) -> list[tuple]:
 @pytest.mark.parametrize("crowded", [spelling.CROWDED, 1])
 def test_variant_groups(spark, crowded):
     rows = misspelt(4)
-    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumns({c: F.lit("clash") for c in ("word", "n", "key", "at", "root", "form")}).repartition(3)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumns({c: F.lit("clash") for c in ("word", "n", "key", "spot", "root", "form")}).repartition(3)
     got = spelling.variant_groups(docs, crowded=crowded).collect()
     want = variants_by_hand(rows)
     assert len(got) == len(want) > 200 and {tuple(r) for r in got} == want
@@ -103,7 +103,7 @@ def test_pivots():
 def test_deletion_hashes(spark):
     """Words one edit apart share a variant, whatever their length."""
     words = ["abcdefgh", "abcdefg", "abcXefgh", "abcdefghi", "z" * 500, "z" * 499]
-    rows = spelling.variants(spark.createDataFrame([(i, 0, 0, 0, w) for i, w in enumerate(words)], "key long, at int, part int, last int, word string")).collect()
+    rows = spelling.variants(spark.createDataFrame([(i, 0, w) for i, w in enumerate(words)], "key long, spot long, word string")).collect()
     of = {w: {r.variant for r in rows if r.word == w} for w in words}
     assert all(bool(of[a] & of[b]) == (one_edit(a, b) or a[:-1] == b or any(a[:i] + a[i + 1 :] == b[:j] + b[j + 1 :] for i in range(len(a)) for j in range(len(b)))) for a in words[:4] for b in words[:4] if a != b)
     assert of["z" * 500] & of["z" * 499]
