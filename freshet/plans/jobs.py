@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import to_centimetres
 from ..functions.timeops import local_to_utc, plus_hours, segments
 from ..operators import grids, observations, series
-from ..sources import scans
+from ..sources import scans, sinks
 
 
 def ingest(obs: DataFrame, timestep_hours: int) -> tuple[DataFrame, DataFrame]:
@@ -26,6 +26,25 @@ def ingest_files(typed: DataFrame, stations: DataFrame, provider_variables: Data
     return ingest(typed, timestep_hours)
 
 
+def load_files(spark: SparkSession, path: str, typed: DataFrame, stations: DataFrame, provider_variables: DataFrame, timestep_hours: int) -> dict[str, int]:
+    """Load typed file rows into the table of values at ``path``, all or nothing, in one pass over the files; returns ``rows_read, rows_written``.
+
+    What is wrong is counted while the timesteps are made: with any wrong row it raises, before the table has changed.
+    """
+    seen = Observation()
+    marked = scans.with_reason(typed, stations, provider_variables)
+    first = F.min(F.when(F.col("reason").isNotNull(), F.concat_ws(": ", "station_id", "reason")))
+    counted = marked.observe(seen, F.count(F.lit(1)).alias("rows"), F.count("reason").alias("wrong"), first.alias("first"))
+    values = ingest(counted.where("reason is null"), timestep_hours)[1].withColumn("day", F.to_date("observed_at"))
+
+    def check() -> None:
+        if seen.get["wrong"]:
+            raise ValueError(f"{seen.get['wrong']} of {seen.get['rows']} rows are wrong, as {seen.get['first']}")
+
+    written = sinks.upsert_values(spark, path, values, check=check)
+    return {"rows_read": seen.get["rows"], "rows_written": written}
+
+
 def forcing(observed: DataFrame, forecast: DataFrame | None, zero: DataFrame | None, minis: DataFrame, k: int = 5, power: float = 2.0) -> DataFrame:
     """``dt, mini_id, value``: observed block and then forecast (or zero) block of catchment rainfall.
 

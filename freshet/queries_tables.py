@@ -191,7 +191,7 @@ def sk3_value_upsert(v):
     path, rows = scratch_dir(spark), v("stored").withColumn("day", F.to_date("observed_at"))
     sinks.upsert_values(spark, path, rows)
     sinks.upsert_values(spark, path, rows.where("dayofmonth(observed_at) = 7").withColumns({"value": F.col("value") + 1, "note": F.lit("one more column")}))
-    return spark.read.parquet(path).select("series_id", "observed_at", "value")
+    return sinks.read_values(spark, path).select("series_id", "observed_at", "value")
 
 
 @query("select station_id, count(series_id) as series from (select * from station where user_id % 3 <> 0) left join series using (station_id) group by 1")
@@ -281,7 +281,9 @@ def sk13_edit_errors(v):
 @query(f"with {RAW} {RAW_BUCKETS}")
 def pj1_file_ingest(v):
     allowed = v("station").select("provider_code").distinct().withColumn("variable_code", F.explode(F.array(F.lit("rain"), F.lit("level"), F.lit("flow"))))
-    return jobs.ingest_files(scans.typed_observations(landed(v)), v("station"), allowed, 3)[1]
+    spark, path = v("events").sparkSession, scratch_dir(v("events").sparkSession)
+    jobs.load_files(spark, path, scans.typed_observations(landed(v)), v("station"), allowed, 3)
+    return sinks.read_values(spark, path).select("series_id", "observed_at", "value")
 
 
 @query("select split_part(station_id, ':', 2) as station_code, strftime(observed_at, '%Y-%m-%d %H:%M') as observed_at, round(value, 6) as rain from (select station_id, date_trunc('minute', observed_at) as observed_at, value from obs where variable_code = 'rain')")
@@ -295,14 +297,11 @@ def pj3_provider_to_files(v):
 
 @query(f"with {RAW} {RAW_BUCKETS}")
 def st1_continuous_ingest(v):
-    """Files of the raw observations as a stream, a few files at a time; the table must be that of one batch.
-
-    Files come in order of their days, so that no row is later than the watermark.
-    """
+    """Files of the raw observations as a stream, one at a time and in no order; the table must be that of one batch."""
     rows = long_rows(v)
     spark = rows.sparkSession
     source, target, state = (scratch_dir(spark) for _ in range(3))
     text = rows.withColumns({"observed_at": F.date_format("observed_at", "yyyy-MM-dd HH:mm"), "value": F.col("value").cast("string")})
     text.repartitionByRange(4, "observed_at").write.option("header", True).csv(source)
     ingest.start(spark, source, target, state, 3, files_per_trigger=1).awaitTermination()
-    return spark.read.parquet(target).select("series_id", "observed_at", "value")
+    return ingest.values(spark, target)

@@ -82,9 +82,9 @@ def typed_observations(rows: DataFrame, state: str = "raw") -> DataFrame:
     )
 
 
-def observation_errors(typed: DataFrame, stations: DataFrame, provider_variables: DataFrame) -> DataFrame:
-    """``station_id, reason, n`` of rows that make a load fail: id, station, variable, time or value."""
-    known = typed.join(stations.select("station_id", F.lit(True).alias("known")), "station_id", "left").join(F.broadcast(provider_variables.select("provider_code", "variable_code", F.lit(True).alias("offered"))), ["provider_code", "variable_code"], "left")
+def with_reason(typed: DataFrame, stations: DataFrame, provider_variables: DataFrame) -> DataFrame:
+    """Typed rows with the ``reason`` why a row makes a load fail: id, station, variable, time or value; null if it doesn't."""
+    known = typed.join(stations.select("station_id", F.lit(True).alias("known")).distinct(), "station_id", "left").join(provider_variables.select("provider_code", "variable_code", F.lit(True).alias("offered")).distinct(), ["provider_code", "variable_code"], "left")
     reason = (
         F.when(F.col("given_id").isNotNull() & (F.col("given_id") != F.col("station_id")), "id")
         .when(F.col("known").isNull(), "station")
@@ -92,7 +92,12 @@ def observation_errors(typed: DataFrame, stations: DataFrame, provider_variables
         .when(F.col("observed_at").isNull(), "time")
         .when(F.col("value").isNull() | F.isnan("value"), "value")
     )
-    return known.select("station_id", reason.alias("reason")).where("reason is not null").groupBy("station_id", "reason").agg(F.count("*").alias("n"))
+    return known.select(*typed.columns, reason.alias("reason"))
+
+
+def observation_errors(typed: DataFrame, stations: DataFrame, provider_variables: DataFrame) -> DataFrame:
+    """``station_id, reason, n`` of rows that make a load fail."""
+    return with_reason(typed, stations, provider_variables).where("reason is not null").groupBy("station_id", "reason").agg(F.count("*").alias("n"))
 
 
 def discovered(rows: DataFrame, run: str | None = None, stations: list[str] | None = None) -> DataFrame:

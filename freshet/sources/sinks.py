@@ -1,15 +1,17 @@
 """Sinks: observation files, upserts by partition, snapshots, packed model outputs, grids, publication.
 
-Parquet has no MERGE: an upsert reads the touched partitions, writes their new content to the shared folder, and then
-overwrites these partitions alone.
+Parquet has no MERGE: an upsert reads the touched partitions and writes their new content beside them, as a new version
+that one commit brings into force.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .scratch import materialise
+from . import versioned
 
 #: Step of packed values, and what stands for a missing one.
 SCALE, FILL = 0.001, -(2**31)
@@ -52,23 +54,20 @@ def ensured_series(existing: DataFrame, wanted: DataFrame) -> DataFrame:
     return existing.unionByName(new, allowMissingColumns=True)
 
 
-def upsert_values(spark: SparkSession, path: str, new: DataFrame, keys: list[str] | None = None, partition: str = "day", order: Column | None = None) -> int:
-    """Upsert rows into a Parquet table partitioned by ``partition``; only partitions with new rows are written. Returns their number.
+def upsert_values(spark: SparkSession, path: str, new: DataFrame, keys: list[str] | None = None, partition: str = "day", order: Column | None = None, check: Callable[[], None] | None = None) -> int:
+    """Upsert rows into a versioned table partitioned by ``partition``; only partitions with new rows are read and written. Returns their number.
 
-    Columns that only the table or only the new rows have stay; they are null where the other side's rows are.
+    All partitions change by one commit, or none does; :func:`read_values` reads the table. Columns that only the table
+    or only the new rows have stay; they are null where the other side's rows are. ``check`` may raise once the new rows
+    are computed, before any is in the table.
     """
     keys = keys or ["series_id", "observed_at"]
-    new = materialise(new)
-    touched = new.select(partition).distinct()
-    kind = new.schema[partition].dataType
-    if exists(spark, path):
-        current = spark.read.option("mergeSchema", "true").parquet(path)
-        current = current.withColumn(partition, F.col(partition).cast(kind))
-    else:
-        current = new.limit(0)
-    content = materialise(merged(current.join(touched, partition, "left_semi"), new, [*keys, partition], order))
-    content.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
-    return new.count()
+    return versioned.upsert(spark, path, new, partition, lambda old, rows: merged(old, rows, [*keys, partition], order), check)
+
+
+def read_values(spark: SparkSession, path: str, parts: list[str] | None = None) -> DataFrame:
+    """The table that :func:`upsert_values` keeps, or some of its partitions."""
+    return versioned.read(spark, path, parts)
 
 
 def synced(stations: DataFrame, inventory: DataFrame, *dependents: DataFrame) -> list[DataFrame]:

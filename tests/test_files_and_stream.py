@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from freshet.plans import jobs
-from freshet.sources import scans, sinks
+from freshet.sources import scans, sinks, versioned
 from freshet.sources.scratch import scratch_dir
 from freshet.streaming import ingest
 
@@ -50,7 +50,7 @@ def test_upsert_is_idempotent_and_the_new_value_wins(spark):
     first = rows(("a", "2026-01-01 00:00", 1.0), ("a", "2026-01-02 00:00", 2.0))
     for batch in (first, first, rows(("a", "2026-01-02 00:00", 9.0), ("b", "2026-01-02 00:00", 3.0))):
         sinks.upsert_values(spark, path, batch)
-    assert sorted((r.series_id, str(r.observed_at)[:10], r.value) for r in spark.read.parquet(path).collect()) == [("a", "2026-01-01", 1.0), ("a", "2026-01-02", 9.0), ("b", "2026-01-02", 3.0)]
+    assert sorted((r.series_id, str(r.observed_at)[:10], r.value) for r in sinks.read_values(spark, path).collect()) == [("a", "2026-01-01", 1.0), ("a", "2026-01-02", 9.0), ("b", "2026-01-02", 3.0)]
 
 
 def test_upsert_keeps_rows_when_columns_differ(spark):
@@ -59,7 +59,7 @@ def test_upsert_keeps_rows_when_columns_differ(spark):
     sinks.upsert_values(spark, path, spark.createDataFrame([("a", "t", 1.0, "2026-01-01"), ("b", "t", 2.0, "2026-01-01")], kind))
     sinks.upsert_values(spark, path, spark.createDataFrame([("a", "t", 9.0, "2026-01-01", "x")], kind + ", note string"))
     sinks.upsert_values(spark, path, spark.createDataFrame([("c", "t", 3.0, "2026-01-02")], kind))
-    rows = {(r.series_id, r.value, r.note) for r in spark.read.option("mergeSchema", "true").parquet(path).collect()}
+    rows = {(r.series_id, r.value, r.note) for r in sinks.read_values(spark, path).collect()}
     assert rows == {("a", 9.0, "x"), ("b", 2.0, None), ("c", 3.0, None)}
     clash = spark.createDataFrame([("k", 1, 2, 3)], "key string, __new int, __order int, __n int")
     assert [tuple(r) for r in sinks.merged(clash, clash.withColumn("__n", F.lit(4)), ["key"]).collect()] == [("k", 1, 2, 4)]
@@ -115,4 +115,84 @@ def test_stream_in_many_batches_is_one_batch(spark, tmp_path):
         (source / f"{i}.csv").write_text(head + line + "\n")
     target = scratch_dir(spark)
     ingest.start(spark, str(source), target, scratch_dir(spark), 3, files_per_trigger=1).awaitTermination()
-    assert sorted((r.series_id, str(r.observed_at), r.value) for r in spark.read.parquet(target).collect()) == [("ana:1.level.raw", "2026-03-10 03:00:00", 15.0), ("ana:1.rain.raw", "2026-03-10 03:00:00", 7.0)]
+    assert sorted((r.series_id, str(r.observed_at), r.value) for r in ingest.values(spark, target).collect()) == [("ana:1.level.raw", "2026-03-10 03:00:00", 15.0), ("ana:1.rain.raw", "2026-03-10 03:00:00", 7.0)]
+
+
+def test_files_of_any_order_make_one_table(spark, tmp_path):
+    """Days that come backwards, weeks late, with a batch in the middle: the table is that of one load."""
+    import random
+
+    rng = random.Random(5)
+    head = "provider_code,station_code,observed_at,variable_code,value\n"
+    lines = [f"ana,{rng.randint(1, 3)},2026-{1 + d // 28:02}-{1 + d % 28:02} {rng.randint(0, 23):02}:{rng.randint(0, 59):02},{rng.choice(['rain', 'level', 'flow', 'other'])},{rng.randint(0, 90) / 4}" for d in range(80) for _ in range(6)]
+    files = [lines[i : i + 60] for i in range(0, len(lines), 60)][::-1]
+    source, target, state = tmp_path / "in", scratch_dir(spark), scratch_dir(spark)
+    source.mkdir()
+    for part in (files[:2], files[2:3], files[3:]):  # each goes on where the one before has ended
+        for i, rows in enumerate(part):
+            (source / f"{rows[0][6:16].replace(' ', '_')}-{i}-{len(rows)}-{lines.index(rows[0])}.csv").write_text(head + "\n".join(rows) + "\n")
+        ingest.start(spark, str(source), target, state, 3, files_per_trigger=1).awaitTermination()
+    typed = scans.typed_observations(scans.observations(spark, str(source)))
+    want = sorted((r.series_id, str(r.observed_at), r.value) for r in jobs.ingest(typed.withColumn("state", F.lit("raw")), 3)[1].collect())
+    got = sorted((r.series_id, str(r.observed_at), r.value) for r in ingest.values(spark, target).collect())
+    assert len(got) > 300 and [g[:2] for g in got] == [w[:2] for w in want] and all(abs(g[2] - w[2]) < 1e-9 for g, w in zip(got, want, strict=True))
+
+
+def _values(spark, *rows):
+    return spark.createDataFrame([(s, t, v, t[:10]) for s, t, v in rows], "series_id string, observed_at string, value double, day string")
+
+
+def test_an_upsert_reads_the_touched_days_alone(spark, capsys):
+    path = scratch_dir(spark)
+    sinks.upsert_values(spark, path, _values(spark, *[("a", f"2026-01-{d:02} 00:00", 1.0 * d) for d in range(1, 29)]))
+    some = sinks.read_values(spark, path, ["2026-01-07"])
+    some.explain("formatted")
+    plan = capsys.readouterr().out
+    assert "PartitionFilters" in plan and "2026-01-07" in plan.split("PartitionFilters", 1)[1].split("\n")[0]
+    assert [r.value for r in some.collect()] == [7.0]
+    sinks.upsert_values(spark, path, _values(spark, ("a", "2026-01-07 00:00", 70.0), ("a", "2026-02-01 00:00", 32.0)))
+    state = versioned.current(spark, path)
+    assert state.seq == 2 and {p for p, v in state.parts.items() if v == 2} == {"2026-01-07", "2026-02-01"} and len(state.parts) == 29
+    assert sum(r.value for r in sinks.read_values(spark, path).collect()) == sum(range(1, 29)) - 7 + 70 + 32
+    assert versioned.vacuum(spark, path) == [] and versioned.current(spark, path).seq == 2
+    sinks.upsert_values(spark, path, _values(spark, ("a", "2026-02-01 00:00", 1.0), ("b", "2026-01-07 00:00", 2.0)))
+    assert versioned.vacuum(spark, path) == [2] and sinks.read_values(spark, path).count() == 30
+
+
+def test_a_job_that_dies_leaves_the_table_as_it_was(spark, monkeypatch):
+    path = scratch_dir(spark)
+    sinks.upsert_values(spark, path, _values(spark, ("a", "2026-01-01 00:00", 1.0), ("a", "2026-01-02 00:00", 2.0)))
+    new = _values(spark, ("a", "2026-01-01 00:00", 8.0), ("a", "2026-01-02 00:00", 9.0))
+    with monkeypatch.context() as m:
+        m.setattr(versioned, "_commit", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError, match="lost"):
+            sinks.upsert_values(spark, path, new)
+    assert sorted(r.value for r in sinks.read_values(spark, path).collect()) == [1.0, 2.0]  # both versions are on disk now
+    sinks.upsert_values(spark, path, new.limit(1))
+    assert sorted(r.value for r in sinks.read_values(spark, path).collect()) in ([2.0, 8.0], [1.0, 9.0])
+    state = versioned.current(spark, path)
+    with pytest.raises(versioned.ConflictingCommit):
+        versioned._commit(spark, path, state)
+    with pytest.raises(ValueError, match="value is double"):
+        sinks.upsert_values(spark, path, new.withColumn("value", F.lit("x")))
+    assert sinks.upsert_values(spark, path, new.limit(0)) == 0 and sinks.read_values(spark, path).count() == 2
+
+
+def test_a_batch_is_added_once(spark):
+    path = scratch_dir(spark)
+    rows = spark.createDataFrame([("s", "rain", "raw", "2026-01-01 01:00", 2.0), ("s", "level", "raw", "2026-01-01 01:00", 2.0)], "station_id string, variable_code string, state string, observed_at string, value double").withColumn("observed_at", F.col("observed_at").cast("timestamp_ntz"))
+    for number in (0, 0, 1, 1, 0):
+        versioned.upsert(spark, path, ingest.partial_buckets(rows, 3), "day", ingest.added, writer="w", batch=number)
+    assert sorted((r.series_id, r.value) for r in ingest.values(spark, path).collect()) == [("s.level.raw", 2.0), ("s.rain.raw", 4.0)]
+
+
+def test_a_load_counts_while_it_reads(spark, tmp_path):
+    path = scratch_dir(spark)
+    (tmp_path / "a.csv").write_text("provider_code,station_code,observed_at,variable_code,value\nana,1,2026-03-10 00:10,rain,1.0\nana,1,2026-03-10 00:20,rain,2.0\n")
+    stations, allowed = spark.createDataFrame([("ana:1",), ("ana:1",)], "station_id string"), spark.createDataFrame([("ana", "rain")], "provider_code string, variable_code string")
+    load = lambda: jobs.load_files(spark, path, scans.typed_observations(scans.observations(spark, str(tmp_path))), stations, allowed, 1)
+    assert load() == {"rows_read": 2, "rows_written": 1}
+    (tmp_path / "b.csv").write_text("provider_code,station_code,observed_at,variable_code,value\nana,1,2026-03-10 00:30,rain,5.0\nana,9,2026-03-10 00:20,rain,7.0\n")
+    with pytest.raises(ValueError, match="1 of 4 rows are wrong, as ana:9: station"):
+        load()
+    assert [r.value for r in sinks.read_values(spark, path).collect()] == [3.0]
