@@ -259,67 +259,126 @@ def legend_range(cells: DataFrame) -> DataFrame:
 # --- neighbours and interpolation ------------------------------------------------------------------------------
 
 
-def _cell_size(sources: DataFrame, size: float, k: int, n: int) -> float:
-    """The largest of ``size``, its half, its quarter and so on in whose cells a source meets about 8 k sources on average, itself included.
-
-    Counted cell by cell, so that clustered sources and a few that are far away have cells that fit the clusters.
-    """
-    levels = sources.withColumn("level", F.explode(F.sequence(F.lit(0), F.lit(16)))).withColumn("size", F.lit(size) / F.pow(F.lit(2.0), F.col("level")))
-    cells = levels.groupBy("level", F.floor(F.col("slat") / F.col("size")).alias("cy"), F.floor(F.col("slon") / F.col("size")).alias("cx")).agg(F.count("*").alias("c"))
-    met = {r.level: r.met / n for r in cells.groupBy("level").agg(F.sum(F.col("c") * F.col("c")).alias("met")).collect()}
-    return size / 2 ** next((i for i in sorted(met) if met[i] <= 8 * k), 16)
+#: Levels below the root of a tree of cells at most, halvings of a side from one level to the next; sources up to which a
+#: cell isn't looked into.
+DEPTH, HALVINGS, LEAF = 16, 3, 32
+_BOX = ["level", "cy", "cx"]
+
+
+def _none_near(t: DataFrame) -> DataFrame:
+    return t.select("target_id", F.lit(None).alias("source_id"), F.lit(None).cast("double").alias("distance"), F.lit(None).cast("int").alias("place")).limit(0)
+
+
+class _Tree:
+    """A tree of counts over sources: the cells with sources of each level, ``HALVINGS`` times quartered from one to the next."""
+
+    def __init__(self, sources: DataFrame, south: float, west: float, extent: float, leaf: int) -> None:
+        self.south, self.west, self.leaf, self.slack = south, west, leaf, extent * 1e-12
+        self.size = extent * (1 + 1e-9) + 1e-9
+        last = F.lit(2 ** (HALVINGS * DEPTH) - 1).cast("long")
+        self.sources = sources.withColumns({"y": F.least(self._index("slat", south), last), "x": F.least(self._index("slon", west), last)})
+        cells = self._at(self.sources, range(DEPTH + 1)).groupBy(*_BOX).agg(F.count("*").alias("n"))
+        every = materialise(cells)
+        most = {r.level: r.most for r in every.groupBy("level").agg(F.max("n").alias("most")).collect()}
+        #: The first level on which no cell has more sources than a leaf.
+        self.depth = next((i for i in range(DEPTH) if most[i] <= leaf), DEPTH)
+        self.cells = every.where(F.col("level") <= self.depth)
+
+    def _index(self, column: str, first: float) -> Column:
+        return F.floor((F.col(column) - first) / (self.size / 2 ** (HALVINGS * DEPTH))).cast("long")
+
+    @staticmethod
+    def _at(rows: DataFrame, levels: Sequence[int]) -> DataFrame:
+        """Rows with deepest ``y, x`` in their cells of some levels."""
+        spread = rows.withColumn("level", F.explode(F.array(*map(F.lit, levels))))
+        return spread.withColumns({c: F.call_function("shiftright", F.col(i), (F.lit(DEPTH) - F.col("level")) * HALVINGS) for c, i in (("cy", "y"), ("cx", "x"))})
+
+    def _bounded(self, rows: DataFrame) -> DataFrame:
+        """Rows with the least and the largest distance ``lo, hi`` that a point of their cell can have."""
+        side = F.lit(self.size) / F.pow(F.lit(2.0), F.col("level") * HALVINGS)
+        near, far = [], []
+        for point, cell, first in (("lat", "cy", self.south), ("lon", "cx", self.west)):
+            low = F.lit(first) + F.col(cell) * side
+            near.append(F.greatest(low - F.col(point), F.col(point) - low - side, F.lit(0.0)))
+            far.append(F.greatest(F.abs(F.col(point) - low), F.abs(F.col(point) - low - side)))
+        return rows.withColumns({n: F.sqrt(F.pow(a, 2) + F.pow(b, 2)) for n, (a, b) in (("lo", near), ("hi", far))})
+
+    def _kept(self, rows: DataFrame, k: int) -> DataFrame:
+        """Of each target the cells that may hold one of its k nearest: those no further than cells that surely hold k are wide."""
+        so_far = Window.partitionBy("target_id").orderBy("hi").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+        enough = rows.withColumn("enough", F.when(F.sum("n").over(so_far) >= k, F.col("hi")))
+        reach = F.min("enough").over(Window.partitionBy("target_id"))
+        return enough.withColumn("reach", reach).where(F.col("lo") <= F.col("reach") + self.slack).drop("enough")
+
+    def candidates(self, targets: DataFrame, k: int) -> DataFrame:
+        """``target_id, lat, lon, level, cy, cx``: the leaves in which the k nearest of each target are.
+
+        It begins with the smallest cell around a target that holds k sources, whose far corner bounds the k-th
+        distance, and with all cells of that size within the bound; targets outside of all begin with the root. Then
+        cells that aren't leaves give way to those below them, and those beyond the bound go, until all are leaves.
+        """
+        levels = range(self.depth + 1)
+        t = targets.withColumns({"y": self._index("lat", self.south), "x": self._index("lon", self.west)})
+        around = self._at(t, levels).join(self.cells.where(F.col("n") >= k), _BOX).groupBy("target_id").agg(F.max("level").alias("level"))
+        begun = t.join(around, "target_id", "left").fillna(0, ["level"])
+        begun = begun.withColumns({c: F.when(F.col("level") == 0, 0).otherwise(F.call_function("shiftright", F.col(i), (F.lit(DEPTH) - F.col("level")) * HALVINGS)) for c, i in (("cy", "y"), ("cx", "x"))})
+        begun = self._bounded(begun).withColumn("side", F.lit(self.size) / F.pow(F.lit(2.0), F.col("level") * HALVINGS))
+        most = F.pow(F.lit(2), F.col("level") * HALVINGS).cast("long") - 1
+
+        def span(point: str, first: float) -> Column:
+            a, b = (F.floor((F.col(point) - first + sign * (F.col("hi") + self.slack)) / F.col("side")).cast("long") for sign in (-1, 1))
+            return F.explode(F.sequence(F.greatest(a, F.lit(0).cast("long")), F.greatest(F.least(b, most), F.greatest(a, F.lit(0).cast("long")))))
+
+        here = begun.where("level > 0").drop("cy", "cx").withColumn("cy", span("lat", self.south)).withColumn("cx", span("lon", self.west))
+        root = begun.where("level = 0").select("target_id", "lat", "lon", "level", F.lit(0).cast("long").alias("cy"), F.lit(0).cast("long").alias("cx"))
+        first = here.select("target_id", "lat", "lon", *_BOX).unionByName(root)
+        now = materialise(self._kept(self._bounded(first.join(self.cells, _BOX)), k))
+        leaf = (F.col("n") <= self.leaf) | (F.col("level") >= self.depth)
+        while not now.where(~leaf).isEmpty():
+            parts = F.sequence(F.lit(0).cast("long"), F.lit(2**HALVINGS - 1).cast("long"))
+            below = now.where(~leaf).withColumn("dy", F.explode(parts)).withColumn("dx", F.explode(parts))
+            below = below.select("target_id", "lat", "lon", "reach", (F.col("level") + 1).alias("level"), (F.col("cy") * 2**HALVINGS + F.col("dy")).alias("cy"), (F.col("cx") * 2**HALVINGS + F.col("dx")).alias("cx"))
+            within = self._bounded(below).where(F.col("lo") <= F.col("reach") + self.slack)
+            both = within.join(self.cells, _BOX).unionByName(now.where(leaf)).drop("reach")
+            now = materialise(self._kept(both, k))
+        return now.select("target_id", "lat", "lon", *_BOX)
+
+    def pairs(self, targets: DataFrame, k: int) -> DataFrame:
+        """Each target with the sources of its leaves."""
+        leaves = self.candidates(targets, k)
+        levels = sorted(r.level for r in leaves.select("level").distinct().collect())
+        return leaves.join(self._at(self.sources, levels or [0]), _BOX).select("target_id", "lat", "lon", "source_id", "slat", "slon")
+
+
+def near_pairs(targets: DataFrame, sources: DataFrame, k: int) -> DataFrame | None:
+    """Pairs among which the k nearest sources of every target are, some times ``k`` for each; None without sources or targets."""
+    t = targets.where("lat is not null and lon is not null").select("target_id", "lat", "lon")
+    rows = sources.where("lat is not null and lon is not null").select("source_id", F.col("lat").alias("slat"), F.col("lon").alias("slon"))
+    # of sources at one place the first k by id are enough
+    same = Window.partitionBy("slat", "slon").orderBy("source_id")
+    s = materialise(rows.withColumn("place", F.row_number().over(same)).where(F.col("place") <= k).drop("place"))
+    n, south, north, west, east = s.agg(F.count("*"), F.min("slat"), F.max("slat"), F.min("slon"), F.max("slon")).first()
+    if not n or t.isEmpty():
+        return None
+    tree = _Tree(s, south, west, max(north - south, east - west, 1e-9), max(LEAF, 2 * k))
+    return tree.pairs(t, min(k, n))
 
 
 def nearest(targets: DataFrame, sources: DataFrame, k: int) -> DataFrame:
     """``target_id, source_id, distance, place`` of the k nearest sources of every target, or of all if there are fewer.
 
     ``targets`` and ``sources`` have ``target_id`` / ``source_id, lat, lon``; rows without coordinates take no part;
-    equal distances go by source_id. Both sides are cut into square cells. A target meets the sources of the cells around
-    its own by equality, and is done when its k-th distance fits into that ring; only the others go on with a ring of
-    twice the width. No pair of far points is ever made.
+    equal distances go by source_id. A tree of counts is descended for all targets at once, level by level, by
+    equality of cells: a target opens only cells that can hold one of its k nearest, however far it is from them and
+    however the sources are clustered.
     """
-    t = targets.where("lat is not null and lon is not null").select("target_id", "lat", "lon")
-    s = materialise(sources.where("lat is not null and lon is not null").select(F.col("source_id"), F.col("lat").alias("slat"), F.col("lon").alias("slon")))
-    n, south, north, west, east = s.agg(F.count("*"), F.min("slat"), F.max("slat"), F.min("slon"), F.max("slon")).first()
-    if not n:
-        return t.select("target_id", F.lit(None).alias("source_id"), F.lit(None).cast("double").alias("distance"), F.lit(None).cast("int").alias("place")).limit(0)
-    k = min(k, n)
-    bounds = t.agg(F.min("lat"), F.max("lat"), F.min("lon"), F.max("lon")).first()
-    if bounds[0] is None:
-        return t.select("target_id", F.lit(None).alias("source_id"), F.lit(None).cast("double").alias("distance"), F.lit(None).cast("int").alias("place")).limit(0)
-    extent = max(max(north, bounds[1]) - min(south, bounds[0]), max(east, bounds[3]) - min(west, bounds[2]), 1e-9)
-    size = _cell_size(s, max(((max(north - south, 1e-9) * max(east - west, 1e-9)) * k / n) ** 0.5, extent / 1e6), k, n)
-
-    def cell(lat: str, lon: str) -> tuple[Column, Column]:
-        return F.floor(F.col(lat) / size).cast("long"), F.floor(F.col(lon) / size).cast("long")
-
-    placed = s.withColumns(dict(zip(("cy", "cx"), cell("slat", "slon"), strict=True)))
-    open_, ring, parts = t, 1, []
-    while True:
-        cy, cx = cell("lat", "lon")
-        around = F.sequence(F.lit(-ring), F.lit(ring))
-        # a whole band of rows at once: from a ring that covers everything on, cells of the sources only
-        spread = open_.select("*", cy.alias("ty"), cx.alias("tx")).withColumn("dy", F.explode(around)).withColumn("dx", F.explode(around))
-        spread = spread.select("target_id", "lat", "lon", (F.col("ty") + F.col("dy")).alias("cy"), (F.col("tx") + F.col("dx")).alias("cx"))
-        pairs = spread.join(placed, ["cy", "cx"])
-        distance = F.sqrt(F.pow(F.col("lat") - F.col("slat"), 2) + F.pow(F.col("lon") - F.col("slon"), 2))
-        order = Window.partitionBy("target_id").orderBy("distance", "source_id")
-        ranked = pairs.withColumn("distance", distance).withColumn("place", F.row_number().over(order)).where(F.col("place") <= k)
-        reach = ring * size
-        done = ranked.groupBy("target_id").agg(F.count("*").alias("n"), F.max("distance").alias("far")).where((F.col("n") >= k) & (F.lit(reach > 2 * extent) | (F.col("far") <= reach)))
-        ranked, done = materialise(ranked.select("target_id", "source_id", "distance", "place")), materialise(done.select("target_id"))
-        parts.append(ranked.join(done, "target_id", "left_semi"))
-        open_ = materialise(open_.join(done, "target_id", "left_anti"))
-        if open_.isEmpty():
-            break
-        ring *= 2
-        if ring > 8:  # coarser cells instead of more of them
-            size, ring = size * 8, 2
-            placed = s.withColumns(dict(zip(("cy", "cx"), cell("slat", "slon"), strict=True)))
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.union(part)
-    return out
+    pairs = near_pairs(targets, sources, k)
+    if pairs is None:
+        return _none_near(targets)
+    distance = F.sqrt(F.pow(F.col("lat") - F.col("slat"), 2) + F.pow(F.col("lon") - F.col("slon"), 2))
+    order = Window.partitionBy("target_id").orderBy("distance", "source_id")
+    ranked = pairs.withColumn("distance", distance).withColumn("place", F.row_number().over(order)).where(F.col("place") <= k)
+    return materialise(ranked.select("target_id", "source_id", "distance", "place"))
 
 
 def idw(targets: DataFrame, samples: DataFrame, k: int = 5, power: float = 2.0) -> DataFrame:

@@ -303,3 +303,21 @@ def test_time_text(spark):
 def test_fetch_windows(spark):
     days = spark.createDataFrame([("a", f"2026-01-{d:02d}") for d in (1, 2, 3, 4, 7, 8, 8)], "station_id string, day string").withColumn("day", F.to_date("day"))
     assert sorted((str(r.start_day)[-2:], str(r.end_day)[-2:]) for r in O.fetch_windows(days, 3).collect()) == [("01", "03"), ("04", "04"), ("07", "08")]
+
+
+def test_far_targets_of_clustered_sources_meet_a_few(spark):
+    """Pairs grow with k, not with the cluster; many sources at one place, few sources and lattice ties are as by brute force."""
+    import random
+
+    rng = random.Random(1)
+    cluster = [(i, 50 + rng.gauss(0, 1e-4), 50 + rng.gauss(0, 1e-4)) for i in range(6000)] + [(20_000 + i, rng.random() * 100, rng.random() * 100) for i in range(20)]
+    around = [(i, rng.random() * 1000 - 500, rng.random() * 1000 - 500) for i in range(40)] + [(100 + i, 50 + rng.gauss(0, 1e-4), 50 + rng.gauss(0, 1e-4)) for i in range(40)]
+    cases = [(around, cluster, 5), ([(i, 1.0 * i, 0.0) for i in range(5)], [(i, 1.0, 1.0) for i in range(300)] + [(9000, 2.0, 2.0)], 4), ([(1, 0.0, 0.0)], [(7, 1.0, 1.0), (3, 1.0, 1.0)], 5), ([(i, (i % 9) * 0.5, (i // 9) * 0.5) for i in range(81)], [(i, i % 9 * 1.0, i // 9 * 1.0) for i in range(81)], 4)]
+    for targets, sources, k in cases:
+        t, s = spark.createDataFrame(targets, "target_id long, lat double, lon double"), spark.createDataFrame(sources, "source_id long, lat double, lon double")
+        got: dict[int, list[int]] = {}
+        for r in G.nearest(t, s, k).orderBy("target_id", "place").collect():
+            got.setdefault(r.target_id, []).append(r.source_id)
+        assert got == {i: [x for _, x in sorted((((a - c) ** 2 + (b - d) ** 2) ** 0.5, x) for x, c, d in sources)[:k]] for i, a, b in targets}
+        assert G.near_pairs(t, s, k).count() <= 20 * k * len(targets)
+    assert G.nearest(t.limit(0), s, 3).collect() == [] == G.nearest(t, s.limit(0), 3).collect()
