@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.timeops import plus_hours
 from ..sources.scratch import materialise
+from .intervals import BIN, bins_of_points, bins_of_spans, depth_of, micros, whole_units
 
 
 @dataclass(frozen=True)
@@ -107,13 +108,23 @@ def split_evenly(cells: DataFrame, timestep_hours: int) -> DataFrame:
 def containing_intervals(targets: DataFrame, cells: DataFrame, timestep_hours: int) -> DataFrame:
     """``asset_id, end_utc, n``: how many native intervals hold each target step ``(end - step, end]``; 1 is right.
 
-    Intervals are spread over their steps, so that the range condition is an equality.
+    Intervals have the dyadic bins of their steps, counted from their start; targets meet them by equality, and steps
+    that aren't a whole number from the start have another ``phase``.
     """
+    step = timestep_hours * 3_600_000_000
     native = cells.select("asset_id", "start_utc", "end_utc").distinct()
-    n = F.floor(F.timestamp_diff("HOUR", F.col("start_utc"), F.col("end_utc")) / timestep_hours).cast("int")
-    steps = native.select("asset_id", "start_utc", F.explode(F.when(n > 0, F.sequence(F.lit(1), n)).otherwise(F.array().cast("array<int>"))).alias("i"))
-    ends = steps.select("asset_id", plus_hours(F.col("start_utc"), F.col("i") * timestep_hours).alias("end_utc")).groupBy("asset_id", "end_utc").agg(F.count("*").alias("n"))
-    return targets.join(ends, ["asset_id", "end_utc"], "left").select("asset_id", "end_utc", F.coalesce("n", F.lit(0)).alias("n"))
+    n = F.floor(F.timestamp_diff("HOUR", F.col("start_utc"), F.col("end_utc")) / timestep_hours).cast("long")
+
+    def placed(time: str) -> dict[str, Column]:
+        at = micros(F.col(time))
+        return {"phase": F.pmod(at, F.lit(step).cast("long")), "index": whole_units(at, step)}
+
+    spans = native.withColumns({**placed("start_utc"), "n": n})
+    depth = depth_of(spans.agg(F.max("n")).first()[0])
+    held = bins_of_spans(spans, F.col("index") + 1, F.col("index") + 1 + F.col("n"), depth).groupBy("asset_id", "phase", *BIN).agg(F.count("*").alias("n"))
+    asked = targets.select("asset_id", "end_utc").distinct().withColumns(placed("end_utc"))
+    found = bins_of_points(asked, F.col("index"), depth).join(held, ["asset_id", "phase", *BIN]).groupBy("asset_id", "end_utc").agg(F.sum("n").alias("n"))
+    return targets.join(found, ["asset_id", "end_utc"], "left").select("asset_id", "end_utc", F.coalesce("n", F.lit(0)).alias("n"))
 
 
 def gaps(cells: DataFrame) -> DataFrame:
@@ -546,13 +557,20 @@ def corrected_in_order(cells: DataFrame, resolution: float, corrections: Sequenc
 
 
 def _with_edits(cells: DataFrame, edits: DataFrame) -> DataFrame:
-    """Cells with the edit whose window of hours after the asset's first bound holds their interval, beside them."""
+    """Cells with the edit whose window of hours after the asset's first bound holds their interval, beside them.
+
+    Only the different intervals of an asset meet its edits, by the dyadic bins of their windows.
+    """
     turn = F.col("rotation_deg") if "rotation_deg" in edits.columns else F.lit(0.0)
     mine = edits.select("asset_id", "t0_step", "t1_step", "shift_lat", "shift_lon", turn.cast("double").alias("rotation_deg"), "multiplication_factor")
-    first = cells.groupBy("asset_id").agg(F.min("start_utc").alias("first_utc")).join(mine, "asset_id")
-    hours = {x: F.timestamp_diff("HOUR", F.col("first_utc"), F.col(f"{x}_utc")) for x in ("start", "end")}
-    joined = cells.join(first, "asset_id").where((hours["start"] >= F.col("t0_step")) & (hours["end"] <= F.col("t1_step"))).select("asset_id", "start_utc", "end_utc", "shift_lat", "shift_lon", "rotation_deg", "multiplication_factor").distinct()
-    return cells.join(joined, ["asset_id", "start_utc", "end_utc"], "left")
+    first = cells.groupBy("asset_id").agg(F.min("start_utc").alias("first_utc"))
+    steps = cells.select("asset_id", "start_utc", "end_utc").distinct().join(first, "asset_id")
+    steps = steps.withColumns({f"_{x}": F.timestamp_diff("HOUR", F.col("first_utc"), F.col(f"{x}_utc")) for x in ("start", "end")}).drop("first_utc")
+    depth = depth_of(mine.agg(F.max(F.col("t1_step") - F.col("t0_step") + 1)).first()[0])
+    windows = bins_of_spans(mine, F.col("t0_step"), F.col("t1_step") + 1, depth)
+    found = bins_of_points(steps, F.col("_start"), depth).join(windows, ["asset_id", *BIN]).where("_end <= t1_step")
+    held = found.select("asset_id", "start_utc", "end_utc", "shift_lat", "shift_lon", "rotation_deg", "multiplication_factor").distinct()
+    return cells.join(held, ["asset_id", "start_utc", "end_utc"], "left")
 
 
 def _edited_parts(cells: DataFrame, edits: DataFrame, resolution: float) -> tuple[DataFrame, DataFrame]:

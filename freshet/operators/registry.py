@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.timeops import cycle_candidates, forecast_cycle, to_naive_utc
+from .intervals import micros, newest_holding
 
 ASSET_COLUMNS = ["asset_id", "asset_kind", "format", "relative_path", "provider_code", "checksum", "valid_from", "valid_to", "created_at"]
 
@@ -51,17 +52,13 @@ def covering(assets: DataFrame, at: Column, kind: str, keys: list[str] | None =
 def as_of(points: DataFrame, assets: DataFrame, kind: str) -> DataFrame:
     """``point_id, asset_id`` of the newest asset valid at each point's instant, null without one.
 
-    Points meet the assets of their provider by the days of the assets' validity, an equality; a window then keeps the
-    newest. Of assets with the same provider and validity only the one that goes before the others takes part.
+    Validity is cut into dyadic bins of time, of which each keeps its newest asset; points meet the bins around them by
+    equality. Work grows with assets plus points (times the logarithm of the longest validity), not with their pairs.
     """
     rows = assets.where(F.col("asset_kind") == kind).select("asset_id", "provider_code", "valid_from", "valid_to", "created_at")
-    same = Window.partitionBy("provider_code", "valid_from", "valid_to").orderBy(F.col("created_at").desc(), "asset_id")
-    rows = rows.withColumn("place", F.row_number().over(same)).where("place = 1").drop("place")
-    days = rows.withColumn("day", F.explode(F.sequence(F.to_date("valid_from"), F.to_date("valid_to"))))
-    found = points.withColumn("day", F.to_date("at")).join(days, ["provider_code", "day"]).where("valid_from <= at and valid_to >= at")
-    order = Window.partitionBy("point_id").orderBy(F.col("valid_from").desc(), F.col("created_at").desc(), "asset_id")
-    newest = found.withColumn("place", F.row_number().over(order)).where("place = 1").select("point_id", "asset_id")
-    return points.select("point_id").join(newest, "point_id", "left")
+    newest = F.struct((-micros(F.col("valid_from"))).alias("a"), F.coalesce(-micros(F.col("created_at")), F.lit(2**63 - 1)).alias("b"), F.col("asset_id").alias("asset_id"))
+    found = newest_holding(points, rows, ["provider_code"], "point_id", "at", "valid_from", "valid_to", newest)
+    return points.select("point_id").join(found.select("point_id", "best.asset_id"), "point_id", "left")
 
 
 def of_cycle(wanted: DataFrame, assets: DataFrame, start: Column | None = None, end: Column | None = None) -> DataFrame:
