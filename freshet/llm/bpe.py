@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import base64
-import gc
+
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -13,7 +13,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import select_id_text
+from .common import kept, select_id_text
 from .pieces import PieceIds, byte_slices, spread
 
 _NONE = np.int32(2**31 - 1)
@@ -285,15 +285,9 @@ class BytePairEncoder:
         return self.token_bytes[spread(self.token_at[ids], size)], size
 
 
-_encoders: dict[tuple[str, str], BytePairEncoder] = {}
-
-
 def encoder(path: str, pattern: str) -> BytePairEncoder:
     """One encoder for a worker and vocabulary."""
-    if (path, pattern) not in _encoders:
-        _encoders[path, pattern] = BytePairEncoder(read_ranks(path), pattern)
-        gc.freeze()  # the tables stay: collections needn't walk them again and again
-    return _encoders[path, pattern]
+    return kept((path, pattern), lambda: BytePairEncoder(read_ranks(path), pattern))
 
 
 def encode(docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

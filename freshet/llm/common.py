@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from pathlib import Path
 
 import numpy as np
@@ -32,6 +35,33 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_kept: dict[object, object] = {}
+
+
+def kept(key: object, make: Callable[[], object]) -> object:
+    """What ``make`` returns, kept by this Python worker until it needs something else: a worker holds one large table at a time.
+
+    A job's stages run in the same workers; what an earlier one made goes, and its memory goes back to the system.
+    """
+    if key not in _kept:
+        _kept.clear()
+        gc.unfreeze()
+        gc.collect()
+        with contextlib.suppress(OSError, AttributeError):  # where the C library can't, its memory is used again later
+            ctypes.CDLL(None).malloc_trim(0)
+        _kept[key] = make()
+        gc.freeze()  # the table stays: collections needn't walk it again and again
+    return _kept[key]
+
+
+def unused(names: list[str], columns: Iterable[str]) -> list[str]:
+    """The names, with as many underscores before them as it takes for the columns to lack them all."""
+    taken = {c.lower() for c in columns}
+    while taken & {n.lower() for n in names}:
+        names = [f"_{n}" for n in names]
+    return names
+
+
 def text_slices(ids: list, texts: list, max_chars: int = SLICE_CHARS) -> Iterator[tuple[list, list]]:
     """Cut a batch so that a step holds about ``max_chars`` characters, or one text if that is longer."""
     start, chars = 0, 0

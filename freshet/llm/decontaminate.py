@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import char_spans, id_and_text, materialise, select_id_text, words_of
+from .common import char_spans, id_and_text, kept, materialise, select_id_text, words_of
 
 #: Words of a window.
 WINDOW = 10
@@ -67,16 +68,6 @@ def merged(hits: Iterable[tuple[int, int]]) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out]
 
 
-_machines: dict[str, Windows] = {}
-
-
-def _machine(key: str, items: list[tuple[str, str]], window: int) -> Windows:
-    if key not in _machines:
-        _machines.clear()
-        _machines[key] = Windows(items, window)
-    return _machines[key]
-
-
 SCHEMA = "doc_id long, n_words long, ranges array<struct<first:long,after:long>>, spans array<struct<start:long,end:long>>, items array<string>"
 
 
@@ -85,7 +76,7 @@ def _scan_once(docs: DataFrame, items: list[tuple[str, str]], window: int) -> Da
     key = hashlib.sha256(repr((window, items)).encode()).hexdigest()
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        machine = _machine(key, shared.value, window)
+        machine = kept(key, lambda: Windows(shared.value, window))
         for ids, texts in id_and_text(batches):
             counts, ranges, spans, names = [], [], [], []
             for text in texts:
@@ -101,16 +92,19 @@ def _scan_once(docs: DataFrame, items: list[tuple[str, str]], window: int) -> Da
     return select_id_text(docs).mapInArrow(run, SCHEMA)
 
 
-def _passes(benchmark: DataFrame, window: int, max_words: int) -> list[list[tuple[str, str]]]:
-    """The items in lists whose windows have about ``max_words`` words (or one item): what is broadcast at once is bounded."""
+def _passes(benchmark: DataFrame, window: int, max_words: int) -> Iterator[list[tuple[str, str]]]:
+    """The items in lists whose windows have about ``max_words`` words (or one item), each collected when its pass begins."""
     items = benchmark.select(F.col("item_id").cast("string"), F.col("text").cast("string")).where("item_id is not null and text is not null").distinct()
     n_words = F.size(F.regexp_extract_all("text", F.lit("[0-9A-Za-z\\x{80}-\\x{10FFFF}]+"), F.lit(0)))
     size = items.agg(F.sum(n_words * window)).first()[0] or 0
     n = -(-size // max_words)
     if n <= 1:
-        return [sorted(map(tuple, items.collect()))]
+        yield sorted(map(tuple, items.collect()))
+        return
     dealt = materialise(items.withColumn("pass", F.pmod(F.xxhash64("item_id"), F.lit(2 * n))))
-    return [sorted(map(tuple, rows)) for i in range(2 * n) if (rows := dealt.where(F.col("pass") == i).select("item_id", "text").collect())]
+    for i in range(2 * n):
+        if rows := dealt.where(F.col("pass") == i).select("item_id", "text").collect():
+            yield sorted(map(tuple, rows))
 
 
 def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, max_words: int = MAX_WORDS) -> DataFrame:
@@ -122,10 +116,12 @@ def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, max_words:
     pass for each part, and the passes' results of a row are then put together.
     """
     passes = _passes(benchmark, window, max_words)
-    if len(passes) <= 1:
-        return _scan_once(docs, passes[0] if passes else [], window)
+    first, second = next(passes, []), next(passes, None)
+    if second is None:
+        return _scan_once(docs, first, window)
     rows = materialise(select_id_text(docs).withColumn("row", F.monotonically_increasing_id()))
-    parts = [_scan_once(rows.select(F.col("row").alias("doc_id"), "text"), items, window) for items in passes]
+    # each pass ends before the next one's items come to the driver
+    parts = [materialise(_scan_once(rows.select(F.col("row").alias("doc_id"), "text"), items, window)) for items in chain([first, second], passes)]
     every = parts[0]
     for part in parts[1:]:
         every = every.unionByName(part)

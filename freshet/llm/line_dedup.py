@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialise, select_id_text, utf8
+from .common import materialise, select_id_text, unused, utf8
 from .pieces import byte_slices, low_and_high, spread, word_places
 
 #: Jaccard similarity from which a later line goes.
@@ -41,6 +41,8 @@ HELD, PART = 65_536, 32_768
 FILTER_BITS = 24
 #: Longest run of lines that is compared by shifts of the whole batch; longer ones go block by block.
 SHORT_RUN, BLOCK, ACROSS = 48, 256, 1024
+#: Seed of the words' second hash, of which the second half of a set's signature is made.
+SECOND = 0x9FB21C651E98DF25
 
 REPRESENTATIVE = "n int, doc binary, line binary, size binary, s1 binary, s2 binary, tokens binary, gone_doc binary, gone_line binary"
 POSTING = ("token", "prev", "pos", "size", "line", "doc", "s1", "s2")
@@ -76,12 +78,16 @@ def _mix(x: np.ndarray, by: int) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
-def word_hashes(raw: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """64-bit hashes of words in bytes: a mix of the word itself for up to 16 bytes, XXH64 for longer ones."""
+def word_hashes(raw: np.ndarray, start: np.ndarray, size: np.ndarray, seed: int = 0) -> np.ndarray:
+    """64-bit hashes of words in bytes: a mix of the word itself for up to 16 bytes, XXH64 for longer ones.
+
+    Another seed's hashes are independent: each of a word's eight bytes and its length is mixed by itself.
+    """
     low, high = low_and_high(raw, start, size)
-    out = _mix(_mix(low ^ size.astype(np.uint64) << np.uint64(56), 0xFF51AFD7ED558CCD) + high, 0xC4CEB9FE1A85EC53)
+    keyed = _mix(low + np.uint64(seed), 0xFF51AFD7ED558CCD) + high
+    out = _mix(_mix(keyed, 0xD6E8FEB86659FD93) + size.astype(np.uint64), 0xC4CEB9FE1A85EC53)
     for i in np.flatnonzero(size > 16).tolist():
-        out[i] = xxhash.xxh64_intdigest(raw[start[i] : start[i] + size[i]].tobytes())
+        out[i] = xxhash.xxh64_intdigest(raw[start[i] : start[i] + size[i]].tobytes(), seed)
     return out
 
 
@@ -206,7 +212,7 @@ class Lines:
         """The lines with words of texts that lie one behind the other."""
         raw = _LOWER[raw]
         start, bytes_ = word_places(raw, offsets)
-        flat = order(word_hashes(raw, start, bytes_))
+        flat, again = order(word_hashes(raw, start, bytes_)), word_hashes(raw, start, bytes_, SECOND)
         ends = np.flatnonzero(raw == 10)
         ends = ends[ends < offsets[-1]]
         number, doc = np.searchsorted(ends, start), np.searchsorted(offsets, start, "right") - 1
@@ -216,10 +222,10 @@ class Lines:
         doc, number = doc[first], number[first]
         line = number - np.searchsorted(ends, offsets[:-1])[doc]
         at = _by_line(owner, flat)
-        flat, owner = flat[at], owner[at]
+        flat, again, owner = flat[at], again[at], owner[at]
         new = np.ones(len(flat), bool)
         new[1:] = (flat[1:] != flat[:-1]) | (owner[1:] != owner[:-1])
-        words, owner = flat[new], owner[new]
+        words, again, owner = flat[new], again[new], owner[new]
         size = np.bincount(owner, minlength=len(doc))
         start = np.cumsum(size) - size
         mixed = _mix(words, 0xBF58476D1CE4E5B9)
@@ -232,7 +238,7 @@ class Lines:
         narrow = size <= NARROW  # their two halves are folded into one
         columns = {
             "sig1": _mix(np.add.reduceat(mixed, start), 0x9E3779B97F4A7C15) if len(doc) else none,
-            "sig2": np.add.reduceat(_mix(mixed, 0x94D049BB133111EB), start) if len(doc) else none,
+            "sig2": np.add.reduceat(_mix(again, 0x94D049BB133111EB), start) if len(doc) else none,
             "doc": ids[doc], "line": line, "size": size, "s1": np.where(narrow, s1 ^ s2, s1), "s2": np.where(narrow, np.uint64(0), s2),
         }
         return cls(columns, _token(words[spread(start, prefix_length(size, similarity))]), similarity)
@@ -303,7 +309,7 @@ def _by_bucket(batches: Iterable[pa.RecordBatch], counts: int, rows: int) -> Ite
 def representatives(docs: DataFrame, frequent: np.ndarray, n_words: int, similarity: Fraction = SIMILARITY) -> DataFrame:
     """The earliest line of each different set of words, packed: place, size, sketch, tokens of its prefix.
 
-    Sets are equal by a signature of 128 bits. All later lines of a set are in ``gone_doc`` and ``gone_line``. A task
+    Sets are equal by a signature of 128 bits, two sums over independent hashes of their words. All later lines of a set are in ``gone_doc`` and ``gone_line``. A task
     sends each set that it meets once; equal sets meet by their signature.
     """
     shared, buckets = docs.sparkSession.sparkContext.broadcast(frequent), _buckets(n_words // 8)
@@ -729,11 +735,12 @@ def without_lines(docs: DataFrame, gone: DataFrame) -> DataFrame:
 
     Texts that lose nothing stay as they are, null too; one that loses all lines becomes empty. Other columns stay.
     """
-    lists = gone.groupBy(F.col("doc_id").alias("__id")).agg(F.collect_set("line").alias("__gone"))
-    joined = docs.join(lists, docs["doc_id"].cast("long") == lists["__id"], "left")
+    own, lost = unused(["id", "gone"], docs.columns)
+    lists = gone.groupBy(F.col("doc_id").alias(own)).agg(F.collect_set("line").alias(lost))
+    joined = docs.join(lists, docs["doc_id"].cast("long") == lists[own], "left")
     lines = F.split("text", "\n", -1)
-    kept = F.array_join(F.filter(lines, lambda x, i: ~F.array_contains("__gone", i)), "\n")
-    out = joined.withColumn("text", F.when(F.col("__gone").isNull(), F.col("text")).otherwise(kept))
+    kept = F.array_join(F.filter(lines, lambda x, i: ~F.array_contains(lost, i)), "\n")
+    out = joined.withColumn("text", F.when(F.col(lost).isNull(), F.col("text")).otherwise(kept))
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("__gone").isNull(), F.col("n_chars")).otherwise(F.length("text")).cast(docs.schema["n_chars"].dataType))
+        out = out.withColumn("n_chars", F.when(F.col(lost).isNull(), F.col("n_chars")).otherwise(F.length("text")).cast(docs.schema["n_chars"].dataType))
     return out.select(*docs.columns)

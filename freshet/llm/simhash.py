@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -13,6 +14,8 @@ from pyspark.sql import functions as F
 from .common import id_and_text, materialise, select_id_text, utf8
 from .graph import components
 
+#: Bytes of a text whose shingles are hashed at once, and what ends a word.
+PART, _SPACE = 1 << 18, re.compile(rb"[ \t-\r]")
 #: Rows and columns of a block of distances.
 BLOCK = 2048
 #: A bucket of more fingerprints is cut again by the other half.
@@ -21,25 +24,44 @@ CUT = 16384
 SALTS = 256
 
 
+def _parts(raw: bytes) -> Iterator[bytes]:
+    """The text in parts of about ``PART`` bytes that end between words."""
+    at = 0
+    while at < len(raw):
+        end = len(raw) if len(raw) - at <= PART else next((m.start() for m in [_SPACE.search(raw, at + PART)] if m), len(raw))
+        yield raw[at:end]
+        at = end
+
+
+def _set_bits(hashes: list[int]) -> np.ndarray:
+    """How many of the hashes have each of the 64 bits, the highest first."""
+    return np.unpackbits(np.array(hashes, ">u8").view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
+
+
 def fingerprint(text: str, shingle: int = 3, seed: int = 42) -> int:
     """SimHash of the word shingles, repeats included, as a signed 64-bit integer; a text without words has 0.
 
     A-Z are lower-cased, words end at space and U+0009 to U+000D, and fewer words than a shingle are one shingle. A bit
     is 1 if more than half of the shingles' XXH64 have it.
     """
-    words = utf8(text).lower().split()
-    if not words:
-        return 0
-    if len(words) <= shingle:
-        hashes = [xxhash.xxh64_intdigest(b" ".join(words), seed)]
-    else:
-        size = np.fromiter(map(len, words), np.int64, len(words)) + 1
-        ends = np.cumsum(size)
-        starts, ends = (ends - size).tolist(), (ends - 1)[shingle - 1 :].tolist()
-        joined, digest = b" ".join(words), xxhash.xxh64_intdigest
-        hashes = [digest(joined[a:b], seed) for a, b in zip(starts, ends)]  # noqa: B905  the starts of the last words have no end
-    bits = np.unpackbits(np.array(hashes, ">u8").view(np.uint8).reshape(-1, 8), axis=1)
-    return int(np.packbits(bits.sum(axis=0, dtype=np.int64) * 2 > len(hashes)).view(">i8")[0])
+    raw = utf8(text).lower()
+    ones, n, held = np.zeros(64, np.int64), 0, []
+    for part in _parts(raw):
+        words = held + part.split()
+        if len(words) >= shingle:
+            size = np.fromiter(map(len, words), np.int64, len(words)) + 1
+            ends = np.cumsum(size)
+            starts, ends = (ends - size).tolist(), (ends - 1)[shingle - 1 :].tolist()
+            joined, digest = b" ".join(words), xxhash.xxh64_intdigest
+            hashes = [digest(joined[a:b], seed) for a, b in zip(starts, ends)]  # noqa: B905  the starts of the last words have no end
+            n += len(hashes)
+            ones += _set_bits(hashes)
+        held = words[len(words) - shingle + 1 :] if len(words) >= shingle else words
+    if not n:
+        if not held:
+            return 0
+        n, ones = 1, _set_bits([xxhash.xxh64_intdigest(b" ".join(held), seed)])
+    return int(np.packbits(ones * 2 > n).view(">i8")[0])
 
 
 def fingerprints(docs: DataFrame, shingle: int = 3, seed: int = 42, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -714,3 +714,42 @@ def test_bundles_are_seekable(spark, tmp_path):
     with open(path.removeprefix("file://"), "rb") as f:
         whole = zstandard.ZstdDecompressor().stream_reader(f, read_across_frames=True).read()
     assert whole == b"".join(bundle.frame(i) for i in range(len(bundle.frames)))  # any Zstandard reader skips the seek table
+
+
+# --- what the rounds before got wrong --------------------------------------------------------------------------------
+
+
+def test_lines_of_words_that_share_bytes_stay(spark):
+    """Words that differ by a control character, by NULs or in their length aren't the same; clashing columns stay."""
+    pairs = [("abcdefg", "abcdefg\x0f"), ("bcdefgh\x08", "bcdefgh"), ("a\x00", "a"), ("b\x00\x00", "b\x00"), ("12345678\x00", "12345678"), ("x" * 16, "x" * 16 + "\x00"), ("q" * 15 + "\x10", "q" * 15)]
+    rows = [(2 * i + k, f"{t}\nkeep{i}_{k}") for i, pair in enumerate(pairs) for k, t in enumerate(pair)]
+    docs = spark.createDataFrame(rows + [(100, "same words here"), (101, "same words here")], "doc_id long, text string")
+    docs = docs.withColumns({c: F.lit("clash") for c in ("id", "gone", "__id", "__gone", "_id", "_gone", "line")})
+    gone = line_dedup.removed_lines(docs)
+    assert {(r.doc_id, r.line) for r in gone.collect()} == {(101, 0)}
+    left = line_dedup.without_lines(docs, gone)
+    assert left.columns == docs.columns and {r.doc_id: r.text for r in left.collect()} == dict(rows) | {100: "same words here", 101: ""}
+    raw = np.frombuffer(b"".join(a.encode() for p in pairs for a in p), np.uint8)
+    size = np.array([len(a) for p in pairs for a in p])
+    hashes = [line_dedup.word_hashes(raw, np.cumsum(size) - size, size, s) for s in (0, line_dedup.SECOND)]
+    assert all(h[2 * i] != h[2 * i + 1] for h in hashes for i in range(len(pairs))) and not set(hashes[0].tolist()) & set(hashes[1].tolist())
+
+
+def test_long_texts_have_their_fingerprints_in_parts(monkeypatch):
+    rng = random.Random(8)
+    texts = [" ".join(rng.choice(["a", "bb", "Ccc", "é", "z" * 40]) for _ in range(n)) for n in (0, 1, 2, 3, 4, 50, 400)] + ["  x\t y\x0b", "w" * 5000, "a " * 300 + "q" * 900]
+    whole = [[simhash.fingerprint(t, s) for s in (1, 3, 5)] for t in texts]
+    for size in (1, 7, 64):
+        monkeypatch.setattr(simhash, "PART", size)
+        assert [[simhash.fingerprint(t, s) for s in (1, 3, 5)] for t in texts] == whole
+
+
+def test_a_worker_keeps_one_table():
+    from freshet.llm import common
+
+    made = []
+    for key in ("a", "a", "b", "a"):
+        assert common.kept(key, lambda key=key: made.append(key) or key) == key
+    assert made == ["a", "b", "a"] and list(common._kept) == ["a"]
+    common._kept.clear()
+    assert common.unused(["a", "b"], ["A", "_b"]) == ["__a", "__b"]
