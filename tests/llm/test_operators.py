@@ -729,7 +729,7 @@ def test_lines_of_words_that_share_bytes_stay(spark):
     assert {(r.doc_id, r.line) for r in gone.collect()} == {(101, 0)}
     left = line_dedup.without_lines(docs, gone)
     assert left.columns == docs.columns and {r.doc_id: r.text for r in left.collect()} == dict(rows) | {100: "same words here", 101: ""}
-    raw = np.frombuffer(b"".join(a.encode() for p in pairs for a in p), np.uint8)
+    raw = np.frombuffer(b"".join(a.encode() for p in pairs for a in p) + bytes(16), np.uint8)
     size = np.array([len(a) for p in pairs for a in p])
     hashes = [line_dedup.word_hashes(raw, np.cumsum(size) - size, size, s) for s in (0, line_dedup.SECOND)]
     assert all(h[2 * i] != h[2 * i + 1] for h in hashes for i in range(len(pairs))) and not set(hashes[0].tolist()) & set(hashes[1].tolist())
