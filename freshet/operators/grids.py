@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ..functions.timeops import plus_hours
 from ..sources.scratch import materialise
 from .intervals import BIN, bins_of_points, bins_of_spans, depth_of, micros, whole_units
+from .quantiles import quantiles
 
 
 @dataclass(frozen=True)
@@ -263,8 +264,7 @@ def station_matrix(values: DataFrame, axis: DataFrame) -> DataFrame:
 
 def legend_range(cells: DataFrame) -> DataFrame:
     """``low, high``: 5th and 95th percentile of the values that are there; nulls without any."""
-    counts = cells.where(_finite(F.col("value"))).groupBy("value").agg(F.count("*").alias("n"))
-    return counts.agg(F.percentile("value", F.lit(0.05), F.col("n")).alias("low"), F.percentile("value", F.lit(0.95), F.col("n")).alias("high"))
+    return quantiles(cells, "value", {"low": 0.05, "high": 0.95})
 
 
 # --- neighbours and interpolation ------------------------------------------------------------------------------

@@ -5,11 +5,19 @@ Chains are long, so that rounds follow powers of two: each round doubles how far
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..sources.scratch import materialise
 
+#: Sums of areas are exact to nine decimals.
+_AREA = "decimal(30,9)"
+
+
+def _valid_area(area: Column) -> Column:
+    return area.isNotNull() & ~F.isnan(area) & (F.abs(area) != float("inf")) & (area > 0)
+
 
 def _edges(minis: DataFrame) -> DataFrame:
     ids = minis.where("mini_id is not null").select("mini_id", F.col("mini_jus").alias("down")).distinct()
@@ -35,25 +43,87 @@ def distances(minis: DataFrame, target: int) -> DataFrame:
     return state.where("hit").select("node", "steps")
 
 
+def _before(children: DataFrame) -> DataFrame:
+    """``node, before``: the next smaller child of the same parent, for ``node, parent``; none for the first.
+
+    Rows are dealt by ranges of (parent, node), so that a parent with very many children is cut; a range gets the last row
+    of the one before it, of which there are as many as ranges.
+    """
+    dealt = materialise(children.repartitionByRange("parent", "node").withColumn("part", F.spark_partition_id()))
+    last = dealt.groupBy("part").agg(F.max(F.struct("parent", "node")).alias("last"))
+    carried = last.select("part", F.lag("last").over(Window.orderBy("part")).alias("carried"))
+    inside = F.lag(F.struct("parent", "node")).over(Window.partitionBy("part").orderBy("parent", "node"))
+    rows = dealt.withColumn("inside", inside).join(F.broadcast(carried), "part").withColumn("prior", F.coalesce("inside", "carried"))
+    return rows.where("prior.parent = parent").select("node", F.col("prior.node").alias("before"))
+
+
+def numbered(minis: DataFrame) -> DataFrame:
+    """``mini_id, root, steps, place, size, area`` of every node: the basins of all outlets at once, without paths.
+
+    ``steps`` lead to the root; ``place`` is the node's number, from 1, in its root's depth-first post-order with children
+    ascending; ``size`` nodes (the node too) drain through it, with ``area`` together. They are the places
+    ``(place - size, place]`` of the root, see :func:`drains_to`. Areas count to nine decimals; those that aren't finite and
+    positive count 0. Of several downstream nodes (:func:`network_errors`) the smallest counts; a node on or above a cycle
+    isn't there.
+
+    A node is entered before its children and left after them. Every event points to the one before it, no two to the same,
+    so that the doubling of pointers, the rounds of which grow with the logarithm of the nodes, has no hot key.
+    """
+    weight = F.max(F.when(_valid_area(F.col("mini_area")), F.col("mini_area"))) if "mini_area" in minis.columns else F.lit(None)
+    areas = minis.where("mini_id is not null").groupBy(F.col("mini_id").alias("node")).agg(F.coalesce(weight.cast(_AREA), F.lit(0).cast(_AREA)).alias("area"))
+    nodes = materialise(_edges(minis).groupBy("node").agg(F.min("ahead").alias("parent")))
+    children = nodes.where("parent is not null")
+    lasts = children.groupBy(F.col("parent").alias("node")).agg(F.max("node").alias("last"))
+    links = nodes.join(_before(children), "node", "left").join(lasts, "node", "left").join(areas, "node")
+    enter = F.struct(
+        F.lit(False).alias("out"), F.coalesce("before", "parent").alias("to"), F.col("before").isNotNull().alias("to_out"),
+        F.lit(1).cast("long").alias("ins"), F.lit(0).cast("long").alias("outs"), F.lit(0).cast(_AREA).alias("area"),
+    )
+    leave = F.struct(
+        F.lit(True).alias("out"), F.coalesce("last", "node").alias("to"), F.col("last").isNotNull().alias("to_out"),
+        F.lit(0).cast("long").alias("ins"), F.lit(1).cast("long").alias("outs"), F.col("area"),
+    )
+    events = links.select("node", F.explode(F.array(enter, leave)).alias("e")).select("node", "e.*")
+    state = materialise(events.withColumn("root", F.when(F.col("to").isNull(), F.col("node"))))
+    n, reach = state.count(), 1
+    while reach <= 2 * n and not state.where("to is not null").isEmpty():
+        far = state.select(F.col("node").alias("to"), F.col("out").alias("to_out"), F.struct("to", "to_out", "ins", "outs", "area", "root").alias("far"))
+        moved = state.where("to is not null").join(far, ["to", "to_out"]).select(
+            "node", "out", F.col("far.to").alias("to"), F.col("far.to_out").alias("to_out"), (F.col("ins") + F.col("far.ins")).alias("ins"),
+            (F.col("outs") + F.col("far.outs")).alias("outs"), (F.col("area") + F.col("far.area")).cast(_AREA).alias("area"), F.col("far.root").alias("root"),
+        )
+        state = materialise(state.where("to is null").unionByName(moved))
+        reach *= 2
+
+    def of(out: bool, column: str):
+        return F.max(F.when(F.col("out") == out, F.col(column)))
+
+    return state.where("to is null").groupBy(F.col("node").alias("mini_id"), "root").agg(
+        (of(False, "ins") - of(False, "outs") - 1).alias("steps"), of(True, "outs").alias("place"),
+        (of(True, "outs") - of(False, "outs")).alias("size"), (of(True, "area") - of(False, "area")).cast("double").alias("area"),
+    )
+
+
+def drains_to(node: str, outlet: str) -> Column:
+    """Whether a row of :func:`numbered` (alias ``node``) drains through another one (alias ``outlet``), or is it."""
+    a, b = (lambda c: F.col(f"{node}.{c}")), (lambda c: F.col(f"{outlet}.{c}"))
+    return (a("root") == b("root")) & (a("place") > b("place") - b("size")) & (a("place") <= b("place"))
+
+
 def upstream(minis: DataFrame, target: int, include_target: bool = True) -> DataFrame:
-    """``mini_id, steps, path``: all nodes above the target, and their way from the target.
+    """``mini_id, steps, place``: all nodes above the target, their steps to it, and their places, from 1.
 
-    Ordered by ``path`` with a last entry beyond all ids, nodes stand in depth-first post-order with children ascending:
-    ``orderBy(upstream_order())``.
+    Places are those of the depth-first post-order with children ascending (:func:`upstream_order`); the target's is the last.
+    Nodes with several downstream ones: :func:`numbered`.
     """
-    found = materialise(distances(minis, target))
-    inside = _edges(minis).join(found.select("node"), "node", "left_semi").withColumn("ahead", F.when(F.col("node") != target, F.col("ahead")))
-    state = materialise(inside.withColumn("path", F.array("node")))
-    while not state.where("ahead is not null").isEmpty():
-        far = state.select(F.col("node").alias("ahead"), F.col("ahead").alias("next"), F.col("path").alias("rest"))
-        joined = state.join(far, "ahead", "left")
-        state = materialise(joined.select("node", F.col("next").alias("ahead"), F.concat("path", F.coalesce("rest", F.array().cast("array<bigint>"))).alias("path")))
-    out = state.join(found, "node").select(F.col("node").alias("mini_id"), "steps", F.reverse("path").alias("path"))
+    inside = distances(minis, target).select(F.col("node").alias("mini_id"))
+    basin = minis.select("mini_id", F.when(F.col("mini_id") != target, F.col("mini_jus")).alias("mini_jus")).join(inside, "mini_id", "left_semi")
+    out = numbered(basin).where(F.col("root") == target).select("mini_id", "steps", "place")
     return out if include_target else out.where(F.col("mini_id") != target)
 
 
-def upstream_order():
-    return F.array_append("path", F.lit(2**63 - 1))
+def upstream_order() -> Column:
+    return F.col("place")
 
 
 def network_errors(minis: DataFrame) -> DataFrame:
@@ -72,7 +142,5 @@ def network_errors(minis: DataFrame) -> DataFrame:
 
 def basin_weights(minis: DataFrame, outlet: int) -> DataFrame:
     """``mini_id, weight``: the catchments of an outlet with their areas; areas that aren't finite and positive have no weight."""
-    area = F.col("mini_area")
-    ok = area.isNotNull() & ~F.isnan(area) & (F.abs(area) != float("inf")) & (area > 0)
     found = distances(minis, outlet).withColumnRenamed("node", "mini_id")
-    return found.join(minis.select("mini_id", "mini_area").distinct(), "mini_id").select("mini_id", F.when(ok, area).alias("weight"))
+    return found.join(minis.select("mini_id", "mini_area").distinct(), "mini_id").select("mini_id", F.when(_valid_area(F.col("mini_area")), F.col("mini_area")).alias("weight"))

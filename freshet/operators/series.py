@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.scratch import materialise
+from .quantiles import quantiles
+
 #: States from the most to the least trusted.
 STATES = ("approved", "curated", "raw")
 #: Codes, names and units of model variables.
@@ -85,7 +88,10 @@ def _last_hours(value: str, at: str, cutoff: Column, hours: int) -> Column:
 def rain_summary(values: DataFrame, cutoff: Column) -> DataFrame:
     """``station_id, mean_rain, rain_24h, p90_rain`` of rain up to the cutoff."""
     rows = values.where(F.col("variable_code") == "rain").where(F.col("observed_at") <= cutoff).where("value is not null")
-    return rows.groupBy("station_id").agg(F.avg("value").alias("mean_rain"), _last_hours("value", "observed_at", cutoff, 24).alias("rain_24h"), F.percentile("value", F.lit(0.9)).alias("p90_rain"))
+    rows = materialise(rows.select("station_id", "observed_at", "value"))
+    means = rows.groupBy("station_id").agg(F.avg("value").alias("mean_rain"), _last_hours("value", "observed_at", cutoff, 24).alias("rain_24h"))
+    high = quantiles(rows, "value", {"p90_rain": 0.9}, ("station_id",))
+    return means.join(high, "station_id", "left")
 
 
 def station_catalog(stations: DataFrame, series: DataFrame, stored: DataFrame, start: Column, end: Column) -> DataFrame:
@@ -150,13 +156,16 @@ def rainfall_labels(catalog: DataFrame, accumulations: DataFrame) -> DataFrame:
 
 def network_summary(catalog: DataFrame) -> DataFrame:
     """Stations by status, and mean and 90th percentile of 24 h rain over ok stations, else over all."""
+    rows = materialise(catalog.select("status", "rain_24h"))
     ok = F.when(F.col("status") == "ok", F.col("rain_24h"))
-    return catalog.agg(
+    counts = rows.agg(
         F.count("*").alias("stations"),
         *(F.count_if(F.col("status") == s).alias(s) for s in ("ok", "data_issue", "no_data")),
         F.coalesce(F.avg(ok), F.avg("rain_24h")).alias("mean_24h"),
-        F.coalesce(F.percentile(ok, F.lit(0.9)), F.percentile("rain_24h", F.lit(0.9))).alias("p90_24h"),
     )
+    both = rows.select(F.explode(F.array(F.struct(F.lit("all").alias("of"), F.col("rain_24h").alias("rain")), F.struct(F.lit("ok").alias("of"), ok.alias("rain")))).alias("x")).select("x.*")
+    high = quantiles(both, "rain", {"p90": 0.9}, ("of",)).agg(F.coalesce(*(F.max(F.when(F.col("of") == k, F.col("p90"))) for k in ("ok", "all"))).alias("p90_24h"))
+    return counts.withColumn("k", F.lit(1)).join(high.withColumn("k", F.lit(1)), "k").drop("k")
 
 
 def rainfall_total(values: DataFrame, at: str, start: Column, end: Column, segment: int | None = None) -> Column:

@@ -394,9 +394,20 @@ def so2_blocks_on_the_axis(v):
 UP = "with recursive up(mini_id, steps, path) as (select cast(5 as bigint), cast(0 as bigint), [cast(5 as bigint)] union all select m.mini_id, steps + 1, list_append(path, m.mini_id) from mini m join up on m.mini_jus = up.mini_id)"
 
 
-@query(f"{UP} select mini_id, steps, array_to_string(path, '>') as path from up")
+@query(f"{UP} select mini_id, steps, row_number() over (order by list_append(path, 9223372036854775807)) as place from up")
 def gx1_upstream(v):
-    return N.upstream(v("mini"), 5).select("mini_id", "steps", F.array_join(F.col("path").cast("array<string>"), ">").alias("path"))
+    return N.upstream(v("mini"), 5)
+
+
+ALL_UP = """with recursive up(mini_id, mini_area, path) as (select mini_id, mini_area, [mini_id] from mini where mini_jus not in (select mini_id from mini)
+    union all select m.mini_id, m.mini_area, list_append(path, m.mini_id) from mini m join up on m.mini_jus = up.mini_id),
+    through as (select outlet as mini_id, count(*) as size, sum(mini_area) as area from (select unnest(path) as outlet, mini_area from up) p group by 1)"""
+
+
+@query(f"{ALL_UP} select mini_id, path[1] as root, len(path) - 1 as steps, row_number() over (partition by path[1] order by list_append(path, 9223372036854775807)) as place, size, round(area, 6) as area from up join through using (mini_id)")
+def gx1_all_basins(v):
+    """Every node as an outlet: its place in the order of its root, and the nodes and the area that drain through it."""
+    return N.numbered(v("mini"))
 
 
 @query(f"""{UP} select mini_id, 'cycle' as reason from (select distinct mini_id from up) union all select mini_id, 'downstream' from mini where mini_id % 11 = 0""")
