@@ -434,9 +434,11 @@ def grid_to_points(cells: DataFrame, points: DataFrame, k: int = 5, power: float
     return apply_weights(weights, keyed.select("source_id", "end_utc", "value"), ("end_utc",))
 
 
-def cell_of(cells: DataFrame, points: DataFrame, origin: tuple[float, float], resolution: float, shape: tuple[int, int]) -> DataFrame:
+def cell_of(cells: DataFrame, points: DataFrame, origin: tuple[float, float], resolution: float, shape: tuple[int, int], by: tuple[str, ...] = ()) -> DataFrame:
     """``target_id, iy, ix, value`` of the cell nearest to each point inside the grid's edges; a tie goes to the lower index.
 
+    Columns of ``by`` (the step, the asset) stay, where a cell has a row for each of them.
+
     Points outside have no row, values that aren't finite are null. The cell is found by arithmetic, then by equality.
     """
     y0, x0 = origin
@@ -447,7 +449,7 @@ def cell_of(cells: DataFrame, points: DataFrame, origin: tuple[float, float], re
 
     inside = points.where((F.col("lat") >= y0 - h) & (F.col("lat") <= y0 + (ny - 1) * resolution + h) & (F.col("lon") >= x0 - h) & (F.col("lon") <= x0 + (nx - 1) * resolution + h))
     placed = inside.select("target_id", index("lat", y0, ny).alias("iy"), index("lon", x0, nx).alias("ix"))
-    return placed.join(cells.select("iy", "ix", F.when(_finite(F.col("value")), F.col("value")).alias("value")), ["iy", "ix"], "left").select("target_id", "iy", "ix", "value")
+    return placed.join(cells.select("iy", "ix", *by, F.when(_finite(F.col("value")), F.col("value")).alias("value")), ["iy", "ix"], "left").select("target_id", "iy", "ix", *by, "value")
 
 
 def corners(targets: DataFrame, origin: tuple[float, float], resolution: float) -> DataFrame:

@@ -10,9 +10,9 @@ from .plans import jobs
 from .queries import query, ts
 
 CYCLE = "2026-03-18 00:00:00"
-GRID = G.RegularGrid(-54.0, -31.0, -50.0, -27.0, 0.5)
-#: The same grid in SQL.
-GRID_SQL = "grid as (select i as iy, j as ix, -30.75 + i * 0.5 as lat, -53.75 + j * 0.5 as lon from range(8) y(i), range(8) x(j))"
+#: A grid of half a degree over the box of the stations, in SQL.
+GRID_SQL = """box0 as (select min(lat) as s, max(lat) as n, min(lon) as w, max(lon) as e from station), tall0 as (select *, unnest(range(cast(greatest(ceil(round((n - s) / 0.5 - 0.5, 9)), 1) as int))) as iy from box0),
+    grid as (select iy, ix, s + 0.25 + iy * 0.5 as lat, w + 0.25 + ix * 0.5 as lon from (select *, unnest(range(cast(greatest(ceil(round((e - w) / 0.5 - 0.5, 9)), 1) as int))) as ix from tall0))"""
 INTERVALS = """intervals as (select asset_id, iy, ix, lat, lon, coalesce(lag(valid_time) over w, timestamp '2026-03-18') as start_utc, valid_time as end_utc,
     greatest(value - lag(value, 1, 0.0) over w, 0.0) as value from message window w as (partition by asset_id, iy, ix order by valid_time))"""
 KNN = """knn as (select * from (select t.target_id, s.source_id, sqrt(pow(t.lat - s.lat, 2) + pow(t.lon - s.lon, 2)) as d,
@@ -25,16 +25,28 @@ def one(v):
     return v("region").agg(F.count("*").alias("n"))
 
 
-def days(v, first, last, name):
-    """A row for each day from first to last."""
-    rows = one(v).select(F.explode(F.sequence(F.to_date(F.lit(first)), F.to_date(F.lit(last)))).alias("day"))
+def days(v, name, after=0):
+    """A row for each day with or between days with rain; or for each of the days ``after`` them."""
+    span = v("obs_null").where("variable_code = 'rain' and value is not null").agg(F.to_date(F.min("observed_at")).alias("a"), F.to_date(F.max("observed_at")).alias("z"))
+    edges = (F.date_add("z", 1), F.date_add("z", after)) if after else (F.col("a"), F.col("z"))
+    rows = span.select(F.explode(F.sequence(*edges)).alias("day"))
     return rows.select(F.col("day").cast("timestamp_ntz").alias(name))
 
 
+SPAN = "span as (select date_trunc('day', min(observed_at)) as a, date_trunc('day', max(observed_at)) as z from obs_null where variable_code = 'rain' and value is not null)"
+DAYS = "select unnest(generate_series((select cast(a as timestamp) from span), (select cast(z as timestamp) from span), interval '1' day)) as dt"
+
+
 def messages(v):
     return v("message").withColumn("start_step_hours", F.lit(0))
 
 
+def station_grid(v):
+    """A grid of half a degree over the box of the stations."""
+    box = v("station").agg(F.min("lon").alias("west"), F.min("lat").alias("south"), F.max("lon").alias("east"), F.max("lat").alias("north"))
+    return G.grids_of(box.withColumn("asset_id", F.lit("stations")), 0.5).drop("asset_id")
+
+
 def points(v):
     return v("mini").select(F.col("mini_id").alias("target_id"), "lat", "lon")
 
@@ -99,13 +111,11 @@ def ag18_to_timestep(v):
     return G.to_timestep(hourly, 3)
 
 
-@query("""with o as (select station_id, date_trunc('day', observed_at) as dt, sum(value) as value from obs_null where variable_code = 'rain' and value is not null group by 1, 2 having date_trunc('day', observed_at) between timestamp '2024-01-05' and timestamp '2024-01-20'),
-    a as (select unnest(generate_series(timestamp '2024-01-05', timestamp '2024-01-20', interval '1' day)) as dt)
+@query(f"""with {SPAN}, o as (select station_id, date_trunc('day', observed_at) as dt, sum(value) as value from obs_null where variable_code = 'rain' and value is not null group by 1, 2), a as ({DAYS})
     select s.station_id, cast(a.dt as varchar) as dt, round(coalesce(o.value, 0), 6) as value from (select distinct station_id from o) s cross join a left join o on o.station_id = s.station_id and o.dt = a.dt""")
 def ag19_station_matrix(v):
     rain = v("obs_null").where("variable_code = 'rain'").withColumn("observed_at", F.date_trunc("day", "observed_at").cast("timestamp_ntz"))
-    axis = days(v, "2024-01-05", "2024-01-20", "dt")
-    return G.station_matrix(rain, axis)
+    return G.station_matrix(rain, days(v, "dt"))
 
 
 @query("select round(quantile_cont(value, 0.05), 6) as low, round(quantile_cont(value, 0.95), 6) as high from cell")
@@ -157,10 +167,16 @@ def gr3_fixed_neighbours(v):
     return G.apply_weights(weights, daily(v))
 
 
-@query(f"""with t as (select mini_id as target_id, lat, lon from mini), s as (select distinct concat(iy, ':', ix) as source_id, lat, lon from cell where asset_id = 'asset1'), {KNN.format(k=5)}, w as (select target_id, source_id, 1 / pow(greatest(d, 1e-12), 2) as w from knn)
-    select target_id, cast(end_utc as varchar) as end_utc, round(sum(case when value is not null then w * value end) / sum(case when value is not null then w end), 6) as value from w join (select concat(iy, ':', ix) as source_id, end_utc, value from cell where asset_id = 'asset1') c using (source_id) group by 1, 2""")
+def _grid_to_minis(asset):
+    return f"""select * from (with t as (select mini_id as target_id, lat, lon from mini), s as (select distinct concat(iy, ':', ix) as source_id, lat, lon from cell where asset_id = '{asset}'), {KNN.format(k=5)}, w as (select target_id, source_id, 1 / pow(greatest(d, 1e-12), 2) as w from knn)
+    select '{asset}' as asset_id, target_id, cast(end_utc as varchar) as end_utc, round(sum(case when value is not null then w * value end) / sum(case when value is not null then w end), 6) as value from w join (select concat(iy, ':', ix) as source_id, end_utc, value from cell where asset_id = '{asset}') c using (source_id) group by all)"""
+
+
+@query(f"{_grid_to_minis('asset0')} union all {_grid_to_minis('asset1')}")
 def gr4_grid_to_minis(v):
-    return G.grid_to_points(v("cell").where("asset_id = 'asset1'"), points(v))
+    """Both assets' grids, each with its own neighbours."""
+    of = [G.grid_to_points(v("cell").where(F.col("asset_id") == a), points(v)).withColumn("asset_id", F.lit(a)) for a in ("asset0", "asset1")]
+    return of[0].unionByName(of[1])
 
 
 def dense(v):
@@ -271,7 +287,7 @@ def gr12_incomplete_steps(v):
     return G.incomplete(G.forecast_working_grid(v("cell"), two_edits(v), points(v), ORIGIN, STEP, 1, strict=False), points(v), ["asset_id", "end_utc"])
 
 
-OBSERVED = f"""daily as (select station_id, date_trunc('day', observed_at) as end_utc, sum(value) as value from obs_null where variable_code = 'rain' and value is not null group by 1, 2 having date_trunc('day', observed_at) between timestamp '2024-01-05' and timestamp '2024-01-08'),
+OBSERVED = f"""daily as (select station_id, date_trunc('day', observed_at) as end_utc, sum(value) as value from obs_null where variable_code = 'rain' and value is not null group by 1, 2),
     {GRID_SQL}, near as (select * from (select iy, ix, end_utc, d.value, sqrt(pow(g.lat - s.lat, 2) + pow(g.lon - s.lon, 2)) as d, row_number() over (partition by iy, ix, end_utc order by sqrt(pow(g.lat - s.lat, 2) + pow(g.lon - s.lon, 2)), s.station_id) as place
     from grid g cross join daily d join station s using (station_id)) where place <= 5),
     working as (select iy, ix, end_utc, {_IDW} as value from near group by 1, 2, 3)"""
@@ -279,8 +295,7 @@ OBSERVED = f"""daily as (select station_id, date_trunc('day', observed_at) as en
 
 def working(v):
     rain = v("obs_null").where("variable_code = 'rain'").groupBy("station_id", F.date_trunc("day", "observed_at").cast("timestamp_ntz").alias("observed_at")).agg(F.sum("value").alias("value"))
-    axis = days(v, "2024-01-05", "2024-01-08", "end_utc")
-    return G.observed_working_grid(rain, v("station"), GRID.cells(one(v)), axis)
+    return G.observed_working_grid(rain, v("station"), station_grid(v), days(v, "end_utc"))
 
 
 @query(f"with {OBSERVED} select cast(end_utc as varchar) as end_utc, iy, ix, round(value, 6) as value from working")
@@ -291,14 +306,14 @@ def gr13_observed_working_grid(v):
 @query(f"""with {SAMPLES}, {GRID_SQL}, t as (select concat(iy, ':', ix) as target_id, lat, lon from grid), s as (select * from samples where value is not null), {KNN.format(k=5)}
     select target_id, round({_IDW}, 6) as value from knn join samples using (source_id) group by 1""")
 def gr14_accumulation_grid(v):
-    return G.idw(GRID.cells(one(v)).select(F.concat_ws(":", "iy", "ix").alias("target_id"), "lat", "lon"), samples(v))
+    return G.idw(station_grid(v).select(F.concat_ws(":", "iy", "ix").alias("target_id"), "lat", "lon"), samples(v))
 
 
-@query(f"""with t as (select concat(iy, ':', ix) as target_id, lat, lon from (select i as iy, j as ix, -30.75 + i * 0.5 as lat, -53.75 + j * 0.5 as lon from range(8) y(i), range(8) x(j))), acc as (select iy, ix, timestamp '2026-03-18' as start_utc, timestamp '2026-03-18' as end_utc, coalesce(sum(value), 0) as value from cell where end_utc <= timestamp '2026-03-18 09:00:00' group by 1, 2),
+@query(f"""with {GRID_SQL}, t as (select concat(iy, ':', ix) as target_id, lat, lon from grid), acc as (select iy, ix, timestamp '2026-03-18' as start_utc, timestamp '2026-03-18' as end_utc, coalesce(sum(value), 0) as value from cell where end_utc <= timestamp '2026-03-18 09:00:00' group by 1, 2),
     {_CORNERS.format(cells='acc')} select target_id, round(value, 6) as value from bil""")
 def gr15_forecast_preview(v):
     total = G.forecast_accumulation(dense(v), ts(CYCLE), ts("2026-03-18 09:00:00"))
-    targets = GRID.cells(one(v)).select(F.concat_ws(":", "iy", "ix").alias("target_id"), "lat", "lon")
+    targets = station_grid(v).select(F.concat_ws(":", "iy", "ix").alias("target_id"), "lat", "lon")
     return G.bilinear(total, targets, ORIGIN, STEP, ("asset_id",)).select("target_id", "value")
 
 
@@ -352,10 +367,10 @@ def jo7_containing_intervals(v):
 
 
 @query("""with p as (select mini_id as target_id, lat, lon from mini where lon <= -55 + 0.25 * 39 + 0.125)
-    select target_id, cast(least(greatest(ceil(round((lat + 33) / 0.25 - 0.5, 9)), 0), 49) as bigint) as iy, cast(least(greatest(ceil(round((lon + 55) / 0.25 - 0.5, 9)), 0), 39) as bigint) as ix, round(c.value, 6) as value
-    from p left join (select * from cell where end_utc = timestamp '2026-03-18 03:00:00') c on c.iy = least(greatest(ceil(round((lat + 33) / 0.25 - 0.5, 9)), 0), 49) and c.ix = least(greatest(ceil(round((p.lon + 55) / 0.25 - 0.5, 9)), 0), 39)""".replace("(lat + 33)", "(p.lat + 33)").replace("(lon + 55)", "(p.lon + 55)").replace("p.p.", "p."))
+    select target_id, cast(least(greatest(ceil(round((lat + 33) / 0.25 - 0.5, 9)), 0), 49) as bigint) as iy, cast(least(greatest(ceil(round((lon + 55) / 0.25 - 0.5, 9)), 0), 39) as bigint) as ix, asset_id, cast(end_utc as varchar) as end_utc, round(c.value, 6) as value
+    from p left join cell c on c.iy = least(greatest(ceil(round((lat + 33) / 0.25 - 0.5, 9)), 0), 49) and c.ix = least(greatest(ceil(round((p.lon + 55) / 0.25 - 0.5, 9)), 0), 39)""".replace("(lat + 33)", "(p.lat + 33)").replace("(lon + 55)", "(p.lon + 55)").replace("p.p.", "p."))
 def jo14_nearest_cell(v):
-    return G.cell_of(v("cell").where("end_utc = timestamp_ntz '2026-03-18 03:00:00'"), points(v), ORIGIN, STEP, (50, 40))
+    return G.cell_of(v("cell"), points(v), ORIGIN, STEP, (50, 40), ("asset_id", "end_utc"))
 
 
 @query("select asset_id, cast(start_utc as varchar) as start_utc, cast(end_utc as varchar) as end_utc, iy, ix, round(lat, 6) as lat, round(lon, 6) as lon, round(value, 6) as value from cell where asset_id = 'asset1'")
@@ -426,23 +441,21 @@ def gx3_basin_weights(v):
 # --- composed --------------------------------------------------------------------------------------------------
 
 
-@query(f"""with {OBSERVED}, t as (select mini_id as target_id, lat, lon from mini), s as (select concat(iy, ':', ix) as source_id, lat, lon from grid), {KNN.format(k=5)}, w as (select target_id, source_id, 1 / pow(greatest(d, 1e-12), 2) as w from knn)
+@query(f"""with {SPAN}, {OBSERVED}, t as (select mini_id as target_id, lat, lon from mini), s as (select concat(iy, ':', ix) as source_id, lat, lon from grid), {KNN.format(k=5)}, w as (select target_id, source_id, 1 / pow(greatest(d, 1e-12), 2) as w from knn)
     select cast(end_utc as varchar) as dt, target_id as mini_id, round(sum(w * value) / sum(w), 6) as value from w join (select concat(iy, ':', ix) as source_id, end_utc, value from working) g using (source_id) group by 1, 2
-    union all select cast(timestamp '2024-01-09' + h * interval '1' day as varchar), target_id, cast(0 as double) from t, range(2) r(h)""")
+    union all select cast(cast(z as timestamp) + h * interval '1' day as varchar), target_id, cast(0 as double) from t, span, range(1, 3) r(h)""")
 def pj4_catchment_forcing(v):
-    grid = GRID.cells(one(v))
-    observed = working(v).join(grid, ["iy", "ix"])
-    ahead = days(v, "2024-01-09", "2024-01-10", "dt")
+    observed = working(v).join(station_grid(v), ["iy", "ix"])
+    ahead = days(v, "dt", after=2)
     return jobs.forcing(observed, None, G.zero_block(ahead, v("mini")), v("mini"))
 
 
-@query(f"""with d as (select station_id as source_id, date_trunc('day', observed_at) as dt, sum(value) as value from obs_null where variable_code = 'rain' and value is not null group by 1, 2 having date_trunc('day', observed_at) between timestamp '2024-01-05' and timestamp '2024-01-08'),
-    t as (select mini_id as target_id, lat, lon from mini), s as (select station_id as source_id, lat, lon from station where station_id in (select source_id from d)), {KNN.format(k=5)}, a as (select unnest(generate_series(timestamp '2024-01-05', timestamp '2024-01-08', interval '1' day)) as dt)
+@query(f"""with {SPAN}, d as (select station_id as source_id, date_trunc('day', observed_at) as dt, sum(value) as value from obs_null where variable_code = 'rain' and value is not null group by 1, 2),
+    t as (select mini_id as target_id, lat, lon from mini), s as (select station_id as source_id, lat, lon from station where station_id in (select source_id from d)), {KNN.format(k=5)}, a as ({DAYS})
     select cast(a.dt as varchar) as dt, target_id as mini_id, round(sum(coalesce(value, 0) / pow(greatest(d, 1e-12), 2)) / sum(1 / pow(greatest(d, 1e-12), 2)), 6) as value from knn cross join a left join d using (source_id, dt) group by 1, 2""".replace("knn cross join a left join d using (source_id, dt)", "knn k cross join a left join d x on x.source_id = k.source_id and x.dt = a.dt").replace("coalesce(value, 0)", "coalesce(x.value, 0)").replace("pow(greatest(d, 1e-12), 2)", "pow(greatest(k.d, 1e-12), 2)"))
 def pj4_station_forcing(v):
     rain = v("obs_null").where("variable_code = 'rain'").withColumn("observed_at", F.date_trunc("day", "observed_at").cast("timestamp_ntz"))
-    axis = days(v, "2024-01-05", "2024-01-08", "dt")
-    return jobs.station_forcing(rain, v("station"), v("mini"), axis)
+    return jobs.station_forcing(rain, v("station"), v("mini"), days(v, "dt"))
 
 
 @query("select cast(p_partkey % 50 as bigint) as mini_id, 'level' as variable_code, cast(timestamp '2026-03-10' + (p_partkey // 50) * interval '1' hour as varchar) as dt, case when p_partkey // 50 < 11 then 0 else 1 end as time_segment, round(p_retailprice * 100, 6) as value from part")
