@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 import hashlib
+import re
 import struct
 import zlib
 from collections import Counter
 from collections.abc import Iterable, Iterator
-from html import escape
-from html.parser import HTMLParser
+from html import escape, unescape
 
 import numpy as np
 import pyarrow as pa
@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import id_and_text, materialise, select_id_text, text_slices, utf8
+from .html_text import _TOKEN
 
 #: Samples in a row of an image, which is also what payloads are padded to.
 WIDTH = 64
@@ -23,6 +24,10 @@ _SIGNATURE = b"\x89PNG\r\n\x1a\n"
 _BLOCKS = frozenset("p div h1 h2 h3 h4 h5 h6 li ul ol table tr td th blockquote pre section article figure figcaption br hr header footer main aside nav body".split())
 _SILENT = frozenset(("script", "style", "template", "noscript", "title"))
 
+#: Elements without markup in them, and what ends them.
+_UNPARSED = {tag: re.compile(rf"</{tag}(?=[\s/>])", re.I) for tag in ("script", "style")}
+_ATTRIBUTE = re.compile(r"""([^\s/>="'][^\s/>=]*+)\s*+(?:=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s>]*+)))?""")
+
 SEQUENCE = "array<struct<pos:int,kind:string,text:string,ref:string,caption:string>>"
 
 
@@ -80,20 +85,67 @@ def feature_of(payload: bytes) -> str:
     return f"{WIDTH}x{len(samples) // WIDTH};mean={samples.mean():.4f};std={samples.std():.4f};hist={','.join(map(str, histogram))};ahash={average}"
 
 
-class _Sequence(HTMLParser):
+def _attributes(raw: str) -> dict[str, str]:
+    """Names in lower case and decoded values; of a name that is there twice the first counts."""
+    found: dict[str, str] = {}
+    for m in _ATTRIBUTE.finditer(raw):
+        value = next((x for x in m.groups()[1:] if x is not None), "")
+        found.setdefault(m[1].lower(), unescape(value) if "&" in value else value)
+    return found
+
+
+class _Figure:
+    """Media of an open figure that aren't in an inner one; the last caption goes to those before it."""
+
+    __slots__ = ("caption", "captioned", "media")
+
+    def __init__(self) -> None:
+        self.media: list[dict] = []
+        self.caption: str | None = None
+        self.captioned = 0
+
+
+class _Sequence:
     """Text and media of a page in order; the caption of a figure goes to the media in it, else the alternative text does.
 
-    ``silent``: elements whose text is none. A caption ends with its figure, or the page.
+    ``silent``: elements whose text is none. A caption ends with its figure, or the page. One pass over the page's tokens,
+    linear in its length however its elements nest, and whichever of them never end.
     """
 
     def __init__(self, silent: frozenset[str]) -> None:
-        super().__init__(convert_charrefs=True)
         self.items: list[dict] = []
         self.pieces: list[str] = []
         self.silent, self.quiet = silent, Counter()
-        self.figures: list[int] = []  # the first item of each open figure
+        self.figures: list[_Figure] = []
         self.caption: list[str] | None = None
 
+    def feed(self, html: str) -> None:
+        at, n = 0, len(html)
+        while at < n:
+            start = html.find("<", at)
+            m = _TOKEN.match(html, start) if start >= 0 else None
+            if start < 0 or not m:
+                end = n if start < 0 else start + 1
+                self.handle_data(html[at:end])
+                at = end
+                continue
+            if start > at:
+                self.handle_data(html[at:start])
+            at = m.end()
+            if not m[2]:
+                continue  # a comment or a declaration
+            tag = m[2].lower()
+            if m[1]:
+                self.handle_endtag(tag)
+                continue
+            closed = m[3].rstrip().endswith("/")
+            self.handle_starttag(tag, m[3])
+            if closed:
+                self.handle_endtag(tag)
+            elif tag in _UNPARSED:
+                end = _UNPARSED[tag].search(html, at)
+                at = end.start() if end else n
+
     def flush(self) -> None:
         text = " ".join("".join(self.pieces).split())
         self.pieces = []
@@ -104,28 +156,27 @@ class _Sequence(HTMLParser):
         if self.caption is not None:
             text = " ".join("".join(self.caption).split())
             if text and self.figures:
-                for item in self.items[self.figures[-1] :]:
-                    if item["kind"] == "media" and not item.get("inner"):
-                        item["caption"] = text
+                self.figures[-1].caption, self.figures[-1].captioned = text, len(self.figures[-1].media)
             self.caption = None
 
     def end_figure(self) -> None:
         self.end_caption()
         self.flush()
-        first = self.figures.pop()
-        if self.figures:  # the outer figure's caption isn't theirs
-            for item in self.items[first:]:
-                item["inner"] = True
+        figure = self.figures.pop()
+        for item in figure.media[: figure.captioned]:
+            item["caption"] = figure.caption
 
-    def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+    def handle_starttag(self, tag: str, attributes: str) -> None:
         if tag in self.silent:
             self.quiet[tag] += 1
         elif tag in ("img", "video", "audio", "source", "embed"):
-            own = dict(attrs)
+            own = _attributes(attributes)
             if own.get("src"):
                 if self.caption is None:
                     self.flush()
                 self.items.append({"kind": "media", "text": None, "ref": own["src"], "caption": own.get("alt") or own.get("title")})
+                if self.figures:
+                    self.figures[-1].media.append(self.items[-1])
         elif tag in _BLOCKS:
             if self.caption is None:
                 self.flush()
@@ -133,7 +184,7 @@ class _Sequence(HTMLParser):
                 self.caption.append(" ")
             if tag == "figure":
                 self.end_caption()
-                self.figures.append(len(self.items))
+                self.figures.append(_Figure())
             elif tag == "figcaption" and self.figures:
                 self.end_caption()
                 self.caption = []
@@ -153,10 +204,9 @@ class _Sequence(HTMLParser):
 
     def handle_data(self, data: str) -> None:
         if not any(self.quiet.values()):
-            (self.pieces if self.caption is None else self.caption).append(data)
+            (self.pieces if self.caption is None else self.caption).append(unescape(data) if "&" in data else data)
 
     def close(self) -> None:
-        super().close()
         while self.figures:
             self.end_figure()
         self.flush()

@@ -76,6 +76,20 @@ def test_unclosed_and_nested_figures():
     assert [x["text"] for x in media.sequence_of("</figure></figcaption><p>a</p><figcaption>b</figcaption>")] == ["a", "b"]
 
 
+def test_sequences_of_broken_markup():
+    seq = media.sequence_of("<p>1 < 2 &amp; 3<IMG alt='a &quot;b&quot;' SRC=x.png/><!-- <img src=no> --><script>if (a<b) '<img src=no>'</script ><img src=\"y?a=1&amp;b=2\" src=z title=t><img alt=none><style>p{}")
+    assert [(x["kind"], x["text"] or x["ref"], x["caption"]) for x in seq] == [("text", "1 < 2 & 3", None), ("media", "x.png/", 'a "b"'), ("media", "y?a=1&b=2", "t")]
+    seq = media.sequence_of("<figure><img src=a><figcaption>one</figcaption><img src=b><figcaption>two</figcaption><img src=c alt=own></figure>")
+    assert [x["caption"] for x in seq] == ["two", "two", "own"]
+
+
+@pytest.mark.parametrize("piece", ["<a ", "<!-- ", "<a b='", '<img src="', "<figure><img src=a>", "<figure><figcaption>x", "</figure>", "<script>", "<title>", "< ", "&#", "<p>a<template>"])
+def test_sequences_are_linear(piece):
+    start = time.perf_counter()
+    media.sequence_of("<figure>" + piece * (300_000 // len(piece)))
+    assert time.perf_counter() - start < 10
+
+
 def test_sequences_of_real_pages(spark):
     """All text and references of the given pages are there, in order, and payloads of figures resolve in their places."""
     pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
