@@ -475,9 +475,14 @@ def bilinear(cells: DataFrame, targets: DataFrame, origin: tuple[float, float],
 
 
 def crop(cells: DataFrame, west: float, south: float, east: float, north: float, resolution: float) -> DataFrame:
-    """Cells whose footprint touches the closed box."""
+    """Cells whose footprint touches the closed box.
+
+    The bounds of the centres say the same a little wider, in a form that the scan takes to skip row groups.
+    """
     h = resolution / 2
-    return cells.where((F.col("lat") + h >= south) & (F.col("lat") - h <= north) & (F.col("lon") + h >= west) & (F.col("lon") - h <= east))
+    wide = h * (1 + 1e-6) + 1e-9
+    near = cells.where(F.col("lat").between(south - wide, north + wide) & F.col("lon").between(west - wide, east + wide))
+    return near.where((F.col("lat") + h >= south) & (F.col("lat") - h <= north) & (F.col("lon") + h >= west) & (F.col("lon") - h <= east))
 
 
 # --- corrections -----------------------------------------------------------------------------------------------

@@ -45,12 +45,18 @@ def load_files(spark: SparkSession, path: str, typed: DataFrame, stations: DataF
     return {"rows_read": seen.get["rows"], "rows_written": written}
 
 
-def forcing(observed: DataFrame, forecast: DataFrame | None, zero: DataFrame | None, minis: DataFrame, k: int = 5, power: float = 2.0) -> DataFrame:
+def forcing(observed: DataFrame, forecast: DataFrame | None, zero: DataFrame | None, minis: DataFrame, k: int = 5, power: float = 2.0, strict: bool = True) -> DataFrame:
     """``dt, mini_id, value``: observed block and then forecast (or zero) block of catchment rainfall.
 
     ``observed`` and ``forecast`` are working grids of ``end_utc, iy, ix, lat, lon, value``; neighbours of each are fixed.
+    With ``strict`` a cell that either grid has at some step must have a value at all steps of both: else it raises.
     """
     points = minis.select(F.col("mini_id").alias("target_id"), "lat", "lon")
+    if strict:
+        grids_ = [g.select(F.concat_ws(":", "iy", "ix").alias("target_id"), "end_utc", "value") for g in (observed, forecast) if g is not None]
+        every = grids_[0].select("target_id") if len(grids_) == 1 else grids_[0].select("target_id").unionByName(grids_[1].select("target_id"))
+        for g in grids_:
+            grids.complete(g, every.distinct(), ["end_utc"])
 
     def block(cells: DataFrame) -> DataFrame:
         return grids.grid_to_points(cells, points, k, power).select(F.col("end_utc").alias("dt"), F.col("target_id").alias("mini_id"), "value")

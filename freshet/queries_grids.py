@@ -8,6 +8,7 @@ from .operators import grids as G
 from .operators import network as N
 from .plans import jobs
 from .queries import query, ts
+from .sources.scratch import materialise
 
 CYCLE = "2026-03-18 00:00:00"
 #: A grid of half a degree over the box of the stations, in SQL.
@@ -447,7 +448,25 @@ def gx3_basin_weights(v):
 def pj4_catchment_forcing(v):
     observed = working(v).join(station_grid(v), ["iy", "ix"])
     ahead = days(v, "dt", after=2)
-    return jobs.forcing(observed, None, G.zero_block(ahead, v("mini")), v("mini"))
+    return jobs.forcing(observed, None, G.zero_block(ahead, v("mini")), v("mini"), strict=False)
+
+
+def _forecast_forcing(asset):
+    return f"""select * from (with mine as (select target_id as source_id, end_utc, value from bil where asset_id = '{asset}'), s as (select distinct source_id, g.lat, g.lon from mine join gt g on g.target_id = source_id), {KNN.format(k=5)}, w as (select target_id, source_id, 1 / pow(greatest(d, 1e-12), 2) as w from knn)
+    select '{asset}' as asset_id, cast(end_utc as varchar) as dt, target_id as mini_id, round(sum(case when value is not null then w * value end) / sum(case when value is not null then w end), 6) as value from w join mine using (source_id) group by all)"""
+
+
+@query(f"""with {OBSERVED}, {EDIT_SQL}, {EDITED.format(cells='cell')}, gt as (select concat(iy, ':', ix) as target_id, lat, lon from grid), {WORKING.replace("from t,", "from gt,")}, t as (select mini_id as target_id, lat, lon from mini),
+    past as (select * from (with s as (select concat(iy, ':', ix) as source_id, lat, lon from grid), {KNN.format(k=5)}, w as (select target_id, source_id, 1 / pow(greatest(d, 1e-12), 2) as w from knn) select cast(end_utc as varchar) as dt, target_id as mini_id, round(sum(case when value is not null then w * value end) / sum(case when value is not null then w end), 6) as value from w join (select concat(iy, ':', ix) as source_id, end_utc, value from working) g using (source_id) group by 1, 2))
+    select asset_id, dt, mini_id, value from past cross join (values ('asset0'), ('asset1')) a(asset_id) union all {_forecast_forcing('asset0')} union all {_forecast_forcing('asset1')}""")
+def pj4_forecast_forcing(v):
+    """Observed rain and then each asset's edited forecast, both by way of the stations' grid."""
+    grid = station_grid(v)
+    observed = materialise(working(v).join(grid, ["iy", "ix"]))
+    targets = grid.select(F.concat_ws(":", "iy", "ix").alias("target_id"), "iy", "ix", "lat", "lon")
+    ahead = materialise(G.forecast_working_grid(v("cell"), two_edits(v), targets, ORIGIN, STEP, 1, strict=False).join(targets, "target_id"))
+    of = [jobs.forcing(observed, ahead.where(F.col("asset_id") == a), None, v("mini"), strict=False).withColumn("asset_id", F.lit(a)) for a in ("asset0", "asset1")]
+    return of[0].unionByName(of[1])
 
 
 @query(f"""with {SPAN}, d as (select station_id as source_id, date_trunc('day', observed_at) as dt, sum(value) as value from obs_null where variable_code = 'rain' and value is not null group by 1, 2),

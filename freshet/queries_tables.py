@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from .operators import grids as G
 from .operators import observations as O
 from .plans import jobs
-from .queries import query
+from .queries import query, ts
 from .queries_series import BUCKET
 from .sources import scans, sinks
 from .sources.scratch import materialise, scratch_dir
@@ -141,7 +141,9 @@ def sc9_forecast_messages(v):
 @query("select p_partkey // 50 as t, p_partkey % 50 as position, cast(p_size as double) as value from part")
 def sc10_matrix_records(v):
     rows = v("part").groupBy(F.floor(F.col("p_partkey") / 50).alias("t")).agg(F.array_sort(F.collect_list(F.struct((F.col("p_partkey") % 50).alias("i"), F.col("p_size").cast("double").alias("x")))).alias("a"))
-    return scans.from_records(materialise(scans.to_records(rows.select("t", F.col("a.x").alias("row")))), 50)
+    spark, path = v("part").sparkSession, scratch_dir(v("part").sparkSession)
+    scans.write_matrix(scans.to_records(rows.select("t", F.col("a.x").alias("row"))), path)
+    return scans.matrix_values(spark, path, 50)
 
 
 @query("select cast((select max(p_partkey // 50) + 1 from part) as bigint) as nt, cast(2 as bigint) as sources")
@@ -237,6 +239,15 @@ def sk8_grid_write(v):
     return v("part").sparkSession.read.parquet(path).select("asset_id", "iy", "ix", "start_utc", "end_utc", "lat", "lon", "value")
 
 
+@query("select asset_id, iy, ix, cast(end_utc as varchar) as end_utc, round(value, 6) as value from cell where lat + 0.125 >= -31 and lat - 0.125 <= -29.5 and lon + 0.125 >= -54 and lon - 0.125 <= -52 and start_utc >= timestamp '2026-03-18 03:00:00' and end_utc <= timestamp '2026-03-18 09:00:00'")
+def sk8_box_of_written_grid(v):
+    """A box and a window of a grid that was written along the curve."""
+    spark, path = v("part").sparkSession, scratch_dir(v("part").sparkSession)
+    sinks.write_grid(v("cell"), path)
+    window = G.window_of(spark.read.parquet(path), ts("2026-03-18 03:00:00"), ts("2026-03-18 09:00:00"))
+    return G.crop(window, -54, -31, -52, -29.5, 0.25).select("asset_id", "iy", "ix", "end_utc", "value")
+
+
 @query("select relative_path, asset_id, case when asset_id like '%7' then 'new' else checksum end as checksum from asset")
 def sk9_asset_upsert(v):
     changed = v("asset").where("asset_id like '%7'").withColumn("checksum", F.lit("new"))

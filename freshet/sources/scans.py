@@ -10,11 +10,13 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..functions.timeops import parse_observed, parse_provider
+from .matrix import matrix_file, matrix_values, write_matrix  # noqa: F401
 
 INVENTORY = ("provider_code", "station_code", "station_name", "mini_id", "latitude", "longitude", "altitude_m", "observed_variables")
 CANONICAL = ("provider_code", "station_code", "observed_at", "variable_code", "value")
@@ -156,20 +158,16 @@ def from_records(records: DataFrame, nc: int) -> DataFrame:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows = b.column(1).to_pylist()
-            if any(len(r) != 4 * nc for r in rows):
+            n, packed = b.num_rows, b.column(1).cast(pa.binary())
+            if packed.null_count or set(pc.unique(pc.binary_length(packed)).to_pylist()) - {4 * nc}:
                 raise ValueError(f"a record hasn't {nc} values")
-            values = np.frombuffer(b"".join(rows), "<f4").astype(float)
-            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(b.column(0).to_numpy(), nc)), pa.array(np.tile(np.arange(nc, dtype=np.int32), len(rows))), pa.array(values)], ["t", "position", "value"])
+            start = int(np.frombuffer(packed.buffers()[1], "<i4")[packed.offset]) if n else 0
+            values = np.frombuffer(packed.buffers()[2], "<f4", nc * n, start).astype(float) if n else np.empty(0)
+            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(b.column(0).to_numpy(), nc)), pa.array(np.tile(np.arange(nc, dtype=np.int32), n)), pa.array(values)], ["t", "position", "value"])
 
     return records.mapInArrow(run, "t long, position int, value double")
 
 
-def matrix_file(spark: SparkSession, path: str, nc: int) -> DataFrame:
-    """``t, record`` of a flat file of timesteps with ``nc`` 32-bit floats each; splits by records."""
-    return spark.sparkContext.binaryRecords(path, 4 * nc).zipWithIndex().map(lambda x: (x[1], bytearray(x[0]))).toDF("t long, record binary")
-
-
 def timesteps(sources: DataFrame) -> DataFrame:
     """``nt, sources``: how many sources (``source, t``) have each number of timesteps; more than one row is an error."""
     return sources.groupBy("source").agg(F.count("*").alias("nt")).groupBy("nt").agg(F.count("*").alias("sources"))

@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
+from freshet.functions.curve import interleaved
+from freshet.operators import grids as G
 from freshet.plans import jobs
 from freshet.sources import scans, sinks, versioned
 from freshet.sources.scratch import scratch_dir
@@ -41,6 +44,41 @@ def test_matrix_file(spark, tmp_path):
         scans.from_records(scans.matrix_file(spark, str(tmp_path / "flow.bin"), 3), 4).collect()
 
 
+def test_matrix_in_partitions(spark, tmp_path):
+    """Ranges and batches begin and end anywhere in a record; a folder's files follow each other by name."""
+    values = np.random.default_rng(3).normal(size=(37, 5)).astype("<f4")
+    for name, a, b in (("a.f4", 0, 20), ("b.f4", 20, 20), ("c.f4", 20, 37)):
+        (tmp_path / name).write_bytes(values[a:b].tobytes())
+    (tmp_path / "_left").write_bytes(b"x")
+    want = {(i, j): float(values[i, j]) for i in range(37) for j in range(5)}
+    for split, batch in ((4, 1), (28, 3), (64, 100), (1 << 20, 7)):
+        df = scans.matrix_values(spark, str(tmp_path), 5, split, batch)
+        rows = df.collect()
+        assert len(rows) == len(want) and {(r.t, r.position): r.value for r in rows} == want
+        assert df.rdd.getNumPartitions() == -(-100 // (split // 4)) + -(-85 // (split // 4))
+        records = scans.matrix_file(spark, str(tmp_path), 5, split, batch)
+        assert [bytes(r.record) for r in records.orderBy("t").collect()] == [x.tobytes() for x in values]
+    with pytest.raises(Exception, match="records of 3 values"):
+        scans.matrix_values(spark, str(tmp_path), 3).collect()
+    with pytest.raises(Exception, match="nowhere"):
+        scans.matrix_values(spark, str(tmp_path / "nowhere"), 3).collect()
+    (tmp_path / "none").mkdir()
+    assert scans.matrix_values(spark, str(tmp_path / "none"), 3).collect() == []
+    with pytest.raises(ValueError, match="at least one"):
+        scans.matrix_values(spark, str(tmp_path), 0)
+
+
+def test_matrix_is_written_and_read_back(spark, tmp_path):
+    rows = spark.range(0, 90, numPartitions=7).select(F.col("id").alias("t"), F.array(*(F.col("id") * 4.0 + i for i in range(4))).alias("row"))
+    assert scans.write_matrix(scans.to_records(rows.orderBy(F.hash("t"))), str(tmp_path / "all")) == 90
+    got = scans.matrix_values(spark, str(tmp_path / "all"), 4, 40).collect()
+    assert {(r.t, r.position): r.value for r in got} == {(i // 4, i % 4): float(i) for i in range(360)} and len(got) == 360
+    assert scans.write_matrix(scans.to_records(rows.where("t < 0")), str(tmp_path / "no")) == 0
+    for n, wrong in enumerate((rows.where("t <> 40"), rows.where("t > 0"), rows.union(rows.where("t = 7")), rows.where("t <> 40").union(rows.where("t = 7")))):
+        with pytest.raises(ValueError, match="all timesteps once"):
+            scans.write_matrix(scans.to_records(wrong), str(tmp_path / f"wrong{n}"))
+
+
 def test_upsert_is_idempotent_and_the_new_value_wins(spark):
     path = scratch_dir(spark)
 
@@ -196,3 +234,64 @@ def test_a_load_counts_while_it_reads(spark, tmp_path):
     with pytest.raises(ValueError, match="1 of 4 rows are wrong, as ana:9: station"):
         load()
     assert [r.value for r in sinks.read_values(spark, path).collect()] == [3.0]
+
+
+def test_a_curve_takes_bits_in_turn(spark):
+    rows = [(5, 3, 1), (0, 0, 0), (-1, 2, 7), (2**21 - 1, 2**20, 12345), (None, 1, 1)]
+    got = spark.createDataFrame(rows, "a long, b int, c long").select(interleaved(F.col("a"), F.col("b"), F.col("c")).alias("m")).collect()
+
+    def plain(*v):
+        return sum((x >> b & 1) << (3 * b + 2 - d) for b in range(21) for d, x in enumerate(v))
+
+    assert [r.m for r in got] == [None if None in v else plain(*v) for v in rows]
+    for n in (0, 9):
+        with pytest.raises(ValueError, match="dimensions"):
+            interleaved(*[F.lit(1)] * n)
+
+
+def test_a_box_or_window_reads_few_row_groups(spark, tmp_path, capsys):
+    """A grid of 200 x 200 cells and 16 steps: what a box and a window may touch by the row groups' bounds."""
+    start = F.lit("2026-01-01 00:00:00").cast("timestamp_ntz")
+    n, path = F.col("id"), f"file://{tmp_path}/grid"
+    cells = spark.range(200 * 200 * 16).select(
+        F.lit("g").alias("asset_id"), F.timestamp_add("HOUR", (n % 16 * 3).cast("int"), start).alias("start_utc"), F.timestamp_add("HOUR", (n % 16 * 3 + 3).cast("int"), start).alias("end_utc"),
+        (F.floor(n / 3200)).cast("int").alias("iy"), (F.floor(n / 16) % 200).cast("int").alias("ix"), (n % 1009).cast("double").alias("value"),
+    ).withColumns({"lat": -30 + F.col("iy") * 0.25, "lon": -50 + F.col("ix") * 0.25, "_place": F.lit("mine")})
+    sinks.write_grid(cells, path, 128 << 10)
+    groups = [pq.ParquetFile(f).metadata for f in tmp_path.glob("grid/asset_id=g/*.parquet")]
+    groups = [m.row_group(i) for m in groups for i in range(m.num_row_groups)]
+
+    def touched(**bounds):
+        def meets(g):
+            stats = {g.column(i).path_in_schema: g.column(i).statistics for i in range(g.num_columns)}
+            return all(stats[c].max >= a and stats[c].min <= b for c, (a, b) in bounds.items())
+
+        return sum(map(meets, groups)) / len(groups)
+
+    assert len(groups) > 60
+    box = {"lat": (-20.0, -18.0), "lon": (-40.0, -38.0)}
+    assert touched(**box) < 0.1 and touched(iy=(40, 48)) < 0.3
+    table = spark.read.parquet(path)
+    found = G.crop(table, -40.0, -20.0, -38.0, -18.0, 0.25)
+    found.explain("formatted")
+    pushed = capsys.readouterr().out.split("PushedFilters", 1)[1].split("\n")[0]
+    assert "LessThanOrEqual(lat" in pushed and "GreaterThanOrEqual(lon" in pushed
+    assert found.count() == sum(-20.125 <= -30 + i * 0.25 <= -17.875 for i in range(200)) * sum(-40.125 <= -50 + i * 0.25 <= -37.875 for i in range(200)) * 16
+    assert table.where("_place = 'mine'").count() == cells.count()
+
+
+def test_forcing_refuses_a_missing_cell(spark):
+    minis = spark.createDataFrame([(1, -30.0, -50.0)], "mini_id long, lat double, lon double")
+
+    def grid(*rows):
+        cells = spark.createDataFrame([(t, i, float(i), v) for t, i, v in rows], "t string, iy int, lat double, value double")
+        return cells.select(F.col("t").cast("timestamp_ntz").alias("end_utc"), "iy", F.lit(0).alias("ix"), "lat", F.lit(-50.0).alias("lon"), "value")
+
+    past = grid(("2026-01-01", 0, 1.0), ("2026-01-01", 1, 3.0))
+    ahead = grid(("2026-01-02", 0, 2.0), ("2026-01-02", 1, 4.0))
+    got = {str(r.dt)[:10]: r.value for r in jobs.forcing(past, ahead, None, minis).collect()}
+    assert set(got) == {"2026-01-01", "2026-01-02"} and got["2026-01-02"] == pytest.approx(got["2026-01-01"] + 1)
+    for a, b in ((past, ahead.where("iy = 0")), (past.where("iy = 1"), ahead), (past.withColumn("value", F.when(F.col("iy") == 1, F.col("value"))), None)):
+        with pytest.raises(ValueError, match="without a value"):
+            jobs.forcing(a, b, None, minis)
+        assert jobs.forcing(a, b, None, minis, strict=False).count() >= 1

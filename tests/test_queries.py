@@ -12,7 +12,7 @@ from freshet.queries import ORACLES, QUERIES
 
 SF = "/root/testdata/sf0.01"
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
-SOME = ["ag9_station_catalog", "ag1_bucket_aggregate", "jo5_missing_days", "wn5_fetch_windows", "df6_forecast_cycle", "sf5_coordinate", "wn2_interval_totals", "gr5_bilinear", "jo11_as_of_join", "jo13_expected_asset", "sk3_value_upsert", "sc5_observation_files", "gx3_basin_weights"]
+SOME = ["ag9_station_catalog", "ag1_bucket_aggregate", "jo5_missing_days", "wn5_fetch_windows", "df6_forecast_cycle", "sf5_coordinate", "wn2_interval_totals", "gr5_bilinear", "jo11_as_of_join", "jo13_expected_asset", "sk3_value_upsert", "sc5_observation_files", "gx3_basin_weights", "sc10_matrix_records", "sk8_box_of_written_grid", "pj4_forecast_forcing"]
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="the driver's tables aren't here")
 
