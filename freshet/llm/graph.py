@@ -7,23 +7,36 @@ from pyspark.sql import functions as F
 
 from .common import materialise
 
+#: Parts of a key's rows.
+PARTS = 256
+
 
 def _both_ways(edges: DataFrame) -> DataFrame:
     return edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
 
 
+def with_least(rows: DataFrame, key: str, value: str, by: str) -> DataFrame:
+    """``rows`` and ``least``, the smallest ``value`` of all rows with their ``key`` (not null), whichever key is hot.
+
+    Rows of a key are dealt over ``PARTS`` parts by ``by``; a key's task sees one minimum of each part, and sends the
+    least one back to the parts that there are.
+    """
+    dealt = rows.withColumn("part", F.pmod(F.xxhash64(by), F.lit(PARTS)))
+    some = dealt.groupBy(key, "part").agg(F.min(value).alias("least"))
+    least = some.groupBy(key).agg(F.min("least").alias("least"), F.collect_list("part").alias("parts"))
+    return dealt.join(least.select(key, "least", F.explode("parts").alias("part")), [key, "part"]).drop("part")
+
+
 def _large_star(edges: DataFrame) -> DataFrame:
     """Every larger neighbour of a node moves to the smallest node around it."""
-    both = _both_ways(edges)
-    least = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
-    return both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    both = with_least(_both_ways(edges), "u", "v", "v")
+    return both.where("v > u").select(F.col("v").alias("u"), F.least("u", "least").alias("v"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """A node and its smaller neighbours move to the smallest of them."""
-    least = edges.groupBy("u").agg(F.min("v").alias("m"))
-    moved = edges.join(least, "u").where("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    return moved.union(least.select("u", F.col("m").alias("v"))).distinct()
+    moved = with_least(edges, "u", "v", "v")
+    return moved.select(F.when(F.col("v") > F.col("least"), F.col("v")).otherwise(F.col("u")).alias("u"), F.col("least").alias("v")).distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import id_and_text, materialise, select_id_text, utf8
-from .graph import components
+from .graph import components, with_least
 
 #: Bytes of a text whose shingles are hashed at once, and what ends a word.
 PART, _SPACE = 1 << 18, re.compile(rb"[ \t-\r]")
@@ -220,8 +220,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, most: int = 3, id_col: st
     classes = materialise(parts.groupBy("fp").agg(F.min("first_id").alias("first_id")))
     roots = materialise(components(links(classes, most)))
     linked = classes.join(roots, classes.fp == roots.node).select("fp", "first_id", "root")
-    least = linked.groupBy("root").agg(F.min("first_id").alias("least_id"))
-    moved = linked.join(least, "root").select("fp", "least_id")
+    moved = with_least(linked, "root", "first_id", "fp").select("fp", F.col("least").alias("least_id"))
     labels = classes.join(moved, "fp", "left").select("fp", F.coalesce("least_id", "first_id").alias("component_id"))
     salted = parts.select("fp", "salt").join(labels, "fp")
     return prints.join(salted, ["fp", "salt"]).select("doc_id", "fp", "component_id")

@@ -192,6 +192,22 @@ def test_large_buckets_are_cut_without_loss(monkeypatch):
     assert (whole == cut).all()
 
 
+def test_least_of_a_hot_key(spark):
+    """A star of 3000 nodes, a chain, a lone edge: components as expected, and no key's minimum is lost in its parts."""
+    from freshet.llm.graph import components, with_least
+
+    edges = [(0, i) for i in range(1, 3000)] + [(i, i + 1) for i in range(5000, 5040)] + [(9001, 9000)]
+    table = spark.createDataFrame(edges, "u long, v long")
+    roots = {r.node: r.root for r in components(table).collect()}
+    assert roots == {i: 0 for i in range(3000)} | {i: 5000 for i in range(5000, 5041)} | {9000: 9000, 9001: 9000}
+    rows = with_least(table, "u", "v", "v").collect()
+    assert sorted((r.u, r.v) for r in rows) == sorted(edges)
+    assert all(r.least == min(v for u, v in edges if u == r.u) for r in rows if r.u in (0, 5000, 9001))
+    nulls = spark.createDataFrame([(1, None, 7), (1, None, 8), (2, None, 7), (2, 5, 9)], "k long, x long, p long")
+    assert sorted((r.k, r.p, r.least) for r in with_least(nulls, "k", "x", "p").where("least is not null").collect()) == [(2, 7, 5), (2, 9, 5)]
+    assert with_least(nulls, "k", "x", "p").count() == 4 and with_least(nulls.where("k > 9"), "k", "x", "p").count() == 0
+
+
 def test_components_of_texts(spark, docs, nothing):
     got = by_id(simhash.near_duplicates(docs))
     assert got[5][0][1] == got[6][0][1] == 5 and len(got[5]) == 2
