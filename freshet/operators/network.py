@@ -1,6 +1,7 @@
 """River networks: upstream sets, validation, basins. An edge table has ``mini_id, mini_jus, mini_area``.
 
-Chains are long, so that rounds follow powers of two: each round doubles how far a node's pointer reaches.
+Chains are long, so that rounds follow powers of two: each round doubles how far a node's pointer reaches. Tables of nodes
+are joined by sorting: they are small files, which Spark would send whole through the driver, once a round.
 """
 
 from __future__ import annotations
@@ -22,8 +23,8 @@ def _valid_area(area: Column) -> Column:
 def _edges(minis: DataFrame) -> DataFrame:
     ids = minis.where("mini_id is not null").select("mini_id", F.col("mini_jus").alias("down")).distinct()
     known = ids.select(F.col("mini_id").alias("down")).distinct()
-    inside = ids.join(known, "down", "left_semi").select("mini_id", "down")
-    return ids.select("mini_id").distinct().join(inside, "mini_id", "left").select(F.col("mini_id").alias("node"), F.col("down").alias("ahead"))
+    inside = ids.join(known.hint("merge"), "down", "left_semi").select("mini_id", "down")
+    return ids.select("mini_id").distinct().join(inside.hint("merge"), "mini_id", "left").select(F.col("mini_id").alias("node"), F.col("down").alias("ahead"))
 
 
 def distances(minis: DataFrame, target: int) -> DataFrame:
@@ -35,10 +36,11 @@ def distances(minis: DataFrame, target: int) -> DataFrame:
     n, reach = state.count(), 1
     while reach <= 2 * n and not state.where("not hit and ahead is not null").isEmpty():
         far = state.select(F.col("node").alias("ahead"), F.col("ahead").alias("next"), F.col("hit").alias("far_hit"), F.col("steps").alias("far_steps"))
-        joined = state.join(far, "ahead", "left")
-        found = F.col("hit") | F.coalesce("far_hit", F.lit(False))
-        steps = F.when(F.col("hit"), F.col("steps")).when(F.col("far_hit"), F.col("far_steps") + reach).otherwise(0)
-        state = materialise(joined.select("node", F.col("next").alias("ahead"), found.alias("hit"), steps.alias("steps")))
+        still = F.coalesce(~F.col("hit") & F.col("ahead").isNotNull(), F.lit(False))
+        joined = state.where(still).join(far.hint("merge"), "ahead", "left")
+        steps = F.when(F.col("far_hit"), F.col("far_steps") + reach).otherwise(0)
+        moved = joined.select("node", F.col("next").alias("ahead"), F.coalesce("far_hit", F.lit(False)).alias("hit"), steps.alias("steps"))
+        state = materialise(state.where(~still).unionByName(moved))
         reach *= 2
     return state.where("hit").select("node", "steps")
 
@@ -74,7 +76,7 @@ def numbered(minis: DataFrame) -> DataFrame:
     nodes = materialise(_edges(minis).groupBy("node").agg(F.min("ahead").alias("parent")))
     children = nodes.where("parent is not null")
     lasts = children.groupBy(F.col("parent").alias("node")).agg(F.max("node").alias("last"))
-    links = nodes.join(_before(children), "node", "left").join(lasts, "node", "left").join(areas, "node")
+    links = nodes.join(_before(children).hint("merge"), "node", "left").join(lasts.hint("merge"), "node", "left").join(areas.hint("merge"), "node")
     enter = F.struct(
         F.lit(False).alias("out"), F.coalesce("before", "parent").alias("to"), F.col("before").isNotNull().alias("to_out"),
         F.lit(1).cast("long").alias("ins"), F.lit(0).cast("long").alias("outs"), F.lit(0).cast(_AREA).alias("area"),
@@ -88,7 +90,7 @@ def numbered(minis: DataFrame) -> DataFrame:
     n, reach = state.count(), 1
     while reach <= 2 * n and not state.where("to is not null").isEmpty():
         far = state.select(F.col("node").alias("to"), F.col("out").alias("to_out"), F.struct("to", "to_out", "ins", "outs", "area", "root").alias("far"))
-        moved = state.where("to is not null").join(far, ["to", "to_out"]).select(
+        moved = state.where("to is not null").join(far.hint("merge"), ["to", "to_out"]).select(
             "node", "out", F.col("far.to").alias("to"), F.col("far.to_out").alias("to_out"), (F.col("ins") + F.col("far.ins")).alias("ins"),
             (F.col("outs") + F.col("far.outs")).alias("outs"), (F.col("area") + F.col("far.area")).cast(_AREA).alias("area"), F.col("far.root").alias("root"),
         )
@@ -117,7 +119,7 @@ def upstream(minis: DataFrame, target: int, include_target: bool = True) -> Data
     Nodes with several downstream ones: :func:`numbered`.
     """
     inside = distances(minis, target).select(F.col("node").alias("mini_id"))
-    basin = minis.select("mini_id", F.when(F.col("mini_id") != target, F.col("mini_jus")).alias("mini_jus")).join(inside, "mini_id", "left_semi")
+    basin = minis.select("mini_id", F.when(F.col("mini_id") != target, F.col("mini_jus")).alias("mini_jus")).join(inside.hint("merge"), "mini_id", "left_semi")
     out = numbered(basin).where(F.col("root") == target).select("mini_id", "steps", "place")
     return out if include_target else out.where(F.col("mini_id") != target)
 
@@ -133,8 +135,10 @@ def network_errors(minis: DataFrame) -> DataFrame:
     state = materialise(_edges(minis).groupBy("node").agg(F.min("ahead").alias("ahead")))
     n, reach = state.count(), 1
     while reach <= n and not state.where("ahead is not null").isEmpty():
-        far = state.select(F.col("node").alias("ahead"), F.col("ahead").alias("next"))
-        state = materialise(state.join(far, "ahead", "left").select("node", F.col("next").alias("ahead")))
+        # a node whose way ends goes, and then those that point to it
+        still = state.where("ahead is not null")
+        far = still.select(F.col("node").alias("ahead"), F.col("ahead").alias("next"))
+        state = materialise(still.join(far.hint("merge"), "ahead").select("node", F.col("next").alias("ahead")))
         reach *= 2
     cycle = state.where("ahead is not null").select(F.col("node").cast("bigint").alias("mini_id"), F.lit("cycle").alias("reason"))
     return whole.union(several).union(cycle)
@@ -143,4 +147,4 @@ def network_errors(minis: DataFrame) -> DataFrame:
 def basin_weights(minis: DataFrame, outlet: int) -> DataFrame:
     """``mini_id, weight``: the catchments of an outlet with their areas; areas that aren't finite and positive have no weight."""
     found = distances(minis, outlet).withColumnRenamed("node", "mini_id")
-    return found.join(minis.select("mini_id", "mini_area").distinct(), "mini_id").select("mini_id", F.when(_valid_area(F.col("mini_area")), F.col("mini_area")).alias("weight"))
+    return found.join(minis.select("mini_id", "mini_area").distinct().hint("merge"), "mini_id").select("mini_id", F.when(_valid_area(F.col("mini_area")), F.col("mini_area")).alias("weight"))

@@ -73,11 +73,18 @@ def shape_errors(forced: DataFrame, minis: DataFrame, nt: int) -> DataFrame:
 
 def station_forcing(values: DataFrame, stations: DataFrame, minis: DataFrame, axis: DataFrame, k: int = 5, power: float = 2.0) -> DataFrame:
     """Catchment rainfall straight from stations: a full matrix of station and time, absent as 0, by fixed neighbours."""
-    matrix = grids.station_matrix(values, axis)
     points = minis.select(F.col("mini_id").alias("target_id"), "lat", "lon")
-    sources = matrix.select("station_id").distinct().join(stations, "station_id").select(F.col("station_id").alias("source_id"), "lat", "lon")
-    weights = grids.idw_weights(points, sources, k, power)
-    return grids.apply_weights(weights, matrix.withColumnRenamed("station_id", "source_id")).select("dt", F.col("target_id").alias("mini_id"), "value")
+    inside = values.join(F.broadcast(axis.select(F.col("dt").alias("observed_at"))), "observed_at", "left_semi")
+    have = grids.with_values(inside).select("station_id").distinct()
+    sources = have.join(stations, "station_id").select(F.col("station_id").alias("source_id"), "lat", "lon")
+
+    def block(places: DataFrame) -> DataFrame:
+        # the matrix has the stations that are a neighbour of some place, not all
+        weights = grids.idw_weights(places, sources, k, power)
+        near = values.join(weights.select(F.col("source_id").alias("station_id")).distinct(), "station_id", "left_semi")
+        return grids.apply_weights(weights, grids.station_matrix(near, axis).withColumnRenamed("station_id", "source_id"))
+
+    return grids.for_places(points, block).select("dt", F.col("target_id").alias("mini_id"), "value")
 
 
 def export(cells: DataFrame, minis: DataFrame, variable: str, start: Column, reference: Column, timestep_hours: int) -> DataFrame:
