@@ -38,6 +38,16 @@ def test_every_id_takes_part(spark, tmp_path):
     assert all(got[k] == (None if x is None else pytest.approx(x, abs=1e-5)) for k, x in want.items())
 
 
+def test_packed_output_of_sums_near_a_whole_thousand(spark, tmp_path):
+    """A sum of exactly 1000 that floating point may leave just below leaves 0, not 1000."""
+    day = datetime.datetime(1995, 1, 1)
+    prices = [(0, 0.7)] * 36 + [(0, 974.8)] + [(1, 250.25)] * 5
+    rows = [(3 * i, c, p, day) for i, (c, p) in enumerate(prices)]
+    spark.createDataFrame(rows, "o_orderkey long, o_custkey long, o_totalprice double, o_orderdate timestamp_ntz").coalesce(1).write.parquet(f"{tmp_path}/orders.parquet")
+    got = {r.mini_id: r.value for r in QUERIES["sk7_packed_output"](spark, str(tmp_path)).collect()}
+    assert got == {1: 0.0, 2: 251.25}
+
+
 @pytest.mark.skipif(not os.path.isdir(SF), reason="the driver's tables aren't here")
 def test_views_have_every_row(spark):
     orders, lines = (view(spark, SF, n).count() for n in ("orders", "lineitem"))
