@@ -104,8 +104,7 @@ def sc5_observation_errors(v):
 
 @query("select 'r1' as run, split_part(station_id, ':', 2) as station_code, count(distinct variable_code) > 0 as found from obs where state = 'raw' group by 1, 2")
 def sc6_discovered_files(v):
-    path = F.regexp_replace("file_path", "/station=", "/station_code=")
-    return scans.discovered(landed(v).withColumn("file_path", path), "r1").groupBy("run", "station_code").agg((F.count("*") > 0).alias("found"))
+    return scans.discovered(landed(v), "r1").groupBy("run", "station_code").agg((F.count("*") > 0).alias("found"))
 
 
 @query("select split_part(station_id, ':', 2) as station_code, cast(date_trunc('minute', observed_at) as varchar) as observed_at, round(case when variable_code = 'rain' then value end, 6) as rain, round(case when variable_code = 'level' then value end, 6) as level, round(case when variable_code = 'flow' then value end, 6) as flow from obs")

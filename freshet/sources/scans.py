@@ -103,9 +103,14 @@ def observation_errors(typed: DataFrame, stations: DataFrame, provider_variables
 
 
 def discovered(rows: DataFrame, run: str | None = None, stations: list[str] | None = None) -> DataFrame:
-    """``run, station_code, file_path`` of files at ``.../<run>/<station>/observed...``, of one run and some stations if given."""
+    """``run, station_code, file_path`` of files at ``.../run=<run>/...``, of one run and some stations if given.
+
+    A station is that of the file's folder (``station_code=`` or ``station=``), or else each one that the file has rows of.
+    """
     path = F.col("file_path")
-    found = rows.select(path, F.regexp_extract(path, r"/run=([^/]+)/", 1).alias("run"), F.regexp_extract(path, r"/station_code=([^/]+)/", 1).alias("station_code")).distinct()
+    folder = F.nullif(F.regexp_extract(path, r"/station(?:_code)?=([^/]+)/", 1), F.lit(""))
+    station = F.coalesce(folder, F.trim("station_code")) if "station_code" in rows.columns else folder
+    found = rows.select(path, F.regexp_extract(path, r"/run=([^/]+)/", 1).alias("run"), station.alias("station_code")).distinct()
     if run is not None:
         found = found.where(F.col("run") == run)
     return found if stations is None else found.where(F.col("station_code").isin(*stations))
@@ -117,7 +122,8 @@ def provider_xml(rows: DataFrame, column: str = "payload", station: Column | Non
     Undated rows and rows without any value are left out, and with ``station`` those of other codes.
     """
     schema = "CodEstacao string, DataHora string, Nivel string, Chuva string, Vazao string"
-    parsed = rows.select("*", F.from_xml(F.col(column), F.lit(schema)).alias("x"))
+    # a generator's output isn't put into the filters below in its place, so that a text is parsed once
+    parsed = rows.select("*", F.explode(F.array(F.from_xml(F.col(column), F.lit(schema)))).alias("x"))
     number = {n: T.decimal_comma(F.col(f"x.{c}")) for n, c in (("rain", "Chuva"), ("level", "Nivel"), ("flow", "Vazao"))}
     out = parsed.select(T.station_code(F.col("x.CodEstacao")).alias("station_code"), parse_provider(F.col("x.DataHora")).alias("observed_at"), *(v.alias(n) for n, v in number.items()), *([station.alias("asked")] if station is not None else []))
     kept = out.where("observed_at is not null and coalesce(rain, level, flow) is not null")
