@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -66,3 +67,14 @@ def test_equal_places_in_bilinear(spark):
     targets = spark.createDataFrame([(k, *v) for k, v in places.items()], "target_id string, lat double, lon double")
     got = {r.target_id: r.value for r in G.bilinear(grid(spark, 3, 4, r=1.0), targets, (0.5, 0.5), 1.0).collect()}
     assert got == {"p": 2.5, "q": 2.5, "on": 2.0, "null": None, "edge": None}
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="the driver's tables aren't here")
+def test_times_of_a_turned_grid_are_text_before_the_cells_are_made(spark):
+    """The query of all cells of the boxes casts no time after the last generator."""
+    from freshet.queries import QUERIES
+
+    folder = "/root/testdata/sf0.001"
+    plan = QUERIES["gr8_rotate"](spark, folder)._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    last = min(i for i, line in enumerate(plan) if "Generate explode" in line)
+    assert not any("_utc" in line and "cast(" in line and "as string" in line for line in plan[:last])
