@@ -86,7 +86,10 @@ def typed_observations(rows: DataFrame, state: str = "raw") -> DataFrame:
 
 def with_reason(typed: DataFrame, stations: DataFrame, provider_variables: DataFrame) -> DataFrame:
     """Typed rows with the ``reason`` why a row makes a load fail: id, station, variable, time or value; null if it doesn't."""
-    known = typed.join(stations.select("station_id", F.lit(True).alias("known")).distinct(), "station_id", "left").join(provider_variables.select("provider_code", "variable_code", F.lit(True).alias("offered")).distinct(), ["provider_code", "variable_code"], "left")
+    known = typed.join(stations.select("station_id", F.lit(True).alias("known")).distinct(), "station_id", "left")
+    # a row for each variable of a provider: as keys of a shuffle, so few would put most rows into few tasks
+    offered = provider_variables.select("provider_code", "variable_code", F.lit(True).alias("offered")).distinct()
+    known = known.join(F.broadcast(offered), ["provider_code", "variable_code"], "left")
     reason = (
         F.when(F.col("given_id").isNotNull() & (F.col("given_id") != F.col("station_id")), "id")
         .when(F.col("known").isNull(), "station")

@@ -5,9 +5,11 @@ from __future__ import annotations
 import datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from freshet import queries_tables as Q
 from freshet.queries import QUERIES
+from freshet.sources import scans
 from freshet.sources.scratch import scratch_dir
 
 STATIONS = 300
@@ -49,3 +51,28 @@ def test_sc5_observation_files(spark, many, folders):
     got = {(r.station_id, r.observed_at, r.variable_code): (r.value, r.state) for r in QUERIES["sc5_observation_files"](spark, many).collect()}
     want = {(station(i % STATIONS), "2024-01-01 04:10:00", "rain" if i < STATIONS else "flow"): (i / 4, "raw") for i in range(2 * STATIONS)}
     assert got == want and 0 < files(spark, folders) < 40
+
+
+def test_pj1_file_ingest(spark, many, folders):
+    got = {r.series_id: (r.observed_at, r.value) for r in QUERIES["pj1_file_ingest"](spark, many).collect()}
+    want = {f"{station(i % STATIONS)}.{'rain' if i < STATIONS else 'flow'}.raw": ("2024-01-01 06:00:00", i / 4) for i in range(2 * STATIONS)}
+    assert got == want and 0 < files(spark, folders) < 40
+
+
+@pytest.mark.parametrize("adaptive", ["true", "false"])
+def test_rows_are_not_dealt_by_variable(spark, adaptive):
+    """Providers and variables are few: with them as keys, a few tasks would have nearly all rows."""
+    rows = spark.createDataFrame([("ana", "1", "2024-01-01 00:10", v, x) for v, x in (("rain", "1"), ("flow", "2"), (None, "3"), ("rain", "-"))], "provider_code string, station_code string, observed_at string, variable_code string, value string")
+    typed = scans.typed_observations(rows.withColumns({"file_path": F.lit("f"), "row_seq": F.monotonically_increasing_id()}))
+    offered = spark.createDataFrame([("ana", "rain"), ("ana", "rain"), ("inmet", "flow")], "provider_code string, variable_code string")
+    spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = scans.with_reason(typed, spark.createDataFrame([("ana:1",)], "station_id string"), offered)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert sorted((r.variable_code or "", r.reason or "") for r in out.collect()) == [("", "variable"), ("flow", "variable"), ("rain", ""), ("rain", "value")]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    joins = [line for line in plan.splitlines() if "Join [provider_code" in line]
+    assert len(joins) == 1 and "BroadcastHashJoin" in joins[0]
