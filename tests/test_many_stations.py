@@ -59,6 +59,11 @@ def test_pj1_file_ingest(spark, many, folders):
     assert got == want and 0 < files(spark, folders) < 40
 
 
+def test_sc5_observation_errors(spark, many, folders):
+    got = {(r.station_id, r.reason, r.n) for r in QUERIES["sc5_observation_errors"](spark, many).collect()}
+    assert got == {(station(u), "variable", 1) for u in range(1, STATIONS, 2)} and 0 < files(spark, folders) < 40
+
+
 @pytest.mark.parametrize("adaptive", ["true", "false"])
 def test_rows_are_not_dealt_by_variable(spark, adaptive):
     """Providers and variables are few: with them as keys, a few tasks would have nearly all rows."""
