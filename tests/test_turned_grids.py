@@ -78,3 +78,27 @@ def test_times_of_a_turned_grid_are_text_before_the_cells_are_made(spark):
     plan = QUERIES["gr8_rotate"](spark, folder)._jdf.queryExecution().optimizedPlan().toString().splitlines()
     last = min(i for i, line in enumerate(plan) if "Generate explode" in line)
     assert not any("_utc" in line and "cast(" in line and "as string" in line for line in plan[:last])
+
+
+def test_files_of_a_box_stay_small(spark, tmp_path):
+    """A box of 4 million cells, almost all of them empty: its columns repeat from row to row, so that a cell takes little of a file."""
+    G.rotated(grid(spark, 2, 2830), 0.25, 45.0).write.parquet(f"{tmp_path}/box")
+    cells = spark.read.parquet(f"{tmp_path}/box").count()
+    assert cells > 4_000_000 and sum(f.stat().st_size for f in (tmp_path / "box").glob("*.parquet")) < cells
+
+
+@pytest.mark.parametrize("degrees", [0.0, 20.0, 90.0])
+def test_every_cell_of_small_blocks(spark, monkeypatch, degrees):
+    monkeypatch.setattr(G, "TILE", 4)
+    monkeypatch.setattr(G, "BLOCK", 2)
+    got = G.rotated(grid(spark, 5, 9), 0.25, degrees, 1.0, -2.0, 2.0).collect()
+    want = brute(5, 9, degrees, 1, -2, 2.0)
+    assert len(got) == len(want) and {(round(r.lat / 0.25 - 0.5), round(r.lon / 0.25 - 0.5)): r.value for r in got} == want
+
+
+def test_six_decimals_are_those_of_round(spark):
+    from freshet.queries import six_decimals
+
+    numbers = [0.125, -33.0, 0.1 + 0.2, 1.0000005, -1.0000005, 2.5e-7, 5e-7, -1e-9, -0.0, 4294967296.123457, 8589934593.000001, 1e15 + 0.3, 1e300, float("nan"), float("inf"), float("-inf"), None] + [k / 7 for k in range(-50, 50)] + [k * 1e-6 for k in range(-50, 50)]
+    rows = spark.createDataFrame([(x,) for x in numbers], "x double").select((F.round("x", 6) + 0.0).alias("a"), (six_decimals(F.col("x")) + 0.0).alias("b")).collect()
+    assert [repr(r.a) for r in rows] == [repr(r.b) for r in rows]
