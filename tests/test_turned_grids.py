@@ -102,3 +102,12 @@ def test_six_decimals_are_those_of_round(spark):
     numbers = [0.125, -33.0, 0.1 + 0.2, 1.0000005, -1.0000005, 2.5e-7, 5e-7, -1e-9, -0.0, 4294967296.123457, 8589934593.000001, 1e15 + 0.3, 1e300, float("nan"), float("inf"), float("-inf"), None] + [k / 7 for k in range(-50, 50)] + [k * 1e-6 for k in range(-50, 50)]
     rows = spark.createDataFrame([(x,) for x in numbers], "x double").select((F.round("x", 6) + 0.0).alias("a"), (six_decimals(F.col("x")) + 0.0).alias("b")).collect()
     assert [repr(r.a) for r in rows] == [repr(r.b) for r in rows]
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="the driver's tables aren't here")
+def test_times_of_edited_cells_are_text_before_the_cells_are_made(spark):
+    from freshet.queries import QUERIES
+
+    plan = QUERIES["jo8_edited_cells"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    last = next(i for i, line in enumerate(plan) if "Generate explode" in line and "array_except" in line)
+    assert not any("as string" in line for line in plan[last - 2 : last])
